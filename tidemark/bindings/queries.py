@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from tidemark.functions import casts, labels, text
 from tidemark.functions.arith import percent_change, rounded_ratio
 from tidemark.operators import calendar, documents, grid, lookup, ordering, quality, questions, similarity
 from tidemark.plans import body, curated, load, progress, sessions, sets, volume
-from tidemark.plans.warehouse import declared_checks
+from tidemark.plans.warehouse import TABLES, check_report
 from tidemark.session import scratch_path
 from tidemark.sources import audit, files, schemas, state, tables
 from tidemark.sources import documents as feeds
@@ -746,19 +746,46 @@ def dq_plausible_ratio(spark, d):
     return quality.in_range(days, "fatigue_index", 0.5, 2, keep=["athlete", "workout_date"])
 
 
-def _violations(name: str, table: str, where: str) -> str:
-    return f"SELECT '{name}' AS check_name, count(*) AS violations FROM {table} WHERE {where}"
+def _suite_sql() -> str:
+    """Each declared check counted straight from the tables' SQL."""
+    from tidemark.plans import warehouse as w
 
-
-@register("dq_suite")
+    table = {
+        "sets": "sets", "sessions": "sessions", "measurements": "measurements", "bodyweight_daily": "body",
+        "training_day": "days", "training_week": "training_weeks", "muscle_week": "muscle_weeks",
+        "exercise_progression": "progress", "muscle_landmarks": "landmarks",
+    }
+    renamed = {"tonnage": "tonnage_c"}
+    one = lambda name, t, where: f"SELECT {o.q(name)} AS check_name, count(*) AS violations FROM {t} WHERE {where}"
+    parts = [
+        one(f"not_null:{n}.{c}", table[n], f"{renamed.get(c, c)} IS NULL") for n, cols in w.NOT_NULL.items() for c in cols
+    ]
+    for n, rules in w.ACCEPTED.items():
+        for c, values in rules.items():
+            parts.append(one(f"accepted:{n}.{c}", table[n], f"{c} NOT IN ({', '.join(map(o.q, values))})"))
+    parts.append(one("working_types:sets", "sets", "set_type NOT IN ('normal', 'failure', 'dropset')"))
+    parts.append(one("plausible:training_day", "days", "fatigue_index < 0 OR fatigue_index > 5"))
+    grouped = [(f"unique:{n}.{'+'.join(k)}", n, k) for n, keys in w.UNIQUE.items() for k in keys]
+    grouped += [(f"grain:{n}", n, k) for n, k in w.GRAINS.items()]
+    for name, n, key in grouped:
+        columns = ", ".join(([] if n == "muscle_landmarks" else ["athlete"]) + key)
+        parts.append(one(name, f"(SELECT 1 FROM {table[n]} GROUP BY {columns} HAVING count(*) > 1)", "TRUE"))
+    parts.append(one("relationship:muscle_week.muscle", "muscle_weeks", "muscle NOT IN (SELECT muscle FROM landmarks)"))
+    parts.append(one(
+        "no_gaps:training_day",
+        "(SELECT workout_date - lag(workout_date) OVER (PARTITION BY athlete ORDER BY workout_date) AS gap FROM days)",
+        "gap <> 1",
+    ))
+    base = (o.SETS, o.SESSIONS, o.MEASUREMENTS, o.BODY, o.DAY, o.MUSCLE_WEEK, o.TRAINING_WEEK, o.progress_sql())
+    return o.with_(*base, then=" UNION ALL ".join(parts))
+
+
+@register("dq_suite", _suite_sql())
 def dq_suite(spark, d):
     """All declared checks over all tables: name and number of violations."""
     wh = warehouse(spark, d)
-    held = {n: wh._table(layer, n) for layer, n in TABLE_LAYERS}
-    return quality.summary(declared_checks({**held, "muscle_landmarks": wh.landmarks}, ATHLETE))
-
-
-from tidemark.plans.warehouse import TABLES as TABLE_LAYERS  # noqa: E402
+    held = {name: wh.table(layer, name) for layer, name in TABLES}
+    return check_report({**held, "muscle_landmarks": wh.landmarks}, ATHLETE)
 
 
 # ---- files, tables and change capture ---------------------------------------------------------
@@ -1106,10 +1133,11 @@ def seed_roundtrip(spark, d):
 def sync_state(spark, d):
     """A sync mark per event type, written twice: the later one wins."""
     held = state.SyncState(spark, scratch_path(spark, "state"))
-    marks = read(spark, d, "events").groupBy("event_type").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    for row in marks.collect():
-        held.set(row["a"], row["event_type"])
-        held.set(row["b"], row["event_type"])
+    held.ensure()
+    events = read(spark, d, "events").groupBy(F.col("event_type").alias("key"))
+    for mark in (F.min("ts"), F.max("ts")):
+        stamp = F.date_format(mark.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        held.table.upsert(events.agg(stamp.alias("value")), ["key"])
     return held.table.read()
 
 
@@ -1134,7 +1162,7 @@ def dimension_feed(spark, d):
 
 
 def _squeezed(column: str) -> str:
-    white = o.WHITE.replace("'", "''")
+    white = text.WHITE.replace("'", "''")
     return f"lower(trim(regexp_replace({column}, '{white}+', ' ', 'g')))"
 
 
@@ -1155,7 +1183,7 @@ def drop_equal_texts(spark, d):
     return documents.drop_equal_texts(read(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
-_TRIMMED = f"regexp_replace(regexp_replace(text, '^{o.WHITE}+', ''), '{o.WHITE}+$', '')"
+_TRIMMED = f"regexp_replace(regexp_replace(text, '^{text.WHITE}+', ''), '{text.WHITE}+$', '')"
 
 
 @register(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A dimension up to this many rows is carried along as an array literal.
-INLINE_ROWS = 2_000
+INLINE_ROWS = 200
 
 
 def complete_grid(periods: DataFrame, members: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,12 +57,14 @@ def oversized_groups(
     return sizes.filter(F.col("count") > limit * fraction * 0.5).drop("count")
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition that treats two NULL key parts as equal, as grouping does."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
+def matching(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows of ``df`` with (``left_semi``) or without (``left_anti``) a row in ``groups``.
+
+    Two NULL key parts are equal, as they are in a grouping.
+    """
+    side = groups.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = reduce(Column.__and__, [df[k].eqNullSafe(side[f"_k_{k}"]) for k in keys])
+    return df.join(side, same, how)
 
 
 def number_within(
@@ -82,15 +85,11 @@ def number_within(
     if oversized is None or oversized.isEmpty():
         return df.withColumn(name, F.row_number().over(w))
 
-    renamed = oversized.select(*[F.col(k).alias(f"_big_{k}") for k in keys])
-    is_big = F.lit(True)
-    for k in keys:
-        is_big = is_big & df[k].eqNullSafe(renamed[f"_big_{k}"])
-    usual = df.join(renamed, is_big, "left_anti").withColumn(name, F.row_number().over(w))
+    usual = matching(df, oversized, keys, "left_anti").withColumn(name, F.row_number().over(w))
 
     spark = df.sparkSession
     slices = slices or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cut = df.join(renamed, is_big, "left_semi").repartitionByRange(slices, *[F.col(k) for k in keys], *order)
+    cut = matching(df, oversized, keys, "left_semi").repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     cut = reliable_checkpoint(cut.withColumn("_slice", F.spark_partition_id()))
 
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
@@ -103,9 +102,8 @@ def number_within(
         .select(*[F.col(k).alias(f"_off_{k}") for k in keys], F.col("_slice").alias("_off_slice"), "_before")
     )
     numbered = cut.withColumn(name, F.row_number().over(inside))
-    match = numbered["_slice"] == offsets["_off_slice"]
-    for k in keys:
-        match = match & numbered[k].eqNullSafe(offsets[f"_off_{k}"])
+    same = [numbered[k].eqNullSafe(offsets[f"_off_{k}"]) for k in keys]
+    match = reduce(Column.__and__, same, numbered["_slice"] == offsets["_off_slice"])
     big = numbered.join(offsets, match).withColumn(name, (F.col(name) + F.col("_before")).cast("int"))
     return usual.unionByName(big.select(*usual.columns))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.calendar import series_window
@@ -45,8 +45,16 @@ def in_range(df: DataFrame, column: str, low: float, high: float, keep: Sequence
     return df.filter((F.col(column) < low) | (F.col(column) > high)).select(*keep, column)
 
 
+def failing_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """(check_name, violations) for conditions that mark a bad row, all in one scan."""
+    names = list(checks)
+    counted = df.agg(*[F.count_if(checks[n]).alias(f"c{i}") for i, n in enumerate(names)])
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, n in enumerate(names)])
+    return counted.select(F.inline(pairs))
+
+
 def summary(checks: dict[str, DataFrame]) -> DataFrame:
-    """One row per check with its number of violations; all checks run in one job."""
+    """One row per check with its number of violating rows."""
     counted = [
         df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
         for name, df in checks.items()

@@ -59,7 +59,13 @@ def interpolate_daily(
     if entity:
         inside = bounds.join(daily, entity, "left")
     else:
-        inside = bounds.withColumn("_one", F.lit(1)).join(daily.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+        first, last = bounds.first()
+        empty = daily.sparkSession.range(1).select(
+            F.lit(None).cast(daily.schema["at"].dataType).alias("at"), F.lit(None).cast(daily.schema["v"].dataType).alias("v")
+        )
+        inside = daily.unionByName(empty).withColumns(
+            {"first_day": F.lit(first).cast("date"), "last_day": F.lit(last).cast("date")}
+        )
     # An entity without any usable reading keeps one row with no value.
     in_span = F.col("at").between(F.col("first_day"), F.col("last_day"))
     inside = inside.withColumn("v", F.when(in_span, F.col("v"))).withColumn("at", F.when(in_span, F.col("at")))

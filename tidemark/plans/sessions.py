@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.arith import rounded_ratio
+from tidemark.operators.ordering import matching
 from tidemark.sources.tables import replace_groups, since_loaded
 
 
@@ -69,5 +70,5 @@ def refresh_sessions(target: DataFrame, sets: DataFrame, entity: Sequence[str] =
     """Re-aggregate every session with newly loaded sets over all of its sets."""
     keys = [*entity, "workout_id"]
     touched = since_loaded(sets, target).select(*keys).distinct()
-    rebuilt = session_summary(sets.join(touched, keys, "left_semi"), entity)
+    rebuilt = session_summary(matching(sets, touched, keys, "left_semi"), entity)
     return replace_groups(target, rebuilt, touched, keys)

@@ -17,7 +17,7 @@ from tidemark.functions.casts import (
 from tidemark.functions.labels import first_match
 from tidemark.functions.text import explicit_tag
 from tidemark.operators.lookup import caseless_lookup, range_lookup
-from tidemark.operators.ordering import ONE_TASK_ROWS, collapse_duplicates, number_within, oversized_groups, same_key
+from tidemark.operators.ordering import ONE_TASK_ROWS, collapse_duplicates, number_within, oversized_groups, matching
 from tidemark.sources.tables import replace_groups, since_loaded
 
 # Working set types, as spelled in the raw log.
@@ -95,13 +95,17 @@ def clean_sets(
         working = working.join(newest, [*entity, "workout_id", "_loaded_at"], "left_semi")
 
     natural = [*entity, "workout_id", "exercise_title", "set_index"]
+    oversized = oversized_groups(working, natural, one_task_rows)
+    if oversized.isEmpty():
+        # One shuffle serves both steps: copies of a set share its natural key.
+        oversized, working = None, working.repartition(*natural)
     single = collapse_duplicates(working, [*entity, *SAME_SET], newest="_loaded_at")
     keyed = number_within(
         single,
         natural,
         [F.col(c).asc_nulls_last() for c in ("_loaded_at", "weight_kg", "reps", "set_type")],
         "set_occurrence",
-        oversized_groups(working, natural, one_task_rows),
+        oversized,
     )
 
     start, end = text_to_wall_clock(F.col("start_time")), text_to_wall_clock(F.col("end_time"))
@@ -182,10 +186,6 @@ def refresh_sets(
     """
     keys = [*entity, "workout_id"]
     touched = since_loaded(raw, target).select(*keys).distinct()
-    renamed = touched.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    match = F.lit(True)
-    for k in keys:
-        match = match & raw[k].eqNullSafe(renamed[f"_t_{k}"])
-    again = raw.join(renamed, match, "left_semi")
+    again = matching(raw, touched, keys, "left_semi")
     rebuilt = clean_sets(again, locations, templates, entity, **options)
     return replace_groups(target, rebuilt, touched, keys)

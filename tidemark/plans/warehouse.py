@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.plans import body, load, progress, sessions, sets, volume
@@ -21,14 +23,14 @@ class Warehouse:
     entity: tuple[str, ...] = ()
 
     def silver(self, name: str) -> DataFrame:
-        return self._table("silver", name)
+        return self.table("silver", name)
 
     def gold(self, name: str) -> DataFrame:
-        return self._table("gold", name)
+        return self.table("gold", name)
 
-    def _table(self, layer: str, name: str) -> DataFrame:
-        table = self.catalog.table(layer, name)
-        return table.read() if table.exists() else table.replace(self.plan(name))
+    def table(self, layer: str, name: str) -> DataFrame:
+        stored = self.catalog.table(layer, name)
+        return stored.read() if stored.exists() else stored.replace(self.plan(name))
 
     def plan(self, name: str) -> DataFrame:
         """The DataFrame that defines a table, on top of the tables it reads."""
@@ -122,27 +124,36 @@ ACCEPTED = {
 FATIGUE_RANGE = (0, 5)
 
 
-def declared_checks(tables: dict[str, DataFrame], entity: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Every declared check by name, as the DataFrame of its violating rows."""
+def row_checks(name: str) -> dict[str, Column]:
+    """Conditions that mark a bad row of a table."""
+    checks = {f"not_null:{name}.{c}": F.col(c).isNull() for c in NOT_NULL.get(name, [])}
+    for c, values in ACCEPTED.get(name, {}).items():
+        checks[f"accepted:{name}.{c}"] = ~F.col(c).isin(*values)
+    if name == "sets":
+        checks["working_types:sets"] = ~F.col("set_type").isin(*sets.WORKING_TYPES)
+    if name == "training_day":
+        low, high = FATIGUE_RANGE
+        checks["plausible:training_day"] = ~F.col("fatigue_index").between(low, high)
+    return checks
+
+
+def group_checks(tables: dict[str, DataFrame], entity: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Checks across rows or tables by name, as the DataFrame of what violates them."""
     checks: dict[str, DataFrame] = {}
     own = lambda name: [] if name == "muscle_landmarks" else list(entity)
-    for name, columns in NOT_NULL.items():
-        for c in columns:
-            checks[f"not_null:{name}.{c}"] = quality.not_null(tables[name], c)
     for name, keys in UNIQUE.items():
         for key in keys:
             checks[f"unique:{name}.{'+'.join(key)}"] = quality.unique(tables[name], *own(name), *key)
     for name, key in GRAINS.items():
         checks[f"grain:{name}"] = quality.unique(tables[name], *own(name), *key)
-    for name, rules in ACCEPTED.items():
-        for c, values in rules.items():
-            checks[f"accepted:{name}.{c}"] = quality.accepted_values(tables[name], c, values)
     checks["relationship:muscle_week.muscle"] = quality.relationship(
         tables["muscle_week"], "muscle", tables["muscle_landmarks"], "muscle"
     )
-    checks["working_types:sets"] = quality.accepted_values(tables["sets"], "set_type", sets.WORKING_TYPES)
     checks["no_gaps:training_day"] = quality.no_gaps(tables["training_day"], entity, "workout_date")
-    checks["plausible:training_day"] = quality.in_range(
-        tables["training_day"], "fatigue_index", *FATIGUE_RANGE, keep=[*entity, "workout_date"]
-    )
     return checks
+
+
+def check_report(tables: dict[str, DataFrame], entity: Sequence[str] = ()) -> DataFrame:
+    """Every declared check with its number of violations; row checks of a table share one scan."""
+    parts = [quality.failing_rows(df, row_checks(name)) for name, df in tables.items() if row_checks(name)]
+    return reduce(DataFrame.unionByName, [*parts, quality.summary(group_checks(tables, entity))])

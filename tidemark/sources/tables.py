@@ -12,9 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.operators.ordering import same_key
+from tidemark.operators.ordering import matching
 
 # The layers and the raw tables that are read as sources.
 LAYERS = ("bronze", "silver", "gold")
@@ -38,22 +37,13 @@ def merge_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
     The batch must hold each key once. A NULL key part matches a NULL.
     """
     aligned = align_columns(target, batch)
-    incoming = batch.select(*[F.col(k).alias(f"_in_{k}") for k in keys])
-    match = F.lit(True)
-    for k in keys:
-        match = match & aligned[k].eqNullSafe(incoming[f"_in_{k}"])
-    return aligned.join(incoming, match, "left_anti").unionByName(batch)
+    return matching(aligned, batch, keys, "left_anti").unionByName(batch)
 
 
 def replace_groups(target: DataFrame, rebuilt: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Swap whole groups: every target row of ``groups`` gives way to ``rebuilt``."""
     aligned = align_columns(target, rebuilt)
-    side = groups.select(*keys).distinct()
-    renamed = side.select(*[F.col(k).alias(f"_g_{k}") for k in keys])
-    match = F.lit(True)
-    for k in keys:
-        match = match & aligned[k].eqNullSafe(renamed[f"_g_{k}"])
-    return aligned.join(renamed, match, "left_anti").unionByName(rebuilt)
+    return matching(aligned, groups, keys, "left_anti").unionByName(rebuilt)
 
 
 @dataclass(frozen=True)
@@ -153,7 +143,7 @@ def upsert_partitions(
     """
     target = spark.read.parquet(path)
     incoming = batch.select(*keys).distinct()
-    replaced = target.select(*keys, partition).join(incoming, list(keys), "left_semi")
+    replaced = matching(target.select(*keys, partition), incoming, keys, "left_semi")
     touched = replaced.select(partition).unionByName(batch.select(partition)).distinct()
     values = [r[0] for r in touched.collect()]  # one value per partition folder
     affected = target.filter(F.col(partition).isin(values))
