@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -991,6 +991,24 @@ def stream_ingest(spark, d):
     return flat_view(bronze.read_batches())
 
 
+@register(
+    "window_sync",
+    _FLAT + " WHERE o_orderdate > (SELECT max(o_orderdate) - INTERVAL 366 DAY FROM orders)",
+)
+def window_sync(spark, d):
+    """Three windows of change times: a first run of 7 days back, a long one and an empty one."""
+    docs = workout_docs(spark, d)
+    last = read(spark, d, "orders").agg(F.max("o_orderdate")).first()[0]
+    base = scratch_path(spark, "window")
+    bronze = tables.Table(spark, f"{base}/raw_workouts")
+    held = state.SyncState(spark, f"{base}/state")
+    moments = [last - timedelta(days=359), last + timedelta(days=1), last + timedelta(days=2)]
+    for now in moments:
+        changed_by_then = docs.filter(F.try_to_timestamp("updated_at") <= F.lit(now))
+        ingest.run_window_sync(changed_by_then, bronze, held, now)
+    return flat_view(bronze.read_batches())
+
+
 @register(
     "change_events",
     """SELECT count(*) FILTER (o_orderstatus <> 'F') AS applied, count(*) FILTER (o_orderstatus = 'F') AS skipped
@@ -1351,6 +1369,26 @@ def knn_topk(spark, d):
     return similarity.top_k(label_vectors(spark, d), items, k=4, threshold=RELEVANCE)
 
 
+def unit_label_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """The same vectors scaled to about unit length, for metrics that see length."""
+    v = label_vectors(spark, d)
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    return v.select("query_id", F.transform("embedding", lambda x: x / length).alias("embedding"))
+
+
+_KNN_EUCLIDEAN = _KNN.replace(
+    "round(list_cosine_similarity(v, CAST(embedding AS DOUBLE[])), 9)",
+    "round(1 - list_sum(list_transform(list_zip(list_transform(v, lambda a: a / sqrt(list_dot_product(v, v))),"
+    " CAST(embedding AS DOUBLE[])), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) / sqrt(2::DOUBLE), 9)",
+).replace(f"raw_score > {RELEVANCE}::DOUBLE", "raw_score > -0.2::DOUBLE")
+
+
+@register("knn_topk_euclidean", o.with_(_KNN_EUCLIDEAN, then="SELECT * FROM evidence"))
+def knn_topk_euclidean(spark, d):
+    items = read(spark, d, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
+    return similarity.top_k(unit_label_vectors(spark, d), items, k=4, threshold=-0.2, metric="euclidean")
+
+
 _PAPERS = """
 papers AS (
   SELECT e.*, d.source || ' ' || d.lang AS title, d.text AS content FROM evidence e JOIN documents d ON e.item_id = d.doc_id

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 BLOCK_BYTES = 32 * 1024 * 1024
 # Scores are compared at this many digits, so that equal vectors tie exactly.
 SCORE_DIGITS = 9
+METRICS = ("cosine", "dot", "euclidean")
 
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -27,6 +28,17 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
+def _scores(block: np.ndarray, dense: np.ndarray, metric: str) -> np.ndarray:
+    """Queries x items. ``euclidean`` is 1 - (squared distance / sqrt 2)."""
+    if metric == "cosine":
+        return _unit_rows(block) @ _unit_rows(dense).T
+    products = block @ dense.T
+    if metric == "dot":
+        return products
+    squared = (block * block).sum(axis=1)[:, None] + (dense * dense).sum(axis=1)[None, :] - 2 * products
+    return 1 - squared / np.sqrt(2.0)
+
+
 def _best_per_query(scores: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
     """Column positions of the ``keep`` best entries per row: score first, then lower id."""
     order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)
@@ -44,9 +56,7 @@ def _partial_top(shared, metric: str, keep: int):
             vectors = batch.column(1)
             dense = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             dense = dense.reshape(batch.num_rows, -1)
-            if metric == "cosine":
-                dense = _unit_rows(dense)
-            scores = np.round(block @ dense.T, SCORE_DIGITS)
+            scores = np.round(_scores(block, dense, metric), SCORE_DIGITS)
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             all_scores = np.concatenate([best_scores, scores], axis=1)
             all_ids = np.concatenate([best_ids, np.broadcast_to(ids, scores.shape)], axis=1)
@@ -81,9 +91,9 @@ def top_k(
 
     Exact. Returns (query_id, rank, item_id, score), the score with 3 digits.
     Queries are handled in blocks of a checked size; more queries mean more
-    scans, never a larger block. ``metric`` is ``cosine`` or ``dot``.
+    scans, never a larger block. ``metric`` is one of ``METRICS``.
     """
-    if metric not in ("cosine", "dot"):
+    if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}")
     source = corpus.filter(F.col(vector).isNotNull()).select(
         F.col(item_id).cast("bigint").alias("item_id"), F.col(vector).cast("array<double>").alias("vector")
@@ -101,8 +111,6 @@ def top_k(
     context = corpus.sparkSession.sparkContext
     partial = []
     for ids, block in _query_blocks(asked):
-        if metric == "cosine":
-            block = _unit_rows(block)
         partial.append(source.mapInArrow(_partial_top(context.broadcast((ids, block)), metric, 2 * k), schema))
     if not partial:
         candidates = asked.sparkSession.createDataFrame([], schema)

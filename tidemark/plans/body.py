@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.arith import ratio, rounded
 from tidemark.functions.casts import text_to_date, text_to_decimal
 from tidemark.operators.calendar import day_bounds, series_window
+from tidemark.operators.ordering import collapse_duplicates
 from tidemark.sources.tables import since_event
 
 
@@ -25,9 +26,9 @@ def clean_measurements(raw: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
 
 
 def new_measurements(raw: DataFrame, target: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
-    """Incremental form: readings dated after the newest one held."""
+    """Incremental form: readings dated after the newest one held, one per day (newest load)."""
     fresh = since_event(raw, target, text_to_date(F.col("measurement_date")), "measurement_date")
-    return clean_measurements(fresh, entity)
+    return collapse_duplicates(clean_measurements(fresh, entity), [*entity, "measurement_date"], "_loaded_at")
 
 
 def interpolate_daily(

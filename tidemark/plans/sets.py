@@ -175,17 +175,23 @@ def clean_sets(
     )
 
 
-def refresh_sets(
+def rebuilt_sessions(
     target: DataFrame, raw: DataFrame, locations: DataFrame, templates: DataFrame, entity: Sequence[str] = (), **options
-) -> DataFrame:
-    """Target after an incremental run, equal to a full rebuild.
+) -> tuple[DataFrame, DataFrame]:
+    """(sessions with rows loaded since the last run, their clean sets).
 
-    Rows loaded since the last run select the touched sessions. Each touched
-    session is rebuilt from all its raw rows, because a set's number depends on
-    the session's other sets.
+    Each touched session is rebuilt from all its raw rows, because a set's
+    number depends on the session's other sets.
     """
     keys = [*entity, "workout_id"]
     touched = since_loaded(raw, target).select(*keys).distinct()
     again = matching(raw, touched, keys, "left_semi")
-    rebuilt = clean_sets(again, locations, templates, entity, **options)
-    return replace_groups(target, rebuilt, touched, keys)
+    return touched, clean_sets(again, locations, templates, entity, **options)
+
+
+def refresh_sets(
+    target: DataFrame, raw: DataFrame, locations: DataFrame, templates: DataFrame, entity: Sequence[str] = (), **options
+) -> DataFrame:
+    """Target after an incremental run, equal to a full rebuild."""
+    touched, rebuilt = rebuilt_sessions(target, raw, locations, templates, entity, **options)
+    return replace_groups(target, rebuilt, touched, [*entity, "workout_id"])

@@ -30,7 +30,16 @@ class Warehouse:
 
     def table(self, layer: str, name: str) -> DataFrame:
         stored = self.catalog.table(layer, name)
-        return stored.read() if stored.exists() else stored.replace(self.plan(name))
+        if not stored.exists():
+            self._write(layer, name)
+        return stored.read().drop(MONTH)
+
+    def _write(self, layer: str, name: str) -> None:
+        stored = self.catalog.table(layer, name)
+        if name == "sets":
+            stored.replace(by_month(self.plan(name)), partition_by=[MONTH])
+        else:
+            stored.replace(self.plan(name))
 
     def plan(self, name: str) -> DataFrame:
         """The DataFrame that defines a table, on top of the tables it reads."""
@@ -55,7 +64,41 @@ class Warehouse:
         """Full refresh in dependency order, one new version per table."""
         for layer, name in TABLES:
             if names is None or name in names:
-                self.catalog.table(layer, name).replace(self.plan(name))
+                self._write(layer, name)
+
+    def refresh(self) -> None:
+        """Incremental run: sets and sessions by load time, readings by date, the rest in full.
+
+        Touched sessions are swapped inside their months; other months of the
+        set table stay as they are.
+        """
+        e, source = list(self.entity), self.catalog.source
+        held = self.catalog.table("silver", "sets")
+        if not held.exists():
+            return self.rebuild()
+        # The mark is taken before the swap moves it.
+        old_sessions = self.silver("sessions")
+        touched, rebuilt = sets.rebuilt_sessions(
+            self.silver("sets"), source("raw_workouts"), source("gym_locations"), source("dim_exercise_templates"), e
+        )
+        held.swap(by_month(rebuilt), [*e, "workout_id"], MONTH, touched)
+        self.catalog.table("silver", "sessions").replace(
+            sessions.refresh_sessions(old_sessions, self.silver("sets"), e)
+        )
+        readings = self.catalog.table("silver", "measurements")
+        readings.upsert(
+            body.new_measurements(source("raw_measurements"), readings.read(), e), [*e, "measurement_date"]
+        )
+        self.rebuild(["bodyweight_daily", "training_day", "muscle_week", "training_week", "exercise_progression"])
+
+
+# Partition of the set table: year and month as a number, 0 for undated sets.
+MONTH = "part_month"
+
+
+def by_month(clean: DataFrame) -> DataFrame:
+    month = F.year("workout_date") * 100 + F.month("workout_date")
+    return clean.withColumn(MONTH, F.coalesce(month, F.lit(0)))
 
 
 # In dependency order.

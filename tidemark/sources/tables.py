@@ -46,6 +46,14 @@ def replace_groups(target: DataFrame, rebuilt: DataFrame, groups: DataFrame, key
     return matching(aligned, groups, keys, "left_anti").unionByName(rebuilt)
 
 
+def by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together per folder before a write; AQE splits a large folder and joins small ones.
+
+    Without it every task would write a file into every folder.
+    """
+    return df.hint("rebalance", *partition_by)
+
+
 @dataclass(frozen=True)
 class Table:
     """One versioned table."""
@@ -83,9 +91,10 @@ class Table:
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Full refresh as a new version. ``df`` may read the current one."""
         done = self.versions()
-        writer = df.write.mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            writer = by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+        else:
+            writer = df.write.mode("overwrite")
         target = f"{self.path}/v={done[-1] + 1 if done else 0}"
         writer.parquet(target)
         return self.spark.read.parquet(target)
@@ -95,6 +104,14 @@ class Table:
             return self.replace(batch, partition_by)
         return self.replace(merge_rows(self.read(), batch, keys), partition_by)
 
+    def swap(
+        self, rebuilt: DataFrame, keys: Sequence[str], partition: str, groups: DataFrame | None = None
+    ) -> DataFrame:
+        """Replace whole key groups, rewriting only the partitions they lie in."""
+        current = f"{self.path}/v={self.versions()[-1]}"
+        staging = f"{self.path}.staged"
+        return upsert_partitions(self.spark, current, rebuilt, keys, partition, staging, groups)
+
     def append_batch(self, df: DataFrame, batch_id: int | str) -> None:
         """Add one batch to an append-only table; repeating a batch replaces it."""
         df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
@@ -134,24 +151,28 @@ def upsert_partitions(
     keys: Sequence[str],
     partition: str,
     staging: str,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Merge into a table partitioned by ``partition``, rewriting touched partitions only.
 
-    Touched are the partitions of the batch and those holding a row the batch
-    replaces. The merged rows are first written to ``staging``, then swapped in
-    with dynamic partition overwrite; repeating the call gives the same table.
+    Every target row whose key is in ``groups`` (by default: in the batch) gives
+    way to the batch's rows. Touched are the partitions of the batch and those
+    that lose a row. The merged rows are first written to ``staging``, then
+    swapped in with dynamic partition overwrite; repeating the call gives the
+    same table. The partition column must not be NULL.
     """
     target = spark.read.parquet(path)
-    incoming = batch.select(*keys).distinct()
+    incoming = (groups if groups is not None else batch).select(*keys).distinct()
     replaced = matching(target.select(*keys, partition), incoming, keys, "left_semi")
     touched = replaced.select(partition).unionByName(batch.select(partition)).distinct()
     values = [r[0] for r in touched.collect()]  # one value per partition folder
     affected = target.filter(F.col(partition).isin(values))
-    merged = merge_rows(affected, batch.select(*target.columns), keys)
+    merged = replace_groups(affected, batch.select(*target.columns), incoming, keys)
     merged.write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)
     left = {r[0] for r in staged.select(partition).distinct().collect()}
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    writer = by_folder(staged, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
     _drop_partitions(spark, path, partition, [v for v in values if v not in left])
     return spark.read.parquet(path)
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.sources import schemas
 from tidemark.sources.audit import audit, gate, read_audit
 from tidemark.sources.documents import flatten_workouts, split_events
-from tidemark.sources.files import BAD_ROW, good_rows, stage, with_bad_row
-from tidemark.sources.state import SyncState
+from tidemark.sources.files import BAD_ROW, good_rows, load_jsonl, stage, with_bad_row, write_jsonl
+from tidemark.sources.state import SyncState, sync_window
 from tidemark.sources.tables import Table, since_updated
 
 
@@ -42,9 +42,7 @@ def load_batch(bronze: Table, loaded_at: datetime):
         if result.rows_parsed == 0:
             return
         changed, _ = split_events(good_rows(staged))
-        rows = flatten_workouts(changed).withColumn(
-            "_loaded_at", F.lit(loaded_at.replace(tzinfo=None)).cast("timestamp_ntz")
-        )
+        rows = flatten_workouts(changed).withColumn("_loaded_at", _wall_clock(loaded_at))
         has_changes = not changed.isEmpty()
         gate(result, rows_expected=0 if has_changes and rows.isEmpty() else None)
         if has_changes:
@@ -75,7 +73,50 @@ def run_sync(
     return started
 
 
+def drop_repeated(events: DataFrame, key: str, at: str, within: str) -> DataFrame:
+    """Stream without the repeats of a key that arrive within the given delay.
+
+    ``at`` may be a wall-clock time; a watermark needs an instant, so it is read
+    in the session's time zone. Repeats over a longer time are left to the set
+    plan, which collapses exact copies whenever they were loaded.
+    """
+    return (
+        events.withColumn("_at", F.col(at).cast("timestamp"))
+        .withWatermark("_at", within)
+        .dropDuplicatesWithinWatermark([key])
+        .drop("_at")
+    )
+
+
 def fallback_sync(workouts: DataFrame, since: datetime) -> DataFrame:
     """Set rows of the workouts changed after ``since``, when no change events exist."""
     changed = workouts.withColumn("_changed", F.try_to_timestamp(F.col("updated_at")))
     return flatten_workouts(since_updated(changed, since, "_changed"))
+
+
+def run_window_sync(
+    workouts: DataFrame, bronze: Table, held: SyncState, now: datetime | None = None
+) -> tuple[datetime, datetime]:
+    """One sync over a window of change times, kept in the sync state.
+
+    The window ends where the run began and starts at the last good run, or 7
+    days back on a first run. The state moves only after a clean load, or when
+    nothing changed. The batch is named after the window's end, so a repeated
+    run replaces its own rows.
+    """
+    since, started = sync_window(held, now)
+    changed = workouts.withColumn("_changed", F.try_to_timestamp(F.col("updated_at")))
+    changed = since_updated(changed, since, "_changed")
+    if not changed.isEmpty():
+        run_ts = started.strftime("%Y%m%d_%H%M%S")
+        landed = write_jsonl(flatten_workouts(changed), f"{bronze.path}.landed", run_ts)
+        staged = stage(load_jsonl(workouts.sparkSession, landed), f"{bronze.path}.staged/{run_ts}")
+        result = read_audit(audit(staged))
+        gate(result, rows_expected=result.rows_parsed)
+        bronze.append_batch(good_rows(staged).withColumn("_loaded_at", _wall_clock(started)), run_ts)
+    held.set(started)
+    return since, started
+
+
+def _wall_clock(moment: datetime):
+    return F.lit(moment.replace(tzinfo=None)).cast("timestamp_ntz")
