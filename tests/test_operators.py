@@ -40,7 +40,9 @@ def test_duplicates_are_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_range_lookup_against_brute_force(spark):
+@pytest.mark.parametrize("broadcast_rows", [500_000, 10])
+def test_range_lookup_against_brute_force(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(5)
     day = lambda n: date.fromordinal(730_000 + n)
     facts = [(i, rng.randrange(2), day(rng.randrange(900))) for i in range(300)] + [(999, 0, None)]
@@ -80,13 +82,15 @@ def brute_top(queries, items, k, threshold, metric):
     return sorted(out)
 
 
+@pytest.mark.parametrize("block_bytes", [None, 4 * 8 * 8])  # all queries at once, or blocks of about four
 @pytest.mark.parametrize("metric, threshold", [("cosine", 0.1), ("dot", 0.0), ("euclidean", -5.0)])
-def test_top_k_against_brute_force(spark, monkeypatch, metric, threshold):
+def test_top_k_against_brute_force(spark, monkeypatch, metric, threshold, block_bytes):
     rng = np.random.default_rng(1)
     items = [(i, rng.normal(size=8).tolist()) for i in range(200)]
     items += [(1000 + i, items[i][1]) for i in range(40)]  # exact copies: ties by id
     queries = [(i, rng.normal(size=8).tolist()) for i in range(11)]
-    monkeypatch.setattr(similarity, "BLOCK_BYTES", 4 * 8 * 8)  # four queries per block
+    if block_bytes:
+        monkeypatch.setattr(similarity, "BLOCK_BYTES", block_bytes)
     schema = "{} bigint, embedding array<double>"
     out = similarity.top_k(
         spark.createDataFrame(queries, schema.format("query_id")),

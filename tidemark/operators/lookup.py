@@ -1,8 +1,8 @@
 """Dimension, range and date lookups.
 
-No side is force-broadcast: Spark broadcasts a dimension when its measured size
-is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where
-AQE splits a hot key of the fact side.
+No side is force-broadcast: Spark broadcasts a dimension when its size is below
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where AQE
+splits a hot key of the fact side.
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Ranges listed by month up to this many rows may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
 def range_lookup(
     facts: DataFrame,
     ranges: DataFrame,
@@ -26,7 +30,9 @@ def range_lookup(
 
     Each range is listed under the months it touches, which makes the join an
     equi-join on (entity, month) with the exact bounds as residual condition. A
-    range costs one row per month, so its length in days does not matter.
+    range costs one row per month, so its length in days does not matter. Spark
+    estimates the list by the size of the unlisted ranges; a list that is long
+    in fact is therefore counted and kept from being broadcast.
     """
     months = F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("interval 1 month"))
     listed = ranges.filter(F.col(start) <= F.col(end)).select(
@@ -36,6 +42,8 @@ def range_lookup(
         *[F.col(c).alias(f"_r_{c}") for c in take],
         F.explode(months).alias("_r_month"),
     )
+    if listed.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        listed = listed.hint("merge")
     match = (F.trunc(facts[day], "MM") == listed["_r_month"]) & facts[day].between(
         listed["_r_start"], listed["_r_end"]
     )

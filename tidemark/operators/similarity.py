@@ -1,14 +1,14 @@
-"""Top-k retrieval by cosine similarity.
+"""Top-k retrieval by vector similarity, exact.
 
-The corpus is read once per block of queries and never shuffled: each task
-multiplies its vectors with the block and passes on its own best rows only, so
-the shuffle carries (tasks x queries x 2k) rows and no pair table exists.
+Few queries (checked by size) go to every task. Each task multiplies its corpus
+vectors with them and passes on its own best rows only, so the corpus is read
+once and never shuffled, and no table of pairs exists. Many queries are cut into
+blocks and the corpus into chunks that meet one by one on the executors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +16,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A block of queries sent to the tasks holds at most this many bytes of vectors.
+# Queries sent to every task hold at most this many bytes of vectors; so does a block or chunk.
 BLOCK_BYTES = 32 * 1024 * 1024
 # Scores are compared at this many digits, so that equal vectors tie exactly.
 SCORE_DIGITS = 9
 METRICS = ("cosine", "dot", "euclidean")
 
+CANDIDATE = T.StructType(
+    [
+        T.StructField("query_id", T.LongType()),
+        T.StructField("item_id", T.LongType()),
+        T.StructField("raw_score", T.DoubleType()),
+    ]
+)
+
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
@@ -39,44 +47,68 @@ def _scores(block: np.ndarray, dense: np.ndarray, metric: str) -> np.ndarray:
     return 1 - squared / np.sqrt(2.0)
 
 
-def _best_per_query(scores: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
-    """Column positions of the ``keep`` best entries per row: score first, then lower id."""
-    order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)
-    return order[:, :keep]
+class _Best:
+    """The best ``keep`` items per query seen so far; its size does not grow with the corpus."""
+
+    def __init__(self, query_ids: np.ndarray, block: np.ndarray, metric: str, keep: int):
+        self.query_ids, self.block, self.metric, self.keep = query_ids, block, metric, keep
+        self.ids = np.empty((len(query_ids), 0), dtype=np.int64)
+        self.scores = np.empty((len(query_ids), 0))
+
+    def add(self, ids: np.ndarray, dense: np.ndarray) -> None:
+        scores = np.round(_scores(self.block, dense, self.metric), SCORE_DIGITS)
+        all_scores = np.concatenate([self.scores, scores], axis=1)
+        all_ids = np.concatenate([self.ids, np.broadcast_to(ids, scores.shape)], axis=1)
+        pick = np.lexsort((all_ids, -all_scores), axis=1)[:, : self.keep]
+        self.scores = np.take_along_axis(all_scores, pick, axis=1)
+        self.ids = np.take_along_axis(all_ids, pick, axis=1)
+
+    def columns(self) -> list[pa.Array]:
+        return [
+            pa.array(np.repeat(self.query_ids, self.ids.shape[1]), type=pa.int64()),
+            pa.array(self.ids.ravel(), type=pa.int64()),
+            pa.array(self.scores.ravel(), type=pa.float64()),
+        ]
 
 
-def _partial_top(shared, metric: str, keep: int):
+def _dense(ids, vectors) -> tuple[np.ndarray, np.ndarray]:
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return ids.to_numpy(zero_copy_only=False).astype(np.int64), flat.reshape(len(vectors), -1)
+
+
+def _scan_with(shared, metric: str, keep: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, block = shared.value
-        best_ids = np.empty((len(query_ids), 0), dtype=np.int64)
-        best_scores = np.empty((len(query_ids), 0))
+        best = _Best(*shared.value, metric, keep)
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            vectors = batch.column(1)
-            dense = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            dense = dense.reshape(batch.num_rows, -1)
-            scores = np.round(_scores(block, dense, metric), SCORE_DIGITS)
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            all_scores = np.concatenate([best_scores, scores], axis=1)
-            all_ids = np.concatenate([best_ids, np.broadcast_to(ids, scores.shape)], axis=1)
-            pick = _best_per_query(all_scores, all_ids, keep)
-            best_scores = np.take_along_axis(all_scores, pick, axis=1)
-            best_ids = np.take_along_axis(all_ids, pick, axis=1)
-        width = best_ids.shape[1]
-        if width:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([q for q in query_ids for _ in range(width)], type=pa.int64()),
-                    pa.array(best_ids.ravel(), type=pa.int64()),
-                    pa.array(best_scores.ravel(), type=pa.float64()),
-                ],
-                names=["query_id", "item_id", "raw_score"],
-            )
+            if batch.num_rows and len(best.query_ids):
+                best.add(*_dense(batch.column(0), batch.column(1)))
+        yield pa.RecordBatch.from_arrays(best.columns(), names=CANDIDATE.names)
 
     return scan
 
 
+def _meet(metric: str, keep: int):
+    def one(queries: pa.Table, items: pa.Table) -> pa.Table:
+        if not queries.num_rows or not items.num_rows:
+            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], CANDIDATE.names)
+        parts = [t.select(["id", "vector"]).combine_chunks().to_batches()[0] for t in (queries, items)]
+        best = _Best(*_dense(*parts[0].columns), metric, keep)
+        best.add(*_dense(*parts[1].columns))
+        return pa.Table.from_arrays(best.columns(), CANDIDATE.names)
+
+    return one
+
+
+def _blocks_meet_chunks(asked: DataFrame, source: DataFrame, blocks: int, chunks: int, metric: str, keep: int) -> DataFrame:
+    """Every block of queries with every chunk of items, each pair of them in a task of bounded size."""
+    number = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    queries = asked.withColumn("block", number(blocks)).withColumn("chunk", every(chunks))
+    items = source.withColumn("chunk", number(chunks)).withColumn("block", every(blocks))
+    together = queries.groupBy("block", "chunk").cogroup(items.groupBy("block", "chunk"))
+    return together.applyInArrow(_meet(metric, keep), CANDIDATE)
+
+
 def top_k(
     queries: DataFrame,
     corpus: DataFrame,
@@ -89,48 +121,30 @@ def top_k(
 ) -> DataFrame:
     """Best ``k`` corpus items per query: fetch 2k, keep scores above ``threshold``, cut to k.
 
-    Exact. Returns (query_id, rank, item_id, score), the score with 3 digits.
-    Queries are handled in blocks of a checked size; more queries mean more
-    scans, never a larger block. ``metric`` is one of ``METRICS``.
+    Returns (query_id, rank, item_id, score), the score with 3 digits; equal
+    scores rank by id. Ids are unique on either side. ``metric`` is one of
+    ``METRICS``.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}")
-    source = corpus.filter(F.col(vector).isNotNull()).select(
-        F.col(item_id).cast("bigint").alias("item_id"), F.col(vector).cast("array<double>").alias("vector")
-    )
-    asked = queries.filter(F.col(vector).isNotNull()).select(
-        F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).cast("array<double>").alias("vector")
-    )
-    schema = T.StructType(
-        [
-            T.StructField("query_id", T.LongType()),
-            T.StructField("item_id", T.LongType()),
-            T.StructField("raw_score", T.DoubleType()),
-        ]
-    )
-    context = corpus.sparkSession.sparkContext
-    partial = []
-    for ids, block in _query_blocks(asked):
-        partial.append(source.mapInArrow(_partial_top(context.broadcast((ids, block)), metric, 2 * k), schema))
-    if not partial:
-        candidates = asked.sparkSession.createDataFrame([], schema)
+    asked, source = _vectors(queries, query_id, vector), _vectors(corpus, item_id, vector)
+    n_queries, width = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    row_bytes = 8 * max(width, 1)
+    if n_queries * row_bytes <= BLOCK_BYTES:
+        rows = asked.collect()
+        block = np.array([r["vector"] for r in rows], dtype=np.float64).reshape(len(rows), width)
+        shared = corpus.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in rows], dtype=np.int64), block))
+        candidates = source.mapInArrow(_scan_with(shared, metric, 2 * k), CANDIDATE)
     else:
-        candidates = reduce(DataFrame.unionByName, partial)
+        blocks, chunks = (-(-n * row_bytes // BLOCK_BYTES) for n in (n_queries, max(source.count(), 1)))
+        candidates = _blocks_meet_chunks(asked, source, int(blocks), int(chunks), metric, 2 * k)
     return rank_candidates(candidates, k, threshold)
 
 
-def _query_blocks(asked: DataFrame):
-    """Queries as (ids, matrix) blocks below ``BLOCK_BYTES``, streamed in partitions."""
-    ids: list[int] = []
-    rows: list[list[float]] = []
-    for row in asked.orderBy("query_id").toLocalIterator():
-        if rows and (len(rows) + 1) * len(row["vector"]) * 8 > BLOCK_BYTES:
-            yield ids, np.array(rows, dtype=np.float64)
-            ids, rows = [], []
-        ids.append(row["query_id"])
-        rows.append(row["vector"])
-    if rows:
-        yield ids, np.array(rows, dtype=np.float64)
+def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    return df.filter(F.col(vector).isNotNull()).select(
+        F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("vector")
+    )
 
 
 def rank_candidates(candidates: DataFrame, k: int, threshold: float) -> DataFrame:

@@ -17,6 +17,7 @@ from tidemark.operators.calendar import (
     trailing_sum,
 )
 from tidemark.operators.lookup import day_lookup
+from tidemark.operators.rollup import totals_and_distinct
 
 # The two windows, in days.
 ACUTE_DAYS = 7
@@ -31,30 +32,24 @@ def daily_rollup(sets: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
     ``gym`` and ``gym_detail`` are those of the largest single set of the day
     that has a venue; equal sets resolve to the later name.
     """
-    keys = [*entity, "workout_date"]
-    parts = (
-        sets.filter(F.col("workout_date").isNotNull())
-        .groupBy(*keys, "workout_id", "exercise_title", "primary_muscle", "gym", "gym_detail")
-        .agg(
-            F.sum("tonnage").alias("tonnage"),
-            F.max("tonnage").alias("largest"),
-            F.count(F.lit(1)).alias("n"),
-            F.count_if("is_failure_set").alias("failure"),
-            F.max("session_duration_min").alias("minutes"),
-        )
-    )
-    venue = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("largest", c)))[c].alias(c)
-    return parts.groupBy(*keys).agg(
-        F.sum("tonnage").cast("decimal(20,2)").alias("daily_tonnage"),
-        F.sum("n").alias("daily_sets"),
-        F.count_distinct("exercise_title").alias("daily_exercises"),
-        F.count_distinct("primary_muscle").alias("muscles_trained"),
-        F.count_distinct("workout_id").alias("sessions"),
-        F.sum("failure").alias("failure_sets"),
-        F.count_distinct("gym_detail").alias("gyms_trained"),
-        F.max("minutes").alias("session_duration_min"),
-        venue("gym_detail"),
-        venue("gym"),
+    venue = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("tonnage", c)))[c].alias(c)
+    return totals_and_distinct(
+        sets.filter(F.col("workout_date").isNotNull()),
+        [*entity, "workout_date"],
+        [
+            F.sum("tonnage").cast("decimal(20,2)").alias("daily_tonnage"),
+            F.count(F.lit(1)).alias("daily_sets"),
+            F.count_if("is_failure_set").alias("failure_sets"),
+            F.max("session_duration_min").alias("session_duration_min"),
+            venue("gym_detail"),
+            venue("gym"),
+        ],
+        {
+            "daily_exercises": "exercise_title",
+            "muscles_trained": "primary_muscle",
+            "sessions": "workout_id",
+            "gyms_trained": "gym_detail",
+        },
     )
 
 

@@ -9,61 +9,64 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.arith import rounded_ratio
 from tidemark.operators.ordering import matching
+from tidemark.operators.rollup import totals_and_distinct
 from tidemark.sources.tables import replace_groups, since_loaded
 
 
 def session_summary(sets: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
     """Totals, distinct counts and work rate per session.
 
-    Sets are first combined per (session, exercise, muscle, venue) with numeric
-    buffers only, which hash-aggregates before the shuffle; text maxima and
-    distinct counts then run on the few rows left per session.
+    Title and venue are constant within a session; the maximum picks one.
     """
     keys = [*entity, "workout_id"]
-    parts = (
-        sets.filter(F.col("workout_date").isNotNull())
-        .groupBy(*keys, "exercise_title", "primary_muscle", "workout_title", "gym", "gym_detail")
-        .agg(
+    rolled = totals_and_distinct(
+        sets.filter(F.col("workout_date").isNotNull()),
+        keys,
+        [
+            F.max("workout_title").alias("workout_title"),
             F.min("workout_date").alias("workout_date"),
             F.min("week_start").alias("week_start"),
             F.max("year").alias("year"),
             F.max("month").alias("month"),
             F.min("start_time").alias("start_time"),
             F.max("end_time").alias("end_time"),
-            F.max("session_duration_min").alias("minutes"),
-            F.count(F.lit(1)).alias("n"),
-            F.sum("tonnage").alias("tonnage"),
-            F.sum("reps").alias("reps"),
-            F.count_if("is_failure_set").alias("failure"),
-            F.count_if("is_dropset").alias("dropset"),
-            F.count_if("is_superset").alias("superset"),
-            F.max("_loaded_at").alias("loaded"),
-        )
-    )
-    rolled = parts.groupBy(*keys).agg(
-        F.max("workout_title").alias("workout_title"),
-        F.min("workout_date").alias("workout_date"),
-        F.min("week_start").alias("week_start"),
-        F.max("year").alias("year"),
-        F.max("month").alias("month"),
-        F.min("start_time").alias("start_time"),
-        F.max("end_time").alias("end_time"),
-        F.max("minutes").alias("session_duration_min"),
-        F.sum("n").alias("total_sets"),
-        F.count_distinct("exercise_title").alias("total_exercises"),
-        F.count_distinct("primary_muscle").alias("muscles_trained"),
-        F.sum("tonnage").cast("decimal(20,2)").alias("total_tonnage"),
-        F.sum("reps").alias("total_reps"),
-        F.sum("failure").alias("failure_sets"),
-        F.sum("dropset").alias("dropset_sets"),
-        F.sum("superset").alias("superset_sets"),
-        F.max("gym").alias("gym"),
-        F.max("gym_detail").alias("gym_detail"),
-        F.max("loaded").alias("_loaded_at"),
+            F.max("session_duration_min").alias("session_duration_min"),
+            F.count(F.lit(1)).alias("total_sets"),
+            F.sum("tonnage").cast("decimal(20,2)").alias("total_tonnage"),
+            F.sum("reps").alias("total_reps"),
+            F.count_if("is_failure_set").alias("failure_sets"),
+            F.count_if("is_dropset").alias("dropset_sets"),
+            F.count_if("is_superset").alias("superset_sets"),
+            F.max("gym").alias("gym"),
+            F.max("gym_detail").alias("gym_detail"),
+            F.max("_loaded_at").alias("_loaded_at"),
+        ],
+        {"total_exercises": "exercise_title", "muscles_trained": "primary_muscle"},
     )
     per_minute = rounded_ratio(F.col("total_tonnage"), F.col("session_duration_min"), 1)
-    head = rolled.columns[: rolled.columns.index("gym")]
-    return rolled.select(*head, per_minute.alias("tonnage_per_min"), "gym", "gym_detail", "_loaded_at")
+    return rolled.select(
+        *keys,
+        "workout_title",
+        "workout_date",
+        "week_start",
+        "year",
+        "month",
+        "start_time",
+        "end_time",
+        "session_duration_min",
+        "total_sets",
+        "total_exercises",
+        "muscles_trained",
+        "total_tonnage",
+        "total_reps",
+        "failure_sets",
+        "dropset_sets",
+        "superset_sets",
+        per_minute.alias("tonnage_per_min"),
+        "gym",
+        "gym_detail",
+        "_loaded_at",
+    )
 
 
 def refresh_sessions(target: DataFrame, sets: DataFrame, entity: Sequence[str] = ()) -> DataFrame:

@@ -94,12 +94,13 @@ def clean_sets(
         newest = raw.groupBy(*entity, "workout_id").agg(F.max("_loaded_at").alias("_loaded_at"))
         working = working.join(newest, [*entity, "workout_id", "_loaded_at"], "left_semi")
 
-    natural = [*entity, "workout_id", "exercise_title", "set_index"]
+    # The widest-ranging key leads, so that sorting rarely has to look past it.
+    natural = ["workout_id", "exercise_title", "set_index", *entity]
     oversized = oversized_groups(working, natural, one_task_rows)
     if oversized.isEmpty():
         # One shuffle serves both steps: copies of a set share its natural key.
         oversized, working = None, working.repartition(*natural)
-    single = collapse_duplicates(working, [*entity, *SAME_SET], newest="_loaded_at")
+    single = collapse_duplicates(working, [*SAME_SET, *entity], newest="_loaded_at")
     keyed = number_within(
         single,
         natural,
