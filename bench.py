@@ -1,7 +1,9 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose
-data and cores. Every query runs to completion into Spark's no-op sink.
+data and cores. Every query runs to completion into Spark's no-op sink, twice:
+``queries`` holds the faster run, ``first_run`` the first, which also pays for
+code generation. The table builds run once.
 """
 
 from __future__ import annotations
@@ -52,15 +54,20 @@ def main() -> None:
     for layer, name in TABLES:
         wh.table(layer, name)
     timings["build_silver_gold"] = round(time.perf_counter() - started, 3)
+    first_run: dict[str, float] = {}
     for name in only:
-        started = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - started, 3)
+        runs = []
+        for _ in range(2):
+            started = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(round(time.perf_counter() - started, 3))
+        first_run[name], timings[name] = runs[0], min(runs)
     line = {
         "metric": "total_seconds",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
+        "first_run": first_run,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": cpus,
     }

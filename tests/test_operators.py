@@ -91,6 +91,7 @@ def test_top_k_against_brute_force(spark, monkeypatch, metric, threshold, block_
     queries = [(i, rng.normal(size=8).tolist()) for i in range(11)]
     if block_bytes:
         monkeypatch.setattr(similarity, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(similarity, "STEP_SCORES", 100)
     schema = "{} bigint, embedding array<double>"
     out = similarity.top_k(
         spark.createDataFrame(queries, schema.format("query_id")),

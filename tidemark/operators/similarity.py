@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 BLOCK_BYTES = 32 * 1024 * 1024
 # Scores are compared at this many digits, so that equal vectors tie exactly.
 SCORE_DIGITS = 9
+# Scores held at a time: queries times the items of one step.
+STEP_SCORES = 4_000_000
 METRICS = ("cosine", "dot", "euclidean")
 
 CANDIDATE = T.StructType(
@@ -56,6 +58,11 @@ class _Best:
         self.scores = np.empty((len(query_ids), 0))
 
     def add(self, ids: np.ndarray, dense: np.ndarray) -> None:
+        step = max(1, STEP_SCORES // len(self.query_ids))
+        for at in range(0, len(ids), step):
+            self._add_step(ids[at : at + step], dense[at : at + step])
+
+    def _add_step(self, ids: np.ndarray, dense: np.ndarray) -> None:
         scores = np.round(_scores(self.block, dense, self.metric), SCORE_DIGITS)
         all_scores = np.concatenate([self.scores, scores], axis=1)
         all_ids = np.concatenate([self.ids, np.broadcast_to(ids, scores.shape)], axis=1)
