@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 from datetime import datetime, timezone
@@ -145,6 +146,34 @@ def test_partition_swap_moves_rows_and_drops_empty_folders(spark, folder):
     assert not os.path.exists(f"{folder}/t/v=0/m=1") and os.path.getmtime(f"{folder}/t/v=0/m=3") == before
 
 
+def test_interrupted_swap_is_finished(spark, folder):
+    table = tables.Table(spark, f"{folder}/t")
+    schema = "s string, v int, m int"
+    table.replace(spark.createDataFrame([("a", 1, 1), ("b", 3, 2)], schema), ["m"])
+    # staged completely, then the run died: a moved from partition 1 to 2
+    spark.createDataFrame([(1,), (2,)], "m int").write.parquet(f"{folder}/t/v=0.staged/touched")
+    spark.createDataFrame([("a", 9, 2), ("b", 3, 2)], schema).write.parquet(f"{folder}/t/v=0.staged/rows")
+    for _ in range(2):
+        table.recover("m")
+        got = sorted(tuple(r) for r in table.read().select("s", "v", "m").collect())
+        assert got == [("a", 9, 2), ("b", 3, 2)] and not os.path.exists(f"{folder}/t/v=0.staged")
+
+
+def test_old_versions_are_forgotten(spark, folder):
+    table = tables.Table(spark, f"{folder}/t")
+    for n in range(4):
+        table.replace(spark.range(n))
+    table.forget(keep=2)
+    assert table.versions() == [2, 3] and table.read().count() == 3
+
+
+def test_export_becomes_raw_sets(spark, folder):
+    path = write(folder, "in/a.csv", HEADER + '\nPush,t0,t1,"two\nlines",Bench,,,8.5,normal,100,5,,,\n')
+    rows = files.as_raw_sets(files.good_rows(files.load_csv(spark, path)), datetime(2026, 1, 1)).collect()
+    assert len(rows) == 1 and rows[0].description == "two\nlines" and rows[0].set_index == 9
+    assert rows[0].workout_id == hashlib.md5(b"Pusht0").hexdigest() and rows[0]._loaded_at == datetime(2026, 1, 1)
+
+
 def test_swap_removes_a_group_without_new_rows(spark, folder):
     table = tables.Table(spark, f"{folder}/t")
     schema = "s string, v int, m int"

@@ -24,9 +24,13 @@ def text_to_date(text: Column) -> Column:
 
 
 def text_to_wall_clock(text: Column) -> Column:
-    """Timestamp from either text form; an offset is dropped, the wall clock kept."""
+    """Timestamp from either text form; an offset is dropped, the wall clock kept.
+
+    Only the long form starts with a letter. Each text is parsed in one way, as a
+    failed parse costs far more than a good one.
+    """
     long_form = F.try_to_timestamp(text, F.lit(LONG_TIME_FORMAT)).cast("timestamp_ntz")
-    return F.coalesce(long_form, text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike("^\\s*[A-Za-z]"), long_form).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def monday_of(day: Column) -> Column:

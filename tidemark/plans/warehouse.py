@@ -76,6 +76,7 @@ class Warehouse:
         held = self.catalog.table("silver", "sets")
         if not held.exists():
             return self.rebuild()
+        held.recover(MONTH)
         # The mark is taken before the swap moves it.
         old_sessions = self.silver("sessions")
         touched, rebuilt = sets.rebuilt_sessions(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.casts import text_to_whole
 from tidemark.sources import schemas
 
 # The texts that mean NULL in an export.
@@ -26,10 +28,13 @@ def load_csv(
     null_texts: Sequence[str] = tuple(NULL_TEXTS),
     source: str = "csv",
     integers: Sequence[str] = ("set_index",),
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Header-first, quoted CSV by position. Broken lines stay visible in ``_corrupt_record``.
 
     ``integers`` are cast after loading, so a bad number is a NULL in a good row.
+    Quoted texts may hold line breaks, which makes each file one task; pass
+    ``line_breaks=False`` for very large files known to have none.
     """
     raw = (
         spark.read.schema(with_bad_row(schema))
@@ -39,7 +44,7 @@ def load_csv(
         .option("columnNameOfCorruptRecord", BAD_ROW)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", line_breaks)
         .csv(path)
     )
     columns = []
@@ -48,11 +53,24 @@ def load_csv(
         if isinstance(f.dataType, T.StringType):
             value = F.when(~value.isin(*null_texts), value)
         if f.name in integers:
-            value = value.try_cast("int")
+            value = text_to_whole(value)
         columns.append(value.alias(f.name))
     return raw.select(*columns, F.lit(source).alias("_source"), BAD_ROW)
 
 
+def as_raw_sets(exported: DataFrame, loaded_at: datetime) -> DataFrame:
+    """Export rows in the shape of the raw set table.
+
+    An export has no session id: a digest of title and start time stands in.
+    """
+    key = F.md5(F.concat(F.coalesce("title", F.lit("")), F.coalesce("start_time", F.lit(""))))
+    return exported.withColumn("workout_id", key).withColumn("_loaded_at", wall_clock(loaded_at))
+
+
+def wall_clock(moment: datetime) -> Column:
+    return F.lit(moment.replace(tzinfo=None)).cast("timestamp_ntz")
+
+
 def load_jsonl(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_SET) -> DataFrame:
     """One JSON object per line; a broken line is kept in ``_corrupt_record``."""
     return (

@@ -44,6 +44,7 @@ class SyncState:
         self.ensure()
         row = self.spark.createDataFrame([(key, moment.isoformat())], STATE_SCHEMA)
         self.table.upsert(row.coalesce(1), ["key"])
+        self.table.forget(keep=10)
 
 
 def sync_window(state: SyncState, now: datetime | None = None) -> tuple[datetime, datetime]:

@@ -61,21 +61,16 @@ class Table:
     spark: SparkSession
     path: str
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), root
-
     def versions(self) -> list[int]:
         """Complete versions, oldest first."""
-        fs, root = self._fs()
+        fs, root = _file_system(self.spark, self.path)
         if not fs.exists(root):
             return []
         path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         found = []
         for status in fs.listStatus(root):
             name = status.getPath().getName()
-            if name.startswith("v=") and fs.exists(path_of(status.getPath(), "_SUCCESS")):
+            if name[:2] == "v=" and name[2:].isdigit() and fs.exists(path_of(status.getPath(), "_SUCCESS")):
                 found.append(int(name[2:]))
         return sorted(found)
 
@@ -109,8 +104,17 @@ class Table:
     ) -> DataFrame:
         """Replace whole key groups, rewriting only the partitions they lie in."""
         current = f"{self.path}/v={self.versions()[-1]}"
-        staging = f"{self.path}.staged"
-        return upsert_partitions(self.spark, current, rebuilt, keys, partition, staging, groups)
+        return upsert_partitions(self.spark, current, rebuilt, keys, partition, f"{current}.staged", groups)
+
+    def recover(self, partition: str) -> None:
+        """Finish a swap that an earlier run could not."""
+        current = f"{self.path}/v={self.versions()[-1]}"
+        finish_swap(self.spark, current, partition, f"{current}.staged")
+
+    def forget(self, keep: int) -> None:
+        """Remove all but the newest ``keep`` complete versions."""
+        for version in self.versions()[:-keep]:
+            remove_folder(self.spark, f"{self.path}/v={version}")
 
     def append_batch(self, df: DataFrame, batch_id: int | str) -> None:
         """Add one batch to an append-only table; repeating a batch replaces it."""
@@ -157,32 +161,56 @@ def upsert_partitions(
 
     Every target row whose key is in ``groups`` (by default: in the batch) gives
     way to the batch's rows. Touched are the partitions of the batch and those
-    that lose a row. The merged rows are first written to ``staging``, then
-    swapped in with dynamic partition overwrite; repeating the call gives the
-    same table. The partition column must not be NULL.
+    that lose a row. The new partitions are completed in ``staging`` and then put
+    in place; an interrupted run is finished by the next ``finish_swap``. The
+    partition column must not be NULL.
     """
+    finish_swap(spark, path, partition, staging)
     target = spark.read.parquet(path)
     incoming = (groups if groups is not None else batch).select(*keys).distinct()
-    replaced = matching(target.select(*keys, partition), incoming, keys, "left_semi")
-    touched = replaced.select(partition).unionByName(batch.select(partition)).distinct()
-    values = [r[0] for r in touched.collect()]  # one value per partition folder
+    losing = matching(target.select(*keys, partition), incoming, keys, "left_semi").select(partition)
+    touched = losing.unionByName(batch.select(partition)).distinct()
+    touched.write.mode("overwrite").parquet(f"{staging}/touched")
+    values = _values(spark.read.parquet(f"{staging}/touched"), partition)
     affected = target.filter(F.col(partition).isin(values))
     merged = replace_groups(affected, batch.select(*target.columns), incoming, keys)
-    merged.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(merged.schema).parquet(staging)
-    left = {r[0] for r in staged.select(partition).distinct().collect()}
+    merged.write.mode("overwrite").parquet(f"{staging}/rows")
+    finish_swap(spark, path, partition, staging)
+    return spark.read.parquet(path)
+
+
+def finish_swap(spark: SparkSession, path: str, partition: str, staging: str) -> None:
+    """Put completely staged partitions in place, drop those left empty, remove the staging folder.
+
+    Repeating it after an interruption gives the same table.
+    """
+    fs, rows = _file_system(spark, f"{staging}/rows/_SUCCESS")
+    if not fs.exists(rows):
+        return
+    staged = spark.read.parquet(f"{staging}/rows")
+    touched = _values(spark.read.parquet(f"{staging}/touched"), partition)
     writer = by_folder(staged, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition).parquet(path)
-    _drop_partitions(spark, path, partition, [v for v in values if v not in left])
-    return spark.read.parquet(path)
+    held = set(_values(staged, partition))
+    for value in touched:
+        if value not in held:
+            remove_folder(spark, f"{path}/{partition}={value}")
+    remove_folder(spark, staging)
+
+
+def _values(df: DataFrame, partition: str) -> list:
+    """The distinct partition values, one per folder of the table."""
+    return [r[0] for r in df.select(partition).distinct().collect()]
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def _drop_partitions(spark: SparkSession, path: str, partition: str, values: Sequence) -> None:
-    """Remove folders whose last row moved to another partition."""
-    jvm = spark.sparkContext._jvm
-    for value in values:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
 
 
 # ---- change windows ----------------------------------------------------------------------------

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tidemark.sources import schemas
 from tidemark.sources.audit import audit, gate, read_audit
 from tidemark.sources.documents import flatten_workouts, split_events
-from tidemark.sources.files import BAD_ROW, good_rows, load_jsonl, stage, with_bad_row, write_jsonl
+from tidemark.sources.files import BAD_ROW, good_rows, load_jsonl, stage, wall_clock, with_bad_row, write_jsonl
 from tidemark.sources.state import SyncState, sync_window
-from tidemark.sources.tables import Table, since_updated
+from tidemark.sources.tables import Table, remove_folder, since_updated
 
 
 def event_stream(spark: SparkSession, landing: str) -> DataFrame:
@@ -37,16 +37,18 @@ def load_batch(bronze: Table, loaded_at: datetime):
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        staged = stage(batch, f"{bronze.path}.staged/batch={batch_id}")
+        at = f"{bronze.path}.staged/batch={batch_id}"
+        staged = stage(batch, at)
         result = read_audit(audit(staged))
         if result.rows_parsed == 0:
             return
         changed, _ = split_events(good_rows(staged))
-        rows = flatten_workouts(changed).withColumn("_loaded_at", _wall_clock(loaded_at))
+        rows = flatten_workouts(changed).withColumn("_loaded_at", wall_clock(loaded_at))
         has_changes = not changed.isEmpty()
         gate(result, rows_expected=0 if has_changes and rows.isEmpty() else None)
         if has_changes:
             bronze.append_batch(rows, batch_id)
+        remove_folder(batch.sparkSession, at)  # a refused batch keeps its staged rows for inspection
 
     return step
 
@@ -110,13 +112,11 @@ def run_window_sync(
     if not changed.isEmpty():
         run_ts = started.strftime("%Y%m%d_%H%M%S")
         landed = write_jsonl(flatten_workouts(changed), f"{bronze.path}.landed", run_ts)
-        staged = stage(load_jsonl(workouts.sparkSession, landed), f"{bronze.path}.staged/{run_ts}")
+        at = f"{bronze.path}.staged/{run_ts}"
+        staged = stage(load_jsonl(workouts.sparkSession, landed), at)
         result = read_audit(audit(staged))
         gate(result, rows_expected=result.rows_parsed)
-        bronze.append_batch(good_rows(staged).withColumn("_loaded_at", _wall_clock(started)), run_ts)
+        bronze.append_batch(good_rows(staged).withColumn("_loaded_at", wall_clock(started)), run_ts)
+        remove_folder(workouts.sparkSession, at)
     held.set(started)
     return since, started
-
-
-def _wall_clock(moment: datetime):
-    return F.lit(moment.replace(tzinfo=None)).cast("timestamp_ntz")
