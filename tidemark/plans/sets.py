@@ -97,10 +97,11 @@ def clean_sets(
     # The widest-ranging key leads, so that sorting rarely has to look past it.
     natural = ["workout_id", "exercise_title", "set_index", *entity]
     oversized = oversized_groups(working, natural, one_task_rows)
+    read = _read_texts(working, entity, explicit_first, joined_tag_text)
     if oversized.isEmpty():
         # One shuffle serves both steps: copies of a set share its natural key.
-        oversized, working = None, working.repartition(*natural)
-    single = collapse_duplicates(working, [*SAME_SET, *entity], newest="_loaded_at")
+        oversized, read = None, read.repartition(*natural)
+    single = collapse_duplicates(read, [*SAME_SET, *entity], newest="_loaded_at")
     keyed = number_within(
         single,
         natural,
@@ -108,23 +109,15 @@ def clean_sets(
         "set_occurrence",
         oversized,
     )
-
-    start, end = text_to_wall_clock(F.col("start_time")), text_to_wall_clock(F.col("end_time"))
-    typed = keyed.withColumns({"start_ts": start, "end_ts": end}).withColumns(
+    tagged = keyed.withColumns(
         {
             "workout_date": F.to_date("start_ts"),
             "_kind": F.lower("set_type"),
             "_superset": F.coalesce("superset_id", F.lit("")),
             "_load": text_to_decimal(F.col("weight_kg"), 6, 2),
             "_reps": F.coalesce(text_to_whole(F.col("reps")), F.lit(0)),
-            "_text": F.lower(F.concat_ws(" ", F.coalesce("description", F.lit("")), F.coalesce("exercise_notes", F.lit("")))),
         }
     )
-    if joined_tag_text:
-        explicit = explicit_tag(F.col("_text"))
-    else:
-        explicit = F.coalesce(explicit_tag(F.col("description")), explicit_tag(F.col("exercise_notes")))
-    tagged = typed.withColumn("_venue", venue_from_text(F.col("_text"), explicit, explicit_first))
 
     located = range_lookup(tagged, locations, "workout_date", ["gym", "gym_detail"], entity)
     mapped = caseless_lookup(
@@ -190,6 +183,29 @@ def rebuilt_sessions(
     return touched, clean_sets(again, locations, templates, entity, **options)
 
 
+def _read_texts(raw: DataFrame, entity: Sequence[str], explicit_first: bool, joined_tag_text: bool) -> DataFrame:
+    """Times and venue read from the texts, before any shuffle; long texts not needed later stay behind."""
+    description, notes = (F.coalesce(c, F.lit("")) for c in ("description", "exercise_notes"))
+    tag_text = F.lower(F.concat_ws(" ", description, notes))
+    if joined_tag_text:
+        explicit = explicit_tag(tag_text)
+    else:
+        explicit = F.coalesce(explicit_tag(F.col("description")), explicit_tag(F.col("exercise_notes")))
+    return raw.select(
+        *entity,
+        *SAME_SET,
+        "title",
+        text_to_wall_clock(F.col("start_time")).alias("start_ts"),
+        text_to_wall_clock(F.col("end_time")).alias("end_ts"),
+        "superset_id",
+        "exercise_notes",
+        "rpe",
+        "_source",
+        "_loaded_at",
+        venue_from_text(tag_text, explicit, explicit_first).alias("_venue"),
+    )
+
+
 def refresh_sets(
     target: DataFrame, raw: DataFrame, locations: DataFrame, templates: DataFrame, entity: Sequence[str] = (), **options
 ) -> DataFrame:
