@@ -217,19 +217,19 @@ def test_stream_loads_once_and_keeps_state_on_a_bad_batch(spark, folder):
     )
     land(folder, "a", {"type": "updated", "workout": WORKOUT}, {"type": "deleted", "workout": {"id": "x"}})
     go(1)
-    assert bronze.read_batches().count() == 2
+    assert bronze.read().count() == 2
     go(2)  # nothing new: rows stay, state moves
-    assert bronze.read_batches().count() == 2 and held.get().hour == 2
+    assert bronze.read().count() == 2 and held.get().hour == 2
 
     land(folder, "b", {"type": "updated", "workout": {**WORKOUT, "id": "w2"}}, broken=True)
     with pytest.raises(Exception, match="state kept"):
         go(3)
-    assert held.get().hour == 2 and bronze.read_batches().count() == 2
+    assert held.get().hour == 2 and bronze.read().count() == 2
     # The file is repaired; the same batch is read again and lands once.
     os.remove(f"{folder}/landing/b.json")
     land(folder, "b", {"type": "updated", "workout": {**WORKOUT, "id": "w2"}})
     go(4)
-    assert bronze.read_batches().count() == 4 and held.get().hour == 4
+    assert bronze.read().count() == 4 and held.get().hour == 4
 
 
 def test_stream_refuses_workouts_without_sets(spark, folder):
@@ -247,10 +247,10 @@ def test_window_sync(spark, folder):
     now = datetime(2026, 1, 5, tzinfo=timezone.utc)
     old = {**WORKOUT, "id": "old", "updated_at": "2025-12-01T00:00:00Z"}
     ingest.run_window_sync(docs(spark, WORKOUT, old), bronze, held, now)
-    assert {r.workout_id for r in bronze.read_batches().collect()} == {"w1"} and held.get() == now
+    assert {r.workout_id for r in bronze.read().collect()} == {"w1"} and held.get() == now
     later = now.replace(day=6)
     ingest.run_window_sync(docs(spark, WORKOUT, old), bronze, held, later)  # nothing changed since
-    assert held.get() == later and bronze.read_batches().count() == 2
+    assert held.get() == later and bronze.read().count() == 2
     newer = {**WORKOUT, "exercises": [], "updated_at": "2026-01-07T00:00:00Z"}
     with pytest.raises(SyncError):
         ingest.run_window_sync(docs(spark, newer), bronze, held, now.replace(day=8))

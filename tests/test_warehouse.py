@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from datetime import datetime
 
@@ -10,8 +11,12 @@ from pyspark.sql import functions as F
 
 from tidemark.bindings import training_log as log
 from tidemark.plans.warehouse import TABLES, Warehouse, check_report
-from tidemark.sources.files import default_landmarks
+from tidemark.sources.documents import template_rows
+from tidemark.sources.files import as_raw_sets, default_landmarks
+from tidemark.sources.schemas import TEMPLATE_DOC
+from tidemark.sources.state import SyncState
 from tidemark.sources.tables import Catalog
+from tidemark.streaming.ingest import run_sync
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="fixture tables not present")
@@ -27,6 +32,42 @@ def build(spark, folder, raw):
     return Warehouse(catalog, default_landmarks(spark), ("athlete",))
 
 
+def test_landed_files_to_gold(spark, folder):
+    """An export and landed change events end up in one log."""
+    catalog = Catalog(spark, folder)
+    bronze = catalog.table("bronze", "raw_workouts")
+    export = spark.createDataFrame(
+        [("Push", f"2026-01-0{d}T07:00:00", f"2026-01-0{d}T08:00:00", None, "Bench", None, None, 0, "normal", "100", "5",
+          None, None, None, "csv") for d in (1, 3)],
+        "title string, start_time string, end_time string, description string, exercise_title string, superset_id string,"
+        " exercise_notes string, set_index int, set_type string, weight_kg string, reps string, distance_km string,"
+        " duration_seconds string, rpe string, _source string",
+    )
+    bronze.replace(as_raw_sets(export, datetime(2026, 1, 4)))
+    for name, schema in (
+        ("raw_measurements", "measurement_date string, weight_kg string, body_fat_pct string, _loaded_at timestamp_ntz"),
+        ("gym_locations", "start_date date, end_date date, gym string, gym_detail string"),
+    ):
+        catalog.materialise("bronze", name, spark.createDataFrame([], schema))
+    docs = spark.createDataFrame([("1", "bench", "barbell", "chest", ["triceps"], None)], TEMPLATE_DOC)
+    catalog.materialise("bronze", "dim_exercise_templates", template_rows(docs))
+    wh = Warehouse(catalog, default_landmarks(spark))
+    wh.rebuild()
+    assert wh.gold("training_day").count() == 3
+
+    workout = {"id": "w9", "title": "Push", "start_time": "2026-01-06T07:00:00Z", "end_time": "2026-01-06T08:00:00Z",
+               "exercises": [{"title": "Bench", "sets": [{"index": 0, "type": "normal", "weight_kg": 110.0, "reps": 5}]}]}
+    os.makedirs(f"{folder}/landing")
+    with open(f"{folder}/landing/a.json", "w") as f:
+        f.write(json.dumps({"type": "updated", "workout": workout}) + "\n")
+    run_sync(spark, f"{folder}/landing", bronze, SyncState(spark, f"{folder}/state"), f"{folder}/checkpoint")
+    wh.refresh()
+    days = {r.workout_date.day: r for r in wh.gold("training_day").collect()}
+    assert sorted(days) == [1, 2, 3, 4, 5, 6] and days[6].daily_tonnage == 550 and days[5].days_since_last_session == 2
+    assert wh.silver("sessions").count() == 3
+    assert wh.gold("muscle_week").filter("muscle = 'triceps'").agg(F.sum("indirect_sets")).first()[0] == 3
+
+
 def rows(df):
     return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
 

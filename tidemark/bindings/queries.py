@@ -988,7 +988,7 @@ def stream_ingest(spark, d):
         ingest.run_sync(
             spark, landing, bronze, held, f"{base}/checkpoint", datetime(2026, 1, 1, hour, tzinfo=timezone.utc)
         )
-    return flat_view(bronze.read_batches())
+    return flat_view(bronze.read())
 
 
 @register(
@@ -1006,7 +1006,7 @@ def window_sync(spark, d):
     for now in moments:
         changed_by_then = docs.filter(F.try_to_timestamp("updated_at") <= F.lit(now))
         ingest.run_window_sync(changed_by_then, bronze, held, now)
-    return flat_view(bronze.read_batches())
+    return flat_view(bronze.read())
 
 
 @register(

@@ -34,7 +34,3 @@ def rounded_ratio(num: Column, den: Column, digits: int) -> Column:
 def percent_change(now: Column, before: Column, digits: int = 1) -> Column:
     """Change from ``before`` to ``now`` in percent; NULL when there is no base."""
     return rounded_ratio((exact(now) - exact(before)) * F.lit(100), before, digits)
-
-
-def zero_if_null(*names: str) -> dict[str, Column]:
-    return {n: F.coalesce(F.col(n), F.lit(0)) for n in names}

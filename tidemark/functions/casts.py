@@ -43,10 +43,6 @@ def minutes_crossed(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MINUTE", floor[0], floor[1])
 
 
-def days_between(earlier: Column, later: Column) -> Column:
-    return F.datediff(later, earlier)
-
-
 def weeks_between(earlier: Column, later: Column) -> Column:
     """Whole weeks between two Mondays."""
     return (F.datediff(later, earlier) / F.lit(7)).cast("int")

@@ -78,7 +78,7 @@ def latest_hit(condition: Column, value: Column, window) -> Column:
     return F.max(F.when(condition, value)).over(w)
 
 
-def calendar_frame(entity: Sequence[str], day: str, first: int, last: int, ties: Sequence[str] = ()):
+def calendar_frame(entity: Sequence[str], day: str, first: int, last: int):
     """Window over the rows dated ``first`` to ``last`` days from the current one."""
     return Window.partitionBy(*entity).orderBy(F.unix_date(F.col(day))).rangeBetween(first, last)
 

@@ -28,6 +28,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
@@ -37,11 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,27 +62,36 @@ class Table:
     spark: SparkSession
     path: str
 
-    def versions(self) -> list[int]:
-        """Complete versions, oldest first."""
+    def _complete(self, prefix: str) -> list[str]:
+        """What follows ``prefix`` in the names of the completely written folders."""
         fs, root = _file_system(self.spark, self.path)
         if not fs.exists(root):
             return []
         path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        found = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if name[:2] == "v=" and name[2:].isdigit() and fs.exists(path_of(status.getPath(), "_SUCCESS")):
-                found.append(int(name[2:]))
-        return sorted(found)
+        folders = [status.getPath() for status in fs.listStatus(root)]
+        return [
+            f.getName()[len(prefix) :]
+            for f in folders
+            if f.getName().startswith(prefix) and fs.exists(path_of(f, "_SUCCESS"))
+        ]
 
-    def exists(self) -> bool:
-        return bool(self.versions())
+    def versions(self) -> list[int]:
+        """Complete versions, oldest first."""
+        return sorted(int(v) for v in self._complete("v=") if v.isdigit())
 
-    def read(self, version: int | None = None) -> DataFrame:
-        done = self.versions()
-        if not done:
+    def exists(self) -> bool:
+        return bool(self.versions() or self._complete("batch="))
+
+    def read(self) -> DataFrame:
+        """The newest version, if any, and all batches appended beside it."""
+        done, batches = self.versions(), sorted(self._complete("batch="))
+        parts = [self.spark.read.parquet(f"{self.path}/v={done[-1]}")] if done else []
+        if batches:
+            folders = [f"{self.path}/batch={b}" for b in batches]
+            parts.append(self.spark.read.option("mergeSchema", True).parquet(*folders))
+        if not parts:
             raise FileNotFoundError(f"no complete version under {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={version if version is not None else done[-1]}")
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Full refresh as a new version. ``df`` may read the current one."""
@@ -120,9 +130,6 @@ class Table:
         """Add one batch to an append-only table; repeating a batch replaces it."""
         df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
-    def read_batches(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.path).parquet(f"{self.path}/batch=*").drop("batch")
-
 
 @dataclass(frozen=True)
 class Catalog:

@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.sources import schemas
 from tidemark.sources.audit import audit, gate, read_audit
@@ -19,17 +20,17 @@ from tidemark.sources.state import SyncState, sync_window
 from tidemark.sources.tables import Table, remove_folder, since_updated
 
 
-def event_stream(spark: SparkSession, landing: str) -> DataFrame:
+def event_stream(spark: SparkSession, landing: str, schema: StructType = schemas.EVENT_DOC) -> DataFrame:
     """Landed change events, one JSON object per line; broken lines stay visible."""
     return (
-        spark.readStream.schema(with_bad_row(schemas.EVENT_DOC))
+        spark.readStream.schema(with_bad_row(schema))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_ROW)
         .json(landing)
     )
 
 
-def load_batch(bronze: Table, loaded_at: datetime):
+def load_batch(bronze: Table, loaded_at: datetime, keep: tuple[str, ...] = ()):
     """The ``foreachBatch`` step: split, flatten, gate, append.
 
     The batch is written under its id; a retried batch overwrites its own rows,
@@ -43,7 +44,7 @@ def load_batch(bronze: Table, loaded_at: datetime):
         if result.rows_parsed == 0:
             return
         changed, _ = split_events(good_rows(staged))
-        rows = flatten_workouts(changed).withColumn("_loaded_at", wall_clock(loaded_at))
+        rows = flatten_workouts(changed, keep).withColumn("_loaded_at", wall_clock(loaded_at))
         has_changes = not changed.isEmpty()
         gate(result, rows_expected=0 if has_changes and rows.isEmpty() else None)
         if has_changes:
@@ -54,18 +55,26 @@ def load_batch(bronze: Table, loaded_at: datetime):
 
 
 def run_sync(
-    spark: SparkSession, landing: str, bronze: Table, state: SyncState, checkpoint: str, now: datetime | None = None
+    spark: SparkSession,
+    landing: str,
+    bronze: Table,
+    state: SyncState,
+    checkpoint: str,
+    now: datetime | None = None,
+    schema: StructType = schemas.EVENT_DOC,
+    keep: tuple[str, ...] = (),
 ) -> datetime:
     """Read everything that has landed, then move the sync state to the run's start time.
 
+    ``keep`` names entity fields of the workout, which ``schema`` must then list.
     The start time is taken before reading. A run without new files also moves
     the state; a refused batch raises and leaves it.
     """
     started = now or datetime.now(timezone.utc)
     state.ensure()
     query = (
-        event_stream(spark, landing)
-        .writeStream.foreachBatch(load_batch(bronze, started))
+        event_stream(spark, landing, schema)
+        .writeStream.foreachBatch(load_batch(bronze, started, keep))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
