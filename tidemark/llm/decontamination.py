@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.frames import stored
 from tidemark.llm.textbuf import ALNUM, Words, slices, words
 
 WINDOW = 13
@@ -275,3 +276,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     every = own.mapInArrow(_keys, "doc_id long, n_bytes long, digest binary, n_words long").alias("a")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.digest") == F.col("b.digest")) & (F.col("a.n_bytes") == F.col("b.n_bytes"))
     return every.join(runs.alias("b"), same, "left").select("a.doc_id", "a.n_words", "b.runs").mapInArrow(_merge, RESULT)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the contaminated ones. A doc_id with several texts goes if one of them is contaminated."""
+    bad = contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_id")).distinct()
+    # Written first, so that its size is known when the join is planned: few ids are broadcast and the texts stay in place.
+    own = docs.join(stored(bad, "contaminated"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    return own.select(*docs.columns)

@@ -330,3 +330,19 @@ def _inside(members: DataFrame, sets: DataFrame) -> DataFrame:
         .sortWithinPartitions("key", "i", "j")
         .mapInArrow(_across, PAIR)
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group.
+
+    Only the ids to drop are joined. Rows equal in id and text count as one; rows
+    without an id stay only where their group has no id, one for each text.
+    """
+    names = docs.columns
+    verdict = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    verdict = stored(verdict.filter("not kept or n > 1"), "verdict")
+    dropped = verdict.filter("not kept").select(F.col("doc_id").alias("_id"))
+    own = docs.join(dropped, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    if verdict.filter("n > 1").isEmpty():
+        return own.select(*names)
+    return own.dropDuplicates(["doc_id", "text"]).select(*names)
