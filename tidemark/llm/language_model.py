@@ -37,13 +37,14 @@ from tidemark.llm.frames import stored
 from tidemark.llm.textbuf import ALNUM, Words, mix, slices, words
 
 BACKOFF = 0.4
-HOT = 256
-KNOWN = 1 << 19
+HOT = 512
+KNOWN = 1 << 20
 #: Distinct words that a task holds before it hands its counts on.
 HELD = 1 << 20
 
-ROWS = "pair long, key long, tf int, delta float, base double, own struct<doc_id:long,n_words:long>"
-RARE = "pair long, key long, tf int, u long, own_u int, v long, own_v int"
+# What differs from row to row comes first and together: so a shuffled row compresses best.
+ROWS = "pair long, delta float, key long, tf int, base double, doc_id long, n_words int"
+RARE = "pair long, u long, v long, own_u int, own_v int, tf int, key long"
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -189,18 +190,17 @@ def _known_rows(part, offsets, data, known, counts, hot, pairs, total) -> pa.Rec
     n_out = int(out.sum())
     more = np.zeros(n_docs)
     no_doc = np.concatenate([np.ones(n_out, bool), np.zeros(n_docs, bool)])
-    ids = pa.concat_arrays([pa.nulls(n_out, pa.int64()), part.column("doc_id")])
-    n_words = pa.array(np.concatenate([np.zeros(n_out, np.int64), found.counts]))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([pair[out], mix(keys)]).view(np.int64)),
+            pa.array(np.concatenate([log_count[u[out]] + fallback[out], more]).astype(np.float32)),
             pa.array(np.concatenate([keys[d[out]], keys]).view(np.int64)),
             pa.array(np.concatenate([tf[out], more]).astype(np.int32)),
-            pa.array(np.concatenate([log_count[u[out]] + fallback[out], more]).astype(np.float32)),
             pa.array(np.concatenate([np.zeros(n_out), base]), mask=no_doc),
-            pa.StructArray.from_arrays([ids, n_words], names=["doc_id", "n_words"], mask=pa.array(no_doc)),
+            pa.concat_arrays([pa.nulls(n_out, pa.int64()), part.column("doc_id")]),
+            pa.array(np.concatenate([np.zeros(n_out, np.int32), found.counts.astype(np.int32)]), mask=no_doc),
         ],
-        names=["pair", "key", "tf", "delta", "base", "own"],
+        names=["pair", "delta", "key", "tf", "base", "doc_id", "n_words"],
     )
 
 
@@ -220,12 +220,11 @@ def _rare_rows(part, offsets, data, known) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([pair, mix(keys[doc[begin]] + np.uint64(7))]).view(np.int64)),
-            pa.array(keys[doc[v]].view(np.int64)),
-            pa.array(np.concatenate([tf, np.ones(len(begin), np.int64)]).astype(np.int32)),
-            pa.array(left.view(np.int64), mask=no_u), pa.array(own_u.astype(np.int32)),
-            pa.array(hashes[v].view(np.int64)), pa.array(own[v].astype(np.int32)),
+            pa.array(left.view(np.int64), mask=no_u), pa.array(hashes[v].view(np.int64)),
+            pa.array(own_u.astype(np.int32)), pa.array(own[v].astype(np.int32)),
+            pa.array(np.concatenate([tf, np.ones(len(begin), np.int64)]).astype(np.int32)), pa.array(keys[doc[v]].view(np.int64)),
         ],
-        names=["pair", "key", "tf", "u", "own_u", "v", "own_v"],
+        names=["pair", "u", "v", "own_u", "own_v", "tf", "key"],
     )
 
 
@@ -252,22 +251,22 @@ def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN) -> DataF
     first_word = F.col("u").isNull()
     rare = own.mapInArrow(_rare(model), RARE).join(counts("v"), "v").join(counts("u"), "u", "left")
     rare = rare.select(
-        "pair", "key", "tf", F.when(first_word, 0.0).otherwise(left("u") + fallback).cast("float").alias("delta"),
+        "pair", F.when(first_word, 0.0).otherwise(left("u") + fallback).cast("float").alias("delta"), "key", "tf",
         F.when(first_word, unigram).otherwise(F.col("tf") * fallback).alias("base"),
-        F.lit(None).cast(rows.schema["own"].dataType).alias("own"),
+        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("int").alias("n_words"),
     )
     others = F.expr("sum(tf) over (partition by pair)") - F.col("tf")
-    gain = F.when(F.col("tf").isNull() | (F.col("c") <= 0), 0.0).otherwise(F.col("tf") * (F.log(F.col("c").cast("double")) - F.col("delta")))
+    gain = F.when(F.col("c") <= 0, 0.0).otherwise(F.col("tf") * (F.log(F.col("c").cast("double")) - F.col("delta")))
     return (
         rows.unionByName(rare)
-        .select("key", "tf", "delta", "base", "own", others.alias("c"))
-        .select("key", "own", (F.coalesce("base", F.lit(0.0)) + gain).alias("gain"))
+        .withColumn("c", others)
+        .select("key", "doc_id", "n_words", (F.coalesce("base", F.lit(0.0)) + gain).alias("gain"))
         .groupBy("key")
-        .agg(F.sum("gain").alias("gain"), F.max("own").alias("own"), F.count("own").alias("copies"))
+        .agg(F.sum("gain").alias("gain"), F.max("doc_id").alias("doc_id"), F.max("n_words").cast("long").alias("n_words"), F.count("n_words").alias("copies"))
         .select(
-            F.col("own.doc_id").alias("doc_id"), F.col("own.n_words").alias("n_words"),
+            "doc_id", "n_words",
             # Equal rows share a key, and so each has an equal part.
-            F.when(F.col("own.n_words") > 0, F.col("gain") / F.col("copies")).alias("log_score"),
+            F.when(F.col("n_words") > 0, F.col("gain") / F.col("copies")).alias("log_score"),
             F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
         )
         .select("doc_id", "n_words", "log_score", (F.col("log_score") / F.col("n_words")).alias("score"))
