@@ -37,13 +37,15 @@ from tidemark.llm.frames import stored
 from tidemark.llm.textbuf import ALNUM, Words, mix, slices, words
 
 BACKOFF = 0.4
-HOT = 512
-KNOWN = 1 << 20
+HOT = 1024
+KNOWN = 1 << 21
+#: A bigram's settled logarithms travel as (value + 32) * 2 ** 18, which takes three bytes and is exact to 4e-6.
+SHIFT, UNIT = 32.0, float(1 << 18)
 #: Distinct words that a task holds before it hands its counts on.
 HELD = 1 << 20
 
 # What differs from row to row comes first and together: so a shuffled row compresses best.
-ROWS = "pair long, delta float, key long, tf int, base double, doc_id long, n_words int"
+ROWS = "pair long, delta int, key long, tf int, base double, doc_id long, n_words int"
 RARE = "pair long, u long, v long, own_u int, own_v int, tf int, key long"
 
 
@@ -108,12 +110,22 @@ def _hot_pairs(hot):
     return run
 
 
-def _own_counts(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For (document, key) groups: their sorted order, first members, and sizes."""
-    order = np.lexsort((keys, doc))
-    d, k = doc[order], keys[order]
-    first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])])) if len(k) else np.zeros(0, np.int64)
-    return order, first, np.diff(np.append(first, len(k)))
+def _groups(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal (document, key) side by side: the order, where each group begins, and its size."""
+    both = mix(keys ^ mix(doc.astype(np.uint64) + np.uint64(1)))
+    order = np.argsort(both)
+    both = both[order]
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+    return order, first, np.diff(np.append(first, len(both)))
+
+
+def _distinct(doc: np.ndarray, at: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One place per document and distinct bigram, in text order; the bigrams there; how often each occurs."""
+    order, first, size = _groups(doc[at], pair)
+    lead = order[first]
+    rank = np.argsort(lead)
+    lead = lead[rank]
+    return at[lead], pair[lead], size[rank]
 
 
 def _known(model):
@@ -146,14 +158,15 @@ def _keys(part, offsets, data) -> np.ndarray:
 
 
 def _pair(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return mix(u * np.uint64(0x9FB21C651E98DF25) + mix(v))
+    """56 bits of hash; the zero byte lets a shuffled row compress."""
+    return mix(u * np.uint64(0x9FB21C651E98DF25) + mix(v)) & np.uint64(0xFFFFFFFFFFFFFF00)
 
 
 def _prepare(offsets, data, known):
     found = words(offsets, data, ALNUM)
     hashes = found.hashes()
     at, doc = _bigrams(found, hashes)
-    order, _, size = _own_counts(doc, hashes)
+    order, _, size = _groups(doc, hashes)
     own = np.empty(len(hashes), np.int64)
     own[order] = np.repeat(size, size)
     return found, hashes, at, doc, own, _place(known, hashes)
@@ -167,10 +180,8 @@ def _known_rows(part, offsets, data, known, counts, hot, pairs, total) -> pa.Rec
     unigram = log_count - np.log(total)
 
     at = at[(rank[at] >= 0) & (rank[at + 1] >= 0)]
-    pair = _pair(hashes[at], hashes[at + 1])
-    order, first, tf = _own_counts(doc[at], pair)
-    u = at[order[first]]  # one place per document and distinct bigram
-    d, v, pair = doc[u], u + 1, pair[order[first]]
+    u, pair, tf = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]))
+    d, v = doc[u], u + 1
     fallback = np.log(BACKOFF) + unigram[v]
     base = np.bincount(d, tf * fallback, minlength=n_docs)
 
@@ -193,7 +204,7 @@ def _known_rows(part, offsets, data, known, counts, hot, pairs, total) -> pa.Rec
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([pair[out], mix(keys)]).view(np.int64)),
-            pa.array(np.concatenate([log_count[u[out]] + fallback[out], more]).astype(np.float32)),
+            pa.array(np.concatenate([np.rint((log_count[u[out]] + fallback[out] + SHIFT) * UNIT), more]).astype(np.int32)),
             pa.array(np.concatenate([keys[d[out]], keys]).view(np.int64)),
             pa.array(np.concatenate([tf[out], more]).astype(np.int32)),
             pa.array(np.concatenate([np.zeros(n_out), base]), mask=no_doc),
@@ -207,9 +218,7 @@ def _known_rows(part, offsets, data, known, counts, hot, pairs, total) -> pa.Rec
 def _rare_rows(part, offsets, data, known) -> pa.RecordBatch:
     found, hashes, at, doc, own, rank = _prepare(offsets, data, known)
     at = at[(rank[at] < 0) | (rank[at + 1] < 0)]
-    pair = _pair(hashes[at], hashes[at + 1])
-    order, first, tf = _own_counts(doc[at], pair)
-    u, pair = at[order[first]], pair[order[first]]
+    u, pair, tf = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]))
     begin = found.first[np.flatnonzero(found.counts)]
     begin = begin[rank[begin] < 0]
     keys = _keys(part, offsets, data)
@@ -251,12 +260,12 @@ def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN) -> DataF
     first_word = F.col("u").isNull()
     rare = own.mapInArrow(_rare(model), RARE).join(counts("v"), "v").join(counts("u"), "u", "left")
     rare = rare.select(
-        "pair", F.when(first_word, 0.0).otherwise(left("u") + fallback).cast("float").alias("delta"), "key", "tf",
+        "pair", F.when(~first_word, F.rint((left("u") + fallback + SHIFT) * UNIT)).cast("int").alias("delta"), "key", "tf",
         F.when(first_word, unigram).otherwise(F.col("tf") * fallback).alias("base"),
         F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("int").alias("n_words"),
     )
     others = F.expr("sum(tf) over (partition by pair)") - F.col("tf")
-    gain = F.when(F.col("c") <= 0, 0.0).otherwise(F.col("tf") * (F.log(F.col("c").cast("double")) - F.col("delta")))
+    gain = F.when(F.col("c") <= 0, 0.0).otherwise(F.col("tf") * (F.log(F.col("c").cast("double")) - F.col("delta") / UNIT + SHIFT))
     return (
         rows.unionByName(rare)
         .withColumn("c", others)
