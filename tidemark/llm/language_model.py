@@ -166,14 +166,23 @@ def _prepare(offsets, data, known):
     found = words(offsets, data, ALNUM)
     hashes = found.hashes()
     at, doc = _bigrams(found, hashes)
+    # Looked up once per distinct word, in order: the table is larger than a cache.
+    distinct, inverse = np.unique(hashes, return_inverse=True)
+    return found, hashes, at, doc, _place(known, distinct)[inverse]
+
+
+def _own(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """How often each word occurs in its own document."""
     order, _, size = _groups(doc, hashes)
     own = np.empty(len(hashes), np.int64)
     own[order] = np.repeat(size, size)
-    return found, hashes, at, doc, own, _place(known, hashes)
+    return own
 
 
-def _known_rows(part, offsets, data, known, counts, hot, pairs, total) -> pa.RecordBatch:
-    found, hashes, at, doc, own, rank = _prepare(offsets, data, known)
+def _known_rows(part, offsets, data, known, counts, hot, size, pairs, total) -> pa.RecordBatch:
+    """``hot`` numbers the hot ones among the known words, -1 for all others."""
+    found, hashes, at, doc, rank = _prepare(offsets, data, known)
+    own = _own(doc, hashes)
     n_docs = part.num_rows
     left = np.where(rank >= 0, np.maximum(counts[rank] - own, 1), 1) if len(known) else np.ones(len(hashes))
     log_count = np.log(left.astype(np.float64))
@@ -185,10 +194,9 @@ def _known_rows(part, offsets, data, known, counts, hot, pairs, total) -> pa.Rec
     fallback = np.log(BACKOFF) + unigram[v]
     base = np.bincount(d, tf * fallback, minlength=n_docs)
 
-    hot_rank = _place(hot, hashes)
-    hu, hv = hot_rank[u], hot_rank[v]
+    hu, hv = hot[rank[u]], hot[rank[v]]
     inside = (hu >= 0) & (hv >= 0)
-    c = pairs[np.where(inside, hu * len(hot) + hv, 0)] - tf
+    c = pairs[np.where(inside, hu * size + hv, 0)] - tf
     gain = np.where(inside & (c > 0), tf * (np.log(np.maximum(c, 1)) - log_count[u] - fallback), 0.0)
     base += np.bincount(d, gain, minlength=n_docs)
 
@@ -216,13 +224,14 @@ def _known_rows(part, offsets, data, known, counts, hot, pairs, total) -> pa.Rec
 
 
 def _rare_rows(part, offsets, data, known) -> pa.RecordBatch:
-    found, hashes, at, doc, own, rank = _prepare(offsets, data, known)
+    found, hashes, at, doc, rank = _prepare(offsets, data, known)
     at = at[(rank[at] < 0) | (rank[at + 1] < 0)]
     u, pair, tf = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]))
     begin = found.first[np.flatnonzero(found.counts)]
     begin = begin[rank[begin] < 0]
     keys = _keys(part, offsets, data)
     v = np.concatenate([u + 1, begin])
+    own = _own(doc, hashes)
     no_u = np.concatenate([np.zeros(len(u), bool), np.ones(len(begin), bool)])
     own_u = np.concatenate([own[u], np.zeros(len(begin), np.int64)])
     left = np.concatenate([hashes[u], np.zeros(len(begin), np.uint64)])
@@ -250,7 +259,10 @@ def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN) -> DataF
     cells = own.mapInArrow(_hot_pairs(hot_words), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(max(len(hot_words) ** 2, 1), np.int64)
     pairs[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    model = context.broadcast((word[order], count[order], hot_words, pairs, total))
+    table = word[order]
+    # One entry more, so that there is something to look at without any word.
+    hot_of = np.append(_place(hot_words, table), -1)
+    model = context.broadcast((table, count[order], hot_of, len(hot_words), pairs, total))
 
     rows = own.mapInArrow(_known(model), ROWS)
     counts = lambda side: unigrams.select(F.col("word").alias(side), F.col("n").alias(f"n_{side}"))
