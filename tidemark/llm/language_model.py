@@ -39,13 +39,14 @@ from tidemark.llm.textbuf import ALNUM, Words, mix, slices, words
 BACKOFF = 0.4
 HOT = 1024
 KNOWN = 1 << 21
-#: A bigram's settled logarithms travel as (value + 32) * 2 ** 18, which takes three bytes and is exact to 4e-6.
+#: Logarithms travel and are summed as multiples of 2 ** -18: compact, and the same in any order of summing.
+#: A bigram's settled part is shifted by 32 to be positive, and so takes three bytes.
 SHIFT, UNIT = 32.0, float(1 << 18)
 #: Distinct words that a task holds before it hands its counts on.
 HELD = 1 << 20
 
 # What differs from row to row comes first and together: so a shuffled row compresses best.
-ROWS = "pair long, delta int, key long, tf int, base double, doc_id long, n_words int"
+ROWS = "pair long, delta int, key long, tf int, base long, doc_id long, n_words int"
 RARE = "pair long, u long, v long, own_u int, own_v int, tf int, key long"
 
 
@@ -205,7 +206,8 @@ def _known_rows(part, offsets, data, known, counts, hot, size, pairs, total) ->
     base[some] += np.where(rank[begin] < 0, 0.0, unigram[begin])
 
     keys = _keys(part, offsets, data)
-    out = ~inside
+    # A word that only this document has makes no bigram that another one has.
+    out = ~inside & (counts[rank[u]] > own[u]) & (counts[rank[v]] > own[v])
     n_out = int(out.sum())
     more = np.zeros(n_docs)
     no_doc = np.concatenate([np.ones(n_out, bool), np.zeros(n_docs, bool)])
@@ -215,7 +217,7 @@ def _known_rows(part, offsets, data, known, counts, hot, size, pairs, total) ->
             pa.array(np.concatenate([np.rint((log_count[u[out]] + fallback[out] + SHIFT) * UNIT), more]).astype(np.int32)),
             pa.array(np.concatenate([keys[d[out]], keys]).view(np.int64)),
             pa.array(np.concatenate([tf[out], more]).astype(np.int32)),
-            pa.array(np.concatenate([np.zeros(n_out), base]), mask=no_doc),
+            pa.array(np.concatenate([np.zeros(n_out), np.rint(base * UNIT)]).astype(np.int64), mask=no_doc),
             pa.concat_arrays([pa.nulls(n_out, pa.int64()), part.column("doc_id")]),
             pa.array(np.concatenate([np.zeros(n_out, np.int32), found.counts.astype(np.int32)]), mask=no_doc),
         ],
@@ -261,7 +263,7 @@ def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN) -> DataF
     pairs[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
     table = word[order]
     # One entry more, so that there is something to look at without any word.
-    hot_of = np.append(_place(hot_words, table), -1)
+    hot_of = np.append(_place(hot_words, table), -1).astype(np.int32)
     model = context.broadcast((table, count[order], hot_of, len(hot_words), pairs, total))
 
     rows = own.mapInArrow(_known(model), ROWS)
@@ -273,21 +275,22 @@ def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN) -> DataF
     rare = own.mapInArrow(_rare(model), RARE).join(counts("v"), "v").join(counts("u"), "u", "left")
     rare = rare.select(
         "pair", F.when(~first_word, F.rint((left("u") + fallback + SHIFT) * UNIT)).cast("int").alias("delta"), "key", "tf",
-        F.when(first_word, unigram).otherwise(F.col("tf") * fallback).alias("base"),
+        F.rint(F.when(first_word, unigram).otherwise(F.col("tf") * fallback) * UNIT).cast("long").alias("base"),
         F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("int").alias("n_words"),
     )
     others = F.expr("sum(tf) over (partition by pair)") - F.col("tf")
-    gain = F.when(F.col("c") <= 0, 0.0).otherwise(F.col("tf") * (F.log(F.col("c").cast("double")) - F.col("delta") / UNIT + SHIFT))
+    known_again = F.col("tf") * (F.rint((F.log(F.col("c").cast("double")) + SHIFT) * UNIT).cast("long") - F.col("delta"))
+    gain = F.when(F.col("c") <= 0, F.lit(0).cast("long")).otherwise(known_again)
     return (
         rows.unionByName(rare)
         .withColumn("c", others)
-        .select("key", "doc_id", "n_words", (F.coalesce("base", F.lit(0.0)) + gain).alias("gain"))
+        .select("key", "doc_id", "n_words", (F.coalesce("base", F.lit(0).cast("long")) + gain).alias("gain"))
         .groupBy("key")
         .agg(F.sum("gain").alias("gain"), F.max("doc_id").alias("doc_id"), F.max("n_words").cast("long").alias("n_words"), F.count("n_words").alias("copies"))
         .select(
             "doc_id", "n_words",
             # Equal rows share a key, and so each has an equal part.
-            F.when(F.col("n_words") > 0, F.col("gain") / F.col("copies")).alias("log_score"),
+            F.when(F.col("n_words") > 0, F.col("gain") / UNIT / F.col("copies")).alias("log_score"),
             F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
         )
         .select("doc_id", "n_words", "log_score", (F.col("log_score") / F.col("n_words")).alias("score"))
