@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import stored
+from tidemark.llm.frames import packed, stored
 from tidemark.llm.textbuf import ALNUM, Words, slices, words
 
 WINDOW = 13
@@ -282,5 +282,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     """``docs`` without the contaminated ones. A doc_id with several texts goes if one of them is contaminated."""
     bad = contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_id")).distinct()
     # Written first, so that its size is known when the join is planned: few ids are broadcast and the texts stay in place.
-    own = docs.join(stored(bad, "contaminated"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
-    return own.select(*docs.columns)
+    own = packed(docs).join(stored(bad, "contaminated"), F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    return own.select("row.*")

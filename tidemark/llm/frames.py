@@ -26,6 +26,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The whole row as the struct ``row`` beside the columns in use, so that no other name of it can clash."""
+    return docs.select(*columns, F.struct("*").alias("row"))
+
+
 def labelled_sample(labels: DataFrame, columns: list[str], rows: int) -> DataFrame:
     """At most ``rows`` labelled ids with one value per label column.
 

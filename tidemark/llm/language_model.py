@@ -193,7 +193,7 @@ def _known_rows(part, offsets, data, known, counts, hot, size, pairs, total) ->
     u, pair, tf = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]))
     d, v = doc[u], u + 1
     fallback = np.log(BACKOFF) + unigram[v]
-    base = np.bincount(d, tf * fallback, minlength=n_docs)
+    base = np.bincount(d, tf * fallback, minlength=n_docs).astype(np.float64)  # counts of nothing are integers
 
     hu, hv = hot[rank[u]], hot[rank[v]]
     inside = (hu >= 0) & (hv >= 0)
@@ -280,7 +280,7 @@ def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN) -> DataF
     )
     others = F.expr("sum(tf) over (partition by pair)") - F.col("tf")
     known_again = F.col("tf") * (F.rint((F.log(F.col("c").cast("double")) + SHIFT) * UNIT).cast("long") - F.col("delta"))
-    gain = F.when(F.col("c") <= 0, F.lit(0).cast("long")).otherwise(known_again)
+    gain = F.when((F.col("c") <= 0) | F.col("delta").isNull(), F.lit(0).cast("long")).otherwise(known_again)
     return (
         rows.unionByName(rare)
         .withColumn("c", others)

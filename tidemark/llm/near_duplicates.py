@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.frames import stored
+from tidemark.llm.frames import packed, stored
 from tidemark.llm.textbuf import NON_BLANK, Words, mix, ragged, slices, words
 
 SHINGLE = 5
@@ -338,11 +338,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Only the ids to drop are joined. Rows equal in id and text count as one; rows
     without an id stay only where their group has no id, one for each text.
     """
-    names = docs.columns
     verdict = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     verdict = stored(verdict.filter("not kept or n > 1"), "verdict")
     dropped = verdict.filter("not kept").select(F.col("doc_id").alias("_id"))
-    own = docs.join(dropped, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
-    if verdict.filter("n > 1").isEmpty():
-        return own.select(*names)
-    return own.dropDuplicates(["doc_id", "text"]).select(*names)
+    own = packed(docs).join(dropped, F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti").select("row.*")
+    return own if verdict.filter("n > 1").isEmpty() else own.dropDuplicates(["doc_id", "text"])

@@ -14,7 +14,7 @@ them those that pass the base rule; the statistics and the verdict are computed
 Edge cases: NULL and empty texts have no words and fail the base rule; without
 usable labels, or with one label only, the list is empty and the base rule
 alone decides; rows without an id are judged; repeated rows give a row each;
-extra columns pass through ``judge`` untouched (its own columns start with ``q_``).
+extra columns pass through ``rejected_out`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import labelled_sample, let, sampled_texts, stored
+from tidemark.llm.frames import labelled_sample, let, packed, sampled_texts, stored
 
 SAMPLE = 20_000
 BINS = 32
@@ -254,6 +254,11 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     return with_statistics(docs).withColumn("q_base_failed", base_failed()).withColumn("q_kept", ~base_failed() & verdict(rules))
 
 
+def rejected_out(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``docs`` without the rejected ones."""
+    return judge(packed(docs, "doc_id", "text"), labels, sample).filter("q_kept").select("row.*")
+
+
 def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Per document the counts, the base rule and the verdict."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]

@@ -17,7 +17,7 @@ points, the end is exclusive.
 Edge cases: NULL and empty texts have no spans; repeated rows give a row each;
 rows without an id are scanned (candidates are matched null-safely); a doc_id with
 several texts is a candidate if one of them is, and verification settles
-it; extra columns pass through ``with_spans`` untouched.
+it; extra columns pass through ``redact`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import let
+from tidemark.llm.frames import let, packed
 
 
 def _either_case(word: str) -> str:
@@ -217,7 +217,7 @@ def _matches(text: Column, rule: Rule, rank: int) -> Column:
 
 
 def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, column: str = "spans") -> DataFrame:
-    """``docs`` with all spans in order of start and rule."""
+    """``docs`` (doc_id, text and columns named otherwise than ``_...``) with all spans in order of start and rule."""
     text = F.coalesce("text", F.lit(""))
     indexed = tuple(r for r in rules if trigram_query(r.pattern) != [[]])
     rest = [(n, r) for n, r in enumerate(rules) if r not in indexed]
@@ -267,11 +267,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secre
 
         return F.aggregate(spans, state, one, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
 
-    names = docs.columns
-    found = with_spans(docs, rules, "_spans")
-    text = F.when(F.size("_spans") > 0, cut(F.col("_spans"))).otherwise(F.col("text"))
-    out = found.withColumn("_text", text)
-    if "n_chars" in names:
-        changed = F.when(F.size("_spans") > 0, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed)
-    return out.withColumn("text", F.col("_text")).select(*names)
+    found = with_spans(packed(docs, "doc_id", "text"), rules)
+    row = F.col("row").withField("text", cut(F.col("spans")))
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.length(row["text"]).cast(docs.schema["n_chars"].dataType))
+    return found.select(F.when(F.size("spans") > 0, row).otherwise(F.col("row")).alias("row")).select("row.*")

@@ -27,7 +27,7 @@ from tidemark.llm.frames import labelled_sample, sampled_texts, stored
 from tidemark.llm.ftrl import Ftrl, softmax
 from tidemark.llm.textbuf import ALNUM, ragged, slices, words
 
-SAMPLE = 6000
+SAMPLE = 16_000
 FOLDS = 3
 EPOCHS = 3
 #: Words in fewer sampled documents are no features.
@@ -79,7 +79,7 @@ class Chain:
         doc, word = once // max(len(self.words), 1), once % max(len(self.words), 1)
         p = np.zeros((n, len(self.extra)))
         for k, extra in enumerate(self.extra):
-            total = np.bincount(doc, self.word_weights[word, k], minlength=n) + extra[0]
+            total = np.bincount(doc, self.word_weights[word, k], minlength=n).astype(np.float64) + extra[0]
             for j in range(k):
                 total += extra[1 + j] * _logit(p[:, j])
             p[:, k] = 1 / (1 + np.exp(-np.clip(total, -40, 40)))
@@ -87,7 +87,7 @@ class Chain:
 
 
 def _train(rows: list[np.ndarray], features: int, truth: np.ndarray, before: list[np.ndarray], which: np.ndarray) -> np.ndarray:
-    model = Ftrl(features + 1 + len(before), 2, alpha=0.2, l1=0.6, l2=0.02)
+    model = Ftrl(features + 1 + len(before), 2, alpha=1.0, l1=2.0, l2=0.02)
     index = [np.concatenate([rows[r], np.arange(features, features + 1 + len(before))]) for r in which]
     value = [np.concatenate([np.ones(len(rows[r]) + 1), [_logit(b[r]) for b in before]]) for r in which]
     w = model.fit(list(zip(index, value)), truth[which], EPOCHS).weights()
