@@ -14,7 +14,7 @@ from tidemark.llm.frames import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.judge(docs, table(spark, sf_dir, "labels")).filter("q_kept").select(*docs.columns)
+    return quality.rejected_out(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
