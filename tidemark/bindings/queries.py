@@ -244,10 +244,11 @@ def progression_single_log(spark, d):
 # ---- curated reports --------------------------------------------------------------------------
 
 
-def report_sql(name: str, table: str, day: str, columns: str, order: str) -> str:
-    days, limit = curated.REPORTS[name]
-    return f"""SELECT athlete, {columns} FROM {table}
-WHERE {day} >= (SELECT max({day}) FROM {table}) - {days} ORDER BY {order} LIMIT {limit}"""
+def report_sql(days: int, limit: int, table: str, day: str, columns: str, order: str) -> str:
+    """Each athlete's newest rows: reach and limit are counted for every athlete alone."""
+    return f"""SELECT r.athlete, {columns} FROM {table} r
+JOIN (SELECT athlete, max({day}) AS newest FROM {table} GROUP BY athlete) m ON m.athlete = r.athlete AND r.{day} >= m.newest - {days}
+QUALIFY row_number() OVER (PARTITION BY r.athlete ORDER BY {order}) <= {limit}"""
 
 
 _DAYS = (o.SETS, o.MEASUREMENTS, o.BODY, o.DAY)
@@ -257,10 +258,10 @@ _PROGRESS = (o.SETS, o.MEASUREMENTS, o.BODY, o.progress_sql())
 @register(
     "q_fatigue",
     o.with_(*_DAYS, then=report_sql(
-        "fatigue", "days", "workout_date",
+        30, 30, "days", "workout_date",
         "workout_date, is_training_day, gym_detail, daily_tonnage, daily_sets, days_since_last_session,"
         " rolling_7d_avg_tonnage, rolling_28d_avg_tonnage, fatigue_index, training_status",
-        "workout_date DESC, athlete",
+        "workout_date DESC",
     )),
 )
 def q_fatigue(spark, d):
@@ -270,10 +271,10 @@ def q_fatigue(spark, d):
 @register(
     "q_volume",
     o.with_(o.SETS, o.MUSCLE_WEEK, then=report_sql(
-        "volume", "muscle_weeks", "week_start",
+        56, 200, "muscle_weeks", "week_start",
         "week_start, muscle, movement_group, direct_sets, indirect_sets, effective_sets, total_tonnage, mev_sets,"
         " mav_sets, volume_status, weeks_since_trained, tonnage_pct_change",
-        "week_start DESC, direct_sets DESC, athlete, muscle",
+        "week_start DESC, direct_sets DESC, muscle",
     )),
 )
 def q_volume(spark, d):
@@ -283,10 +284,10 @@ def q_volume(spark, d):
 @register(
     "q_balance",
     o.with_(o.SETS, o.MUSCLE_WEEK, o.TRAINING_WEEK, then=report_sql(
-        "balance", "training_weeks", "week_start",
+        56, 12, "training_weeks", "week_start",
         "week_start, training_days, total_sets, push_sets, pull_sets, leg_sets, core_sets, push_pull_ratio,"
         " push_pull_status, quad_ham_ratio, quad_ham_status, muscles_below_mev, muscles_not_trained",
-        "week_start DESC, athlete",
+        "week_start DESC",
     )),
 )
 def q_balance(spark, d):
@@ -296,11 +297,11 @@ def q_balance(spark, d):
 @register(
     "q_strength",
     o.with_(*_PROGRESS, then=report_sql(
-        "strength", "progress", "workout_date",
+        28, 100, "progress", "workout_date",
         "workout_date, exercise_title, gym_detail, primary_muscle, top_set_weight_kg, top_set_reps, estimated_1rm,"
         " best_1rm_to_date, is_pr, days_since_pr, e1rm_pct_change_4wk, progression_trend, e1rm_per_kg_bodyweight,"
         " is_cross_gym_comparable",
-        "workout_date DESC, estimated_1rm DESC, athlete, exercise_title, gym_detail, primary_muscle",
+        "workout_date DESC, estimated_1rm DESC, exercise_title, gym_detail, primary_muscle",
     )),
 )
 def q_strength(spark, d):
@@ -315,8 +316,8 @@ _BESTS = """SELECT athlete, exercise_title, gym_detail, primary_muscle, equipmen
 
 @register(
     "q_pr",
-    o.with_(*_PROGRESS, then=_BESTS + """
-  ORDER BY best_e1rm DESC, athlete, exercise_title, gym_detail, primary_muscle, equipment_category LIMIT 100"""),
+    o.with_(*_PROGRESS, f"bests AS ({_BESTS})", then="""SELECT * FROM bests QUALIFY row_number() OVER (
+  PARTITION BY athlete ORDER BY best_e1rm DESC, exercise_title, gym_detail, primary_muscle, equipment_category) <= 100"""),
 )
 def q_pr(spark, d):
     return curated.personal_records(warehouse(spark, d).gold("exercise_progression"), entity=ATHLETE)
@@ -330,10 +331,10 @@ def all_time_bests(spark, d):
 @register(
     "q_sessions",
     o.with_(o.SETS, o.SESSIONS, then=report_sql(
-        "sessions", "sessions", "workout_date",
+        30, 30, "sessions", "workout_date",
         "workout_date, workout_title, gym_detail, total_sets, total_exercises, muscles_trained, total_tonnage,"
         " session_duration_min, tonnage_per_min",
-        "workout_date DESC, athlete, workout_title, gym_detail NULLS LAST, total_sets, total_exercises, muscles_trained,"
+        "workout_date DESC, workout_title, gym_detail NULLS LAST, total_sets, total_exercises, muscles_trained,"
         " total_tonnage, session_duration_min",
     )),
 )
@@ -345,10 +346,10 @@ def q_sessions(spark, d):
     "q_raw_sets",
     o.with_(o.SETS, "shown AS (SELECT *, " + o.whole("cents") + " AS weight_kg, " + o.whole("tonnage_c") + " AS tonnage FROM sets)",
             then=report_sql(
-        "raw_sets", "shown", "workout_date",
+        7, 200, "shown", "workout_date",
         "workout_date, workout_title, gym_detail, exercise_title, primary_muscle, set_index, set_type, weight_kg, reps,"
         " tonnage",
-        "workout_date DESC, exercise_title, set_index, athlete, workout_title, gym_detail NULLS LAST, primary_muscle,"
+        "workout_date DESC, exercise_title, set_index, workout_title, gym_detail NULLS LAST, primary_muscle,"
         " set_type, weight_kg, reps",
     )),
 )

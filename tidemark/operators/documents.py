@@ -20,7 +20,7 @@ def assemble(df: DataFrame, key: str, title: str, parts: str, url_prefix: str, u
     return (
         df.withColumn("abstract", body)
         .filter(~is_blank(F.col("abstract")))
-        .withColumn("content", F.concat(F.col(title), F.lit("\n\n"), F.col("abstract")))
+        .withColumn("content", F.concat(F.coalesce(F.col(title), F.lit("")), F.lit("\n\n"), F.col("abstract")))
         .withColumn("source_url", F.concat(F.lit(url_prefix), F.col(key).cast("string"), F.lit(url_suffix)))
     )
 
@@ -42,6 +42,12 @@ def equal_text_groups(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def drop_equal_texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The rows that are the lowest id of their text."""
-    keepers = equal_text_groups(df, doc_id, text).select(F.col("keeper").alias(doc_id))
-    return df.join(keepers, doc_id, "left_semi")
+    """The rows that are the lowest id of their text.
+
+    Only the texts that occur more than once take part in the join, and only
+    ids travel: a row is dropped if its id is among the ids to drop.
+    """
+    prints = df.select(F.col(doc_id).alias("_id"), fingerprint(F.col(text)).alias("fingerprint"))
+    several = equal_text_groups(df, doc_id, text).filter("copies > 1").select("fingerprint", "keeper")
+    dropped = prints.join(several, "fingerprint").filter("_id <> keeper").select("_id").distinct()
+    return df.join(dropped, F.col(doc_id) == F.col("_id"), "left_anti")

@@ -53,6 +53,11 @@ CONTEXT_MESSAGES = 6
 EVIDENCE_CHARS = 500
 
 
+def _text(column: str) -> Column:
+    """A missing text is an empty one: its line must not be lost."""
+    return F.coalesce(F.col(column), F.lit(""))
+
+
 def route(text: Column) -> Column:
     """Name of the first route whose words occur in the question."""
     lowered = F.lower(text)
@@ -115,7 +120,7 @@ def answer_history(
         F.explode(F.sequence(F.greatest(F.col("_seen") - keep + 1, F.lit(1)), F.col("_seen"))).alias("_nth"),
     )
     line = F.concat(
-        F.lit("user: "), F.col("question"), F.lit("\nassistant: "), F.substring("answer", 1, chars)
+        F.lit("user: "), _text("question"), F.lit("\nassistant: "), F.substring(_text("answer"), 1, chars)
     )
     context = (
         lookback.join(ordinals, [conv, "_nth"])
@@ -151,7 +156,7 @@ def recent_messages(
 ) -> DataFrame:
     """Per message, the ``keep`` messages before it as ``role: content`` lines."""
     placed = _placed(messages, conv, turn)
-    line = F.concat(F.col(role), F.lit(": "), F.col(text))
+    line = F.concat(_text(role), F.lit(": "), _text(text))
     before = Window.partitionBy(conv, "_block").orderBy("_pos").rowsBetween(-keep, -1)
     return (
         _with_halo(placed, reach=keep, block=block)
@@ -191,7 +196,7 @@ def evidence_context(
 ) -> DataFrame:
     """Numbered evidence per query as one text. A query has at most k ranked rows."""
     entry = F.concat(
-        F.lit("["), F.col("rank").cast("string"), F.lit("] "), F.col(title), F.lit("\n"), F.substring(body, 1, chars)
+        F.lit("["), F.col("rank").cast("string"), F.lit("] "), _text(title), F.lit("\n"), F.substring(_text(body), 1, chars)
     )
     listed = F.array_sort(F.collect_list(F.struct("rank", entry.alias("entry"))))
     return evidence.groupBy(query_id).agg(F.array_join(listed["entry"], "\n\n").alias("context"))

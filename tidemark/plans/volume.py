@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.rollup import totals_and_distinct
 from tidemark.functions.arith import percent_change, rounded, rounded_ratio
 from tidemark.functions.casts import weeks_between
 from tidemark.functions.labels import push_pull_status, quad_ham_status, volume_status
@@ -20,17 +21,18 @@ MEASURES = [
 
 
 def direct_work(sets: DataFrame, entity: Sequence[str]) -> DataFrame:
-    return sets.groupBy(*entity, "week_start", F.col("primary_muscle").alias("muscle")).agg(
+    totals = [
         F.count(F.lit(1)).alias("direct_sets"),
         F.sum("reps").alias("total_reps"),
         F.sum("tonnage").cast("decimal(20,2)").alias("total_tonnage"),
         F.sum("weight_kg").cast("decimal(20,2)").alias("_weight"),
         F.max("weight_kg").alias("max_weight_kg"),
-        F.count_distinct("exercise_title").alias("unique_exercises"),
-        F.count_distinct("workout_date").alias("training_days"),
         F.count_if("is_failure_set").alias("failure_sets"),
         F.count_if("is_unloaded_set").alias("unloaded_sets"),
-    )
+    ]
+    distinct = {"unique_exercises": "exercise_title", "training_days": "workout_date"}
+    named = sets.withColumnRenamed("primary_muscle", "muscle")
+    return totals_and_distinct(named, [*entity, "week_start", "muscle"], totals, distinct)
 
 
 def indirect_work(sets: DataFrame, entity: Sequence[str]) -> DataFrame:

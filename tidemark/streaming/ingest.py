@@ -99,10 +99,22 @@ def drop_repeated(events: DataFrame, key: str, at: str, within: str) -> DataFram
     )
 
 
+def _changed_since(workouts: DataFrame, since: datetime) -> DataFrame:
+    """Workouts changed after ``since``; a change time that cannot be read fails the run.
+
+    A dropped workout would be lost for good, as the state moves past it. The
+    test sits in the filter, so it costs no pass of its own and no row escapes it.
+    """
+    read = F.try_to_timestamp(F.col("updated_at"))
+    checked = F.when(read.isNotNull(), read).otherwise(
+        F.raise_error(F.concat(F.lit("workout without a readable change time: "), F.coalesce(F.col("updated_at").cast("string"), F.lit("NULL")))).cast("timestamp")
+    )
+    return since_updated(workouts.withColumn("_changed", checked), since, "_changed")
+
+
 def fallback_sync(workouts: DataFrame, since: datetime) -> DataFrame:
     """Set rows of the workouts changed after ``since``, when no change events exist."""
-    changed = workouts.withColumn("_changed", F.try_to_timestamp(F.col("updated_at")))
-    return flatten_workouts(since_updated(changed, since, "_changed"))
+    return flatten_workouts(_changed_since(workouts, since))
 
 
 def run_window_sync(
@@ -116,8 +128,7 @@ def run_window_sync(
     run replaces its own rows.
     """
     since, started = sync_window(held, now)
-    changed = workouts.withColumn("_changed", F.try_to_timestamp(F.col("updated_at")))
-    changed = since_updated(changed, since, "_changed")
+    changed = _changed_since(workouts, since)
     if not changed.isEmpty():
         run_ts = started.strftime("%Y%m%d_%H%M%S")
         landed = write_jsonl(flatten_workouts(changed), f"{bronze.path}.landed", run_ts)
