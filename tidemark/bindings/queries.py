@@ -445,8 +445,8 @@ def typed_parse(spark, d):
 
 
 _TAG_TEXT = "coalesce(description, '') || ' ' || coalesce(exercise_notes, '')"
-_WORDS = " ".join(f"WHEN contains(lower({_TAG_TEXT}), {o.q(w)}) THEN {o.q(v)}" for w, v in sets.VENUE_WORDS)
-_PARENT = o.case("venue", sets.VENUE_PARENTS.items(), "CASE WHEN venue IS NOT NULL THEN 'other' END")
+_WORDS = " ".join(f"WHEN contains(lower({_TAG_TEXT}), {o.q(w)}) THEN {o.q(v)}" for w, v in o.VENUE_WORDS)
+_PARENT = o.case("venue", o.VENUE_PARENTS.items(), "CASE WHEN venue IS NOT NULL THEN 'other' END")
 
 
 @register(

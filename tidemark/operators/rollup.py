@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +19,8 @@ def totals_and_distinct(
     meet once per key. A key with very many rows or values is still spread: its
     distinct values are first removed per (key, value).
     """
-    main = df.groupBy(*keys).agg(*totals)
-    counts = df.groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys]).agg(
-        *[F.count_distinct(c).alias(out) for out, c in distinct.items()]
-    )
-    same = reduce(Column.__and__, [main[k].eqNullSafe(counts[f"_d_{k}"]) for k in keys])
-    return main.join(counts, same).drop(*[f"_d_{k}" for k in keys])
+    # As a struct the key is never NULL, and NULLs inside it are equal: a plain equi-join on what both sides are hashed by.
+    keyed = df.select(F.struct(*keys).alias("_key"), "*")
+    main = keyed.groupBy("_key").agg(*totals)
+    counts = keyed.groupBy("_key").agg(*[F.count_distinct(c).alias(out) for out, c in distinct.items()])
+    return main.join(counts, "_key").select("_key.*", *main.columns[1:], *counts.columns[1:])
