@@ -216,3 +216,48 @@ def test_report_day_and_empty_report(spark):
     assert [r.workout_date.day for r in curated.sessions(frame).collect()] == [31, 2, 1]
     assert [r.workout_date.day for r in curated.sessions(frame, as_of=date(2026, 2, 1)).collect()] == [31, 2]
     assert curated.sessions(frame.filter("1 = 0")).count() == 0
+
+
+def test_reports_are_cut_for_each_entity(spark):
+    from datetime import timedelta
+
+    rows = [("a", date(2026, 1, 1) + timedelta(days=n), n) for n in range(40)] + [("b", date(2025, 3, 1) + timedelta(days=n), n) for n in range(3)]
+    rows += [(None, date(2024, 1, 1), 7)]
+    columns = "athlete string, workout_date date, total_sets int"
+    rest = ["workout_title", "gym_detail", "total_exercises", "muscles_trained", "total_tonnage", "session_duration_min", "tonnage_per_min"]
+    frame = spark.createDataFrame(rows, columns)
+    for c in rest:
+        frame = frame.withColumn(c, F.lit(None).cast("string"))
+    got = curated.sessions(frame, entity=["athlete"]).collect()
+    days = lambda who: sorted(r.workout_date for r in got if r.athlete == who)
+    assert days("a") == [date(2026, 1, 1) + timedelta(days=n) for n in range(10, 40)]
+    assert days("b") == [date(2025, 3, n) for n in (1, 2, 3)] and days(None) == [date(2024, 1, 1)]
+    assert len(curated.sessions(frame, entity=["athlete"], limit=2).collect()) == 5
+
+
+def test_missing_texts_keep_their_lines(spark):
+    asked = spark.createDataFrame([(1, 9)], "conv_id int, turn int")
+    answers = spark.createDataFrame([(1, 1, "q", "a", False), (1, 2, None, None, False)], "conv_id int, turn int, question string, answer string, is_error boolean")
+    got = questions.answer_history(asked, answers).first()
+    assert got.n_answers == 2 and got.history == "user: q\nassistant: a\nuser: \nassistant: "
+    evidence = spark.createDataFrame([(1, 1, "t", "x"), (1, 2, None, "y"), (1, 3, "u", None)], "query_id int, rank int, title string, content string")
+    assert questions.evidence_context(evidence).first().context == "[1] t\nx\n\n[2] \ny\n\n[3] u\n"
+
+
+def test_totals_and_distinct_shuffle_once_per_side(spark):
+    from tidemark.operators.rollup import totals_and_distinct
+
+    frame = spark.createDataFrame([("a", None, 1, "x"), ("a", None, 2, "x"), (None, 1, 3, "y"), (None, 1, 4, None)], "k string, m int, v int, w string")
+    got = totals_and_distinct(frame, ["k", "m"], [F.sum("v").alias("s")], {"n": "w", "d": "v"})
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([("a", None, 3, 1, 2), (None, 1, 7, 1, 2)], key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("coalesce(") == 0
+
+
+def test_routes_are_the_published_ones(spark):
+    asked = {
+        "what did i do yesterday": "raw_sets", "my prs": "pr", "should i deload": "fatigue", "am i getting stronger": "strength",
+        "which muscle do i neglect": "volume", "push to pull": "balance", "enough sets": "volume", "how often": "sessions", "hello": "llm",
+    }
+    frame = spark.createDataFrame([(k,) for k in asked], "q string")
+    assert {r.q: r.route for r in questions.route_questions(frame, "q").collect()} == asked

@@ -125,6 +125,64 @@ def test_upsert_updates_inserts_and_follows_columns(spark, folder):
     assert table.versions() == [0, 1]
 
 
+def rows_of(table):
+    return sorted(tuple(r) for r in table.read().collect())
+
+
+def test_batches_are_taken_into_the_next_version(spark, folder):
+    make = lambda *rows: spark.createDataFrame(list(rows), "k int, v string, m int")
+    table = tables.Table(spark, f"{folder}/t")
+    table.recover("m")  # nothing there yet
+    table.append_batch(make((1, "a", 1), (2, "b", 1)), "x-0")
+    table.upsert(make((2, "B", 1)), ["k"])
+    assert rows_of(table) == [(1, "a", 1), (2, "B", 1)]
+    table.append_batch(make((3, "c", 2)), "x-1")
+    assert rows_of(table) == [(1, "a", 1), (2, "B", 1), (3, "c", 2)]
+    table.append_batch(make((2, "late", 1)), "x-0")  # a retry of a batch already merged
+    table.swap(make((3, "C", 2)), ["k"], "m")
+    assert rows_of(table) == [(1, "a", 1), (2, "B", 1), (3, "C", 2)]
+    table.replace(make((9, "z", 1)))
+    assert rows_of(table) == [(9, "z", 1)]
+    table.forget(1)
+    assert rows_of(table) == [(9, "z", 1)] and not [f for f in os.listdir(f"{folder}/t") if f.startswith("batch=")]
+
+
+def test_swap_of_a_table_with_batches_only(spark, folder):
+    make = lambda *rows: spark.createDataFrame(list(rows), "k int, m int")
+    table = tables.Table(spark, f"{folder}/t")
+    table.append_batch(make((1, 1), (2, 2)), "x-0")
+    table.swap(make((1, 3)), ["k"], "m")
+    assert rows_of(table) == [(1, 3), (2, 2)]
+
+
+def test_two_writers_never_share_a_version(spark, folder):
+    table = tables.Table(spark, f"{folder}/t")
+    table.replace(spark.range(1))
+    first, second = table._claim(set()), table._claim(set())
+    assert first != second
+    table.replace(spark.range(4))  # the claimed versions were never finished
+    assert table.read().count() == 4
+
+
+def test_two_streams_land_beside_each_other(spark, folder):
+    bronze = tables.Table(spark, f"{folder}/bronze")
+    for n in (1, 2):
+        land(f"{folder}/{n}", "a", {"type": "updated", "workout": {**WORKOUT, "id": f"w{n}"}})
+        held = state.SyncState(spark, f"{folder}/state{n}")
+        ingest.run_sync(spark, f"{folder}/{n}/landing", bronze, held, f"{folder}/checkpoint{n}")
+    assert {r.workout_id for r in bronze.read().collect()} == {"w1", "w2"}
+
+
+def test_unreadable_change_times_refuse_the_run(spark, folder):
+    bronze = tables.Table(spark, f"{folder}/bronze")
+    held = state.SyncState(spark, f"{folder}/state")
+    now = datetime(2026, 1, 5, tzinfo=timezone.utc)
+    for bad in ("not a time", None):
+        with pytest.raises(Exception, match="without a readable change time"):
+            ingest.run_window_sync(docs(spark, WORKOUT, {**WORKOUT, "id": "w9", "updated_at": bad}), bronze, held, now)
+        assert held.get() is None and not bronze.exists()
+
+
 def test_unfinished_version_is_not_read(spark, folder):
     table = tables.Table(spark, f"{folder}/t")
     table.replace(spark.range(3))

@@ -1049,6 +1049,21 @@ def upsert_incremental(spark, d):
     return table.upsert(batch, ["event_id"])
 
 
+@register("batches_then_upsert", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def batches_then_upsert(spark, d):
+    """Two streams append, a merge takes their batches in, a third batch lands beside the new version."""
+    events = read(spark, d, "events")
+    part = F.pmod("event_id", F.lit(4))
+    wrong = events.withColumn("value", F.col("value") + 1)
+    table = tables.Table(spark, scratch_path(spark, "events"))
+    table.append_batch(wrong.filter(part == 0), "a-0")
+    table.append_batch(events.filter(part == 1), "b-0")
+    table.upsert(events.filter(part.isin(0, 2)), ["event_id"])
+    table.append_batch(events.filter(part == 3), "a-1")
+    table.append_batch(wrong.filter(part == 0), "a-0")  # a retry of a batch that is part of the version
+    return table.read()
+
+
 @register("upsert_partitions", _EVENTS_AFTER.replace(", value,", ", value, CAST(ts AS DATE) AS day,"))
 def upsert_partitions(spark, d):
     """The same merge, rewriting only the days the batch touches."""

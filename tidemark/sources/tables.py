@@ -1,16 +1,24 @@
 """Tables in layered namespaces on shared storage.
 
-A table is a folder of numbered versions. Spark's committer writes ``_SUCCESS``
-last, so the newest version with that marker is the table: a reader never sees a
-half-written one and a lost executor or driver leaves the old version in place.
+A table is a folder of numbered versions and appended batches. Spark's committer
+writes ``_SUCCESS`` last, so the newest version with that marker counts, and a
+lost executor or driver leaves the old one in place. Before a version is written
+its number is claimed by a file that must not exist yet, so two writers never
+share a number; the file names the batches the version holds. The table is the
+newest version and the batches it does not hold.
+
+``swap`` rewrites partitions inside the current version: readers that run
+meanwhile may see old and new partitions side by side.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,10 +90,46 @@ class Table:
     def exists(self) -> bool:
         return bool(self.versions() or self._complete("batch="))
 
-    def read(self) -> DataFrame:
-        """The newest version, if any, and all batches appended beside it."""
-        done, batches = self.versions(), sorted(self._complete("batch="))
-        parts = [self.spark.read.parquet(f"{self.path}/v={done[-1]}")] if done else []
+    def _held(self, version: int) -> set[str]:
+        """The batches that a version holds."""
+        fs, claim = _file_system(self.spark, f"{self.path}/_version={version}")
+        if not fs.exists(claim):
+            return set()
+        stream = fs.open(claim)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return set(text.split("\n")) - {""}
+
+    def _state(self) -> tuple[int | None, list[str], set[str]]:
+        """The newest version, the batches beside it, and all batches there are."""
+        done, batches = self.versions(), set(self._complete("batch="))
+        held = self._held(done[-1]) if done else set()
+        return done[-1] if done else None, sorted(batches - held), batches
+
+    def _claim(self, batches: set[str]) -> int:
+        """The next free version number, taken for this writer alone."""
+        number = max(self.versions(), default=-1) + 1
+        while True:
+            fs, claim = _file_system(self.spark, f"{self.path}/_version={number}")
+            if fs.exists(claim):  # another writer, or one that never finished
+                number += 1
+                continue
+            try:
+                stream = fs.create(claim, False)
+            except Py4JJavaError:
+                if not fs.exists(claim):
+                    raise
+                continue
+            try:
+                stream.write("\n".join(sorted(batches)).encode())
+            finally:
+                stream.close()
+            return number
+
+    def _rows(self, version: int | None, batches: Sequence[str]) -> DataFrame:
+        parts = [self.spark.read.parquet(f"{self.path}/v={version}")] if version is not None else []
         if batches:
             folders = [f"{self.path}/batch={b}" for b in batches]
             parts.append(self.spark.read.option("mergeSchema", True).parquet(*folders))
@@ -93,42 +137,69 @@ class Table:
             raise FileNotFoundError(f"no complete version under {self.path}")
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Full refresh as a new version. ``df`` may read the current one."""
-        done = self.versions()
+    def read(self) -> DataFrame:
+        """The newest version, if any, and all batches appended beside it."""
+        version, batches, _ = self._state()
+        return self._rows(version, batches)
+
+    def _write(self, df: DataFrame, partition_by: Sequence[str], batches: set[str]) -> DataFrame:
         if partition_by:
             writer = by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
         else:
             writer = df.write.mode("overwrite")
-        target = f"{self.path}/v={done[-1] + 1 if done else 0}"
+        target = f"{self.path}/v={self._claim(batches)}"
         writer.parquet(target)
         return self.spark.read.parquet(target)
 
+    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Full refresh as a new version in place of everything there is now. ``df`` may read the current one."""
+        return self._write(df, partition_by, self._state()[2])
+
     def upsert(self, batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
-        if not self.exists():
-            return self.replace(batch, partition_by)
-        return self.replace(merge_rows(self.read(), batch, keys), partition_by)
+        """Merge into version and batches. Appended rows that share a key all give way to the merged row."""
+        version, batches, every = self._state()
+        if version is None and not batches:
+            return self._write(batch, partition_by, every)
+        # What is read and what the new version is said to hold come from one listing: a batch that lands meanwhile stays beside it.
+        return self._write(merge_rows(self._rows(version, batches), batch, keys), partition_by, every)
 
     def swap(
         self, rebuilt: DataFrame, keys: Sequence[str], partition: str, groups: DataFrame | None = None
     ) -> DataFrame:
-        """Replace whole key groups, rewriting only the partitions they lie in."""
-        current = f"{self.path}/v={self.versions()[-1]}"
+        """Replace whole key groups, rewriting only the partitions they lie in. Batches are taken in first."""
+        version, batches, every = self._state()
+        if version is None or batches:
+            self._write(self._rows(version, batches), (partition,), every)
+            version = self._state()[0]
+        current = f"{self.path}/v={version}"
         return upsert_partitions(self.spark, current, rebuilt, keys, partition, f"{current}.staged", groups)
 
     def recover(self, partition: str) -> None:
         """Finish a swap that an earlier run could not."""
+        if not self.versions():
+            return
         current = f"{self.path}/v={self.versions()[-1]}"
         finish_swap(self.spark, current, partition, f"{current}.staged")
 
     def forget(self, keep: int) -> None:
-        """Remove all but the newest ``keep`` complete versions."""
-        for version in self.versions()[:-keep]:
+        """Remove all but the newest ``keep`` complete versions, and the batches that all of these hold."""
+        done = self.versions()
+        for version in done[:-keep]:
             remove_folder(self.spark, f"{self.path}/v={version}")
+            remove_folder(self.spark, f"{self.path}/_version={version}")
+        kept = [self._held(v) for v in done[-keep:]]
+        for batch in set.intersection(*kept) if kept else ():
+            remove_folder(self.spark, f"{self.path}/batch={batch}")
 
     def append_batch(self, df: DataFrame, batch_id: int | str) -> None:
-        """Add one batch to an append-only table; repeating a batch replaces it."""
-        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        """Add one batch to an append-only table; repeating a batch replaces it.
+
+        A name must be unique over all streams that write here. A batch that the
+        current version already holds is not written again.
+        """
+        version, _, _ = self._state()
+        if version is None or str(batch_id) not in self._held(version):
+            df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
 
 @dataclass(frozen=True)
@@ -202,6 +273,8 @@ def finish_swap(spark: SparkSession, path: str, partition: str, staging: str) ->
     for value in touched:
         if value not in held:
             remove_folder(spark, f"{path}/{partition}={value}")
+    # The marker goes first: a clean-up that stops half-way is not taken for a staged swap.
+    remove_folder(spark, f"{staging}/rows/_SUCCESS")
     remove_folder(spark, staging)
 
 
@@ -220,6 +293,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def stable_id(spark: SparkSession, folder: str) -> str:
+    """An id kept in a folder: the same for its life, another one after it is lost."""
+    fs, path = _file_system(spark, f"{folder}/_stream_id")
+    if not fs.exists(path):
+        stream = fs.create(path, False)
+        stream.write(uuid.uuid4().hex[:12].encode())
+        stream.close()
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 # ---- change windows ----------------------------------------------------------------------------
 
 

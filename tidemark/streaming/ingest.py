@@ -17,7 +17,7 @@ from tidemark.sources.audit import audit, gate, read_audit
 from tidemark.sources.documents import flatten_workouts, split_events
 from tidemark.sources.files import BAD_ROW, good_rows, load_jsonl, stage, wall_clock, with_bad_row, write_jsonl
 from tidemark.sources.state import SyncState, sync_window
-from tidemark.sources.tables import Table, remove_folder, since_updated
+from tidemark.sources.tables import Table, remove_folder, since_updated, stable_id
 
 
 def event_stream(spark: SparkSession, landing: str, schema: StructType = schemas.EVENT_DOC) -> DataFrame:
@@ -30,15 +30,17 @@ def event_stream(spark: SparkSession, landing: str, schema: StructType = schemas
     )
 
 
-def load_batch(bronze: Table, loaded_at: datetime, keep: tuple[str, ...] = ()):
+def load_batch(bronze: Table, loaded_at: datetime, stream: str, keep: tuple[str, ...] = ()):
     """The ``foreachBatch`` step: split, flatten, gate, append.
 
-    The batch is written under its id; a retried batch overwrites its own rows,
-    so every event lands once however often it is attempted.
+    The batch is written under the stream's and its own id; a retried batch
+    overwrites its own rows, so every event lands once however often it is
+    attempted, and another stream into the same table never meets it.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        at = f"{bronze.path}.staged/batch={batch_id}"
+        name = f"{stream}-{batch_id}"
+        at = f"{bronze.path}.staged/batch={name}"
         staged = stage(batch, at)
         result = read_audit(audit(staged))
         if result.rows_parsed == 0:
@@ -48,7 +50,7 @@ def load_batch(bronze: Table, loaded_at: datetime, keep: tuple[str, ...] = ()):
         has_changes = not changed.isEmpty()
         gate(result, rows_expected=0 if has_changes and rows.isEmpty() else None)
         if has_changes:
-            bronze.append_batch(rows, batch_id)
+            bronze.append_batch(rows, name)
         remove_folder(batch.sparkSession, at)  # a refused batch keeps its staged rows for inspection
 
     return step
@@ -74,7 +76,7 @@ def run_sync(
     state.ensure()
     query = (
         event_stream(spark, landing, schema)
-        .writeStream.foreachBatch(load_batch(bronze, started, keep))
+        .writeStream.foreachBatch(load_batch(bronze, started, stable_id(spark, checkpoint), keep))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
