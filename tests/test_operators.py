@@ -261,3 +261,14 @@ def test_routes_are_the_published_ones(spark):
     }
     frame = spark.createDataFrame([(k,) for k in asked], "q string")
     assert {r.q: r.route for r in questions.route_questions(frame, "q").collect()} == asked
+
+
+def test_the_size_sample_is_taken_once(spark):
+    # Ids drawn anew at each evaluation would show a second look at the sample.
+    frame = spark.range(0, 4000, 1, 4).select((F.col("id") % 4).alias("k"), F.col("id").alias("o"))
+    drawn = frame.withColumn("k", F.when(F.rand() < 0.5, F.col("k")).otherwise(F.col("k") + 4))
+    big = ordering.oversized_groups(drawn, ["k"], limit=900, fraction=1.0)
+    assert [sorted(tuple(r) for r in big.collect()) for _ in range(3)].count(sorted(tuple(r) for r in big.collect())) == 3
+    got = ordering.number_within(frame, ["k"], [F.col("o")], "n", ordering.oversized_groups(frame, ["k"], limit=900, fraction=1.0))
+    rows = got.collect()
+    assert len(rows) == 4000 and all(r.n == r.o // 4 + 1 for r in rows)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import reliable_checkpoint
+from tidemark.session import reliable_checkpoint, scratch_path
 
 # A group up to this many rows is numbered by one task.
 ONE_TASK_ROWS = 4_000_000
@@ -47,14 +47,19 @@ def oversized_groups(
 
     A thin sample of the key columns suffices: a group that large leaves
     thousands of sampled rows. It only chooses how a group is numbered, never
-    which rows are kept, so a miss costs time and not correctness.
+    which rows are kept, so a miss costs time and not correctness. The sample is
+    taken once and written to the shared folder: all that ask later see the same
+    groups. ``_rows`` estimates their sizes.
     """
     fraction = fraction if fraction is not None else min(1.0, 4_000 / limit)
     picked = df.select(*keys)
     if fraction < 1.0:
         picked = picked.sample(fraction, seed=7)
     sizes = picked.groupBy(*keys).count()
-    return sizes.filter(F.col("count") > limit * fraction * 0.5).drop("count")
+    large = sizes.filter(F.col("count") > limit * fraction * 0.5).withColumn("_rows", (F.col("count") / fraction).cast("long")).drop("count")
+    path = scratch_path(df.sparkSession, "oversized")
+    large.write.parquet(path)
+    return df.sparkSession.read.schema(large.schema).parquet(path)
 
 
 def matching(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -88,7 +93,9 @@ def number_within(
     usual = matching(df, oversized, keys, "left_anti").withColumn(name, F.row_number().over(w))
 
     spark = df.sparkSession
-    slices = slices or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Twice as many ranges as full tasks: the groups' sizes are estimates.
+    rows = oversized.agg(F.sum("_rows")).first()[0]
+    slices = slices or 2 * -(-rows // ONE_TASK_ROWS)
     cut = matching(df, oversized, keys, "left_semi").repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     cut = reliable_checkpoint(cut.withColumn("_slice", F.spark_partition_id()))
 
