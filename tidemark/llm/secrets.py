@@ -22,6 +22,7 @@ it; extra columns pass through ``redact`` untouched, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 from re import _constants as op
@@ -69,6 +70,10 @@ RULES = BASE + MORE
 #: Strings that are followed at once while a query is derived; beyond it the query gets weaker, never wrong.
 MOST_STRINGS = 64
 
+SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
+#: Matches that are walked through together, see ``_chunks``.
+CHUNK = 256
+
 
 # ---- from expression to Boolean query -----------------------------------------------------------
 
@@ -186,34 +191,44 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
+def _chunks(items: Column) -> Column:
+    """A non-empty array cut into arrays of ``CHUNK``: a running state is copied per chunk and not per element."""
+    return F.transform(F.sequence(F.lit(1), F.size(items), F.lit(CHUNK)), lambda i: F.slice(items, i, F.lit(CHUNK)))
+
+
+def _before(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each value what the ones before it add up to, starting from 0, and at last the sum of all."""
+    state = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+    one = lambda s, v: F.struct(add(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+    return F.aggregate(values, state, one, lambda s: F.concat(s["out"], F.array(s["at"])))
+
+
 def _matches(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of one rule as an array of (start, rank, end, kind).
 
     The text is split at the matches; lengths of pieces and matches add up to positions.
     """
     pattern = F.lit(rule.pattern)
-    zero = F.lit(0).cast("int")
-
-    def walk(parts: Column) -> Column:
-        state = F.struct(zero.alias("at"), F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>").alias("out"))
 
-        def one(s: Column, p: Column) -> Column:
-            start = s["at"] + p["gap"]
-            end = start + p["size"]
-            span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-            out = F.when(p["weight"] >= rule.least, F.concat(s["out"], F.array(span))).otherwise(s["out"])
-            return F.struct(end.alias("at"), out.alias("out"))
+    def one(s: Column, p: Column) -> Column:
+        start = s["at"] + p["gap"]
+        end = start + p["size"]
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
+        out = F.when(p["weight"] >= rule.least, F.concat(s["out"], F.array(span))).otherwise(s["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
 
-        return F.aggregate(parts, state, one, lambda s: s["out"])
+    def walk(chunks: Column) -> Column:
+        sizes = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("int"), lambda a, p: a + p["gap"] + p["size"]))
+        begin = lambda at: F.struct(at.alias("at"), F.array().cast(SPANS).alias("out"))
+        spans = lambda at: F.transform(chunks, lambda c, k: F.aggregate(c, begin(F.get(at, k)), one, lambda s: s["out"]))
+        return F.flatten(let(_before(sizes, lambda a, n: a + n), spans))
 
     hits = F.regexp_extract_all(text, pattern, F.lit(0))
     groups = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else hits
     sized = F.zip_with(hits, groups, lambda h, g: F.struct(F.length(h).alias("size"), F.length(g).alias("weight")))
     gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
     parts = F.zip_with(F.slice(gaps, F.lit(1), F.size(gaps) - 1), sized, lambda g, s: F.struct(g.alias("gap"), s["size"].alias("size"), s["weight"].alias("weight")))
-    return F.when(F.regexp_like(text, pattern), let(parts, walk)).otherwise(
-        F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
-    )
+    return F.when(F.regexp_like(text, pattern), let(let(parts, _chunks), walk)).otherwise(F.array().cast(SPANS))
 
 
 def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, column: str = "spans") -> DataFrame:
@@ -221,7 +236,7 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, column: str = "
     text = F.coalesce("text", F.lit(""))
     indexed = tuple(r for r in rules if trigram_query(r.pattern) != [[]])
     rest = [(n, r) for n, r in enumerate(rules) if r not in indexed]
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
+    empty = F.array().cast(SPANS)
     scanned = F.concat(empty, *[_matches(text, r, n) for n, r in rest])
     own = docs.withColumn("_scanned", scanned)
     if indexed:
@@ -257,18 +272,31 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secre
     ``n_chars`` follows the text where the column is there. NULL texts stay NULL.
     """
 
-    def cut(spans: Column) -> Column:
-        state = F.struct(F.lit(0).cast("int").alias("at"), F.lit("").alias("out"))
+    def cut(chunks: Column) -> Column:
+        ends = F.transform(chunks, lambda c: F.array_max(F.transform(c, lambda s: s["end"])))
+
+        def pieces(at: Column) -> Column:
+            return F.transform(chunks, lambda c, k: piece(c, F.get(at, k), F.get(at, k + 1)))
+
+        def piece(spans: Column, begin: Column, end: Column) -> Column:
+            return let(F.substring(F.col("text"), begin + 1, end - begin), lambda own: masked(spans, begin, own))
+
+        def masked(spans: Column, begin: Column, own: Column) -> Column:
+            def one(s: Column, p: Column) -> Column:
+                before = F.substring(own, s["at"] - begin + 1, p["start"] - s["at"])
+                out = F.when(p["start"] >= s["at"], F.concat(s["out"], before, F.lit(mask))).otherwise(s["out"])
+                return F.struct(F.greatest(s["at"], p["end"]).alias("at"), out.alias("out"))
+
+            return F.aggregate(spans, F.struct(begin.alias("at"), F.lit("").alias("out")), one, lambda s: s["out"])
 
-        def one(s: Column, p: Column) -> Column:
-            fresh = p["start"] >= s["at"]
-            before = F.substring(F.col("text"), s["at"] + 1, p["start"] - s["at"])
-            return F.struct(F.greatest(s["at"], p["end"]).alias("at"), F.when(fresh, F.concat(s["out"], before, F.lit(mask))).otherwise(s["out"]).alias("out"))
+        def whole(at: Column) -> Column:
+            rest = F.substring(F.col("text"), F.element_at(at, -1) + 1, F.length("text"))
+            return F.concat(F.array_join(pieces(at), ""), rest)
 
-        return F.aggregate(spans, state, one, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
+        return let(_before(ends, F.greatest), whole)
 
     found = with_spans(packed(docs, "doc_id", "text"), rules)
-    row = F.col("row").withField("text", cut(F.col("spans")))
+    row = F.col("row").withField("text", let(_chunks(F.col("spans")), cut))
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.length(row["text"]).cast(docs.schema["n_chars"].dataType))
     return found.select(F.when(F.size("spans") > 0, row).otherwise(F.col("row")).alias("row")).select("row.*")
