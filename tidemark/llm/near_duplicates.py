@@ -41,6 +41,8 @@ PERCENT = 85
 LEAST_EQUAL = 86
 #: Set elements in one block of a bucket that is compared inside.
 BLOCK_ELEMENTS = 1 << 20
+#: A class with more than this part of all documents is hot: there are fewer than this many.
+HOT_CLASSES = 256
 
 
 def shingles(found: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +252,8 @@ def near_duplicates(docs: DataFrame, star_rounds: int = 2) -> DataFrame:
     sketch = stored(own.mapInArrow(_sketch, "doc_id long, n_shingles long, set_id binary, signature binary"), "sketch")
     classes = stored(
         sketch.filter("set_id is not null").groupBy("set_id").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"),
+            F.count("*").alias("copies"),
         ),
         "classes",
     )
@@ -282,15 +285,32 @@ def near_duplicates(docs: DataFrame, star_rounds: int = 2) -> DataFrame:
     group = classes.join(roots, F.col("set_id") == F.col("node"))
     least = group.groupBy("root").agg(F.min("doc_id").alias("least"))
     named = group.join(least, "root").select("set_id", F.col("least").alias("linked"))
-    component = classes.select("set_id", F.col("doc_id").alias("least")).join(named, "set_id", "left")
-    component = component.select("set_id", F.coalesce("linked", "least").alias("component_id"))
-    out = sketch.select("doc_id", "n_shingles", "set_id").join(component, "set_id", "left")
-    component_id = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn(
+    component = classes.select("set_id", "copies", F.col("doc_id").alias("least")).join(named, "set_id", "left")
+    component = stored(component.select("set_id", "copies", F.coalesce("linked", "least").alias("component_id")), "named")
+    return _spread(sketch.select("doc_id", "n_shingles", "set_id"), component).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
+def _spread(sketch: DataFrame, component: DataFrame) -> DataFrame:
+    """Each document with its class's component.
+
+    Documents of classes with more than a ``1 / HOT_CLASSES`` share of all, at
+    most ``HOT_CLASSES`` of them, meet their component by broadcast and those
+    without words meet none, so no task gets all copies of one text.
+    """
+    floor = (component.agg(F.sum("copies")).first()[0] or 0) / HOT_CLASSES
+    hot = F.broadcast(component.filter(F.col("copies") > floor).drop("copies"))
+    rest = sketch.filter("set_id is not null").join(hot.select("set_id"), "set_id", "left_anti")
+    parts = [
+        sketch.join(hot, "set_id"),
+        rest.join(component.filter(F.col("copies") <= floor).drop("copies"), "set_id"),
+        sketch.filter("set_id is null").withColumn("component_id", F.col("doc_id")),
+    ]
+    named = [p.select("doc_id", "n_shingles", "component_id") for p in parts]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 def _stars(members: DataFrame, turn: int) -> DataFrame:
     """One hub of each bucket with all others, or with those of other components where these are known."""
     rank = F.col("set_id") if turn == 0 else F.xxhash64("set_id", "key", F.lit(turn))
