@@ -132,7 +132,6 @@ def rows_of(table):
 def test_batches_are_taken_into_the_next_version(spark, folder):
     make = lambda *rows: spark.createDataFrame(list(rows), "k int, v string, m int")
     table = tables.Table(spark, f"{folder}/t")
-    table.recover("m")  # nothing there yet
     table.append_batch(make((1, "a", 1), (2, "b", 1)), "x-0")
     table.upsert(make((2, "B", 1)), ["k"])
     assert rows_of(table) == [(1, "a", 1), (2, "B", 1)]
@@ -192,29 +191,73 @@ def test_unfinished_version_is_not_read(spark, folder):
     assert table.read().count() == 5
 
 
-def test_partition_swap_moves_rows_and_drops_empty_folders(spark, folder):
+def test_partition_swap_moves_rows_and_takes_over_other_folders(spark, folder):
     table = tables.Table(spark, f"{folder}/t")
     schema = "s string, v int, m int"
     table.replace(spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("b", 3, 2), ("c", 4, 3)], schema), ["m"])
-    before = os.path.getmtime(f"{folder}/t/v=0/m=3")
-    rebuilt = spark.createDataFrame([("a", 9, 2)], schema)
+    reader = table.read()
     groups = spark.createDataFrame([("a",)], "s string")
-    got = table.swap(rebuilt, ["s"], "m", groups)
-    assert sorted(tuple(r) for r in got.select("s", "v", "m").collect()) == [("a", 9, 2), ("b", 3, 2), ("c", 4, 3)]
-    assert not os.path.exists(f"{folder}/t/v=0/m=1") and os.path.getmtime(f"{folder}/t/v=0/m=3") == before
-
-
-def test_interrupted_swap_is_finished(spark, folder):
+    got = table.swap(spark.createDataFrame([("a", 9, 2)], schema), ["s"], "m", groups)
+    now = [("a", 9, 2), ("b", 3, 2), ("c", 4, 3)]
+    for rows in (got, table.read()):
+        assert sorted(tuple(r) for r in rows.select("s", "v", "m").collect()) == now
+    assert not os.path.exists(f"{folder}/t/v=1/m=3") and not os.path.exists(f"{folder}/t/v=1/m=1")
+    # Who read before the swap still sees the table as it was.
+    assert sorted(r.v for r in reader.collect()) == [1, 2, 3, 4]
+    # Partition 3 lies in the first version and outlives it.
+    table.swap(spark.createDataFrame([("b", 5, 4)], schema), ["s"], "m")
+    table.forget(keep=1)
+    assert table.versions() == [2] and os.listdir(f"{folder}/t/v=0") == ["m=3"]
+    assert sorted(tuple(r) for r in table.read().select("s", "v", "m").collect()) == [("a", 9, 2), ("b", 5, 4), ("c", 4, 3)]
+    table.replace(spark.createDataFrame([("z", 1, 1)], schema), ["m"])
+    table.forget(keep=1)
+    assert [n for n in os.listdir(f"{folder}/t") if n.startswith("v=")] == ["v=3"]
+
+
+def test_interrupted_swap_leaves_the_table(spark, folder):
     table = tables.Table(spark, f"{folder}/t")
     schema = "s string, v int, m int"
     table.replace(spark.createDataFrame([("a", 1, 1), ("b", 3, 2)], schema), ["m"])
-    # staged completely, then the run died: a moved from partition 1 to 2
-    spark.createDataFrame([(1,), (2,)], "m int").write.parquet(f"{folder}/t/v=0.staged/touched")
-    spark.createDataFrame([("a", 9, 2), ("b", 3, 2)], schema).write.parquet(f"{folder}/t/v=0.staged/rows")
-    for _ in range(2):
-        table.recover("m")
-        got = sorted(tuple(r) for r in table.read().select("s", "v", "m").collect())
-        assert got == [("a", 9, 2), ("b", 3, 2)] and not os.path.exists(f"{folder}/t/v=0.staged")
+    rebuilt = spark.createDataFrame([("a", 9, 2)], schema)
+    # It dies with its number claimed, then with a part of the folders written.
+    table._claim(set())
+    assert sorted(r.v for r in table.read().collect()) == [1, 3]
+    rebuilt.write.partitionBy("m").parquet(f"{folder}/t/v=1")
+    os.remove(f"{folder}/t/v=1/_SUCCESS")
+    assert sorted(r.v for r in table.read().collect()) == [1, 3]
+    assert sorted(r.v for r in table.swap(rebuilt, ["s"], "m").collect()) == [3, 9] and table.versions() == [0, 2]
+
+
+def test_a_table_that_swaps_lose_all_rows_of_is_empty(spark, folder):
+    table = tables.Table(spark, f"{folder}/t")
+    table.replace(spark.createDataFrame([("a", 1, 1)], "s string, v int, m int"), ["m"])
+    table.swap(spark.createDataFrame([], "s string, v int, m int"), ["s"], "m", spark.createDataFrame([("a",)], "s string"))
+    assert table.read().columns == ["s", "v", "m"] and table.read().count() == 0
+
+
+def test_batches_are_compacted(spark, folder):
+    table = tables.Table(spark, f"{folder}/t")
+    for n in range(3):
+        table.append_batch(spark.createDataFrame([(n,)], "k int"), f"x-{n}")
+    assert sorted(r.k for r in table.compact().collect()) == [0, 1, 2]
+    table.append_batch(spark.createDataFrame([(7, "w")], "k int, w string"), "x-3")
+    table.compact()
+    table.forget(1)
+    assert sorted(r.k for r in table.read().collect()) == [0, 1, 2, 7]
+    assert not [f for f in os.listdir(f"{folder}/t") if f.startswith("batch=")]
+
+
+def test_large_exports_are_read_in_splits(spark, folder):
+    line = 'Push,t0,t1,"a ""b"" c",Bench,,,8.5,normal,100,%d,,,\n'
+    path = write(folder, "in/a.csv", HEADER + "\n" + "".join(line % n for n in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 32 * 1024)
+    try:
+        plain = files.load_csv(spark, path)
+        assert plain.rdd.getNumPartitions() > 1 and plain.count() == 5000 and plain.distinct().count() == 5000
+        whole = files.load_csv(spark, path, line_breaks=True)
+        assert whole.rdd.getNumPartitions() == 1 and plain.exceptAll(whole).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_old_versions_are_forgotten(spark, folder):

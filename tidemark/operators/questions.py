@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,18 +60,20 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def route(text: Column) -> Column:
-    """Name of the first route whose words occur in the question."""
+def route(text: Column, routes: Sequence[tuple[str, list[str], list[str]]] = tuple(ROUTES)) -> Column:
+    """Name of the first of ``routes`` (name, stems, whole phrases) whose words occur in the question."""
     lowered = F.lower(text)
     rules = []
-    for label, stems, words in ROUTES:
+    for label, stems, words in routes:
         tests = ([has_stems(lowered, stems)] if stems else []) + ([has_words(lowered, words)] if words else [])
         rules.append((tests[0] | tests[1] if len(tests) == 2 else tests[0], label))
     return first_match(rules, NO_ROUTE)
 
 
-def route_questions(df: DataFrame, text: str, out: str = "route") -> DataFrame:
-    return df.withColumn(out, route(F.col(text)))
+def route_questions(
+    df: DataFrame, text: str, out: str = "route", routes: Sequence[tuple[str, list[str], list[str]]] = tuple(ROUTES)
+) -> DataFrame:
+    return df.withColumn(out, route(F.col(text), routes))
 
 
 def answer_pairs(messages: DataFrame, conv: str, turn: str, role: str, text: str, block: int = 4096) -> DataFrame:
@@ -95,12 +99,15 @@ def answer_history(
 ) -> DataFrame:
     """Per question, its last ``keep`` good answers as ``user: .. / assistant: ..`` lines.
 
-    ``answers`` holds (conv, turn, question, answer, is_error). Good answers get
+    ``answers`` holds (conv, turn, question, answer, is_error) and may hold
+    ``resolved``, the question as it was understood, which is shown in place of the
+    plain one where it is not NULL. Good answers get
     an ordinal per conversation; a question needs the ordinals just below its
     own place, an equi-join on (conversation, ordinal) that no single long
     conversation can overload.
     """
-    good = answers.filter(~F.col("is_error")).select(conv, turn, "question", "answer")
+    asked_as = F.coalesce("resolved", "question") if "resolved" in answers.columns else F.col("question")
+    good = answers.filter(~F.col("is_error")).select(conv, turn, asked_as.alias("question"), "answer")
     both = asked.select(conv, turn, F.lit(0).alias("_good")).unionByName(
         good.select(conv, turn, F.lit(1).alias("_good"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,8 @@ from tidemark.functions.labels import first_match
 from tidemark.functions.text import explicit_tag
 from tidemark.operators.lookup import caseless_lookup, range_lookup
 from tidemark.operators.ordering import ONE_TASK_ROWS, collapse_duplicates, number_within, oversized_groups, matching
+from tidemark.session import scratch_path
+from tidemark.sources.files import stage
 from tidemark.sources.tables import replace_groups, since_loaded
 
 # Working set types, as spelled in the raw log.
@@ -51,15 +53,20 @@ GRAIN = ["workout_id", "exercise_title", "set_index", "set_occurrence"]
 SAME_SET = ["workout_id", "exercise_title", "set_index", "set_type", "weight_kg", "reps"]
 
 
-def venue_from_text(tag_text: Column, explicit: Column, explicit_first: bool = False) -> Column:
-    rules = [(tag_text.contains(word), name) for word, name in VENUE_WORDS]
+def venue_from_text(
+    tag_text: Column,
+    explicit: Column,
+    explicit_first: bool = False,
+    venue_words: Sequence[tuple[str, str]] = tuple(VENUE_WORDS),
+) -> Column:
+    rules = [(tag_text.contains(word), name) for word, name in venue_words]
     if explicit_first:
         rules.insert(0, (explicit.isNotNull(), explicit))
     return first_match(rules, explicit)
 
 
-def venue_parent(venue: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for pair in VENUE_PARENTS.items() for x in pair])
+def venue_parent(venue: Column, parents: Mapping[str, str] = VENUE_PARENTS) -> Column:
+    known = F.create_map(*[F.lit(x) for pair in parents.items() for x in pair]) if parents else F.lit(None).cast("map<string,string>")
     return F.when(venue.isNotNull(), F.coalesce(F.try_element_at(known, venue), F.lit("other")))
 
 
@@ -72,6 +79,9 @@ def clean_sets(
     joined_tag_text: bool = False,
     latest_load_only: bool = False,
     one_task_rows: int = ONE_TASK_ROWS,
+    working_types: Sequence[str] = tuple(WORKING_TYPES),
+    venue_words: Sequence[tuple[str, str]] = tuple(VENUE_WORDS),
+    venue_parents: Mapping[str, str] = VENUE_PARENTS,
 ) -> DataFrame:
     """Working sets, deduplicated, numbered, typed and enriched.
 
@@ -86,10 +96,11 @@ def clean_sets(
     * Copies are equal in session, exercise, index, type, load and repetitions;
       other fields may differ and follow the newest load.
 
-    ``locations`` must carry the entity columns when there are any.
+    ``locations`` must carry the entity columns when there are any. The set types
+    that count, the venue words (first match wins) and the venues' parents are parameters.
     """
     entity = list(entity)
-    working = raw.filter(F.col("set_type").isin(*WORKING_TYPES))
+    working = raw.filter(F.col("set_type").isin(*working_types))
     if latest_load_only:
         newest = raw.groupBy(*entity, "workout_id").agg(F.max("_loaded_at").alias("_loaded_at"))
         working = working.join(newest, [*entity, "workout_id", "_loaded_at"], "left_semi")
@@ -97,7 +108,7 @@ def clean_sets(
     # The widest-ranging key leads, so that sorting rarely has to look past it.
     natural = ["workout_id", "exercise_title", "set_index", *entity]
     oversized = oversized_groups(working, natural, one_task_rows)
-    read = _read_texts(working, entity, explicit_first, joined_tag_text)
+    read = _read_texts(working, entity, explicit_first, joined_tag_text, venue_words)
     if oversized.isEmpty():
         # One shuffle serves both steps: copies of a set share its natural key.
         oversized, read = None, read.repartition(*natural)
@@ -161,7 +172,7 @@ def clean_sets(
         F.coalesce("_custom", F.lit(False)).alias("is_custom_exercise"),
         F.col("_unmatched").alias("is_unmapped_exercise"),
         F.trim(F.coalesce("_venue", F.nullif("range_gym_detail", F.lit("")), "range_gym")).alias("gym_detail"),
-        F.trim(F.coalesce(venue_parent(F.col("_venue")), "range_gym")).alias("gym"),
+        F.trim(F.coalesce(venue_parent(F.col("_venue"), venue_parents), "range_gym")).alias("gym"),
         F.col("_venue").isNotNull().alias("is_gym_tagged"),
         "exercise_notes",
         "_source",
@@ -175,15 +186,19 @@ def rebuilt_sessions(
     """(sessions with rows loaded since the last run, their clean sets).
 
     Each touched session is rebuilt from all its raw rows, because a set's
-    number depends on the session's other sets.
+    number depends on the session's other sets. Both the sessions and these
+    rows are written once to the shared folder; what follows reads only them.
     """
     keys = [*entity, "workout_id"]
-    touched = since_loaded(raw, target).select(*keys).distinct()
-    again = matching(raw, touched, keys, "left_semi")
+    spark = raw.sparkSession
+    touched = stage(since_loaded(raw, target).select(*keys).distinct(), scratch_path(spark, "touched"))
+    again = stage(matching(raw, touched, keys, "left_semi"), scratch_path(spark, "again"))
     return touched, clean_sets(again, locations, templates, entity, **options)
 
 
-def _read_texts(raw: DataFrame, entity: Sequence[str], explicit_first: bool, joined_tag_text: bool) -> DataFrame:
+def _read_texts(
+    raw: DataFrame, entity: Sequence[str], explicit_first: bool, joined_tag_text: bool, venue_words: Sequence[tuple[str, str]]
+) -> DataFrame:
     """Times and venue read from the texts, before any shuffle; long texts not needed later stay behind."""
     description, notes = (F.coalesce(c, F.lit("")) for c in ("description", "exercise_notes"))
     tag_text = F.lower(F.concat_ws(" ", description, notes))
@@ -202,7 +217,7 @@ def _read_texts(raw: DataFrame, entity: Sequence[str], explicit_first: bool, joi
         "rpe",
         "_source",
         "_loaded_at",
-        venue_from_text(tag_text, explicit, explicit_first).alias("_venue"),
+        venue_from_text(tag_text, explicit, explicit_first, venue_words).alias("_venue"),
     )
 
 

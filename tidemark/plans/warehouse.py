@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.plans import body, load, progress, sessions, sets, volume
+from tidemark.session import scratch_path
+from tidemark.sources.files import stage
 from tidemark.sources.tables import Catalog
 
 
@@ -36,7 +38,7 @@ class Warehouse:
 
     def _write(self, layer: str, name: str) -> None:
         stored = self.catalog.table(layer, name)
-        if name == "sets":
+        if name in ("sets", "sessions"):
             stored.replace(by_month(self.plan(name)), partition_by=[MONTH])
         else:
             stored.replace(self.plan(name))
@@ -69,23 +71,24 @@ class Warehouse:
     def refresh(self) -> None:
         """Incremental run: sets and sessions by load time, readings by date, the rest in full.
 
-        Touched sessions are swapped inside their months; other months of the
-        set table stay as they are.
+        Touched sessions are swapped inside their months; other months of the two
+        tables stay as they are. Sessions go first: the next run finds what to do by the
+        newest load in the set table, so a run that dies in between is repeated.
         """
         e, source = list(self.entity), self.catalog.source
         held = self.catalog.table("silver", "sets")
         if not held.exists():
             return self.rebuild()
-        held.recover(MONTH)
-        # The mark is taken before the swap moves it.
-        old_sessions = self.silver("sessions")
+        # Built from the sets as they are, should it not be there yet.
+        self.silver("sessions")
+        keys = [*e, "workout_id"]
         touched, rebuilt = sets.rebuilt_sessions(
             self.silver("sets"), source("raw_workouts"), source("gym_locations"), source("dim_exercise_templates"), e
         )
-        held.swap(by_month(rebuilt), [*e, "workout_id"], MONTH, touched)
-        self.catalog.table("silver", "sessions").replace(
-            sessions.refresh_sessions(old_sessions, self.silver("sets"), e)
-        )
+        rebuilt = stage(rebuilt, scratch_path(rebuilt.sparkSession, "rebuilt"))
+        summary = by_month(sessions.session_summary(rebuilt, e))
+        self.catalog.table("silver", "sessions").swap(summary, keys, MONTH, touched)
+        held.swap(by_month(rebuilt), keys, MONTH, touched)
         readings = self.catalog.table("silver", "measurements")
         readings.upsert(
             body.new_measurements(source("raw_measurements"), readings.read(), e), [*e, "measurement_date"]
@@ -93,7 +96,7 @@ class Warehouse:
         self.rebuild(["bodyweight_daily", "training_day", "muscle_week", "training_week", "exercise_progression"])
 
 
-# Partition of the set table: year and month as a number, 0 for undated sets.
+# Partition of the set and session tables: year and month as a number, 0 for undated rows.
 MONTH = "part_month"
 
 

@@ -28,14 +28,17 @@ def load_csv(
     null_texts: Sequence[str] = tuple(NULL_TEXTS),
     source: str = "csv",
     integers: Sequence[str] = ("set_index",),
-    line_breaks: bool = True,
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """Header-first, quoted CSV by position. Broken lines stay visible in ``_corrupt_record``.
 
     ``integers`` are cast after loading, so a bad number is a NULL in a good row.
-    Quoted texts may hold line breaks, which makes each file one task; pass
-    ``line_breaks=False`` for very large files known to have none.
+    Files are read in splits unless a quoted text holds a line break, as then only a
+    whole file can be parsed. By default a scan of the lines finds that out;
+    ``line_breaks`` says it beforehand.
     """
+    if line_breaks is None:
+        line_breaks = has_open_quotes(spark, path)
     raw = (
         spark.read.schema(with_bad_row(schema))
         .option("header", True)
@@ -58,6 +61,11 @@ def load_csv(
     return raw.select(*columns, F.lit(source).alias("_source"), BAD_ROW)
 
 
+def has_open_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether some line has an odd number of quotes: a quoted text that goes on in the next line, or a broken one."""
+    return not spark.read.text(path).filter(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
+
+
 def as_raw_sets(exported: DataFrame, loaded_at: datetime) -> DataFrame:
     """Export rows in the shape of the raw set table.
 

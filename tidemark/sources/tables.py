@@ -4,15 +4,19 @@ A table is a folder of numbered versions and appended batches. Spark's committer
 writes ``_SUCCESS`` last, so the newest version with that marker counts, and a
 lost executor or driver leaves the old one in place. Before a version is written
 its number is claimed by a file that must not exist yet, so two writers never
-share a number; the file names the batches the version holds. The table is the
-newest version and the batches it does not hold.
-
-``swap`` rewrites partitions inside the current version: readers that run
-meanwhile may see old and new partitions side by side.
+share a number; the file (its claim) names the schema, the batches the version
+holds and the partition folders it takes over from earlier versions. The table is
+the newest version and the batches it does not hold.
+
+A written version never changes. ``swap`` writes the touched partitions as a new
+version that takes over all others, so a reader sees the table before or after it,
+and a swap that dies leaves the table as it was. Merges start from the version
+they read: two that run at once do not see each other, and the later one counts.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -21,8 +25,10 @@ from functools import reduce
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.ordering import matching
+from tidemark.session import scratch_path
 
 # The layers and the raw tables that are read as sources.
 LAYERS = ("bronze", "silver", "gold")
@@ -70,17 +76,18 @@ class Table:
     spark: SparkSession
     path: str
 
+    def _names(self, below: str = "") -> list[str]:
+        fs, root = _file_system(self.spark, self.path + below)
+        return [status.getPath().getName() for status in fs.listStatus(root)] if fs.exists(root) else []
+
     def _complete(self, prefix: str) -> list[str]:
         """What follows ``prefix`` in the names of the completely written folders."""
         fs, root = _file_system(self.spark, self.path)
-        if not fs.exists(root):
-            return []
         path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        folders = [status.getPath() for status in fs.listStatus(root)]
         return [
-            f.getName()[len(prefix) :]
-            for f in folders
-            if f.getName().startswith(prefix) and fs.exists(path_of(f, "_SUCCESS"))
+            name[len(prefix) :]
+            for name in self._names()
+            if name.startswith(prefix) and fs.exists(path_of(root, f"{name}/_SUCCESS"))
         ]
 
     def versions(self) -> list[int]:
@@ -90,17 +97,27 @@ class Table:
     def exists(self) -> bool:
         return bool(self.versions() or self._complete("batch="))
 
-    def _held(self, version: int) -> set[str]:
-        """The batches that a version holds."""
+    def _claimed(self, version: int) -> list[str]:
+        """The lines of a version's claim: ``#`` schema, ``@`` folder taken over, else a batch."""
         fs, claim = _file_system(self.spark, f"{self.path}/_version={version}")
         if not fs.exists(claim):
-            return set()
+            return []
         stream = fs.open(claim)
         try:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return set(text.split("\n")) - {""}
+        return [line for line in text.split("\n") if line]
+
+    def _held(self, version: int) -> set[str]:
+        """The batches that a version holds."""
+        return {line for line in self._claimed(version) if line[0] not in "#@"}
+
+    def _layout(self, version: int) -> dict[str, int]:
+        """Partition folder to the version it lies in; empty for a table without partitions."""
+        taken = (line[3:].split("/", 1) for line in self._claimed(version) if line.startswith("@v="))
+        own = {name: version for name in self._names(f"/v={version}") if "=" in name}
+        return {name: int(owner) for owner, name in taken} | own
 
     def _state(self) -> tuple[int | None, list[str], set[str]]:
         """The newest version, the batches beside it, and all batches there are."""
@@ -108,7 +125,7 @@ class Table:
         held = self._held(done[-1]) if done else set()
         return done[-1] if done else None, sorted(batches - held), batches
 
-    def _claim(self, batches: set[str]) -> int:
+    def _claim(self, batches: set[str], lines: Sequence[str] = ()) -> int:
         """The next free version number, taken for this writer alone."""
         number = max(self.versions(), default=-1) + 1
         while True:
@@ -123,13 +140,25 @@ class Table:
                     raise
                 continue
             try:
-                stream.write("\n".join(sorted(batches)).encode())
+                stream.write("\n".join([*lines, *sorted(batches)]).encode())
             finally:
                 stream.close()
             return number
 
+    def _version_rows(self, version: int) -> DataFrame:
+        schemas = [T.StructType.fromJson(json.loads(line[1:])) for line in self._claimed(version) if line[0] == "#"]
+        # With the schema at hand no footer is read, and folders of any version have the same types.
+        reader = lambda: self.spark.read.schema(schemas[0]) if schemas else self.spark.read
+        folders: dict[int, list[str]] = {}
+        for name, owner in sorted(self._layout(version).items()):
+            folders.setdefault(owner, []).append(f"{self.path}/v={owner}/{name}")
+        if set(folders) <= {version}:
+            return reader().parquet(f"{self.path}/v={version}")
+        parts = [reader().option("basePath", f"{self.path}/v={owner}").parquet(*own) for owner, own in folders.items()]
+        return reduce(DataFrame.unionByName, parts)
+
     def _rows(self, version: int | None, batches: Sequence[str]) -> DataFrame:
-        parts = [self.spark.read.parquet(f"{self.path}/v={version}")] if version is not None else []
+        parts = [self._version_rows(version)] if version is not None else []
         if batches:
             folders = [f"{self.path}/batch={b}" for b in batches]
             parts.append(self.spark.read.option("mergeSchema", True).parquet(*folders))
@@ -142,14 +171,17 @@ class Table:
         version, batches, _ = self._state()
         return self._rows(version, batches)
 
-    def _write(self, df: DataFrame, partition_by: Sequence[str], batches: set[str]) -> DataFrame:
+    def _write(
+        self, df: DataFrame, partition_by: Sequence[str], batches: set[str], taken: dict[str, int] | None = None
+    ) -> DataFrame:
         if partition_by:
             writer = by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
         else:
             writer = df.write.mode("overwrite")
-        target = f"{self.path}/v={self._claim(batches)}"
-        writer.parquet(target)
-        return self.spark.read.parquet(target)
+        lines = ["#" + df.schema.json(), *sorted(f"@v={owner}/{name}" for name, owner in (taken or {}).items())]
+        number = self._claim(batches, lines)
+        writer.parquet(f"{self.path}/v={number}")
+        return self._version_rows(number)
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Full refresh as a new version in place of everything there is now. ``df`` may read the current one."""
@@ -163,32 +195,57 @@ class Table:
         # What is read and what the new version is said to hold come from one listing: a batch that lands meanwhile stays beside it.
         return self._write(merge_rows(self._rows(version, batches), batch, keys), partition_by, every)
 
+    def compact(self, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Take all batches into one new version, so that reading no longer lists each of them."""
+        version, batches, every = self._state()
+        rows = self._rows(version, batches)
+        return self._write(rows, partition_by, every) if batches else rows
+
     def swap(
         self, rebuilt: DataFrame, keys: Sequence[str], partition: str, groups: DataFrame | None = None
     ) -> DataFrame:
-        """Replace whole key groups, rewriting only the partitions they lie in. Batches are taken in first."""
+        """Replace whole key groups, rewriting only the partitions they lie in. Batches are taken in first.
+
+        Every row whose key is in ``groups`` (by default: in ``rebuilt``) gives way
+        to the rows of ``rebuilt``. Partition values must not be NULL and must read the same in
+        a folder's name (numbers, dates, plain words).
+        """
         version, batches, every = self._state()
         if version is None or batches:
             self._write(self._rows(version, batches), (partition,), every)
             version = self._state()[0]
-        current = f"{self.path}/v={version}"
-        return upsert_partitions(self.spark, current, rebuilt, keys, partition, f"{current}.staged", groups)
-
-    def recover(self, partition: str) -> None:
-        """Finish a swap that an earlier run could not."""
-        if not self.versions():
-            return
-        current = f"{self.path}/v={self.versions()[-1]}"
-        finish_swap(self.spark, current, partition, f"{current}.staged")
+        batch = _staged(rebuilt, "rebuilt")
+        incoming = _staged((batch if groups is None else groups).select(*keys).distinct(), "groups")
+        target = self._version_rows(version)
+        losing = matching(target.select(*keys, partition), incoming, keys, "left_semi").select(partition)
+        values = _values(losing.unionByName(batch.select(partition)), partition)
+        affected = target.filter(F.col(partition).isin(values))
+        merged = replace_groups(affected, batch.select(*target.columns), incoming, keys)
+        touched = {f"{partition}={v}" for v in values}
+        taken = {name: owner for name, owner in self._layout(version).items() if name not in touched}
+        return self._write(merged, (partition,), self._held(version), taken)
 
     def forget(self, keep: int) -> None:
-        """Remove all but the newest ``keep`` complete versions, and the batches that all of these hold."""
-        done = self.versions()
-        for version in done[:-keep]:
+        """Remove all but the newest ``keep`` complete versions, and the batches that all of these hold.
+
+        Folders that a kept version takes over stay.
+        """
+        kept = self.versions()[-keep:]
+        needed = {(owner, name) for v in kept for name, owner in self._layout(v).items()}
+        numbers = (int(n[2:]) for n in self._names() if n.startswith("v=") and n[2:].isdigit())
+        for version in sorted(n for n in numbers if kept and n < kept[0]):
+            # First of all it is no complete version any more.
+            remove_folder(self.spark, f"{self.path}/v={version}/_SUCCESS")
+            names = self._names(f"/v={version}")
+            if any((version, name) in needed for name in names):
+                for name in names:
+                    if (version, name) not in needed:
+                        remove_folder(self.spark, f"{self.path}/v={version}/{name}")
+                continue
             remove_folder(self.spark, f"{self.path}/v={version}")
             remove_folder(self.spark, f"{self.path}/_version={version}")
-        kept = [self._held(v) for v in done[-keep:]]
-        for batch in set.intersection(*kept) if kept else ():
+        held = [self._held(v) for v in kept]
+        for batch in set.intersection(*held) if held else ():
             remove_folder(self.spark, f"{self.path}/batch={batch}")
 
     def append_batch(self, df: DataFrame, batch_id: int | str) -> None:
@@ -278,6 +335,13 @@ def finish_swap(spark: SparkSession, path: str, partition: str, staging: str) ->
     remove_folder(spark, staging)
 
 
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    """Computed once, in the shared folder."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _values(df: DataFrame, partition: str) -> list:
     """The distinct partition values, one per folder of the table."""
     return [r[0] for r in df.select(partition).distinct().collect()]
