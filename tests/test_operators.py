@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import arith, text
 from tidemark.operators import documents, lookup, ordering, questions, similarity
-from tidemark.plans import curated
+from tidemark.plans import curated, sets
 
 
 def test_sliced_numbering_of_one_hot_key(spark):
@@ -272,3 +272,22 @@ def test_the_size_sample_is_taken_once(spark):
     got = ordering.number_within(frame, ["k"], [F.col("o")], "n", ordering.oversized_groups(frame, ["k"], limit=900, fraction=1.0))
     rows = got.collect()
     assert len(rows) == 4000 and all(r.n == r.o // 4 + 1 for r in rows)
+
+
+def test_rules_are_parameters(spark):
+    frame = spark.createDataFrame([("my knee hurts",), ("how heavy",)], "q string")
+    got = questions.route_questions(frame, "q", routes=[("health", ["knee"], []), ("load", [], ["heavy"])]).collect()
+    assert {r.q: r.route for r in got} == {"my knee hurts": "health", "how heavy": "load"}
+    venue = sets.venue_from_text(F.lower("q"), F.lit(None).cast("string"), venue_words=[("knee", "clinic")])
+    places = frame.select("q", sets.venue_parent(venue, {"clinic": "town"}).alias("p"), sets.venue_parent(venue, {}).alias("none"))
+    assert {tuple(r) for r in places.collect()} == {("my knee hurts", "town", "other"), ("how heavy", None, None)}
+
+
+def test_history_shows_the_resolved_question(spark):
+    asked = spark.createDataFrame([(1, 9)], "conv_id int, turn int")
+    answers = spark.createDataFrame(
+        [(1, 1, "and legs?", "Volume of legs?", "a", False), (1, 2, "plain", None, None, False)],
+        "conv_id int, turn int, question string, resolved string, answer string, is_error boolean",
+    )
+    got = questions.answer_history(asked, answers).first()
+    assert got.history == "user: Volume of legs?\nassistant: a\nuser: plain\nassistant: "

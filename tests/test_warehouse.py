@@ -15,7 +15,7 @@ from tidemark.sources.documents import template_rows
 from tidemark.sources.files import as_raw_sets, default_landmarks
 from tidemark.sources.schemas import TEMPLATE_DOC
 from tidemark.sources.state import SyncState
-from tidemark.sources.tables import Catalog
+from tidemark.sources.tables import Catalog, Table
 from tidemark.streaming.ingest import run_sync
 
 SF = "/root/testdata/sf0.001"
@@ -82,6 +82,30 @@ def test_refresh_equals_rebuild(spark, folder):
     steps.refresh()
     for layer, name in TABLES:
         assert rows(steps.table(layer, name)) == rows(full.table(layer, name)), name
+    for name in ("sets", "sessions"):
+        # Months without a touched session keep their files.
+        assert set(steps.catalog.table("silver", name)._layout(1).values()) == {0, 1}
+
+
+def test_interrupted_refresh_is_repeated(spark, folder, monkeypatch):
+    raw = log.raw_workouts(spark, SF)
+    wh = build(spark, folder, raw.filter(F.col("_loaded_at") < F.lit(CUT)))
+    wh.rebuild(["sets", "sessions", "measurements"])
+    wh.catalog.materialise("bronze", "raw_workouts", raw)
+    with monkeypatch.context() as m:
+        whole = Table.swap
+
+        def dies(self, *args):
+            if self.path.endswith("/sets"):
+                raise RuntimeError("driver lost")
+            return whole(self, *args)
+
+        m.setattr(Table, "swap", dies)
+        with pytest.raises(RuntimeError):
+            wh.refresh()
+    wh.refresh()
+    fresh = wh.plan("sets")
+    assert rows(wh.silver("sets")) == rows(fresh) and rows(wh.silver("sessions")) == rows(wh.plan("sessions"))
 
 
 def test_declared_checks(spark, folder):

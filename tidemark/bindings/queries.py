@@ -16,7 +16,7 @@ from tidemark.functions import casts, labels, text
 from tidemark.functions.arith import percent_change, rounded_ratio
 from tidemark.operators import calendar, documents, grid, lookup, ordering, quality, questions, similarity
 from tidemark.plans import body, curated, load, progress, sessions, sets, volume
-from tidemark.plans.warehouse import TABLES, check_report
+from tidemark.plans.warehouse import MONTH, TABLES, by_month, check_report
 from tidemark.session import scratch_path
 from tidemark.sources import audit, files, schemas, state, tables
 from tidemark.sources import documents as feeds
@@ -1118,6 +1118,18 @@ def refresh_sets(spark, d):
     return sets.refresh_sets(table.read(), raw, places, dim, ATHLETE)
 
 
+@register("swap_sets", o.with_(o.SETS, then=o.SETS_OUT + " FROM sets"))
+def swap_sets(spark, d):
+    """The same two steps on a table in month folders: only months of touched sessions are written anew."""
+    source = warehouse(spark, d).catalog.source
+    raw, places, dim = source("raw_workouts"), source("gym_locations"), source("dim_exercise_templates")
+    first = sets.clean_sets(raw.filter(F.col("_loaded_at") <= F.lit(datetime(1999, 1, 1))), places, dim, ATHLETE)
+    table = tables.Table(spark, scratch_path(spark, "sets"))
+    table.replace(by_month(first), [MONTH])
+    touched, rebuilt = sets.rebuilt_sessions(table.read(), raw, places, dim, ATHLETE)
+    return table.swap(by_month(rebuilt), [*ATHLETE, "workout_id"], MONTH, touched).drop(MONTH)
+
+
 @register("refresh_sessions", o.with_(o.SETS, o.SESSIONS, then="SELECT * FROM sessions"))
 def refresh_sessions(spark, d):
     clean = warehouse(spark, d).silver("sets")
