@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import SF, alnum, blank
@@ -212,6 +215,39 @@ def test_a_large_group_near_the_threshold_is_joined_exactly(spark, star_rounds,
     assert got == component and len(set(component.values())) < 100
 
 
+def joined_by(links, n):
+    """Which of n rows hang together by links."""
+    group = list(range(n))
+    for a, b in links:
+        group = [group[a] if g == group[b] else g for g in group]
+    return {frozenset(i for i in range(n) if group[i] == g) for g in group}
+
+
+def near_rows(sets):
+    return [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 100 * len({*a} & {*b}) >= 85 * len({*a} | {*b})]
+
+
+def test_cells_are_searched_whole_in_every_row_order():
+    # b is near d and d near a, but a not near b; e is near nothing.
+    a, d, b, e = (np.arange(k, k + 100, dtype=np.uint64) for k in (0, 5, 10, 1000))
+    for cell in itertools.permutations([a, b, d, e]):
+        links = near_duplicates._cell_links([*range(4)], [*"pqrs"], list(cell))
+        assert joined_by(links, 4) == joined_by(near_rows(cell), 4) and len(links) == 2
+
+
+def test_cells_with_families_that_overtake_each_other():
+    chance = random.Random(7)
+    for _ in range(60):
+        cell = [np.arange(k, k + 60, dtype=np.uint64) for k in (chance.randrange(90) + 1000 * chance.randrange(3) for _ in range(24))]
+        comps = list(range(24))
+        for i, j in near_rows(cell):
+            if chance.random() < 0.1:
+                comps = [comps[i] if c == comps[j] else c for c in comps]
+        given = [(i, j) for i in range(24) for j in range(i) if comps[i] == comps[j]]
+        links = near_duplicates._cell_links([*range(24)], comps, cell)
+        assert joined_by(given + links, 24) == joined_by(given + near_rows(cell), 24)
+
+
 def test_deduplicated_keeps_one_row_of_each_group(odd, docs):
     _, component = groups([(r.doc_id, r.text) for r in docs.collect()])
     assert {r.doc_id for r in near_duplicates.deduplicated(docs).collect()} == set(component.values())

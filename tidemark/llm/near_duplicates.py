@@ -169,8 +169,9 @@ def _cell_links(ids: list, comps: list, sets: list[np.ndarray]) -> list[tuple]:
     """Links that join components of one cell, found by exact intersection sizes.
 
     Postings of all elements give the intersections of one set with all others
-    at once. Sets are taken from the smallest component on; those of the largest
-    one need no turn, as every pair across components has an end outside of it.
+    at once. The next set is one of the component with the fewest sets not yet
+    taken. The search ends when all of these lie in one component: every pair
+    across components then has an end that had its turn.
     """
     number = {c: k for k, c in enumerate(dict.fromkeys(comps))}
     if len(number) < 2:
@@ -182,13 +183,10 @@ def _cell_links(ids: list, comps: list, sets: list[np.ndarray]) -> list[tuple]:
     order = np.argsort(element, kind="stable")
     element, owner = element[order], owner[order]
     links = []
-    weight = np.bincount(comp)
-    for x in np.argsort(weight[comp], kind="stable").tolist():
-        weight = np.bincount(comp)
-        if weight.max() == len(comp):
-            break
-        if weight[comp[x]] == weight.max() and comp[x] == weight.argmax():
-            continue
+    todo = np.arange(len(sets))
+    while (comp[todo] != comp[todo[0]]).any():
+        at = int(np.bincount(comp[todo])[comp[todo]].argmin())
+        x, todo = int(todo[at]), np.delete(todo, at)
         lo, hi = np.searchsorted(element, sets[x], "left"), np.searchsorted(element, sets[x], "right")
         n = hi - lo
         at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
