@@ -9,8 +9,8 @@ from collections import Counter
 
 import pytest
 
-from tests.llm.conftest import alnum
-from tidemark.llm import language_id, language_model, mixing, quality, toxicity
+from tests.llm.conftest import SF, alnum
+from tidemark.llm import language_id, language_model, mixing, quality, queries, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -50,6 +50,44 @@ def test_language_model_equals_plain_counts(which, sizes, request):
         assert g[2] is None or abs(g[2] - w[2]) < 1e-4 * max(1, w[1])
 
 
+def recursive_scores(rows, order):
+    words = [alnum(r.text) for r in rows]
+    grams = lambda w: Counter(tuple(w[i:i + k]) for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    every = sum((grams(w) for w in words), Counter())
+    total = sum(map(len, words))
+    out = []
+    for r, w in zip(rows, words):
+        own = grams(w)
+
+        def score(g):
+            c = every[g] - own[g]
+            if len(g) == 1:
+                return math.log(max(c, 1) / total)
+            return math.log(c / max(every[g[:-1]] - own[g[:-1]], 1)) if c > 0 else math.log(0.4) + score(g[1:])
+
+        out.append((r.doc_id, len(w), sum(score(tuple(w[max(i + 1 - order, 0):i + 1])) for i in range(len(w))) if w else None))
+    return out
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+@pytest.mark.parametrize("sizes", [{"order": 3}, {"order": 3, "hot": 5, "known": 60}, {"order": 4, "hot": 200, "known": 300, "heavy": 500}, {"order": 5, "hot": 0, "known": 1}])
+def test_language_model_backs_off_through_all_orders(which, sizes, request):
+    frame = request.getfixturevalue(which)
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], x[2] or 0.0)
+    want = sorted(recursive_scores(frame.collect(), sizes["order"]), key=key)
+    got = sorted(((r.doc_id, r.n_words, r.log_score) for r in language_model.stupid_backoff(frame, **sizes).collect()), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    for g, w in zip(got, want):
+        assert (g[2] is None) == (w[2] is None)
+        assert g[2] is None or abs(g[2] - w[2]) < 1e-4 * max(1, w[1])
+
+
+def test_registered_language_model_is_of_order_three(spark, docs):
+    want = {(i, n): x for i, n, x in recursive_scores(docs.collect(), 3)}
+    got = {(r.doc_id, r.n_words): r.log_score for r in queries.op3_lm_scores(spark, SF).collect()}
+    assert set(got) == set(want) and all(x is None if want[k] is None else abs(x - want[k]) < 1e-4 * max(1, k[1]) for k, x in got.items())
+
+
 def test_language_model_of_nothing(empty):
     assert language_model.stupid_backoff(empty).count() == 0
 

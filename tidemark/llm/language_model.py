@@ -1,20 +1,27 @@
 """Stupid-backoff scores of every document against the counts of all others.
 
-The model has bigrams over unigrams. Counts of all documents are used, and a
-document's own occurrences are taken off before it is scored (otherwise every
-bigram would be known). With c' for counts without the document's own:
+``order`` is the length of the longest n-grams, 2 at least. Counts of all documents
+are used, and a document's own occurrences are taken off before it is scored
+(otherwise every n-gram would be known). With c' for counts without the document's
+own, a word w after the context x of up to order - 1 words scores
 
-* a bigram with c'(uv) > 0 scores log(c'(uv) / max(c'(u), 1)),
-* any other scores log(0.4) + log(max(c'(v), 1) / N),
-* the first word scores log(max(c'(v), 1) / N).
+* log(c'(xw) / c'(x)) if c'(xw) > 0,
+* otherwise log(0.4) and the score of w after x without its first word,
+* log(max(c'(w), 1) / N) without any context.
 
 N is the number of words of the corpus; ``score`` is the mean over the words.
 
 How the work is cut. Word counts come first. The ``HOT`` most frequent words
 are known to every task, with the counts of all bigrams among them (at most
-HOT * HOT numbers), so those bigrams never travel. All others go to the
-partition of their hash, one row per document and distinct bigram, where their
-count is taken; such a bigram holds a word outside the HOT most frequent ones and so
+HOT * HOT numbers), so those bigrams never travel, and neither do the longer
+n-grams among them with more than a 1/``HEAVY`` share of all words (fewer than
+HEAVY of each length). All other n-grams of three and more words go to the partition
+of their hash, one row per document and distinct n-gram, where their count is taken;
+those that another document has come back to their document's text. What is
+left are words that no longer n-gram settles, and bigrams as the context of a
+trigram. Bigrams go to the partition of their hash, again one row per document
+and distinct bigram, with the number of words they score and of trigrams they begin;
+such a bigram holds a word outside the HOT most frequent ones and so
 has at most a 1/HOT share of all words. Word counts of the ``KNOWN`` most
 frequent words travel too (16 bytes each); rows with a rarer word are joined to the
 word counts.
@@ -38,16 +45,20 @@ from tidemark.llm.textbuf import ALNUM, Words, mix, slices, words
 
 BACKOFF = 0.4
 HOT = 1024
+HEAVY = 1 << 16
 KNOWN = 1 << 21
 #: Logarithms travel and are summed as multiples of 2 ** -18: compact, and the same in any order of summing.
 #: A bigram's settled part is shifted by 32 to be positive, and so takes three bytes.
 SHIFT, UNIT = 32.0, float(1 << 18)
 #: Distinct words that a task holds before it hands its counts on.
 HELD = 1 << 20
+#: A count comes back as its logarithm, below the place of its n-gram.
+PLACE = 1 << 24
 
 # What differs from row to row comes first and together: so a shuffled row compresses best.
-ROWS = "pair long, delta int, key long, tf int, base long, doc_id long, n_words int"
-RARE = "pair long, u long, v long, own_u int, own_v int, tf int, key long"
+GRAMS = "gram long, key long, place long, tf int"
+ROWS = "pair long, delta int, key long, tf int, scored int, begun int, base long, doc_id long, n_words int"
+RARE = "pair long, u long, v long, own_u int, own_v int, tf int, scored int, begun int, key long"
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +122,120 @@ def _hot_pairs(hot):
     return run
 
 
+def _longer(hashes: np.ndarray, doc: np.ndarray, order: int):
+    """For each length from 3 on the positions where such n-grams begin, and their hashes."""
+    gram = _pair(hashes[:-1], hashes[1:])
+    for k in range(3, order + 1):
+        gram = _pair(gram[:-1], gram[1:])
+        at = np.flatnonzero(doc[k - 1:] == doc[:len(gram)])
+        yield k, at, gram[at]
+
+
+def _heavy_counts(hot, pairs, floor, order):
+    """Counts of the longer n-grams that hold no bigram of ``floor`` or fewer occurrences."""
+
+    def emit(k, grams, n):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(grams), k, np.int32)), pa.array(grams.view(np.int64)), pa.array(n)], names=["k", "gram", "n"]
+        )
+
+    def run(batches):
+        size = len(hot)
+        parts = {k: [] for k in range(3, order + 1)}
+        for batch in batches:
+            for _, offsets, data in slices(batch):
+                found = words(offsets, data, ALNUM)
+                hashes = found.hashes()
+                rank = _place(hot, hashes)
+                u, v = rank[:-1], rank[1:]
+                often = (u >= 0) & (v >= 0) & (pairs[np.where((u >= 0) & (v >= 0), u * size + v, 0)] > floor)
+                rare = np.concatenate([[0], np.cumsum(~often)])
+                for k, at, gram in _longer(hashes, found.of_doc(), order):
+                    grams, counts = np.unique(gram[rare[at + k - 1] == rare[at]], return_counts=True)
+                    if len(grams):
+                        parts[k].append((grams, counts.astype(np.int64)))
+                    if sum(len(p[0]) for p in parts[k]) > HELD:
+                        parts[k] = [_counted(parts[k])]
+                        if len(parts[k][0][0]) > HELD // 2:
+                            yield emit(k, *parts[k].pop())
+        for k, held in parts.items():
+            if held:
+                yield emit(k, *_counted(held))
+
+    return run
+
+
+def _grams(model, order):
+    """Rows of the distinct longer n-grams of a document that another one may have and whose count is not known to all."""
+
+    def run(batches):
+        for batch in batches:
+            for part, offsets, data in slices(batch):
+                yield from _gram_rows(part, offsets, data, order, *model.value)
+
+    return run
+
+
+def _gram_rows(part, offsets, data, order, known, counts, hot, size, pairs, total, heavy):
+    found, hashes, at, doc, rank = _prepare(offsets, data, known)
+    alone = (rank >= 0) & (counts[rank] == _own(doc, hashes)) if len(known) else np.zeros(len(hashes), bool)
+    # Nor is an n-gram known elsewhere that holds a bigram of hot words which is not.
+    hu, hv = hot[rank[at]], hot[rank[at + 1]]
+    inside = (rank[at] >= 0) & (rank[at + 1] >= 0) & (hu >= 0) & (hv >= 0)
+    unseen = np.zeros(len(hashes), bool)
+    unseen[at] = inside & (pairs[np.where(inside, hu * size + hv, 0)] == _own(doc[at], _pair(hashes[at], hashes[at + 1])))
+    unseen = np.concatenate([[0], np.cumsum(unseen)])
+    alone = np.concatenate([[0], np.cumsum(alone)])
+    keys = _keys(part, offsets, data)
+    for k, at, gram in _longer(hashes, doc, order):
+        often = _place(heavy[k][0], gram) >= 0
+        keep = ~often & (alone[at + k] == alone[at]) & (unseen[at + k - 1] == unseen[at])
+        at, gram, tf = _distinct(doc, at[keep], gram[keep])[:3]
+        place = (at - found.first[doc[at]]) * (order - 2) + k - 3
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram.view(np.int64)), pa.array(keys[doc[at]].view(np.int64)), pa.array(place), pa.array(tf.astype(np.int32))],
+            names=["gram", "key", "place", "tf"],
+        )
+
+
+def _settled(part, found, hashes, doc, order, heavy):
+    """Per word what n-grams of three and more words settle: the score (0 elsewhere), whether, and whether it begins a trigram that scores.
+
+    Such a trigram's score lacks the logarithm of the count of its first two
+    words; a word that is not settled scores by bigram or word, and this score has
+    the back-off steps down to the bigram.
+    """
+    n = len(hashes)
+    score, done, begins = np.zeros(n), np.zeros(n, bool), np.zeros(n, bool)
+    length = np.minimum(np.arange(n) - found.first[doc] + 1, order)
+    if order > 2:
+        lists = part.column("hits")
+        hits = lists.flatten().to_numpy()
+        of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()) if lists.null_count == 0 else lists.value_lengths().fill_null(0).to_numpy())
+        place = hits // PLACE
+        word, size = found.first[of] + place // (order - 2), place % (order - 2) + 3
+        before = None
+        for k, at, gram in _longer(hashes, doc, order):
+            log = np.full(n, -1.0)
+            log[word[size == k]] = (hits[size == k] % PLACE) / UNIT
+            if len(at):
+                rank, first, tf = _groups(doc[at], gram)
+                log[at[rank]] = np.repeat(np.maximum.reduceat(log[at[rank]], first), tf)
+                often = _place(heavy[k][0], gram[rank])
+                left = np.append(heavy[k][1], 0)[often] - np.repeat(tf, tf)
+                log[at[rank]] = np.where(often >= 0, np.where(left > 0, np.log(np.maximum(left, 1)), -1.0), log[at[rank]])
+            start = np.flatnonzero(log >= 0)
+            end = start + k - 1
+            score[end] = log[start] - (0 if before is None else before[start]) + (length[end] - k) * np.log(BACKOFF)
+            done[end] = True
+            if k == 3:
+                begins[start] = True
+            else:
+                begins[end - 2] = False
+            before = log
+    return np.where(done, score, np.maximum(length - 2, 0) * np.log(BACKOFF)), done, begins
+
+
 def _groups(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Equal (document, key) side by side: the order, where each group begins, and its size."""
     both = mix(keys ^ mix(doc.astype(np.uint64) + np.uint64(1)))
@@ -120,33 +245,34 @@ def _groups(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order, first, np.diff(np.append(first, len(both)))
 
 
-def _distinct(doc: np.ndarray, at: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One place per document and distinct bigram, in text order; the bigrams there; how often each occurs."""
+def _distinct(doc: np.ndarray, at: np.ndarray, pair: np.ndarray, *marks: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One place per document and distinct n-gram, in text order; the n-grams there; how often each occurs, and how often with each mark."""
     order, first, size = _groups(doc[at], pair)
     lead = order[first]
     rank = np.argsort(lead)
     lead = lead[rank]
-    return at[lead], pair[lead], size[rank]
+    sums = [np.add.reduceat(m[order].astype(np.int64), first)[rank] if len(first) else np.zeros(0, np.int64) for m in marks]
+    return at[lead], pair[lead], size[rank], *sums
 
 
-def _known(model):
+def _known(model, order):
     """Rows of a document and of its distinct bigrams of known words."""
 
     def run(batches):
         for batch in batches:
             for part, offsets, data in slices(batch):
-                yield _known_rows(part, offsets, data, *model.value)
+                yield _known_rows(part, offsets, data, order, *model.value)
 
     return run
 
 
-def _rare(model):
+def _rare(model, order):
     """Rows of the distinct bigrams, and of first words, with a word that is not among the known ones."""
 
     def run(batches):
         for batch in batches:
             for part, offsets, data in slices(batch):
-                yield _rare_rows(part, offsets, data, model.value[0])
+                yield _rare_rows(part, offsets, data, order, model.value[0], model.value[-1])
 
     return run
 
@@ -180,7 +306,7 @@ def _own(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return own
 
 
-def _known_rows(part, offsets, data, known, counts, hot, size, pairs, total) -> pa.RecordBatch:
+def _known_rows(part, offsets, data, order, known, counts, hot, size, pairs, total, heavy) -> pa.RecordBatch:
     """``hot`` numbers the hot ones among the known words, -1 for all others."""
     found, hashes, at, doc, rank = _prepare(offsets, data, known)
     own = _own(doc, hashes)
@@ -189,16 +315,19 @@ def _known_rows(part, offsets, data, known, counts, hot, size, pairs, total) ->
     log_count = np.log(left.astype(np.float64))
     unigram = log_count - np.log(total)
 
+    settled, done, begins = _settled(part, found, hashes, doc, order, heavy)
     at = at[(rank[at] >= 0) & (rank[at + 1] >= 0)]
-    u, pair, tf = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]))
+    u, pair, tf, scored, begun = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]), ~done[at + 1], begins[at])
     d, v = doc[u], u + 1
     fallback = np.log(BACKOFF) + unigram[v]
-    base = np.bincount(d, tf * fallback, minlength=n_docs).astype(np.float64)  # counts of nothing are integers
+    base = np.bincount(d, scored * fallback, minlength=n_docs).astype(np.float64)  # counts of nothing are integers
+    base += np.bincount(doc, settled, minlength=n_docs)
 
     hu, hv = hot[rank[u]], hot[rank[v]]
     inside = (hu >= 0) & (hv >= 0)
     c = pairs[np.where(inside, hu * size + hv, 0)] - tf
-    gain = np.where(inside & (c > 0), tf * (np.log(np.maximum(c, 1)) - log_count[u] - fallback), 0.0)
+    log_c = np.log(np.maximum(c, 1))
+    gain = np.where(inside & (c > 0), scored * (log_c - log_count[u] - fallback) - begun * log_c, 0.0)
     base += np.bincount(d, gain, minlength=n_docs)
 
     some = np.flatnonzero(found.counts)
@@ -216,19 +345,20 @@ def _known_rows(part, offsets, data, known, counts, hot, size, pairs, total) ->
             pa.array(np.concatenate([pair[out], mix(keys)]).view(np.int64)),
             pa.array(np.concatenate([np.rint((log_count[u[out]] + fallback[out] + SHIFT) * UNIT), more]).astype(np.int32)),
             pa.array(np.concatenate([keys[d[out]], keys]).view(np.int64)),
-            pa.array(np.concatenate([tf[out], more]).astype(np.int32)),
+            *[pa.array(np.concatenate([x[out], more]).astype(np.int32)) for x in (tf, scored, begun)],
             pa.array(np.concatenate([np.zeros(n_out), np.rint(base * UNIT)]).astype(np.int64), mask=no_doc),
             pa.concat_arrays([pa.nulls(n_out, pa.int64()), part.column("doc_id")]),
             pa.array(np.concatenate([np.zeros(n_out, np.int32), found.counts.astype(np.int32)]), mask=no_doc),
         ],
-        names=["pair", "delta", "key", "tf", "base", "doc_id", "n_words"],
+        names=["pair", "delta", "key", "tf", "scored", "begun", "base", "doc_id", "n_words"],
     )
 
 
-def _rare_rows(part, offsets, data, known) -> pa.RecordBatch:
+def _rare_rows(part, offsets, data, order, known, heavy) -> pa.RecordBatch:
     found, hashes, at, doc, rank = _prepare(offsets, data, known)
+    _, done, begins = _settled(part, found, hashes, doc, order, heavy)
     at = at[(rank[at] < 0) | (rank[at + 1] < 0)]
-    u, pair, tf = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]))
+    u, pair, tf, scored, begun = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]), ~done[at + 1], begins[at])
     begin = found.first[np.flatnonzero(found.counts)]
     begin = begin[rank[begin] < 0]
     keys = _keys(part, offsets, data)
@@ -242,44 +372,76 @@ def _rare_rows(part, offsets, data, known) -> pa.RecordBatch:
             pa.array(np.concatenate([pair, mix(keys[doc[begin]] + np.uint64(7))]).view(np.int64)),
             pa.array(left.view(np.int64), mask=no_u), pa.array(hashes[v].view(np.int64)),
             pa.array(own_u.astype(np.int32)), pa.array(own[v].astype(np.int32)),
-            pa.array(np.concatenate([tf, np.ones(len(begin), np.int64)]).astype(np.int32)), pa.array(keys[doc[v]].view(np.int64)),
+            *[pa.array(np.concatenate([x, np.full(len(begin), n)]).astype(np.int32)) for x, n in ((tf, 1), (scored, 1), (begun, 0))],
+            pa.array(keys[doc[v]].view(np.int64)),
         ],
-        names=["pair", "u", "v", "own_u", "own_v", "tf", "key"],
+        names=["pair", "u", "v", "own_u", "own_v", "tf", "scored", "begun", "key"],
     )
 
 
-def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN) -> DataFrame:
+def _keyed(batches):
+    for batch in batches:
+        for part, offsets, data in slices(batch):
+            columns = [part.column("doc_id"), part.column("text"), pa.array(_keys(part, offsets, data).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "key"])
+
+
+def _with_hits(own: DataFrame, model, order: int) -> DataFrame:
+    """The documents with the places and counts of their longer n-grams that another one has."""
+    rows = own.mapInArrow(_grams(model, order), GRAMS).withColumn("c", F.expr("sum(tf) over (partition by gram)") - F.col("tf"))
+    hit = F.col("place") * PLACE + F.rint(F.log(F.col("c").cast("double")) * UNIT).cast("long")
+    # A set, as equal rows share a key.
+    hits = rows.filter("c > 0").select("key", hit.alias("hit")).groupBy("key").agg(F.collect_set("hit").alias("hits"))
+    keyed = own.mapInArrow(_keyed, "doc_id long, text string, key long")
+    return stored(keyed.join(hits, "key", "left").select("doc_id", "text", "hits"), "hits")
+
+
+def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN, order: int = 2, heavy: int = HEAVY) -> DataFrame:
     """Per document its words, summed log score and mean log score (natural logarithms)."""
+    if order < 2:
+        raise ValueError("order is 2 at least")
     context = docs.sparkSession.sparkContext
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     unigrams = stored(own.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     total = max(unigrams.agg(F.sum("n")).first()[0] or 0, 1)
     top = unigrams.orderBy(F.desc("n"), "word").limit(max(known, hot)).toArrow()
     word, count = top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    order = np.argsort(word)
+    by_word = np.argsort(word)
     hot_words = np.sort(word[:hot])
     cells = own.mapInArrow(_hot_pairs(hot_words), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(max(len(hot_words) ** 2, 1), np.int64)
     pairs[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    table = word[order]
+    table = word[by_word]
     # One entry more, so that there is something to look at without any word.
     hot_of = np.append(_place(hot_words, table), -1).astype(np.int32)
-    model = context.broadcast((table, count[order], hot_of, len(hot_words), pairs, total))
-
-    rows = own.mapInArrow(_known(model), ROWS)
+    often = {}
+    if order > 2:
+        longer = own.mapInArrow(_heavy_counts(hot_words, pairs, total // heavy, order), "k int, gram long, n long")
+        longer = longer.groupBy("k", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") > total // heavy).toArrow()
+        k, gram, n = (longer.column(c).to_numpy() for c in ("k", "gram", "n"))
+        gram = gram.view(np.uint64)
+        by_gram = np.argsort(gram)
+        often = {j: (gram[by_gram][k[by_gram] == j], n[by_gram][k[by_gram] == j]) for j in range(3, order + 1)}
+    model = context.broadcast((table, count[by_word], hot_of, len(hot_words), pairs, total, often))
+    if order > 2:
+        own = _with_hits(own, model, order)
+
+    rows = own.mapInArrow(_known(model, order), ROWS)
     counts = lambda side: unigrams.select(F.col("word").alias(side), F.col("n").alias(f"n_{side}"))
     left = lambda side: F.log(F.greatest(F.col(f"n_{side}") - F.col(f"own_{side}"), F.lit(1)).cast("double"))
     unigram = left("v") - F.lit(float(np.log(total)))
     fallback = F.lit(float(np.log(BACKOFF))) + unigram
     first_word = F.col("u").isNull()
-    rare = own.mapInArrow(_rare(model), RARE).join(counts("v"), "v").join(counts("u"), "u", "left")
+    rare = own.mapInArrow(_rare(model, order), RARE).join(counts("v"), "v").join(counts("u"), "u", "left")
     rare = rare.select(
-        "pair", F.when(~first_word, F.rint((left("u") + fallback + SHIFT) * UNIT)).cast("int").alias("delta"), "key", "tf",
-        F.rint(F.when(first_word, unigram).otherwise(F.col("tf") * fallback) * UNIT).cast("long").alias("base"),
+        "pair", F.when(~first_word, F.rint((left("u") + fallback + SHIFT) * UNIT)).cast("int").alias("delta"), "key", "tf", "scored", "begun",
+        F.rint(F.when(first_word, unigram).otherwise(F.col("scored") * fallback) * UNIT).cast("long").alias("base"),
         F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("int").alias("n_words"),
     )
     others = F.expr("sum(tf) over (partition by pair)") - F.col("tf")
-    known_again = F.col("tf") * (F.rint((F.log(F.col("c").cast("double")) + SHIFT) * UNIT).cast("long") - F.col("delta"))
+    log_c = F.log(F.col("c").cast("double"))
+    known_again = F.col("scored") * (F.rint((log_c + SHIFT) * UNIT).cast("long") - F.col("delta"))
+    known_again -= F.col("begun") * F.rint(log_c * UNIT).cast("long")
     gain = F.when((F.col("c") <= 0) | F.col("delta").isNull(), F.lit(0).cast("long")).otherwise(known_again)
     return (
         rows.unionByName(rare)

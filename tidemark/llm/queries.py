@@ -32,7 +32,7 @@ def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op3_lm_scores(spark: SparkSession, d: str) -> DataFrame:
-    return language_model.stupid_backoff(table(spark, d, "documents"))
+    return language_model.stupid_backoff(table(spark, d, "documents"), order=3)
 
 
 def op4_warc(spark: SparkSession, d: str) -> DataFrame:
