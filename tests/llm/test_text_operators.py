@@ -256,6 +256,20 @@ def test_deduplicated_keeps_one_row_of_each_group(odd, docs):
     assert sum(r.doc_id == 4 for r in left.collect()) == 1 and not [r for r in left.collect() if r.doc_id in (5, 7)]
 
 
+def test_deduplicated_with_rows_without_an_id_and_ids_of_two_texts(spark):
+    text = lambda c, changed=0: " ".join(f"{c}{n}" if n < 200 - changed else f"{c}{n}new" for n in range(200))
+    rows = [
+        (None, text("a")), (None, text("a", 3)), (None, text("a")),  # no id in the group: one stays
+        (1, text("b")), (None, text("b")), (None, text("b", 2)),  # go, though another row without an id stays
+        (3, text("c")), (7, text("c", 2)), (7, text("d")),  # 7 stays with its other text only
+        (8, text("e")), (8, text("e", 2)), (8, text("e").upper()),  # one id, three texts of one group
+        (9, text("f")), (9, text("g")), (10, None), (10, None), (10, " "), (None, ""), (11, text("h")), (12, text("h")),
+    ]
+    left = near_duplicates.deduplicated(spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, _id long")).collect()
+    first = Counter((r.doc_id, (r.text or " ")[:1].lower()) for r in left)
+    assert first == Counter({(None, "a"): 1, (1, "b"): 1, (3, "c"): 1, (7, "d"): 1, (8, "e"): 1, (9, "f"): 1, (9, "g"): 1, (10, " "): 2, (None, " "): 1, (11, "h"): 1})
+
+
 def pages_by_hand(rows):
     top = {}
     for r in rows:

@@ -246,6 +246,11 @@ def near_duplicates(docs: DataFrame, star_rounds: int = 2) -> DataFrame:
     ``star_rounds`` trades rounds of hub comparison against work inside buckets;
     the result is the same for any number from 1 on.
     """
+    return _verdicts(docs, star_rounds).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _verdicts(docs: DataFrame, star_rounds: int = 2) -> DataFrame:
+    """With the document's set, and one of the sets of its component that names it also where no row has an id."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     sketch = stored(own.mapInArrow(_sketch, "doc_id long, n_shingles long, set_id binary, signature binary"), "sketch")
     classes = stored(
@@ -282,9 +287,10 @@ def near_duplicates(docs: DataFrame, star_rounds: int = 2) -> DataFrame:
         roots = components(links)
     group = classes.join(roots, F.col("set_id") == F.col("node"))
     least = group.groupBy("root").agg(F.min("doc_id").alias("least"))
-    named = group.join(least, "root").select("set_id", F.col("least").alias("linked"))
+    named = group.join(least, "root").select("set_id", "root", F.col("least").alias("linked"))
     component = classes.select("set_id", "copies", F.col("doc_id").alias("least")).join(named, "set_id", "left")
-    component = stored(component.select("set_id", "copies", F.coalesce("linked", "least").alias("component_id")), "named")
+    component = component.select("set_id", "copies", F.coalesce("linked", "least").alias("component_id"), F.coalesce("root", "set_id").alias("root"))
+    component = stored(component, "named")
     return _spread(sketch.select("doc_id", "n_shingles", "set_id"), component).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
@@ -303,9 +309,9 @@ def _spread(sketch: DataFrame, component: DataFrame) -> DataFrame:
     parts = [
         sketch.join(hot, "set_id"),
         rest.join(component.filter(F.col("copies") <= floor).drop("copies"), "set_id"),
-        sketch.filter("set_id is null").withColumn("component_id", F.col("doc_id")),
+        sketch.filter("set_id is null").withColumn("component_id", F.col("doc_id")).withColumn("root", F.col("set_id")),
     ]
-    named = [p.select("doc_id", "n_shingles", "component_id") for p in parts]
+    named = [p.select("doc_id", "n_shingles", "set_id", "root", "component_id") for p in parts]
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
@@ -350,14 +356,39 @@ def _inside(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _text_sets(batches):
+    for batch in batches:
+        for part, offsets, data in slices(batch, "_text", 1 << 20):
+            sets = pa.array(_set_ids(*shingles(words(offsets, data, NON_BLANK))), pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_text"), sets], names=["_id", "_text", "set_id"])
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group.
 
-    Only the ids to drop are joined. Rows equal in id and text count as one; rows
-    without an id stay only where their group has no id, one for each text.
+    Only the ids to drop are joined, where an id has one row. Of other ids and of
+    rows without one, those stay whose set represents its group (rows without an
+    id only where no row of the group has one), with the least text that has this
+    set. Rows equal in id and text count as one. A text without words is a group
+    of its own for each id.
     """
-    verdict = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    verdict = stored(verdict.filter("not kept or n > 1"), "verdict")
-    dropped = verdict.filter("not kept").select(F.col("doc_id").alias("_id"))
-    own = packed(docs).join(dropped, F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti").select("row.*")
-    return own if verdict.filter("n > 1").isEmpty() else own.dropDuplicates(["doc_id", "text"])
+    rows = stored(_verdicts(docs).select("doc_id", "set_id", "root", "kept"), "verdicts")
+    ids = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    ids = stored(ids.filter("not kept or n > 1").select(F.col("doc_id").alias("_id"), "n"), "verdict")
+    row_id = F.col("row.doc_id").cast("long")
+    own = packed(docs)
+    once = own.join(ids.select("_id"), row_id == F.col("_id"), "left_anti")
+    if ids.filter("n > 1").isEmpty() and rows.filter("doc_id is null").isEmpty():
+        return once.select("row.*")
+    several = own.join(ids.filter("n > 1").select("_id"), row_id == F.col("_id"), "left_semi").union(own.filter(row_id.isNull()))
+    several = stored(several, "several")
+    kept = rows.filter("kept and set_id is not null").groupBy("root").agg(F.min(F.struct("set_id", "doc_id")).alias("least"))
+    kept = kept.select("least.set_id", F.col("least.doc_id").alias("kept_id"))
+    texts = several.select(row_id.alias("_id"), F.col("row.text").alias("_text")).distinct()
+    texts = stored(texts.mapInArrow(_text_sets, "_id long, _text string, set_id binary"), "texts")
+    stay = texts.alias("t").join(kept.alias("k"), (F.col("t.set_id") == F.col("k.set_id")) & F.col("_id").eqNullSafe(F.col("kept_id")))
+    stay = stay.groupBy("t.set_id", "_id").agg(F.min("_text").alias("_text")).select("_id", "_text")
+    stay = stored(stay.union(texts.filter("set_id is null").select("_id", "_text")), "stay")
+    same = row_id.eqNullSafe(F.col("_id")) & F.col("row.text").eqNullSafe(F.col("_text"))
+    again = several.join(stay, same, "left_semi").select("row.*").dropDuplicates(["doc_id", "text"])
+    return once.filter(row_id.isNotNull()).select("row.*").union(again)
