@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from tests.llm.conftest import SF, alnum
 from tests.llm.test_learned_operators import statistics_by_hand
@@ -50,3 +54,23 @@ def test_odd_rows_pass_all_stages(spark, odd, empty):
                 # Other columns come through as they were.
                 assert all(r.rank == 1 and r.q_all == 2 and r._id == 5 for r in now.collect() if frame is odd)
         now.collect()
+
+
+def test_the_mixed_corpus_has_each_document_as_often_as_its_copies_say(spark, docs, odd):
+    for frame in (docs, odd):
+        mixed = cp.mix_sources(spark, frame, SF)
+        assert set(frame.columns) <= set(mixed.columns)
+        # Rates away from 1, so that some documents go and others are repeated.
+        mixed = mixed.withColumn("copies", F.pmod(F.xxhash64("text"), F.lit(4)))
+        want = Counter()
+        for r in mixed.collect():
+            want[r.doc_id, r.text, r.source] += r.copies
+        rows = cp.STAGES[-1][1](spark, mixed, SF).collect()
+        assert Counter((r.doc_id, r.text, r.source) for r in rows) == +want and len(want) > len(+want) and max(want.values()) > 1
+        assert all(1 <= r.copy <= r.copies for r in rows)
+
+
+def test_run_ends_in_the_mixed_corpus(spark):
+    rows = cp.run(spark, SF).collect()
+    assert Counter((r.doc_id, r.copies) for r in rows) == {(r.doc_id, r.copies): r.copies for r in rows}
+    assert all(r.copies > 0 and r.text is not None for r in rows if r.tokens)

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import labelled_sample, let, sampled_texts, stored
+from tidemark.llm.frames import labelled_sample, let, packed, sampled_texts, stored
 from tidemark.llm.quality import SYMBOLS
 
 SAMPLE = 8000
@@ -178,9 +178,27 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     2.3 means two copies, and a third for 30 % of such documents (by a hash of id and text).
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return _rated(own, ["doc_id"], labels, targets, budget, sample)
+
+
+def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = 1.0, sample: int = SAMPLE) -> DataFrame:
+    """``docs`` with the columns of ``mix`` beside their own; of two with one name the one of ``mix`` stays."""
+    own = packed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    out = _rated(own, ["doc_id", "row"], labels, targets, budget, sample)
+    new = [c for c in out.columns if c not in ("doc_id", "row")]
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in new], *new)
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """Each document as often as its ``copies`` say, numbered by ``copy`` from 1 on; none where they are 0."""
+    every = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    return docs.filter("copies > 0").select(*[c for c in docs.columns if c != "copy"], every)
+
+
+def _rated(own: DataFrame, keep: list[str], labels: DataFrame, targets: dict[str, float] | None, budget: float, sample: int) -> DataFrame:
     model = learn(own, labels, sample)
     members = own.select(
-        "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("tokens"), model.posterior(F.col("text")).alias("p"),
+        *keep, F.regexp_count("text", F.lit(WORD)).cast("long").alias("tokens"), model.posterior(F.col("text")).alias("p"),
         (F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)).alias("draw"),
     )
     members = stored(members, "members")
@@ -188,7 +206,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     best = F.array_position("p", F.array_max("p")).cast("int") - 1
     rate = _rate(budget, steps)
     return members.withColumn("rate", rate).select(
-        "doc_id", "tokens", F.get(F.array(*[F.lit(d) for d in model.domains]), best).alias("domain"),
+        *keep, "tokens", F.get(F.array(*[F.lit(d) for d in model.domains]), best).alias("domain"),
         *[F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(model.domains)],
         "rate", F.floor(F.col("rate") + F.col("draw")).cast("long").alias("copies"),
     )
