@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     decontamination,
+    fill_middle,
     language_id,
     language_model,
     licenses,
     mixing,
     near_duplicates,
     quality,
+    resampling,
     secrets,
     toxicity,
+    vector_file,
     warc,
 )
 from tidemark.llm.frames import table
@@ -63,11 +66,24 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(table(spark, d, "documents")))
+
+
+def op12_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "embeddings")
+    return vector_file.top_k(items, items.filter("vec_id % 50 = 0"), k=5)
+
+
+def op13_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return resampling.resampled(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_license_scan, op3_lm_scores, op4_warc, op5_mixing, op6_near_duplicates, op7_language_id,
-        op8_quality_rules, op9_toxicity, op10_decontamination,
+        op8_quality_rules, op9_toxicity, op10_decontamination, op11_fill_in_middle, op12_exact_top_k, op13_importance_resampling,
     )
 }
 
@@ -162,6 +178,78 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words_hit h USING (doc_id) LEFT JOIN items t USING (doc_id)"""
 
+OP11_SQL = """WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
+    regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS w FROM documents
+),
+h AS (
+  SELECT *, len(w) AS n, CAST('0x' || x[1:8] AS UBIGINT) AS h1, CAST('0x' || x[9:16] AS UBIGINT) AS h2,
+    CAST('0x' || x[17:24] AS UBIGINT) AS h3, CAST('0x' || x[25:32] AS UBIGINT) AS h4 FROM d
+),
+c AS (
+  SELECT *, CAST(least(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS a, CAST(greatest(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h
+),
+p AS (
+  SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle, array_to_string(w[b + 1:n], '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p"""
+
+OP12_SQL = """WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(v.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+OP13_SQL = f"""WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b] || [CAST(i AS BIGINT) FOR i IN range(8)], lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) AS v
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b)
+  )
+),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+f AS (SELECT doc_id, unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN generate_series(1, len(w) - 1)]) AS x FROM d),
+g AS (
+  SELECT unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN generate_series(1, len(w) - 1)]) AS x FROM (SELECT {_WORDS} AS w FROM benchmark)
+),
+h AS (SELECT x, hex(encode(x)) AS hex FROM (SELECT x FROM f UNION SELECT x FROM g)),
+bucket AS (
+  SELECT x, xor(list_reduce([CAST(4294967295 AS BIGINT)] || [CAST('0x' || hex[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(len(hex) // 2)],
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS k
+  FROM h, crc
+),
+s AS (SELECT k, count(*) AS n FROM f JOIN bucket USING (x) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM g JOIN bucket USING (x) GROUP BY k),
+size AS (SELECT (SELECT count(*) FROM f) AS s, (SELECT count(*) FROM g) AS t),
+gain AS (
+  SELECT k, CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * (size.s + 10000) AS DOUBLE)
+    / CAST((coalesce(s.n, 0) + 1) * (size.t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (k), size
+),
+mean AS (
+  SELECT doc_id, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM f JOIN bucket USING (x) JOIN gain USING (k) GROUP BY doc_id
+),
+score AS (
+  SELECT d.doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST(CAST('0x' || sha256('7:' || coalesce(CAST(d.doc_id AS VARCHAR), ''))[1:8] AS UBIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN mean USING (doc_id)
+),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM score WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank FROM score LEFT JOIN ranked USING (doc_id)"""
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": OP1_SQL, "op4_warc": OP4_SQL, "op6_near_duplicates": OP6_SQL, "op10_decontamination": OP10_SQL,
+    "op11_fill_in_middle": OP11_SQL, "op12_exact_top_k": OP12_SQL, "op13_importance_resampling": OP13_SQL,
 }
