@@ -144,8 +144,11 @@ def test_contamination_equals_brute_force(spark, which, block_bytes, request):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     items += [(900, "one"), (901, "five words here"), (901, "five words here"), (902, None), (903, ""), (None, "a b c d"), (904, "b c")]
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, words string")
-    got = decontamination.contamination(frame, bench, block_bytes=block_bytes).collect()
-    assert Counter(tuple(r) for r in got) == contaminated(frame.collect(), items)
+    found = decontamination.contamination(frame, bench, block_bytes=block_bytes)
+    assert Counter(tuple(r) for r in decontamination.counted(found).collect()) == contaminated(frame.collect(), items)
+    for r in found.collect():
+        at = [k for h in r.hits for k in (h.first, h.last)]
+        assert at == sorted(at) and all(0 <= k < r.n_words for k in at) and all(b.first > a.last + 1 for a, b in zip(r.hits, r.hits[1:]))
 
 
 def test_clean_documents_stay(spark, docs, empty):
@@ -154,7 +157,17 @@ def test_clean_documents_stay(spark, docs, empty):
     bad = {k[0] for k in contaminated(docs.collect(), [(r.item_id, r.text) for r in bench.collect()]) if k[5]}
     assert bad and kept == {r.doc_id for r in docs.collect()} - bad
     assert decontamination.contamination(empty, bench).count() == 0
-    assert not any(r.contaminated for r in decontamination.contamination(docs, bench.limit(0)).collect())
+    assert not any(r.contaminated for r in decontamination.counted(decontamination.contamination(docs, bench.limit(0))).collect())
+
+
+@pytest.mark.parametrize("block_bytes", [decontamination.BLOCK_BYTES, 500])
+def test_rows_without_an_id_are_judged_by_their_text(spark, block_bytes):
+    item = " ".join(f"w{n}" for n in range(30))
+    bench = spark.createDataFrame([(1, item), (2, " ".join(f"v{n}" for n in range(30)))], "item_id long, text string")
+    rows = [(None, item, 0), (None, "clean text", 1), (None, None, 2), (5, item, 3), (5, "clean text", 4), (6, "clean text", 5), (5, None, 6), (7, item, 7), (7, item, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _digest int")
+    left = decontamination.clean(docs, bench, block_bytes=block_bytes)
+    assert left.columns == docs.columns and sorted(r._digest for r in left.collect()) == [1, 2, 4, 5, 6]
 
 
 def groups(rows):

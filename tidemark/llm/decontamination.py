@@ -9,17 +9,18 @@ windows advance at once as numpy lanes.
 Edge cases: a NULL or empty text has no words and no hits (``items_sha256`` is
 the digest of the empty string); items without words or without an id are no
 patterns; repeated documents give a row each; repeated item ids count once.
-Extra columns are ignored. An empty benchmark leaves every document clean.
+Rows without an id and ids with several texts are judged text by text.
+Extra columns are ignored, and kept by ``clean``. An empty benchmark leaves
+every document clean.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import packed, stored
@@ -33,10 +34,8 @@ CLASSES = (3, 6, 12, 24, 48)
 TABLE_BITS = 20
 LANE = 512
 
-RESULT = (
-    "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-)
-HITS = "doc_id long, n_bytes long, digest binary, firsts array<long>, lengths array<long>, items array<string>"
+#: Hit words as ranges (first and last word, from 0), and the items whose windows occur, in order.
+FOUND = "n_words long, hits array<struct<first:long,last:long>>, items array<string>"
 
 
 def spaced(found: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +133,8 @@ class Matcher:
         return np.searchsorted(begin, place + 1), self.size[window] if got else window, window
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Matcher]:
-    """Distinct windows with their items, as many at a time as the block size allows."""
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[tuple[bool, Matcher]]:
+    """Distinct windows with their items, as many at a time as the block size allows, and whether one block holds all."""
 
     def cut(batches):
         for batch in batches:
@@ -156,57 +155,37 @@ def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Mat
                 )
 
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    windows = items.mapInArrow(cut, "words string, size long, item_id string").groupBy("words", "size").agg(
+    windows = stored(items.mapInArrow(cut, "words string, size long, item_id string").groupBy("words", "size").agg(
         F.sort_array(F.collect_set("item_id")).alias("items")
-    )
+    ), "windows")
     total = windows.agg(F.sum(F.octet_length("words") + 64 + F.size("items") * 16)).first()[0] or 0
     parts = max(1, -(-total // block_bytes))
     for k in range(parts):
         own = windows if parts == 1 else windows.filter(F.pmod(F.xxhash64("words"), F.lit(parts)) == k)
-        yield Matcher([(r[0], r[1], list(r[2])) for r in own.collect()])
+        yield parts == 1, Matcher([(r[0], r[1], list(r[2])) for r in own.collect()])
 
 
-def _covered(total: int, firsts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    edge = np.zeros(total + 1, np.int64)
-    np.add.at(edge, firsts, 1)
-    np.add.at(edge, firsts + lengths, -1)
-    return np.cumsum(edge[:-1]) > 0
+def _ranges(firsts: np.ndarray, lasts: np.ndarray) -> list[dict]:
+    """Ranges of words joined where they touch or overlap."""
+    order = np.argsort(firsts, kind="stable")
+    firsts, lasts = firsts[order], np.maximum.accumulate(lasts[order]) if len(order) else lasts
+    begins = np.flatnonzero(np.concatenate([[True], firsts[1:] > lasts[:-1] + 1])) if len(order) else order
+    ends = np.append(begins[1:], len(firsts)) - 1 if len(order) else order
+    return [{"first": a, "last": b} for a, b in zip(firsts[begins].tolist(), lasts[ends].tolist())]
 
 
-def _result(ids, n_words, n_hit, items) -> pa.RecordBatch:
-    ids_hash = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
-    bad = [h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words)]
+def _batch(part: pa.RecordBatch, rows: np.ndarray, n_words: list[int], hits: list, items: list) -> pa.RecordBatch:
+    kept = [c for c in part.schema.names if c not in ("text", "found")]
+    own = part if len(rows) == part.num_rows else part.take(pa.array(rows))
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(ids_hash, pa.string()), pa.array(bad, pa.bool_())],
-        names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+        [*[own.column(c) for c in kept], pa.array(n_words, pa.int64()), pa.array(hits, kind), pa.array(items, pa.list_(pa.string()))],
+        names=[*kept, "n_words", "hits", "items"],
     )
 
 
-def _scan(block):
-    """One block of windows: final rows straight from the scan."""
-
-    def run(batches):
-        matcher = block.value
-        for batch in batches:
-            for part, offsets, data in slices(batch):
-                found = words(offsets, data, ALNUM)
-                firsts, lengths, window = matcher.hits(found)
-                hit = np.concatenate([[0], np.cumsum(_covered(len(found.starts), firsts, lengths))])
-                items: list[set] = [set() for _ in range(part.num_rows)]
-                for d, w in set(zip((np.searchsorted(found.first, firsts, "right") - 1).tolist(), window.tolist())):
-                    items[d].update(matcher.items[w])
-                n_hit = hit[found.first[1:]] - hit[found.first[:-1]]
-                yield _result(part.column("doc_id"), found.counts.tolist(), n_hit.tolist(), items)
-
-    return run
-
-
-def _digest(data: np.ndarray) -> bytes:
-    return hashlib.blake2b(data.tobytes(), digest_size=16).digest()
-
-
-def _partial(block):
-    """One of several blocks: the occurrences in each document that has any."""
+def _scan(block, every: bool):
+    """What one block of windows finds: a row per document, or only for those with a hit."""
 
     def run(batches):
         matcher = block.value
@@ -215,72 +194,88 @@ def _partial(block):
                 found = words(offsets, data, ALNUM)
                 firsts, lengths, window = matcher.hits(found)
                 doc = np.searchsorted(found.first, firsts, "right") - 1
-                ids = part.column("doc_id").to_pylist()
-                rows = []
-                for d in np.unique(doc).tolist():
-                    own = doc == d
-                    text = data[offsets[d]:offsets[d + 1]]
-                    items = sorted({i for w in set(window[own].tolist()) for i in matcher.items[w]})
-                    rows.append({
-                        "doc_id": ids[d], "n_bytes": len(text), "digest": _digest(text),
-                        "firsts": (firsts[own] - found.first[d]).tolist(), "lengths": lengths[own].tolist(), "items": items,
-                    })
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
-                    ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("digest", pa.binary()),
-                    ("firsts", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("items", pa.list_(pa.string())),
-                ]))
+                order = np.argsort(doc, kind="stable")
+                firsts, lasts, window, doc = firsts[order], (firsts + lengths - 1)[order], window[order], doc[order]
+                rows = np.arange(part.num_rows) if every else np.unique(doc)
+                lo, hi = np.searchsorted(doc, rows), np.searchsorted(doc, rows, "right")
+                hits, items = [], []
+                for d, a, b in zip(rows.tolist(), lo.tolist(), hi.tolist()):
+                    begin = found.first[d]
+                    hits.append(_ranges(firsts[a:b] - begin, lasts[a:b] - begin) if b > a else [])
+                    items.append(sorted({i for w in set(window[a:b].tolist()) for i in matcher.items[w]}) if b > a else [])
+                yield _batch(part, rows, found.counts[rows].tolist(), hits, items)
 
     return run
 
 
-def _keys(batches):
+def _merge(batches):
+    """Words counted, and what the blocks found put together."""
     for batch in batches:
         for part, offsets, data in slices(batch):
             found = words(offsets, data, ALNUM)
-            each = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(x) for x in each], pa.int64()), pa.array([_digest(x) for x in each], pa.binary()), pa.array(found.counts, pa.int64())],
-                names=["doc_id", "n_bytes", "digest", "n_words"],
-            )
+            hits, items = [], []
+            for runs in part.column("found").to_pylist():
+                own = [h for r in runs or [] for h in r["hits"]]
+                hits.append(_ranges(np.array([h["first"] for h in own], np.int64), np.array([h["last"] for h in own], np.int64)))
+                items.append(sorted({i for r in runs or [] for i in r["items"]}))
+            yield _batch(part, np.arange(part.num_rows), found.counts.tolist(), hits, items)
 
 
-def _merge(batches):
-    for batch in batches:
-        n_words, n_hit, items = batch.column("n_words").to_pylist(), [], []
-        for total, runs in zip(n_words, batch.column("runs").to_pylist()):
-            runs = runs or []
-            joined = [np.concatenate([np.array(r[k], np.int64) for r in runs] or [np.zeros(0, np.int64)]) for k in ("firsts", "lengths")]
-            n_hit.append(int(_covered(total, *joined).sum()))
-            items.append({i for r in runs for i in r["items"]})
-        yield _result(batch.column("doc_id"), n_words, n_hit, items)
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, digest: bool = False) -> DataFrame:
+    """Per document its number of words, the ranges of hit words and the items whose windows occur in it.
 
+    The windows travel to the tasks in blocks of ``block_bytes``, one block at a
+    time. If all fit in one block the documents are scanned once and not shuffled. Otherwise
+    each block is a pass whose hits are written out, and only documents with a
+    hit meet again, by id and digest of the text. ``digest`` adds that digest.
+    """
+    context = docs.sparkSession.sparkContext
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2("text", 256).alias("digest"), F.col("text").cast("string").alias("text"))
+    parts = []
+    for alone, matcher in _blocks(benchmark, window, block_bytes):
+        block = context.broadcast(matcher)
+        if alone:
+            found = (own if digest else own.drop("digest")).mapInArrow(_scan(block, True), f"doc_id long, {'digest string, ' * digest}{FOUND}")
+            return found
+        parts.append(stored(own.mapInArrow(_scan(block, False), f"doc_id long, digest string, {FOUND}"), "hits"))
+        block.unpersist()
+    hits = parts[0]
+    for more in parts[1:]:
+        hits = hits.unionByName(more)
+    runs = hits.distinct().groupBy("doc_id", "digest").agg(F.collect_list(F.struct("hits", "items")).alias("found")).alias("b")
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("a.digest").eqNullSafe(F.col("b.digest"))
+    every = own.alias("a").join(stored(runs, "runs").alias("b"), same, "left").select("a.*", "b.found")
+    out = every.mapInArrow(_merge, f"doc_id long, digest string, {FOUND}")
+    return out if digest else out.drop("digest")
+
+
+def n_hit() -> Column:
+    """Words inside any occurrence of a window."""
+    return F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["last"] - h["first"] + 1)
+
+
+def is_contaminated() -> Column:
+    """At least a twentieth of a document's words are hit, and some word is."""
+    return (n_hit() > 0) & (20 * n_hit() >= F.col("n_words"))
+
+
+def counted(found: DataFrame) -> DataFrame:
+    """The result of ``contamination`` as counts and a digest of the items."""
+    return found.select(
+        "doc_id", "n_words", n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), is_contaminated().alias("contaminated"),
+    )
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document its words, hit words and the items whose windows occur in it.
 
-    The windows travel to the tasks in blocks of ``block_bytes``. With one block
-    the documents are not shuffled. With more, each block is one pass, and only
-    the documents it hits meet again, by id and text digest.
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the contaminated ones.
+
+    Rows go by id and text: of an id with several texts, or of rows without an
+    id, those with a contaminated text go and all others stay.
     """
-    context = docs.sparkSession.sparkContext
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    blocks = [context.broadcast(m) for m in _blocks(benchmark, window, block_bytes)]
-    if len(blocks) == 1:
-        return own.mapInArrow(_scan(blocks[0]), RESULT)
-    hits = None
-    for block in blocks:
-        one = own.mapInArrow(_partial(block), HITS)
-        hits = one if hits is None else hits.unionByName(one)
-    key = ["doc_id", "n_bytes", "digest"]
-    runs = hits.distinct().groupBy(*key).agg(F.collect_list(F.struct("firsts", "lengths", "items")).alias("runs"))
-    every = own.mapInArrow(_keys, "doc_id long, n_bytes long, digest binary, n_words long").alias("a")
-    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.digest") == F.col("b.digest")) & (F.col("a.n_bytes") == F.col("b.n_bytes"))
-    return every.join(runs.alias("b"), same, "left").select("a.doc_id", "a.n_words", "b.runs").mapInArrow(_merge, RESULT)
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the contaminated ones. A doc_id with several texts goes if one of them is contaminated."""
-    bad = contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    # Written first, so that its size is known when the join is planned: few ids are broadcast and the texts stay in place.
-    own = packed(docs).join(stored(bad, "contaminated"), F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
-    return own.select("row.*")
+    found = contamination(docs, benchmark, window, block_bytes, digest=True).filter(is_contaminated())
+    bad = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    # Written first, so that its size is known when the join is planned: few rows are broadcast and the texts stay in place.
+    own = packed(docs, F.col("doc_id").cast("long").alias("_own_id"), F.sha2(F.col("text").cast("string"), 256).alias("_own_digest"))
+    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
+    return own.join(stored(bad, "contaminated"), same, "left_anti").select("row.*")

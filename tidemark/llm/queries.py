@@ -63,7 +63,7 @@ def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
-    return decontamination.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return decontamination.counted(decontamination.contamination(table(spark, d, "documents"), table(spark, d, "benchmark")))
 
 
 def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
