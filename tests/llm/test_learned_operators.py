@@ -7,10 +7,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import SF, alnum
-from tidemark.llm import language_id, language_model, mixing, quality, queries, toxicity
+from tidemark.llm import language_id, language_model, mixing, quality, queries, textbuf, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -202,3 +203,143 @@ def test_mixing_of_odd_rows(odd, empty, labels, no_labels):
     assert len(rows) == odd.count() and {r.domain for r in rows} == {"all"} and all(r.rate == 1.0 for r in rows)
     assert mixing.mix(odd, labels).count() == odd.count()
     assert mixing.mix(empty, labels).count() == 0 and mixing.mix(empty, no_labels).count() == 0
+
+
+def dense_fit(p, tokens, goal, most):
+    """Token sums (shares) of a dense accelerated projected gradient on the same weighted loss."""
+    a = (p * tokens[:, None]).T / tokens.sum()
+    weight = np.eye(len(goal)) + mixing.HOLD * np.ones((len(goal), len(goal))) / len(goal)
+    if most == math.inf and goal[0] > p[:, 0].max():
+        edge = p[p[:, 0].argmax()]  # without a bound the nearest answer uses the most extreme document alone
+        return edge * (goal @ weight @ edge) / (edge @ weight @ edge)
+    reach = np.linalg.eigvals((a / tokens) @ a.T @ weight).real.max()
+    z = y = np.ones(len(tokens))
+    t = 1.0
+    for _ in range(60_000):
+        z2 = np.clip(y - a.T @ (weight @ (a @ y - goal)) / tokens / reach, 0, most)
+        t2 = (1 + math.sqrt(1 + 4 * t * t)) / 2
+        y2 = z2 + (t - 1) / t2 * (z2 - z)
+        if (y - z2) @ ((z2 - z) * tokens) > 0:
+            t2, y2 = 1.0, z2
+        z, y, t = z2, y2, t2
+    return a @ z
+
+
+@pytest.mark.parametrize("low, high, target, most", [
+    (0.2, 0.8, 0.70, None), (0.05, 0.95, 0.85, None), (0.05, 0.95, 0.92, None),  # within reach
+    (0.60, 0.65, 0.99, None), (0.60, 0.65, 0.99, 4.0), (0.05, 0.95, 0.93, 3.0),  # out of reach
+])
+def test_fitted_rates_equal_a_dense_solution(spark, low, high, target, most):
+    chance = np.random.default_rng(3)
+    q, tokens = chance.uniform(low, high, 400), chance.integers(1, 800, 400)
+    p, goal = np.stack([q, 1 - q], axis=1), np.array([target, 1 - target])
+    members = spark.createDataFrame([(int(n), row.tolist()) for n, row in zip(tokens, p)], "tokens long, p array<double>")
+    fit = mixing.fit_rates(members, ["a", "b"], {"a": target, "b": 1 - target}, 1.0, most)
+    want = dense_fit(p, tokens.astype(float), goal, math.inf if most is None else most)
+    rates = np.array([r.rate for r in members.withColumn("rate", fit.rate()).collect()])
+    got = (p * (tokens * rates)[:, None]).sum(axis=0) / tokens.sum()
+    assert np.abs(got - [fit.got["a"], fit.got["b"]]).max() < 1e-9 and np.abs(got - want).max() < mixing.TOLERANCE / 2
+    assert fit.met == (np.abs(want - goal).max() <= mixing.TOLERANCE) and abs(got.sum() - 1) < mixing.TOLERANCE
+    assert rates.min() >= 0 and (most is None or rates.max() <= most)
+
+
+def test_missed_targets_are_reported(spark):
+    rows = [(n, "word " * 60, "s") for n in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(40)], "doc_id long, quality int, toxic int")
+    with pytest.warns(UserWarning, match="beyond the targets"):
+        kept = mixing.mix(docs, labels, {"q1t0": 0.99, "q0t0": 0.01}).collect()
+    assert abs(sum(r.rate * r.tokens for r in kept) / sum(r.tokens for r in kept) - 1) < mixing.TOLERANCE
+    with pytest.raises(ValueError, match="beyond the targets"):
+        mixing.mix(docs, labels, {"q1t0": 0.99, "q0t0": 0.01}, strict=True)
+
+
+def test_posteriors_by_hand(spark, docs, labels):
+    model = mixing.learn(docs, labels)
+    known = {r.doc_id: f"q{r.quality}t{r.toxic}" for r in labels.collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    ratios = lambda t: [len(re.findall(mixing.SYMBOLS, t)) / max(len(t), 1), len(re.findall("[A-Z]", t)) / max(len(t), 1)]
+    places = lambda t: [sum(x > c for c in own) for x, own in zip(ratios(t), model.cuts)]
+    of = {d: [texts[i] for i, k in known.items() if k == d and i in texts] for d in model.domains}
+    for k, d in enumerate(model.domains):
+        n = len(of[d])
+        assert math.isclose(model.prior[k], math.log(n / sum(map(len, of.values()))))
+        for m, word in enumerate(model.markers):
+            assert math.isclose(model.seen[k][m], math.log((sum(word in t.lower() for t in of[d]) + 0.5) / (n + 1)))
+        for f, own in enumerate(model.bins[k]):
+            count = Counter(places(t)[f] for t in of[d])
+            assert all(math.isclose(x, math.log((count[b] + 0.5) / (n + 0.5 * len(own)))) for b, x in enumerate(own))
+    for r in mixing.mix(docs, labels).limit(20).collect():
+        t, logits = texts[r.doc_id], []
+        for k in range(len(model.domains)):
+            flags = sum((model.seen if m in t.lower() else model.unseen)[k][n] for n, m in enumerate(model.markers))
+            logits.append(model.prior[k] + flags + sum(own[b] for own, b in zip(model.bins[k], places(t))))
+        raised = [math.exp(x - max(logits)) for x in logits]
+        assert all(abs(r[f"p_{d}"] - x / sum(raised)) < 1e-9 for d, x in zip(model.domains, raised))
+
+
+def folded(text):
+    return "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text)
+
+
+def test_language_scores_by_hand(docs):
+    names, table, temperature = language_id.fit(docs.selectExpr("doc_id", "text", "lang"))
+    own = docs.limit(20).collect()
+    learned = [r.text or "" for r in docs.collect() if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+
+    def grams(text):
+        p = [32, *map(ord, folded(text)), 32]
+        pair = [(a * 0x9E3779B1 + b * 0x85EBCA77) % 2**64 for a, b in zip(p, p[1:])]
+        triple = [(a * 0xC2B2AE3D + c * 0x27D4EB2F) % 2**64 for a, c in zip(pair, p[2:])]
+        size = 1 << language_id.BITS
+        return Counter([(x ^ x >> 17) % size for x in pair] + [(x ^ x >> 19) % size for x in triple])
+
+    got = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    for r in own:
+        found = grams(r.text)
+        logits = sum(n * table[g].astype(float) for g, n in found.items()) / found.total() * language_id.SCALE / temperature
+        p = np.exp(logits - logits.max())
+        assert got[r.doc_id].lang_pred == names[int(p.argmax())] and abs(got[r.doc_id].score - p.max() / p.sum()) < 1e-4
+    # A frequency counts documents, not occurrences, over all that may be learned from.
+    some = sorted(grams(own[0].text))[:3]
+    counts = {b.feature: b.n for b in docs.filter("lang is not null").filter(~language_id.held_out()).select("text").mapInArrow(
+        language_id._frequencies, "feature int, n long").groupBy("feature").sum("n").toDF("feature", "n").collect()}
+    assert counts[-1] == len(learned) and all(counts.get(g, 0) == sum(g in grams(t) for t in learned) for g in some)
+
+
+def test_chain_scores_by_hand(docs, labels):
+    chain = toxicity.fit(docs.select("doc_id", "text"), labels)
+    number = {int(h): n for n, h in enumerate(chain.words)}
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    for r in docs.limit(20).collect():
+        raw = np.frombuffer((r.text or "").encode(), np.uint8)
+        hashes = {int(h) for h in textbuf.words(np.array([0, len(raw)]), raw, textbuf.ALNUM).hashes()}
+        seen, p = [number[h] for h in hashes if h in number], []
+        for k, extra in enumerate(chain.extra):
+            total = sum(chain.word_weights[w, k] for w in seen) + extra[0]
+            for j, before in enumerate(p):
+                q = min(max(before, 1e-4), 1 - 1e-4)
+                total += extra[1 + j] * math.log(q / (1 - q)) / 4
+            p.append(1 / (1 + math.exp(-total)))
+        row = got[r.doc_id]
+        assert abs(row.p_low_quality - p[0]) < 1e-9 and abs(row.p_toxic - p[1]) < 1e-9
+        assert (row.is_low_quality, row.is_toxic) == (p[0] > chain.cuts[0], p[1] > chain.cuts[1])
+
+
+def test_repeated_rows_and_ties_get_the_same_verdict(spark, docs, labels):
+    few = docs.limit(30).selectExpr("doc_id", "text", "lang", "source", "n_chars")
+    twice = docs.unionByName(few)
+    for run in (lambda d: quality.quality(d, labels), language_id.identify, lambda d: toxicity.toxicity(d, labels), lambda d: mixing.mix(d, labels)):
+        seen = {}
+        rows = run(twice).collect()
+        assert len(rows) == docs.count() + 30
+        for r in rows:
+            assert seen.setdefault(r.doc_id, tuple(r)) == tuple(r)
+
+
+def test_equal_scores_go_to_the_first_language(spark):
+    # Two languages of the same texts: nothing tells them apart.
+    rows = [(n, f"same words {n % 7} over and over", lang) for n, lang in enumerate(["xx", "aa"] * 30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.identify(frame).collect()
+    assert {r.lang_pred for r in got} <= {"aa", "xx"} and all(abs(r.score - 0.5) < 0.2 for r in got)

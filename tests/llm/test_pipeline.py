@@ -10,6 +10,7 @@ import corpus_pipeline as cp
 from tests.llm.conftest import SF, alnum
 from tests.llm.test_learned_operators import statistics_by_hand
 from tests.llm.test_text_operators import base_spans, contaminated, groups
+from tidemark.llm import mixing
 
 
 def test_stages_take_effect(spark, docs):
@@ -34,10 +35,15 @@ def test_stages_take_effect(spark, docs):
             for i, r in after.items():
                 assert not base_spans(r.text) and (r.text == before[i].text) == (not base_spans(before[i].text) and r.n_chars == before[i].n_chars)
         if number == 4:
-            assert set(after) == set(before) and all(r.rate >= 0 for r in after.values())
+            rows = out.collect()
+            assert Counter(r.doc_id for r in rows) == {r.doc_id: r.copies for r in rows} and all(r.rate > 0 for r in rows)
         now = out
 
 
+def test_five_stages_in_their_order():
+    assert [name.split()[0] for name, _ in cp.STAGES] == ["quality", "near-duplicate", "benchmark", "secret", "mixing"]
+
+
 def test_run_gives_the_rows_of_the_last_stage(spark):
     rows = cp.run(spark, SF).collect()
     assert rows and {"doc_id", "rate", "copies"} <= set(rows[0].asDict())
@@ -56,16 +62,16 @@ def test_odd_rows_pass_all_stages(spark, odd, empty):
         now.collect()
 
 
-def test_the_mixed_corpus_has_each_document_as_often_as_its_copies_say(spark, docs, odd):
+def test_the_mixed_corpus_has_each_document_as_often_as_its_copies_say(docs, odd, labels):
     for frame in (docs, odd):
-        mixed = cp.mix_sources(spark, frame, SF)
-        assert set(frame.columns) <= set(mixed.columns)
+        rated = mixing.rated(frame, labels)
+        assert set(frame.columns) <= set(rated.columns)
         # Rates away from 1, so that some documents go and others are repeated.
-        mixed = mixed.withColumn("copies", F.pmod(F.xxhash64("text"), F.lit(4)))
+        rated = rated.withColumn("copies", F.pmod(F.xxhash64("text"), F.lit(4)))
         want = Counter()
-        for r in mixed.collect():
+        for r in rated.collect():
             want[r.doc_id, r.text, r.source] += r.copies
-        rows = cp.STAGES[-1][1](spark, mixed, SF).collect()
+        rows = mixing.repeated(rated).collect()
         assert Counter((r.doc_id, r.text, r.source) for r in rows) == +want and len(want) > len(+want) and max(want.values()) > 1
         assert all(1 <= r.copy <= r.copies for r in rows)
 

@@ -4,11 +4,8 @@ A naive Bayes classifier learned from the labelled table gives every document a
 posterior over domains (the combinations of its labels). Rates r >= 0 are then
 fitted so that the expected tokens of each domain, sum of r * tokens *
 posterior, meet their targets: projected gradient on a weighted least-squares
-loss. The gradient of a document is a product of its posterior with one small
-vector per step, so a step is one aggregate over the documents; rates are
-replayed from the vectors and never stored per step. The loss is weighted by the
-inverse of the domains' second moments and each rate scaled by its tokens, which
-makes 1 the right step length.
+loss, see ``fit_rates``. The steps add up in one small vector, and a step is one
+aggregate over the documents; no rate is stored before the last.
 
 The classifier reads at most ``SAMPLE`` labelled documents (first in hash
 order): which words mark a domain, in how many documents of each domain they
@@ -18,12 +15,14 @@ Edge cases: NULL and empty texts have no tokens and the classifier's view of an
 empty text; their rate is fitted like any other and changes no total. Without
 usable labels there is one domain ``all``. Targets of domains that no label
 names are shared among the rest; with no target left all domains weigh as they do
-now. Rows without an id, repeated rows and extra columns are no special case.
+now. Targets out of reach give the nearest token sums within the budget and a
+warning (an error if ``strict``). Rows without an id, repeated rows and extra columns are no special case.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,8 +35,18 @@ from tidemark.llm.quality import SYMBOLS
 SAMPLE = 8000
 MARKERS = 32
 BINS = 8
-STEPS = 20
+#: A domain's tokens may miss their target by this share of all tokens before it is reported.
 TOLERANCE = 1e-3
+#: The fit ends when no domain's gradient is larger, as a share of the budget.
+CLOSE = 1e-6
+#: Far more steps than any fit takes; one that gets there is reported like any other miss.
+MOST_STEPS = 200
+#: Lengths tried in each step.
+LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.005)
+#: Factors on the lengths, tried one after another while none lowers the loss (where hardly a rate is free the step is far too long).
+SHRINK = (1.0, 1e-3, 1e-6)
+SOFT = 1e-6
+HOLD = 1e3
 #: Share of all tokens that goes to each domain: good, good but toxic, poor, poor and toxic.
 TARGETS = {"q1t0": 0.92, "q1t1": 0.03, "q0t0": 0.04, "q0t1": 0.01}
 
@@ -132,59 +141,126 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
     )
 
 
-def _rate(budget: float, steps: list[np.ndarray]) -> Column:
-    """The rate after the given steps, projected to zero and above after each."""
-    if not steps:
-        return F.lit(float(budget))
-    vectors = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
-    product = lambda g: F.aggregate(F.zip_with("p", g, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    return F.aggregate(vectors, F.lit(float(budget)), lambda r, g: F.greatest(F.lit(0.0), r - product(g)))
-
+@dataclass
+class Fit:
+    """Fitted rates and how well they meet the targets; token sums are shares of all tokens."""
 
-def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], budget: float) -> tuple[list[np.ndarray], float]:
-    """Step vectors for ``members`` (tokens, p), and the largest miss as a share of all tokens."""
+    domains: list[str]
+    #: One number per domain; a document's rate follows from it and the posterior.
+    vector: np.ndarray
+    budget: float
+    most: float | None
+    goal: dict[str, float]
+    got: dict[str, float]
+    steps: int
+
+    @property
+    def miss(self) -> dict[str, float]:
+        return {d: self.got[d] - self.goal[d] for d in self.domains}
+
+    @property
+    def met(self) -> bool:
+        return all(abs(x) <= TOLERANCE for x in self.miss.values())
+
+    def rate(self) -> Column:
+        return _rate(self.vector, self.budget, self.most)
+
+
+def _rate(vector: np.ndarray, budget: float, most: float | None) -> Column:
+    """The sum of all gradient steps from the rate ``budget``, projected to zero and above (and at most ``most``)."""
+    moved = F.lit(float(budget))
+    for k, x in enumerate(vector):
+        moved = moved - F.get("p", F.lit(k)) * F.lit(float(x))
+    return F.greatest(F.lit(0.0), moved if most is None else F.least(moved, F.lit(float(most))))
+
+
+def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], budget: float, most: float | None = None) -> Fit:
+    """Rates for ``members`` (tokens, p) by projected gradient on the weighted least squares of the targets.
+
+    The gradient of a document's rate is its tokens times the product of its
+    posterior with one vector, the weighted misses. So the steps add up in
+    one vector of as many numbers as there are domains, and the rates are the
+    projection of what it gives. A step is scaled by the second moments of the
+    rates that are free to move; its length is the best of ``LENGTHS``, judged on the
+    dual of the loss, which falls until the projected gradient is zero. Each
+    step is one aggregate over the documents, whatever the lengths.
+
+    ``SOFT`` bounds the weights of the loss, so that targets out of reach have a
+    finite nearest answer; the total weighs ``HOLD`` times more than any share, so
+    the budget is kept then.
+    """
     size = len(domains)
     p = [F.get("p", F.lit(k)) for k in range(size)]
-    cells = [F.sum(F.col("tokens") * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(size) for j in range(i, size)]
-    row = members.agg(F.sum("tokens").alias("n"), *cells).first()
-    total = float(row.n or 0) * budget
-    if not total:
-        return [], 0.0
-    moment = np.zeros((size, size))
-    for i in range(size):
-        for j in range(i, size):
-            moment[i, j] = moment[j, i] = row[f"m{i}_{j}"]
-    now = moment.sum(axis=1) * budget
+    every = members.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * q).alias(f"t{k}") for k, q in enumerate(p)]).first()
+    total = float(every.n or 0)
+    if not total or not budget:
+        zero = dict.fromkeys(domains, 0.0)
+        return Fit(domains, np.zeros(size), budget, most, zero, zero, 0)
+    now = np.array([float(every[f"t{k}"]) for k in range(size)]) / total
     weight = np.array([max(targets.get(d, 0.0), 0.0) for d in domains])
     # A domain without tokens can meet no target.
     weight = np.where(now > 0, weight, 0.0)
-    goal = weight / weight.sum() * total if weight.sum() > 0 else now
-    inverse = np.linalg.pinv(moment, rcond=1e-9)
-    steps: list[np.ndarray] = []
-    miss = np.abs(now - goal).max() / total
-    while miss > TOLERANCE and len(steps) < STEPS:
-        steps.append(inverse @ (now - goal))
-        rated = members.withColumn("r", _rate(budget, steps))
-        got = rated.agg(*[F.sum(F.col("r") * F.col("tokens") * q).alias(f"t{k}") for k, q in enumerate(p)]).first()
-        now = np.array([float(x) for x in got])
-        miss = np.abs(now - goal).max() / total
-    return steps, miss
-
-
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = 1.0, sample: int = SAMPLE) -> DataFrame:
+    goal = (weight / weight.sum() if weight.sum() > 0 else now) * budget
+    # The inverse of the weights: soft in all directions, far less so along the sum of all domains.
+    slack = SOFT * (np.eye(size) - (1 - 1 / HOLD) * np.full((size, size), 1 / size))
+
+    def looked_at(vectors: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Dual loss, token sums and second moments of the free rates, for several vectors in one pass."""
+        sums = []
+        for n, v in enumerate(vectors):
+            rate, moved = F.col(f"r{n}"), F.col(f"x{n}")
+            free = (moved > 0) & (F.lit(True) if most is None else moved < most)
+            sums.append(F.sum(F.col("tokens") * rate * (moved - rate / 2)).alias(f"d{n}"))
+            sums += [F.sum(F.col("tokens") * rate * p[k]).alias(f"t{n}_{k}") for k in range(size)]
+            sums += [F.sum(F.when(free, F.col("tokens") * p[i] * p[j])).alias(f"m{n}_{i}_{j}") for i in range(size) for j in range(i, size)]
+        moved = {f"x{n}": F.lit(float(budget)) - sum((p[k] * F.lit(float(v[k])) for k in range(size)), F.lit(0.0)) for n, v in enumerate(vectors)}
+        row = members.withColumns(moved).withColumns({f"r{n}": _rate(v, budget, most) for n, v in enumerate(vectors)}).agg(*sums).first()
+        out = []
+        for n, v in enumerate(vectors):
+            moment = np.zeros((size, size))
+            for i in range(size):
+                for j in range(i, size):
+                    moment[i, j] = moment[j, i] = (row[f"m{n}_{i}_{j}"] or 0.0) / total
+            out.append((row[f"d{n}"] / total + goal @ v + v @ slack @ v / 2, np.array([row[f"t{n}_{k}"] for k in range(size)]) / total, moment))
+        return out
+
+    vector = np.zeros(size)
+    dual, now, moment = looked_at([vector])[0]
+    steps = 0
+    while True:
+        gradient = now - goal - slack @ vector
+        if np.abs(gradient).max() <= CLOSE * budget or steps >= MOST_STEPS:
+            break
+        step = np.linalg.solve(moment + slack, gradient)
+        for shrink in SHRINK:
+            tried = [vector + shrink * length * step for length in LENGTHS]
+            found = looked_at(tried)
+            best = min(range(len(tried)), key=lambda n: found[n][0])
+            if found[best][0] < dual:
+                break
+        else:
+            break  # no length gets any lower: as near as doubles go
+        vector, (dual, now, moment) = tried[best], found[best]
+        steps += 1
+    return Fit(domains, vector, budget, most, dict(zip(domains, goal.tolist())), dict(zip(domains, now.tolist())), steps)
+
+
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, **options) -> DataFrame:
     """Per document its tokens, most likely domain, posteriors, rate and whole copies.
 
-    ``budget`` is the wanted number of tokens as a share of all tokens. A rate of
+    Options: ``budget``, the wanted number of tokens as a share of all tokens;
+    ``most``, the largest rate allowed; ``sample``, labelled documents to learn
+    from; ``strict``, raise where targets are missed instead of warning. A rate of
     2.3 means two copies, and a third for 30 % of such documents (by a hash of id and text).
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return _rated(own, ["doc_id"], labels, targets, budget, sample)
+    return _rated(own, ["doc_id"], labels, targets, **options)
 
 
-def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = 1.0, sample: int = SAMPLE) -> DataFrame:
+def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, **options) -> DataFrame:
     """``docs`` with the columns of ``mix`` beside their own; of two with one name the one of ``mix`` stays."""
     own = packed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    out = _rated(own, ["doc_id", "row"], labels, targets, budget, sample)
+    out = _rated(own, ["doc_id", "row"], labels, targets, **options)
     new = [c for c in out.columns if c not in ("doc_id", "row")]
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in new], *new)
 
@@ -195,17 +271,29 @@ def repeated(docs: DataFrame) -> DataFrame:
     return docs.filter("copies > 0").select(*[c for c in docs.columns if c != "copy"], every)
 
 
-def _rated(own: DataFrame, keep: list[str], labels: DataFrame, targets: dict[str, float] | None, budget: float, sample: int) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, **options) -> DataFrame:
+    """The mixed corpus: the rows of ``rated``, each as often as its copies say."""
+    return repeated(rated(docs, labels, targets, **options))
+
+
+def _rated(
+    own: DataFrame, keep: list[str], labels: DataFrame, targets: dict[str, float] | None, budget: float = 1.0, most: float | None = None,
+    sample: int = SAMPLE, strict: bool = False,
+) -> DataFrame:
     model = learn(own, labels, sample)
     members = own.select(
         *keep, F.regexp_count("text", F.lit(WORD)).cast("long").alias("tokens"), model.posterior(F.col("text")).alias("p"),
         (F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)).alias("draw"),
     )
     members = stored(members, "members")
-    steps, _ = fit_rates(members, model.domains, TARGETS if targets is None else targets, budget)
+    fit = fit_rates(members.select("tokens", "p"), model.domains, TARGETS if targets is None else targets, budget, most)
+    if not fit.met:
+        said = "tokens beyond the targets, as shares of all tokens: " + ", ".join(f"{d} {x:+.4f}" for d, x in fit.miss.items())
+        if strict:
+            raise ValueError(said)
+        warnings.warn(said, stacklevel=3)
     best = F.array_position("p", F.array_max("p")).cast("int") - 1
-    rate = _rate(budget, steps)
-    return members.withColumn("rate", rate).select(
+    return members.withColumn("rate", fit.rate()).select(
         *keep, "tokens", F.get(F.array(*[F.lit(d) for d in model.domains]), best).alias("domain"),
         *[F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(model.domains)],
         "rate", F.floor(F.col("rate") + F.col("draw")).cast("long").alias("copies"),
