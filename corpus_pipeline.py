@@ -1,9 +1,9 @@
-"""The training-data pipeline: six stages over the documents table, each written and read again.
+"""The training-data pipeline: five stages over the documents table, each written and read again.
 
 Quality rules drop rejected documents, near-duplicate groups keep one document,
-contaminated documents go, secrets are masked, mixing puts its rate beside each
-remaining document, and the mixed corpus has each document as often as its copies
-say. The stages before mixing return the columns they were given.
+contaminated documents go, secrets are masked, and mixing gives the corpus in
+which each document occurs as often as its copies say, beside its rate. The stages
+before mixing return the columns they were given.
 """
 
 from __future__ import annotations
@@ -31,11 +31,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.rated(docs, table(spark, sf_dir, "labels"))
-
-
-def mixed_corpus(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.repeated(docs)
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
 
 
 STAGES = [
@@ -44,7 +40,6 @@ STAGES = [
     ("benchmark decontamination", decontaminate),
     ("secret masking", mask_secrets),
     ("mixing to target weights", mix_sources),
-    ("mixed corpus", mixed_corpus),
 ]
 
 # Learned rules, classifiers and fitted rates cannot be said in SQL; the tests compare each stage with brute force.
