@@ -86,7 +86,7 @@ def test_license_base_equals_plain_search(which, request):
         at = [(i, label) for phrase, label in licenses.PHRASES for i in range(len(w)) if w[i:i + len(phrase.split())] == phrase.split()]
         places = [i for i, _ in at]
         want[r.doc_id, len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))] += 1
-    rows = licenses.license_scan(frame).collect()
+    rows = licenses.license_labels(licenses.license_spans(frame)).collect()
     assert Counter(tuple(r)[:6] for r in rows) == want
     assert all(0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in rows)
 
@@ -111,11 +111,61 @@ def test_license_templates_give_their_labels(spark):
         (1, "Released under the MIT License."), (2, "Licensed under CC BY-NC 4.0."), (3, "nothing of the kind"),
         (4, "Licensed under the Apache License, Version 2.0 (the thing)"), (5, "licensed under the"),
     ]
-    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in licenses.license_labels(licenses.license_spans(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
     assert got[1].labels == "mit" and got[2].labels == "cc-by,cc-by-nc-4.0" and got[3].labels == "" and got[4].labels == "apache-2.0"
     assert got[5].labels == "" and 0 < got[5].score < licenses.MIN_COVER
 
 
+def test_license_spans_equal_chains_by_hand(spark, empty):
+    # Short random templates over few words: long matches, gaps, repeats and overlaps of every kind.
+    chance = random.Random(11)
+    templates = [(f"t{n}", " ".join(chance.choice("abcdef") for _ in range(chance.randrange(1, 9)))) for n in range(6)]
+    texts = [" ".join(chance.choice("abcdefxy") for _ in range(chance.randrange(40))) for _ in range(120)]
+    texts += [f"x {t} y {t} z" for _, t in templates] + ["", None]
+
+    def best(words, template, low, gap):
+        """The most words of the template that a chain of its maximal runs covers, over all chains."""
+        runs = set()
+        for i, k in itertools.product(range(len(words)), range(len(template))):
+            size = next((n for n in range(min(len(words) - i, len(template) - k) + 1) if words[i:i + n + 1] != template[k:k + n + 1] or i + n == len(words) or k + n == len(template)), 0)
+            if size >= low and (not i or not k or words[i - 1] != template[k - 1]):
+                runs.add((i + size - 1, k + size - 1, size))
+        most, ways = 0, {}
+        for last, end, length in sorted(runs):
+            ways[last, end, length] = max([length] + [
+                ways[a, b, n] + min(length, end - b, last - a) for a, b, n in ways if last - length - a <= gap and min(length, end - b, last - a) > 0
+            ])
+            most = max(most, ways[last, end, length])
+        return most
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for low, gap in ((1, 2), (2, 4), (3, 0)):
+        for r in licenses.license_spans(frame, templates, [], low, gap).collect():
+            words = (texts[r.doc_id] or "").split()
+            for n, (label, t) in enumerate(templates):
+                own = [s for s in r.spans if s.template == n]
+                assert max((s.words for s in own), default=0) == best(words, t.split(), low, gap)
+                assert all(a.last < b.first for a, b in zip(own, own[1:])) and all(s.label == label and s.share == s.words / len(t.split()) for s in own)
+    assert licenses.license_spans(empty).count() == 0
+
+
+def test_whole_licenses_inside_other_text(spark):
+    rows = [(n, f"some code before\n{text}\nand code after, " * 2) for n, (_, text) in enumerate(licenses.TEXTS)]
+    for r in licenses.license_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        label, text = licenses.TEXTS[r.doc_id]
+        size = len(licenses.word_list(text))
+        whole = [(s.first, s.last) for s in r.spans if s.label == label and s.share == 1 and s.words == size]
+        assert whole == [(3, 2 + size), (9 + size, 8 + 2 * size)]
+
+
+def test_phrases_and_templates_of_one_word(spark):
+    frame = spark.createDataFrame([(1, "x bsd y"), (2, "bsd"), (3, "BSD bsd-like cc by x"), (4, "none")], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_labels(licenses.license_spans(frame, [("one", "x")], [("bsd", "b"), ("cc by", "c")], min_match=1)).collect()}
+    assert [(got[i].n_base, got[i].first_word, got[i].last_word, got[i].labels) for i in (1, 2, 3, 4)] == [
+        (1, 1, 1, "b,one"), (1, 0, 0, "b"), (3, 0, 3, "b,c,one"), (0, None, None, ""),
+    ]
+
+
 def contaminated(rows, items):
     windows = {}
     for item, text in items:

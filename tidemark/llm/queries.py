@@ -31,7 +31,7 @@ def op1_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
-    return licenses.license_scan(table(spark, d, "documents"))
+    return licenses.license_labels(licenses.license_spans(table(spark, d, "documents")))
 
 
 def op3_lm_scores(spark: SparkSession, d: str) -> DataFrame:
