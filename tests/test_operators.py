@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from datetime import date
+from datetime import date, timedelta
 
 import numpy as np
 import pytest
@@ -235,6 +235,14 @@ def test_reports_are_cut_for_each_entity(spark):
     assert len(curated.sessions(frame, entity=["athlete"], limit=2).collect()) == 5
 
 
+def test_ranges_of_report_days():
+    day = lambda n: date(2026, 1, 1) + timedelta(days=n)
+    assert curated.day_ranges([], 30, 4) == []
+    assert curated.day_ranges([day(40), day(0), day(5), day(100)], 7, 4) == [(day(-7), day(5)), (day(33), day(40)), (day(93), day(100))]
+    assert curated.day_ranges([day(40), day(0), day(100)], 7, 2) == [(day(-7), day(40)), (day(93), day(100))]
+    assert curated.day_ranges([day(n) for n in range(0, 1000, 50)], 7, 1) == [(day(-7), day(950))]
+
+
 def test_missing_texts_keep_their_lines(spark):
     asked = spark.createDataFrame([(1, 9)], "conv_id int, turn int")
     answers = spark.createDataFrame([(1, 1, "q", "a", False), (1, 2, None, None, False)], "conv_id int, turn int, question string, answer string, is_error boolean")
@@ -244,14 +252,32 @@ def test_missing_texts_keep_their_lines(spark):
     assert questions.evidence_context(evidence).first().context == "[1] t\nx\n\n[2] \ny\n\n[3] u\n"
 
 
-def test_totals_and_distinct_shuffle_once_per_side(spark):
-    from tidemark.operators.rollup import totals_and_distinct
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 1])
+def test_totals_and_distinct_in_both_ways(spark, limit):
+    from tidemark.operators import rollup
+
+    rows = [("a", None, 1, "x"), ("a", None, 2, "x"), (None, 1, 3, "y"), (None, 1, 4, None), ("b", 2, None, None), ("a", None, 2, "z")]
+    frame = spark.createDataFrame(rows, "k string, m int, v int, w string")
+    totals = [rollup.summed("v", "s", "bigint"), rollup.counted("n"), rollup.counted_if(F.col("v") > 2, "big"), rollup.largest("w"), rollup.smallest("v", "low")]
+    distinct = {"d_w": "w", "d_v": "v"}
+    want = sorted([("a", None, 5, 3, 0, "z", 1, 2, 2), (None, 1, 7, 2, 2, "y", 3, 1, 2), ("b", 2, None, 1, 0, None, None, 0, 0)], key=repr)
+    got = rollup.totals_and_distinct(frame, ["k", "m"], totals, distinct, limit)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+    reduced = rollup.parts(frame, ["k", "m"], totals, ["w", "v"])
+    assert sorted((tuple(r) for r in rollup.from_parts(reduced, ["k", "m"], totals, distinct, limit).collect()), key=repr) == want
+
+
+def test_totals_and_distinct_scan_and_shuffle_once(spark, folder):
+    from tidemark.operators import rollup
 
-    frame = spark.createDataFrame([("a", None, 1, "x"), ("a", None, 2, "x"), (None, 1, 3, "y"), (None, 1, 4, None)], "k string, m int, v int, w string")
-    got = totals_and_distinct(frame, ["k", "m"], [F.sum("v").alias("s")], {"n": "w", "d": "v"})
-    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([("a", None, 3, 1, 2), (None, 1, 7, 1, 2)], key=repr)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("coalesce(") == 0
+    spark.range(1000).selectExpr("id % 7 AS k", "id % 5 AS a", "id % 3 AS b", "id AS v").write.parquet(f"{folder}/t")
+    got = rollup.totals_and_distinct(spark.read.parquet(f"{folder}/t"), ["k"], [rollup.summed("v")], {"n_a": "a", "n_b": "b"})
+    plan = plan_of(got)
+    assert "Expand" not in plan and plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_routes_are_the_published_ones(spark):

@@ -172,6 +172,15 @@ def test_two_streams_land_beside_each_other(spark, folder):
     assert {r.workout_id for r in bronze.read().collect()} == {"w1", "w2"}
 
 
+def test_window_runs_of_one_second_land_beside_each_other(spark, folder):
+    bronze = tables.Table(spark, f"{folder}/bronze")
+    now = datetime(2026, 1, 5, tzinfo=timezone.utc)
+    for n in (1, 2, 2):
+        held = state.SyncState(spark, f"{folder}/state{n}")
+        ingest.run_window_sync(docs(spark, {**WORKOUT, "id": f"w{n}", "updated_at": "2026-01-04T00:00:00Z"}), bronze, held, now)
+    assert sorted({r.workout_id for r in bronze.read().collect()}) == ["w1", "w2"]
+
+
 def test_unreadable_change_times_refuse_the_run(spark, folder):
     bronze = tables.Table(spark, f"{folder}/bronze")
     held = state.SyncState(spark, f"{folder}/state")

@@ -10,12 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.bindings import training_log as log
+from tidemark.plans import curated
 from tidemark.plans.warehouse import TABLES, Warehouse, check_report
 from tidemark.sources.documents import template_rows
 from tidemark.sources.files import as_raw_sets, default_landmarks
 from tidemark.sources.schemas import TEMPLATE_DOC
 from tidemark.sources.state import SyncState
-from tidemark.sources.tables import Catalog, Table
+from tidemark.sources.tables import Catalog, Table, by_session, in_folders_of
 from tidemark.streaming.ingest import run_sync
 
 SF = "/root/testdata/sf0.001"
@@ -87,6 +88,60 @@ def test_refresh_equals_rebuild(spark, folder):
         assert set(steps.catalog.table("silver", name)._layout(1).values()) == {0, 1}
 
 
+def test_readings_are_merged_month_by_month(spark, folder):
+    wh = build(spark, folder, log.raw_workouts(spark, SF))
+    wh.rebuild(["measurements", "sets", "sessions"])
+    held = wh.catalog.table("silver", "measurements")
+    before = {r.measurement_date for r in held.read().collect()}
+    last = max(before)
+    fresh = [(5, str(last.replace(year=last.year + 1)), "80.5", None, datetime(2030, 1, 1)), (5, str(last.replace(year=last.year + 1)), "81.5", None, datetime(2030, 1, 2))]
+    raw = wh.catalog.source("raw_measurements")
+    wh.catalog.materialise("bronze", "raw_measurements", raw.unionByName(spark.createDataFrame(fresh, raw.schema)))
+    wh.refresh()
+    after = held.read().filter(F.col("measurement_date") > F.lit(last)).collect()
+    assert [(r.athlete, float(r.weight_kg)) for r in after] == [(5, 81.5)]
+    layout = held._layout(held.versions()[-1])
+    assert len(layout) > 1 and sorted(set(layout.values())) == [0, 1] and list(layout.values()).count(1) == 1
+
+
+def files_read(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_incremental_read_leaves_other_session_folders_out(spark, folder):
+    raw = log.raw_workouts(spark, SF)
+    catalog = Catalog(spark, folder)
+    catalog.materialise("bronze", "raw_workouts", by_session(raw, 16), ["part_session_16"])
+    table = catalog.table("bronze", "raw_workouts")
+    late = raw.filter("workout_id = '7'").withColumn("_loaded_at", F.lit(datetime(2030, 1, 1)))
+    table.append_batch(by_session(late, 16), "s-0", ["part_session_16"])
+    held = catalog.source("raw_workouts", folders=True)
+    assert len(files_read(held)) > 16 and "part_session_16" not in catalog.source("raw_workouts").columns
+    touched = late.select("athlete", "workout_id").distinct()
+    near = in_folders_of(held, touched)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [((isnull(part_session_16") + plan.count("PartitionFilters: [(isnull(part_session_16") == 2
+    folders = {f.split("part_session_16=")[1].split("/")[0] for f in files_read(near)}
+    assert len(folders) == 1
+    want = raw.unionByName(late).filter("workout_id = '7'")
+    assert rows(near.filter("workout_id = '7'")) == rows(want)
+    # Folders of another number, and rows without any, are still found.
+    table.append_batch(by_session(late, 8), "s-1", ["part_session_8"])
+    table.append_batch(late, "s-2")
+    mixed = in_folders_of(catalog.source("raw_workouts", folders=True), touched)
+    assert rows(mixed.filter("workout_id = '7'")) == rows(want.unionByName(late).unionByName(late))
+
+
+def test_reports_scan_only_the_days_they_show(spark, folder):
+    wh = build(spark, folder, log.raw_workouts(spark, SF))
+    report = curated.sessions(wh.silver("sessions"), entity=["athlete"])
+    scans = [line for line in report._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line]
+    assert scans and all("GreaterThanOrEqual(workout_date" in s.split("PushedFilters: ")[1] for s in scans)
+    newest = {r.athlete: r.d for r in wh.silver("sessions").groupBy("athlete").agg(F.max("workout_date").alias("d")).collect()}
+    want = [r for r in wh.silver("sessions").collect() if (newest[r.athlete] - r.workout_date).days <= 30]
+    assert report.count() == len(want)
+
+
 def test_interrupted_refresh_is_repeated(spark, folder, monkeypatch):
     raw = log.raw_workouts(spark, SF)
     wh = build(spark, folder, raw.filter(F.col("_loaded_at") < F.lit(CUT)))

@@ -1068,13 +1068,11 @@ def batches_then_upsert(spark, d):
 def upsert_partitions(spark, d):
     """The same merge, rewriting only the days the batch touches."""
     target, batch = _event_batches(spark, d)
-    path = scratch_path(spark, "events-by-day")
     day = F.to_date("ts").alias("day")
     start = target.drop("dropped_column").withColumn("props", F.lit(None).cast("string"))
-    start.select("*", day).write.partitionBy("day").parquet(path)
-    return tables.upsert_partitions(
-        spark, path, batch.select("*", day), ["event_id"], "day", scratch_path(spark, "staging")
-    )
+    table = tables.Table(spark, scratch_path(spark, "events-by-day"))
+    table.replace(start.select("*", day), ["day"])
+    return table.swap(batch.select("*", day), ["event_id"], "day")
 
 
 @register(
@@ -1110,7 +1108,7 @@ def change_windows(spark, d):
 def refresh_sets(spark, d):
     """Sets loaded in two steps end up equal to a full rebuild."""
     source = warehouse(spark, d).catalog.source
-    raw, places, dim = source("raw_workouts"), source("gym_locations"), source("dim_exercise_templates")
+    raw, places, dim = source("raw_workouts", folders=True), source("gym_locations"), source("dim_exercise_templates")
     cut = datetime(1999, 1, 1)
     first = sets.clean_sets(raw.filter(F.col("_loaded_at") <= F.lit(cut)), places, dim, ATHLETE)
     table = tables.Table(spark, scratch_path(spark, "sets"))
@@ -1122,7 +1120,7 @@ def refresh_sets(spark, d):
 def swap_sets(spark, d):
     """The same two steps on a table in month folders: only months of touched sessions are written anew."""
     source = warehouse(spark, d).catalog.source
-    raw, places, dim = source("raw_workouts"), source("gym_locations"), source("dim_exercise_templates")
+    raw, places, dim = source("raw_workouts", folders=True), source("gym_locations"), source("dim_exercise_templates")
     first = sets.clean_sets(raw.filter(F.col("_loaded_at") <= F.lit(datetime(1999, 1, 1))), places, dim, ATHLETE)
     table = tables.Table(spark, scratch_path(spark, "sets"))
     table.replace(by_month(first), [MONTH])

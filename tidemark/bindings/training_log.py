@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import scratch_path
 from tidemark.sources.files import default_landmarks
-from tidemark.sources.tables import Catalog
+from tidemark.sources.tables import Catalog, by_session, session_columns
 
 ATHLETE = ["athlete"]
 
@@ -197,6 +197,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             ("dim_exercise_templates", templates),
             ("gym_locations", locations),
         ):
-            catalog.materialise("bronze", name, make(spark, sf_dir))
+            rows = make(spark, sf_dir)
+            rows = by_session(rows) if name == "raw_workouts" else rows
+            catalog.materialise("bronze", name, rows, session_columns(rows.columns))
         _built[key] = Warehouse(catalog, default_landmarks(spark), ("athlete",))
     return _built[key]

@@ -30,16 +30,43 @@ REPORTS = {
 }
 
 
+# Ranges of days that a report's scan is bounded by at most; the nearest ones are joined beyond that.
+MOST_RANGES = 16
+
+
 def _recent(df: DataFrame, column: str, days: int, as_of: date | None, entity: Sequence[str]) -> DataFrame:
-    """Rows of the last ``days`` days before the reporting day."""
+    """Rows of the last ``days`` days before the reporting day.
+
+    Each entity's newest day is a small aggregate over two columns. The distinct ones (no more than there are
+    days in the calendar) give ranges of days outside which no row is wanted. They are literals, so the scan skips
+    what lies beyond them; inside, the join with each entity's own newest day decides.
+    """
     if as_of is not None:
         return df.filter(F.col(column) >= F.lit(as_of - timedelta(days=days)))
     if not entity:
         newest = df.agg(F.max(column)).first()[0]
         return _recent(df, column, days, newest, ()) if newest is not None else df.filter(F.lit(False))
-    newest = df.groupBy(*[F.col(e).alias(f"_of_{e}") for e in entity]).agg(F.max(column).alias("_newest"))
+    newest_days = df.groupBy(*entity).agg(F.max(column).alias("_newest")).select("_newest").distinct()
+    ranges = day_ranges([r[0] for r in newest_days.collect() if r[0] is not None], days, MOST_RANGES)
+    near = df.filter(reduce(Column.__or__, [F.col(column).between(F.lit(a), F.lit(b)) for a, b in ranges], F.lit(False)))
+    newest = near.groupBy(*[F.col(e).alias(f"_of_{e}") for e in entity]).agg(F.max(column).alias("_newest"))
     same = reduce(Column.__and__, [F.col(e).eqNullSafe(F.col(f"_of_{e}")) for e in entity])
-    return df.join(newest, same & (F.col(column) >= F.date_sub("_newest", days))).select(*df.columns)
+    return near.join(newest, same & (F.col(column) >= F.date_sub("_newest", days))).select(*df.columns)
+
+
+def day_ranges(newest: Sequence[date], days: int, most: int) -> list[tuple[date, date]]:
+    """At most ``most`` ranges that hold each day and the ``days`` days before it."""
+    ranges: list[tuple[date, date]] = []
+    for last in sorted(newest):
+        first = last - timedelta(days=days)
+        if ranges and first <= ranges[-1][1] + timedelta(days=1):
+            ranges[-1] = (ranges[-1][0], last)
+        else:
+            ranges.append((first, last))
+    while len(ranges) > most:
+        k = min(range(len(ranges) - 1), key=lambda n: ranges[n + 1][0] - ranges[n][1])
+        ranges[k:k + 2] = [(ranges[k][0], ranges[k + 1][1])]
+    return ranges
 
 
 def _report(

@@ -17,7 +17,7 @@ from tidemark.operators.calendar import (
     trailing_sum,
 )
 from tidemark.operators.lookup import day_lookup
-from tidemark.operators.rollup import totals_and_distinct
+from tidemark.operators.rollup import counted, counted_if, largest, summed, totals_and_distinct
 
 # The two windows, in days.
 ACUTE_DAYS = 7
@@ -32,15 +32,15 @@ def daily_rollup(sets: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
     ``gym`` and ``gym_detail`` are those of the largest single set of the day
     that has a venue; equal sets resolve to the later name.
     """
-    venue = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("tonnage", c)))[c].alias(c)
-    return totals_and_distinct(
+    venue = lambda c: largest(F.when(F.col(c).isNotNull(), F.struct("tonnage", c)), f"_{c}")
+    rolled = totals_and_distinct(
         sets.filter(F.col("workout_date").isNotNull()),
         [*entity, "workout_date"],
         [
-            F.sum("tonnage").cast("decimal(20,2)").alias("daily_tonnage"),
-            F.count(F.lit(1)).alias("daily_sets"),
-            F.count_if("is_failure_set").alias("failure_sets"),
-            F.max("session_duration_min").alias("session_duration_min"),
+            summed("tonnage", "daily_tonnage", "decimal(20,2)"),
+            counted("daily_sets"),
+            counted_if("is_failure_set", "failure_sets"),
+            largest("session_duration_min"),
             venue("gym_detail"),
             venue("gym"),
         ],
@@ -51,6 +51,7 @@ def daily_rollup(sets: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
             "gyms_trained": "gym_detail",
         },
     )
+    return rolled.withColumns({c: F.col(f"_{c}")[c] for c in ("gym_detail", "gym")}).drop("_gym_detail", "_gym")
 
 
 def add_load_ratio(

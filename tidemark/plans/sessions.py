@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.arith import rounded_ratio
 from tidemark.operators.ordering import matching
-from tidemark.operators.rollup import totals_and_distinct
+from tidemark.operators.rollup import counted, counted_if, largest, smallest, summed, totals_and_distinct
 from tidemark.sources.tables import replace_groups, since_loaded
 
 
@@ -23,23 +23,23 @@ def session_summary(sets: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
         sets.filter(F.col("workout_date").isNotNull()),
         keys,
         [
-            F.max("workout_title").alias("workout_title"),
-            F.min("workout_date").alias("workout_date"),
-            F.min("week_start").alias("week_start"),
-            F.max("year").alias("year"),
-            F.max("month").alias("month"),
-            F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time"),
-            F.max("session_duration_min").alias("session_duration_min"),
-            F.count(F.lit(1)).alias("total_sets"),
-            F.sum("tonnage").cast("decimal(20,2)").alias("total_tonnage"),
-            F.sum("reps").alias("total_reps"),
-            F.count_if("is_failure_set").alias("failure_sets"),
-            F.count_if("is_dropset").alias("dropset_sets"),
-            F.count_if("is_superset").alias("superset_sets"),
-            F.max("gym").alias("gym"),
-            F.max("gym_detail").alias("gym_detail"),
-            F.max("_loaded_at").alias("_loaded_at"),
+            largest("workout_title"),
+            smallest("workout_date"),
+            smallest("week_start"),
+            largest("year"),
+            largest("month"),
+            smallest("start_time"),
+            largest("end_time"),
+            largest("session_duration_min"),
+            counted("total_sets"),
+            summed("tonnage", "total_tonnage", "decimal(20,2)"),
+            summed("reps", "total_reps"),
+            counted_if("is_failure_set", "failure_sets"),
+            counted_if("is_dropset", "dropset_sets"),
+            counted_if("is_superset", "superset_sets"),
+            largest("gym"),
+            largest("gym_detail"),
+            largest("_loaded_at"),
         ],
         {"total_exercises": "exercise_title", "muscles_trained": "primary_muscle"},
     )

@@ -20,7 +20,7 @@ from tidemark.operators.lookup import caseless_lookup, range_lookup
 from tidemark.operators.ordering import ONE_TASK_ROWS, collapse_duplicates, number_within, oversized_groups, matching
 from tidemark.session import scratch_path
 from tidemark.sources.files import stage
-from tidemark.sources.tables import replace_groups, since_loaded
+from tidemark.sources.tables import in_folders_of, replace_groups, since_loaded
 
 # Working set types, as spelled in the raw log.
 WORKING_TYPES = ["normal", "failure", "dropset"]
@@ -186,13 +186,14 @@ def rebuilt_sessions(
     """(sessions with rows loaded since the last run, their clean sets).
 
     Each touched session is rebuilt from all its raw rows, because a set's
-    number depends on the session's other sets. Both the sessions and these
+    number depends on the session's other sets. Where the raw table lies in session folders
+    (``by_session``), only those of touched sessions are read. Both the sessions and these
     rows are written once to the shared folder; what follows reads only them.
     """
     keys = [*entity, "workout_id"]
     spark = raw.sparkSession
     touched = stage(since_loaded(raw, target).select(*keys).distinct(), scratch_path(spark, "touched"))
-    again = stage(matching(raw, touched, keys, "left_semi"), scratch_path(spark, "again"))
+    again = stage(matching(in_folders_of(raw, touched), touched, keys, "left_semi"), scratch_path(spark, "again"))
     return touched, clean_sets(again, locations, templates, entity, **options)
 
 

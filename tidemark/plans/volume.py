@@ -12,40 +12,55 @@ from tidemark.functions.casts import weeks_between
 from tidemark.functions.labels import push_pull_status, quad_ham_status, volume_status
 from tidemark.operators.calendar import calendar_frame, latest_hit, previous_period, series_window
 from tidemark.operators.grid import complete_grid
-from tidemark.operators.rollup import totals_and_distinct
+from tidemark.operators.rollup import Total, counted, counted_if, from_parts, largest, part, parts, summed
+from tidemark.session import scratch_path
+from tidemark.sources.files import stage
 
 MEASURES = [
     "direct_sets", "indirect_sets", "total_reps", "total_tonnage", "unique_exercises",
     "training_days", "failure_sets", "unloaded_sets",
 ]
+DISTINCT = {"unique_exercises": "exercise_title", "training_days": "workout_date"}
+LIST = "secondary_muscle_groups"
+
+
+def _totals() -> list[Total]:
+    return [
+        counted("direct_sets"),
+        summed("reps", "total_reps"),
+        summed("tonnage", "total_tonnage", "decimal(20,2)"),
+        summed("weight_kg", "_weight", "decimal(20,2)"),
+        largest("weight_kg", "max_weight_kg"),
+        counted_if("is_failure_set", "failure_sets"),
+        counted_if("is_unloaded_set", "unloaded_sets"),
+    ]
 
 
-def direct_work(sets: DataFrame, entity: Sequence[str]) -> DataFrame:
-    totals = [
-        F.count(F.lit(1)).alias("direct_sets"),
-        F.sum("reps").alias("total_reps"),
-        F.sum("tonnage").cast("decimal(20,2)").alias("total_tonnage"),
-        F.sum("weight_kg").cast("decimal(20,2)").alias("_weight"),
-        F.max("weight_kg").alias("max_weight_kg"),
-        F.count_if("is_failure_set").alias("failure_sets"),
-        F.count_if("is_unloaded_set").alias("unloaded_sets"),
-    ]
-    distinct = {"unique_exercises": "exercise_title", "training_days": "workout_date"}
-    named = sets.withColumnRenamed("primary_muscle", "muscle")
-    return totals_and_distinct(named, [*entity, "week_start", "muscle"], totals, distinct)
+def week_parts(sets: DataFrame, entity: Sequence[str]) -> DataFrame:
+    """The one aggregate that weeks, direct and indirect work come from, written once to the shared folder.
+
+    A row per entity, week, muscle, exercise, day and list of further muscles.
+    """
+    named = sets.filter(F.col("workout_date").isNotNull()).withColumnRenamed("primary_muscle", "muscle")
+    reduced = parts(named, [*entity, "week_start", "muscle", LIST], _totals(), list(DISTINCT.values()))
+    return stage(reduced, scratch_path(sets.sparkSession, "week_parts"))
+
+
+def direct_work(reduced: DataFrame, entity: Sequence[str]) -> DataFrame:
+    return from_parts(reduced, [*entity, "week_start", "muscle"], _totals(), DISTINCT)
 
 
-def indirect_work(sets: DataFrame, entity: Sequence[str]) -> DataFrame:
+def indirect_work(reduced: DataFrame, entity: Sequence[str]) -> DataFrame:
     """Sets credited to each member of the JSON list; unreadable lists credit nobody.
 
     Sets are counted per list first, so each distinct list is parsed once per week.
     """
     per_list = (
-        sets.filter(F.col("secondary_muscle_groups").isNotNull())
-        .groupBy(*entity, "week_start", "secondary_muscle_groups")
-        .agg(F.count(F.lit(1)).alias("n"))
+        reduced.filter(F.col(LIST).isNotNull())
+        .groupBy(*entity, "week_start", LIST)
+        .agg(F.sum(part("direct_sets")).alias("n"))
     )
-    members = F.explode(F.from_json("secondary_muscle_groups", "array<string>"))
+    members = F.explode(F.from_json(LIST, "array<string>"))
     return (
         per_list.select(*entity, "week_start", "n", members.alias("muscle"))
         .groupBy(*entity, "week_start", "muscle")
@@ -62,14 +77,14 @@ def category_week(
     between. Categories missing from ``landmarks`` are left out.
     """
     entity = list(entity)
-    dated = sets.filter(F.col("workout_date").isNotNull())
-    weeks = dated.select(*entity, "week_start").distinct()
+    reduced = week_parts(sets, entity)
+    weeks = reduced.select(*entity, "week_start").distinct()
     if calendar_weeks:
         span = weeks.groupBy(*entity).agg(F.min("week_start").alias("a"), F.max("week_start").alias("b"))
         weeks = span.select(*entity, F.explode(F.sequence("a", "b", F.expr("interval 7 days"))).alias("week_start"))
     grid = complete_grid(weeks, landmarks, ["muscle"])
     on = [*entity, "week_start", "muscle"]
-    combined = grid.join(direct_work(dated, entity), on, "left").join(indirect_work(dated, entity), on, "left")
+    combined = grid.join(direct_work(reduced, entity), on, "left").join(indirect_work(reduced, entity), on, "left")
     combined = combined.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(combined.schema[c].dataType)) for c in MEASURES})
     combined = combined.withColumn("_week", F.unix_date("week_start"))
 

@@ -38,8 +38,8 @@ class Warehouse:
 
     def _write(self, layer: str, name: str) -> None:
         stored = self.catalog.table(layer, name)
-        if name in ("sets", "sessions"):
-            stored.replace(by_month(self.plan(name)), partition_by=[MONTH])
+        if name in MONTHLY:
+            stored.replace(by_month(self.plan(name), MONTHLY[name]), partition_by=[MONTH])
         else:
             stored.replace(self.plan(name))
 
@@ -71,7 +71,7 @@ class Warehouse:
     def refresh(self) -> None:
         """Incremental run: sets and sessions by load time, readings by date, the rest in full.
 
-        Touched sessions are swapped inside their months; other months of the two
+        Touched sessions and new readings are swapped inside their months; other months of the three
         tables stay as they are. Sessions go first: the next run finds what to do by the
         newest load in the set table, so a run that dies in between is repeated.
         """
@@ -83,25 +83,25 @@ class Warehouse:
         self.silver("sessions")
         keys = [*e, "workout_id"]
         touched, rebuilt = sets.rebuilt_sessions(
-            self.silver("sets"), source("raw_workouts"), source("gym_locations"), source("dim_exercise_templates"), e
+            self.silver("sets"), source("raw_workouts", folders=True), source("gym_locations"), source("dim_exercise_templates"), e
         )
         rebuilt = stage(rebuilt, scratch_path(rebuilt.sparkSession, "rebuilt"))
         summary = by_month(sessions.session_summary(rebuilt, e))
         self.catalog.table("silver", "sessions").swap(summary, keys, MONTH, touched)
         held.swap(by_month(rebuilt), keys, MONTH, touched)
         readings = self.catalog.table("silver", "measurements")
-        readings.upsert(
-            body.new_measurements(source("raw_measurements"), readings.read(), e), [*e, "measurement_date"]
-        )
+        fresh = body.new_measurements(source("raw_measurements"), readings.read(), e)
+        readings.swap(by_month(fresh, "measurement_date"), [*e, "measurement_date"], MONTH)
         self.rebuild(["bodyweight_daily", "training_day", "muscle_week", "training_week", "exercise_progression"])
 
 
-# Partition of the set and session tables: year and month as a number, 0 for undated rows.
+# Partition of the tables that are refreshed month by month, and their day: year and month as a number, 0 for undated rows.
 MONTH = "part_month"
+MONTHLY = {"sets": "workout_date", "sessions": "workout_date", "measurements": "measurement_date"}
 
 
-def by_month(clean: DataFrame) -> DataFrame:
-    month = F.year("workout_date") * 100 + F.month("workout_date")
+def by_month(clean: DataFrame, day: str = "workout_date") -> DataFrame:
+    month = F.year(day) * 100 + F.month(day)
     return clean.withColumn(MONTH, F.coalesce(month, F.lit(0)))
 
 

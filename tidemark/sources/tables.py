@@ -17,6 +17,7 @@ they read: two that run at once do not see each other, and the later one counts.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -159,9 +160,14 @@ class Table:
 
     def _rows(self, version: int | None, batches: Sequence[str]) -> DataFrame:
         parts = [self._version_rows(version)] if version is not None else []
-        if batches:
-            folders = [f"{self.path}/batch={b}" for b in batches]
-            parts.append(self.spark.read.option("mergeSchema", True).parquet(*folders))
+        # Only batches in folders of the same column can be listed together.
+        alike: dict[str, list[str]] = {}
+        for b in batches:
+            column = next((name.split("=")[0] for name in self._names(f"/batch={b}") if "=" in name), "")
+            alike.setdefault(column, []).append(f"{self.path}/batch={b}")
+        for column, folders in alike.items():
+            reader = self.spark.read.option("mergeSchema", True)
+            parts.append(reader.option("basePath", self.path).parquet(*folders).drop("batch") if column else reader.parquet(*folders))
         if not parts:
             raise FileNotFoundError(f"no complete version under {self.path}")
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -219,6 +225,8 @@ class Table:
         target = self._version_rows(version)
         losing = matching(target.select(*keys, partition), incoming, keys, "left_semi").select(partition)
         values = _values(losing.unionByName(batch.select(partition)), partition)
+        if not values:
+            return target
         affected = target.filter(F.col(partition).isin(values))
         merged = replace_groups(affected, batch.select(*target.columns), incoming, keys)
         touched = {f"{partition}={v}" for v in values}
@@ -248,15 +256,17 @@ class Table:
         for batch in set.intersection(*held) if held else ():
             remove_folder(self.spark, f"{self.path}/batch={batch}")
 
-    def append_batch(self, df: DataFrame, batch_id: int | str) -> None:
+    def append_batch(self, df: DataFrame, batch_id: int | str, partition_by: Sequence[str] = ()) -> None:
         """Add one batch to an append-only table; repeating a batch replaces it.
 
         A name must be unique over all streams that write here. A batch that the
-        current version already holds is not written again.
+        current version already holds is not written again. In a table whose batches lie in
+        folders no column may be named ``batch``.
         """
         version, _, _ = self._state()
         if version is None or str(batch_id) not in self._held(version):
-            df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+            rows = by_folder(df, partition_by) if partition_by else df
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/batch={batch_id}")
 
 
 @dataclass(frozen=True)
@@ -271,68 +281,51 @@ class Catalog:
             raise ValueError(f"unknown layer {layer!r}")
         return Table(self.spark, f"{self.root.rstrip('/')}/{layer.lower()}/{name}")
 
-    def source(self, name: str) -> DataFrame:
+    def source(self, name: str, folders: bool = False) -> DataFrame:
+        """A raw table; with ``folders`` also the column of its session folders, if it has them."""
         if name not in RAW_TABLES:
             raise ValueError(f"{name!r} is not a declared source")
-        return self.table("bronze", name).read()
+        rows = self.table("bronze", name).read()
+        return rows if folders else rows.drop(*session_columns(rows.columns))
 
     def materialise(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         return self.table(layer, name).replace(df, partition_by)
 
 
-# ---- partitioned facts: rewrite only what a batch touches ------------------------------------
+# ---- raw rows by session ---------------------------------------------------------------------
 
+SESSION_FOLDERS = 64
+_FOLDER = re.compile(r"part_session_(\d+)")
 
-def upsert_partitions(
-    spark: SparkSession,
-    path: str,
-    batch: DataFrame,
-    keys: Sequence[str],
-    partition: str,
-    staging: str,
-    groups: DataFrame | None = None,
-) -> DataFrame:
-    """Merge into a table partitioned by ``partition``, rewriting touched partitions only.
 
-    Every target row whose key is in ``groups`` (by default: in the batch) gives
-    way to the batch's rows. Touched are the partitions of the batch and those
-    that lose a row. The new partitions are completed in ``staging`` and then put
-    in place; an interrupted run is finished by the next ``finish_swap``. The
-    partition column must not be NULL.
+def _session_folder(folders: int) -> Column:
+    return F.pmod(F.xxhash64("workout_id"), F.lit(folders)).cast("int")
+
+
+def by_session(raw: DataFrame, folders: int = SESSION_FOLDERS) -> DataFrame:
+    """``raw`` with its session folder, a hash of the session id; the column's name says how many there are.
+
+    Written in such folders, the table is read only where touched sessions lie. Take enough of
+    them that the sessions of one load do not fall into all.
     """
-    finish_swap(spark, path, partition, staging)
-    target = spark.read.parquet(path)
-    incoming = (groups if groups is not None else batch).select(*keys).distinct()
-    losing = matching(target.select(*keys, partition), incoming, keys, "left_semi").select(partition)
-    touched = losing.unionByName(batch.select(partition)).distinct()
-    touched.write.mode("overwrite").parquet(f"{staging}/touched")
-    values = _values(spark.read.parquet(f"{staging}/touched"), partition)
-    affected = target.filter(F.col(partition).isin(values))
-    merged = replace_groups(affected, batch.select(*target.columns), incoming, keys)
-    merged.write.mode("overwrite").parquet(f"{staging}/rows")
-    finish_swap(spark, path, partition, staging)
-    return spark.read.parquet(path)
-
-
-def finish_swap(spark: SparkSession, path: str, partition: str, staging: str) -> None:
-    """Put completely staged partitions in place, drop those left empty, remove the staging folder.
-
-    Repeating it after an interruption gives the same table.
+    return raw.withColumn(f"part_session_{folders}", _session_folder(folders))
+
+
+def session_columns(columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if _FOLDER.fullmatch(c)]
+
+
+def in_folders_of(raw: DataFrame, sessions: DataFrame) -> DataFrame:
+    """The rows of ``raw`` in the folders of ``sessions``, and rows without a folder.
+
+    The folders of the few touched sessions go to the driver (no more than the table has) and come
+    back as literals, so the scan leaves all other folders out.
     """
-    fs, rows = _file_system(spark, f"{staging}/rows/_SUCCESS")
-    if not fs.exists(rows):
-        return
-    staged = spark.read.parquet(f"{staging}/rows")
-    touched = _values(spark.read.parquet(f"{staging}/touched"), partition)
-    writer = by_folder(staged, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(path)
-    held = set(_values(staged, partition))
-    for value in touched:
-        if value not in held:
-            remove_folder(spark, f"{path}/{partition}={value}")
-    # The marker goes first: a clean-up that stops half-way is not taken for a staged swap.
-    remove_folder(spark, f"{staging}/rows/_SUCCESS")
-    remove_folder(spark, staging)
+    for name in session_columns(raw.columns):
+        folders = int(_FOLDER.fullmatch(name)[1])
+        touched = [r[0] for r in sessions.select(_session_folder(folders)).distinct().collect()]
+        raw = raw.filter(F.col(name).isNull() | F.col(name).isin(touched))
+    return raw.drop(*session_columns(raw.columns))
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:

@@ -17,7 +17,7 @@ from tidemark.sources.audit import audit, gate, read_audit
 from tidemark.sources.documents import flatten_workouts, split_events
 from tidemark.sources.files import BAD_ROW, good_rows, load_jsonl, stage, wall_clock, with_bad_row, write_jsonl
 from tidemark.sources.state import SyncState, sync_window
-from tidemark.sources.tables import Table, remove_folder, since_updated, stable_id
+from tidemark.sources.tables import Table, by_session, remove_folder, session_columns, since_updated, stable_id
 
 
 def event_stream(spark: SparkSession, landing: str, schema: StructType = schemas.EVENT_DOC) -> DataFrame:
@@ -46,11 +46,11 @@ def load_batch(bronze: Table, loaded_at: datetime, stream: str, keep: tuple[str,
         if result.rows_parsed == 0:
             return
         changed, _ = split_events(good_rows(staged))
-        rows = flatten_workouts(changed, keep).withColumn("_loaded_at", wall_clock(loaded_at))
+        rows = by_session(flatten_workouts(changed, keep).withColumn("_loaded_at", wall_clock(loaded_at)))
         has_changes = not changed.isEmpty()
         gate(result, rows_expected=0 if has_changes and rows.isEmpty() else None)
         if has_changes:
-            bronze.append_batch(rows, name)
+            bronze.append_batch(rows, name, session_columns(rows.columns))
         remove_folder(batch.sparkSession, at)  # a refused batch keeps its staged rows for inspection
 
     return step
@@ -126,19 +126,21 @@ def run_window_sync(
 
     The window ends where the run began and starts at the last good run, or 7
     days back on a first run. The state moves only after a clean load, or when
-    nothing changed. The batch is named after the window's end, so a repeated
-    run replaces its own rows.
+    nothing changed. The batch is named after the state's stream and the window's
+    end, so a repeated run replaces its own rows and no other stream's.
     """
     since, started = sync_window(held, now)
     changed = _changed_since(workouts, since)
     if not changed.isEmpty():
-        run_ts = started.strftime("%Y%m%d_%H%M%S")
-        landed = write_jsonl(flatten_workouts(changed), f"{bronze.path}.landed", run_ts)
-        at = f"{bronze.path}.staged/{run_ts}"
+        # Two streams into one table may start in the same second.
+        stream, run_ts = stable_id(workouts.sparkSession, held.path), started.strftime("%Y%m%d_%H%M%S")
+        landed = write_jsonl(flatten_workouts(changed), f"{bronze.path}.landed/{stream}", run_ts)
+        at = f"{bronze.path}.staged/{stream}-{run_ts}"
         staged = stage(load_jsonl(workouts.sparkSession, landed), at)
         result = read_audit(audit(staged))
         gate(result, rows_expected=result.rows_parsed)
-        bronze.append_batch(good_rows(staged).withColumn("_loaded_at", wall_clock(started)), run_ts)
+        rows = by_session(good_rows(staged).withColumn("_loaded_at", wall_clock(started)))
+        bronze.append_batch(rows, f"{stream}-{run_ts}", session_columns(rows.columns))
         remove_folder(workouts.sparkSession, at)
     held.set(started)
     return since, started
