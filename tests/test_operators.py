@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from datetime import date, timedelta
 
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import arith, text
-from tidemark.operators import documents, lookup, ordering, questions, similarity
+from tidemark.operators import documents, lookup, ordering, quality, questions, similarity
 from tidemark.plans import curated, sets
 
 
@@ -40,8 +41,9 @@ def test_duplicates_are_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+@pytest.mark.parametrize("longest", [100, 400, 20_000, 10**7])
 @pytest.mark.parametrize("broadcast_rows", [500_000, 10])
-def test_range_lookup_against_brute_force(spark, monkeypatch, broadcast_rows):
+def test_range_lookup_against_brute_force(spark, monkeypatch, broadcast_rows, longest):
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(5)
     day = lambda n: date.fromordinal(730_000 + n)
@@ -49,21 +51,37 @@ def test_range_lookup_against_brute_force(spark, monkeypatch, broadcast_rows):
     ranges = []
     for i in range(60):
         a = rng.randrange(900)
-        ranges.append((rng.randrange(2), day(a), day(a + rng.randrange(-3, 400)), f"r{i}"))
-    ranges.append((0, None, day(5), "open"))
+        ranges.append((rng.randrange(2), day(a), date.fromordinal(min(730_000 + a + rng.randrange(-3, longest), date.max.toordinal())), f"r{i}"))
+    ranges += [(0, None, day(5), "no start"), (1, day(3), None, "no end")]
+    if longest > 400:
+        ranges += [(0, day(300), date.max, "open"), (1, date(1, 1, 1), day(200), "until"), (1, date(1, 1, 1), date.max, "always")]
+    frame = spark.createDataFrame(facts, "id int, e int, d date")
     out = lookup.range_lookup(
-        spark.createDataFrame(facts, "id int, e int, d date"),
-        spark.createDataFrame(ranges, "e int, start_date date, end_date date, name string"),
-        "d", ["name"], ["e"],
+        frame, spark.createDataFrame(ranges, "e int, start_date date, end_date date, name string"),
+        "d", ["name"], ["e"], days=frame.union(frame) if broadcast_rows == 10 else None,
     )
     got = sorted(((r.id, r.range_name) for r in out.collect()), key=repr)
     want = []
     for i, e, d in facts:
-        hits = [n for re, a, b, n in ranges if d and a and re == e and a <= d <= b]
+        hits = [n for re, a, b, n in ranges if d and a and b and re == e and a <= d <= b]
         want += [(i, n) for n in hits] or [(i, None)]
     assert got == sorted(want, key=repr)
 
 
+def test_bins_of_a_range_are_few_and_make_it_up(spark):
+    rng = random.Random(1)
+    rows = [(i, date.fromordinal(rng.randrange(600_000, 730_000)), rng.choice([0, 5, 100, 250, 260, 1000, 20_000, 10**6])) for i in range(200)]
+    rows = [(i, a, date.fromordinal(min(a.toordinal() + n, date.max.toordinal()))) for i, a, n in rows] + [(900, date.min, date.max)]
+    bins = {}
+    for r in lookup.range_bins(spark.createDataFrame(rows, "i int, a date, b date"), "a", "b").collect():
+        size = lookup.BIN_BITS + lookup.LEVEL_BITS * r._level
+        bins.setdefault(r.i, []).append((r._bin << size, (r._bin + 1 << size) - 1))
+    for i, a, b in rows:
+        own, low, high = sorted(bins[i]), a.toordinal() - 719_163, b.toordinal() - 719_163
+        assert all(x[1] + 1 == y[0] for x, y in zip(own, own[1:])) and own[0][0] == low >> 5 << 5 and own[-1][1] == (high >> 5 << 5) + 31
+        assert len(own) <= 2 + 14 * math.ceil(math.log((high - low) / 32 + 2, 8))
+
+
 def brute_top(queries, items, k, threshold, metric):
     out = []
     for qid, q in queries:
@@ -271,6 +289,61 @@ def test_totals_and_distinct_in_both_ways(spark, limit):
     assert sorted((tuple(r) for r in rollup.from_parts(reduced, ["k", "m"], totals, distinct, limit).collect()), key=repr) == want
 
 
+def scored(queries, items, k):
+    return {(r.query_id, r.item_id) for r in similarity.top_k(queries, items, k=k, threshold=-9).collect()}
+
+
+def test_index_of_all_cells_is_exact_and_few_probes_find_most(spark, folder):
+    # Items around 40 places, as real embeddings lie; queries near some of them.
+    rng = np.random.default_rng(4)
+    places = rng.normal(size=(40, 24))
+    near = lambda n, spread: places[rng.integers(0, 40, n)] + rng.normal(size=(n, 24)) * spread
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(near(3000, 0.4))] + [(9000, None)], "item_id int, embedding array<double>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(near(60, 0.3))], "query_id int, embedding array<double>")
+    index = similarity.build_index(items, f"{folder}/ix", 32)
+    assert index.items.count() == 3000 and len(index.centroids()) == 32
+    want = scored(queries, items, 10)
+    found = lambda probes: {(r.query_id, r.item_id) for r in similarity.indexed_top_k(queries, index, probes, k=10, threshold=-9).collect()}
+    assert found(32) == want and len(found(4) & want) >= 0.9 * len(want)
+    with pytest.raises(ValueError):
+        similarity.build_index(items, f"{folder}/iy", 4, metric="other")
+
+
+@pytest.mark.parametrize("metric", similarity.METRICS)
+def test_index_in_blocks_of_queries(spark, folder, monkeypatch, metric):
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(similarity, "MERGED_TASKS", 2)
+    rng = np.random.default_rng(5)
+    make = lambda n, name: spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(n)], f"{name} int, embedding array<double>").repartition(7)
+    items, queries = make(90, "item_id"), make(20, "query_id")
+    index = similarity.build_index(items, f"{folder}/ix", 6, metric=metric)
+    key = lambda df: sorted(map(tuple, df.collect()))
+    want = key(similarity.top_k(queries, items, k=3, threshold=-99, metric=metric))
+    assert len(want) == 60 and key(similarity.indexed_top_k(queries, index, 6, k=3, threshold=-99)) == want
+    none = items.limit(0)
+    assert similarity.indexed_top_k(queries, similarity.build_index(none, f"{folder}/no", 4, metric=metric), 2).count() == 0
+    assert similarity.indexed_top_k(queries.limit(0), index, 2).count() == 0
+
+
+def test_index_reads_the_probed_folders_only(spark, folder):
+    rng = np.random.default_rng(6)
+    items = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(200)], "item_id int, embedding array<double>")
+    index = similarity.build_index(items, f"{folder}/ix", 10)
+    one = spark.createDataFrame([(1, rng.normal(size=4).tolist())], "query_id int, embedding array<double>")
+    scan = next(line for line in plan_of(similarity.indexed_top_k(one, index, 2)).split("\n") if "FileScan" in line)
+    assert "PartitionFilters: [cell" in scan and scan.split("PartitionFilters: [")[1].split("]")[0].count(",") == 1
+
+
+def test_candidates_of_many_tasks_meet_in_two_steps(spark):
+    rng = random.Random(8)
+    rows = [(rng.randrange(3), n, rng.randrange(50) / 10) for n in range(600)]
+    frame = spark.createDataFrame(rows, similarity.CANDIDATE).repartition(12)
+    one, two = (similarity.rank_candidates(frame, 4, 0.5, salts) for salts in (1, 5))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) and one.count() == 12
+    assert plan_of(two).count("Exchange hashpartitioning(query_id") == 2 * plan_of(one).count("Exchange hashpartitioning(query_id")
+    assert "salt" in plan_of(two) and "salt" not in plan_of(one)
+
+
 def test_totals_and_distinct_scan_and_shuffle_once(spark, folder):
     from tidemark.operators import rollup
 
@@ -317,3 +390,14 @@ def test_history_shows_the_resolved_question(spark):
     )
     got = questions.answer_history(asked, answers).first()
     assert got.history == "user: Volume of legs?\nassistant: a\nuser: plain\nassistant: "
+
+
+def test_repeated_keys_share_one_scan(spark, folder):
+    rows = [(1, "a", None), (1, "a", None), (2, "a", 1.0), (None, "b", 1.0), (None, "b", 2.0), (3, None, None), (3, "null", None), (4, "c", 0.1)]
+    spark.createDataFrame(rows, "i int, s string, x double").write.parquet(f"{folder}/t")
+    frame = spark.read.parquet(f"{folder}/t")
+    checks = {"i": ["i"], "s": ["s"], "i+s": ["i", "s"], "all": ["i", "s", "x"]}
+    got = {r.check_name: r.violations for r in quality.repeated_keys(frame, checks).collect()}
+    assert got == {name: quality.unique(frame, *keys).count() for name, keys in checks.items()} == {"i": 2, "s": 2, "i+s": 2, "all": 1}
+    clean = quality.repeated_keys(frame.filter("i IN (2, 4)"), checks)
+    assert {r.violations for r in clean.collect()} == {0} and "FileScan" not in plan_of(clean)

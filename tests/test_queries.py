@@ -25,6 +25,12 @@ def test_query_equals_sql(spark, name):
     assert differences(result, ORACLE[name], SF) == []
 
 
+def test_probed_cells_hold_most_of_the_exact_neighbours(spark):
+    key = lambda name: {(r.query_id, r.item_id) for r in QUERIES[name](spark, SF).collect()}
+    exact = key("knn_topk")
+    assert len(key("knn_index") & exact) >= 0.9 * len(exact)
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 

@@ -379,3 +379,32 @@ def test_stream_drops_repeats_in_the_delay(spark, folder):
     )
     query.awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_the_staging_write_counts_its_own_audit(spark, folder):
+    lines = ['{"workout_id": "a"}', "broken", '{"workout_id": "b"}', "also broken"]
+    for n, own in enumerate((lines, lines[:1], lines[1::2], [])):
+        os.makedirs(f"{folder}/{n}")
+        with open(f"{folder}/{n}/x.json", "w") as f:
+            f.write("".join(line + "\n" for line in own))
+        staged, result = audit.stage_audited(files.load_jsonl(spark, f"{folder}/{n}"), f"{folder}/staged{n}")
+        assert staged.count() == len(own) and (not own or result == audit.read_audit(audit.audit(staged)))
+        assert (result.rows_parsed, result.errors_seen) == (len(own), sum("broken" in x for x in own))
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, folder):
+    plain = 'Push,t0,t1,"a ""b"" c",Bench,,,8.5,normal,100,%d,,,\n'
+    names = ["a.csv", "b c.csv", "d[1].csv", "e%20f.csv"]
+    for k, name in enumerate(names):
+        write(folder, f"in/{name}", HEADER + "\n" + "".join(plain % (n + 10_000 * k) for n in range(3000)))
+    write(folder, "in/g {x}.csv", HEADER + '\nPush,t0,t1,"two\nlines",Bench,,,8.5,normal,100,77777,,,\n' + "".join(plain % (n + 90_000) for n in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 32 * 1024)
+    try:
+        loaded = files.load_csv(spark, f"{folder}/in")
+        rows = loaded.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 15_001 and len({r.reps for r in rows}) == 15_001 and not [r for r in rows if r._corrupt_record]
+    tasks = lambda low, high: {r.task for r in rows if low <= int(r.reps) < high}
+    assert len(tasks(77_777, 100_000)) == 1 and all(len(tasks(10_000 * k, 10_000 * k + 3000)) > 1 for k in range(4))
+    assert [r.description for r in rows if r.reps == "77777"] == ["two\nlines"]

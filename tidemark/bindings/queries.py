@@ -140,12 +140,12 @@ def interpolate_daily(spark, d):
     o.with_(
         EVENT_DAYS,
         """er AS (
-  SELECT user_id, CAST(ts AS DATE) AS day, max(CAST(round(value * 100) AS BIGINT)) AS v FROM events
-  WHERE event_type = 'signup' GROUP BY 1, 2
+  SELECT user_id, CAST(ts AS DATE) AS day, max(CAST(round(value * 100) AS BIGINT)) FILTER (event_type = 'signup') AS v
+  FROM events GROUP BY 1, 2
 ),
 ea AS (
-  SELECT s.user_id, s.day, r.v, last_value(r.v IGNORE NULLS) OVER up AS pv, last_value(r.day IGNORE NULLS) OVER up AS pd,
-    first_value(r.v IGNORE NULLS) OVER down AS nv, first_value(r.day IGNORE NULLS) OVER down AS nd
+  SELECT s.user_id, s.day, r.v, last_value(r.v IGNORE NULLS) OVER up AS pv, last_value(CASE WHEN r.v IS NOT NULL THEN r.day END IGNORE NULLS) OVER up AS pd,
+    first_value(r.v IGNORE NULLS) OVER down AS nv, first_value(CASE WHEN r.v IS NOT NULL THEN r.day END IGNORE NULLS) OVER down AS nd
   FROM event_spine s LEFT JOIN er r ON s.user_id = r.user_id AND s.day = r.day
   WINDOW up AS (PARTITION BY s.user_id ORDER BY s.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
     down AS (PARTITION BY s.user_id ORDER BY s.day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
@@ -157,11 +157,9 @@ ea AS (
     ),
 )
 def interpolate_daily_events(spark, d):
-    readings = (
-        read(spark, d, "events")
-        .filter(F.col("event_type") == "signup")
-        .select("user_id", F.to_date("ts").alias("at"), hundredths(F.col("value")).alias("level"))
-    )
+    # Every event is a reading; only a signup has a value in it.
+    level = F.when(F.col("event_type") == "signup", hundredths(F.col("value")))
+    readings = read(spark, d, "events").select("user_id", F.to_date("ts").alias("at"), level.alias("level"))
     return body.interpolate_daily(
         event_rows(spark, d), readings, ["user_id"], day="day", reading_day="at", value="level", out="level"
     )
@@ -1010,6 +1008,37 @@ def window_sync(spark, d):
     return flat_view(bronze.read())
 
 
+REPEAT_FEEDS = """WITH feed AS (
+  SELECT event_id, TIMESTAMP '2026-01-01' + to_seconds(event_id % 3600) AS sent, event_id % 4 AS part FROM events
+)
+SELECT event_id, sent, 1 AS feed FROM feed WHERE part IN (0, 1) UNION ALL
+SELECT event_id, sent + INTERVAL 1 HOUR, 2 FROM feed WHERE part = 2 UNION ALL
+SELECT event_id, sent + INTERVAL 5 DAY, 3 FROM feed WHERE part = 3 UNION ALL
+SELECT event_id, sent + INTERVAL 10 DAY, 4 FROM feed WHERE part = 1"""
+
+
+@register("stream_dedup", REPEAT_FEEDS)
+def stream_dedup(spark, d):
+    """Four feeds of one stream: repeats an hour later are dropped, repeats ten days later are beyond the delay and come through."""
+    sent = F.lit(datetime(2026, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id") % 3600)
+    events = read(spark, d, "events").select("event_id", sent.alias("sent"), (F.col("event_id") % 4).alias("part"))
+    base = scratch_path(spark, "repeats")
+    feeds_of = [("0 HOUR", [0, 1]), ("1 HOUR", [0, 2]), ("5 DAY", [3]), ("10 DAY", [1])]
+    for number, (later, own) in enumerate(feeds_of, 1):
+        feed = events.filter(F.col("part").isin(own)).select(
+            "event_id", (F.col("sent") + F.expr(f"INTERVAL {later}")).alias("sent"), F.lit(number).alias("feed")
+        )
+        feed.write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(feed.schema).parquet(f"{base}/landing")
+        once = ingest.drop_repeated(stream, "event_id", "sent", "2 hours")
+        query = (
+            once.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @register(
     "change_events",
     """SELECT count(*) FILTER (o_orderstatus <> 'F') AS applied, count(*) FILTER (o_orderstatus = 'F') AS skipped
@@ -1395,6 +1424,26 @@ def knn_topk(spark, d):
     return similarity.top_k(label_vectors(spark, d), items, k=4, threshold=RELEVANCE)
 
 
+CELLS, PROBES = 32, 20
+
+
+def vector_index(spark: SparkSession, d: str) -> similarity.CellIndex:
+    items = read(spark, d, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
+    return similarity.build_index(items, scratch_path(spark, "vector_index"), CELLS)
+
+
+@register("knn_index_all_cells", o.with_(_KNN, then="SELECT * FROM evidence"))
+def knn_index_all_cells(spark, d):
+    """The same retrieval over the index, with every cell probed: exact."""
+    return similarity.indexed_top_k(label_vectors(spark, d), vector_index(spark, d), CELLS, k=4, threshold=RELEVANCE)
+
+
+@register("knn_index")
+def knn_index(spark, d):
+    """Only the nearest cells of each query; its recall is measured in the tests."""
+    return similarity.indexed_top_k(label_vectors(spark, d), vector_index(spark, d), PROBES, k=4, threshold=RELEVANCE)
+
+
 def unit_label_vectors(spark: SparkSession, d: str) -> DataFrame:
     """The same vectors scaled to about unit length, for metrics that see length."""
     v = label_vectors(spark, d)

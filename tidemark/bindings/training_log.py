@@ -1,7 +1,7 @@
 """The fixture tables seen as a training log.
 
 athlete = customer nation, session = order, set = line item, exercise = part
-word and type, readings = orders with status P. Text columns are written in the
+word and type, readings = orders (a weight only where the status is P). Text columns are written in the
 raw log's conventions, including values that do not parse.
 """
 
@@ -131,7 +131,7 @@ def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = (
         read(spark, sf_dir, "part")
         .withColumn("title", exercise(F.col("p_name"), F.col("p_type")))
-        .filter(~F.col("title").startswith("rod"))
+        .withColumn("title", F.when(F.col("title").startswith("rod"), F.concat(F.lit("old "), F.col("title"))).otherwise(F.col("title")))
         .groupBy("title", "p_type")
         .agg(F.min("p_partkey").alias("n"))
     )
@@ -169,14 +169,13 @@ def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     weight = F.concat((cust % 40 + 60).cast("string"), F.lit("."), _padded(key))
     return (
-        order.filter(F.col("o_orderstatus") == "P")
-        .join(customer, order.o_custkey == customer.c_custkey)
+        order.join(customer, order.o_custkey == customer.c_custkey)
         .select(
             F.col("c_nationkey").cast("bigint").alias("athlete"),
             F.when(key % 31 == 0, "not a date")
             .otherwise(F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd"))
             .alias("measurement_date"),
-            F.when(key % 29 == 0, "n/a").otherwise(weight).alias("weight_kg"),
+            F.when((F.col("o_orderstatus") == "P") & (key % 29 != 0), weight).otherwise("n/a").alias("weight_kg"),
             F.lit(None).cast("string").alias("body_fat_pct"),
             (F.col("o_orderdate") + F.make_dt_interval(days=(cust % 30).cast("int"))).alias("_loaded_at"),
         )

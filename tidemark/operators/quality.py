@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.calendar import series_window
 from tidemark.operators.lookup import orphans
+from tidemark.session import scratch_path
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -22,6 +23,37 @@ def unique(df: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def repeated_keys(df: DataFrame, checks: dict[str, Sequence[str]]) -> DataFrame:
+    """(check_name, violations): how many keys of each check more than one row holds, as ``unique`` counts them.
+
+    One scan of the table serves all checks: it gives a row (check, hash of the key)
+    per check, which tasks count before the shuffle. Only where a hash occurs twice is
+    the table read again, and the full keys of these few rows are counted.
+    """
+    names = list(checks)
+    spark = df.sparkSession
+
+    def stacked(*columns: str) -> DataFrame:
+        each = []
+        for n, name in enumerate(names):
+            keys = checks[name]
+            counts = F.col(keys[0]).isNotNull() if len(keys) == 1 else F.lit(True)
+            full = F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
+            each.append(F.struct(F.lit(n).alias("check"), F.when(counts, F.xxhash64(*keys)).alias("hash"), full.alias("key")))
+        return df.select(F.inline(F.array(*each))).filter("hash IS NOT NULL").select(*columns)
+
+    twice = stacked("check", "hash").groupBy("check", "hash").count().filter("count > 1").select("check", "hash")
+    path = scratch_path(spark, "repeated")
+    twice.write.parquet(path)
+    twice = spark.read.schema(twice.schema).parquet(path)
+    every = spark.createDataFrame([(n, name) for n, name in enumerate(names)], "check int, check_name string")
+    if twice.isEmpty():
+        return every.select("check_name", F.lit(0).cast("bigint").alias("violations"))
+    held = stacked("check", "hash", "key").join(twice, ["check", "hash"], "left_semi")
+    bad = held.groupBy("check", "hash", "key").count().filter("count > 1").groupBy("check").agg(F.count(F.lit(1)).alias("violations"))
+    return every.join(bad, "check", "left").select("check_name", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Values outside the list, with their row counts; NULL is left to ``not_null``."""
     return df.filter(~F.col(column).isin(*values)).groupBy(column).agg(F.count(F.lit(1)).alias("n"))

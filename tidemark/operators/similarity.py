@@ -1,23 +1,29 @@
-"""Top-k retrieval by vector similarity, exact.
+"""Top-k retrieval by vector similarity: exact, or over an inverted-file index.
 
 Few queries (checked by size) go to every task. Each task multiplies its corpus
 vectors with them and passes on its own best rows only, so the corpus is read
-once and never shuffled, and no table of pairs exists. Many queries are cut into
-blocks and the corpus into chunks that meet one by one on the executors.
+once and never shuffled, and no table of pairs exists. Many queries come in
+blocks of that size, each a pass over the corpus. ``build_index`` puts items in folders of
+their nearest centroid; ``indexed_top_k`` reads the folders nearest to the queries only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Queries sent to every task hold at most this many bytes of vectors; so does a block or chunk.
+from tidemark.session import scratch_path
+
+# Queries sent to every task hold at most this many bytes of vectors; more go in blocks of this size.
 BLOCK_BYTES = 32 * 1024 * 1024
+# Tasks of a scan whose candidates meet in one task of the merge.
+MERGED_TASKS = 64
 # Scores are compared at this many digits, so that equal vectors tie exactly.
 SCORE_DIGITS = 9
 # Scores held at a time: queries times the items of one step.
@@ -94,28 +100,6 @@ def _scan_with(shared, metric: str, keep: int):
     return scan
 
 
-def _meet(metric: str, keep: int):
-    def one(queries: pa.Table, items: pa.Table) -> pa.Table:
-        if not queries.num_rows or not items.num_rows:
-            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], CANDIDATE.names)
-        parts = [t.select(["id", "vector"]).combine_chunks().to_batches()[0] for t in (queries, items)]
-        best = _Best(*_dense(*parts[0].columns), metric, keep)
-        best.add(*_dense(*parts[1].columns))
-        return pa.Table.from_arrays(best.columns(), CANDIDATE.names)
-
-    return one
-
-
-def _blocks_meet_chunks(asked: DataFrame, source: DataFrame, blocks: int, chunks: int, metric: str, keep: int) -> DataFrame:
-    """Every block of queries with every chunk of items, each pair of them in a task of bounded size."""
-    number = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    queries = asked.withColumn("block", number(blocks)).withColumn("chunk", every(chunks))
-    items = source.withColumn("chunk", number(chunks)).withColumn("block", every(blocks))
-    together = queries.groupBy("block", "chunk").cogroup(items.groupBy("block", "chunk"))
-    return together.applyInArrow(_meet(metric, keep), CANDIDATE)
-
-
 def top_k(
     queries: DataFrame,
     corpus: DataFrame,
@@ -135,17 +119,36 @@ def top_k(
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}")
     asked, source = _vectors(queries, query_id, vector), _vectors(corpus, item_id, vector)
+    scan = lambda block: source.mapInArrow(_scan_with(block, metric, 2 * k), CANDIDATE)
+    return rank_candidates(_in_blocks(asked, scan), k, threshold, _salts(source))
+
+
+def _salts(source: DataFrame) -> int:
+    """How many groups the tasks of a scan form, so that no task of the merge meets candidates of more than ``MERGED_TASKS``."""
+    return -(-source.rdd.getNumPartitions() // MERGED_TASKS)
+
+
+def _in_blocks(asked: DataFrame, scan) -> DataFrame:
+    """``scan`` with the queries in blocks of ``BLOCK_BYTES``, one in memory at a time.
+
+    One block is scanned when the result is. Of several, each is a pass over the
+    corpus where it lies, and its candidates are written to the shared folder.
+    """
+    spark = asked.sparkSession
     n_queries, width = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
-    row_bytes = 8 * max(width, 1)
-    if n_queries * row_bytes <= BLOCK_BYTES:
-        rows = asked.collect()
+    blocks = max(1, -(-n_queries * 8 * max(width, 1) // BLOCK_BYTES))
+    found = []
+    for b in range(blocks):
+        rows = (asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)).collect()
         block = np.array([r["vector"] for r in rows], dtype=np.float64).reshape(len(rows), width)
-        shared = corpus.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in rows], dtype=np.int64), block))
-        candidates = source.mapInArrow(_scan_with(shared, metric, 2 * k), CANDIDATE)
-    else:
-        blocks, chunks = (-(-n * row_bytes // BLOCK_BYTES) for n in (n_queries, max(source.count(), 1)))
-        candidates = _blocks_meet_chunks(asked, source, int(blocks), int(chunks), metric, 2 * k)
-    return rank_candidates(candidates, k, threshold)
+        shared = spark.sparkContext.broadcast((np.array([r["id"] for r in rows], dtype=np.int64), block))
+        if blocks == 1:
+            return scan(shared)
+        path = scratch_path(spark, "candidates")
+        scan(shared).write.parquet(path)
+        found.append(path)
+        shared.unpersist()
+    return spark.read.schema(CANDIDATE).parquet(*found)
 
 
 def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -154,11 +157,144 @@ def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
-def rank_candidates(candidates: DataFrame, k: int, threshold: float) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy(F.desc("raw_score"), F.asc("item_id"))
+def rank_candidates(candidates: DataFrame, k: int, threshold: float, salts: int = 1) -> DataFrame:
+    """The best of each query; with many tasks, first the best of each group of tasks."""
+    best = lambda *keys: F.row_number().over(Window.partitionBy("query_id", *keys).orderBy(F.desc("raw_score"), F.asc("item_id")))
+    if salts > 1:
+        salted = candidates.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        candidates = salted.withColumn("rank", best("salt")).filter(F.col("rank") <= 2 * k).drop("rank", "salt")
     return (
-        candidates.withColumn("rank", F.row_number().over(best))
+        candidates.withColumn("rank", best())
         .filter((F.col("rank") <= 2 * k) & (F.col("raw_score") > threshold))
         .filter(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "item_id", F.round("raw_score", 3).alias("score"))
     )
+
+
+# ---- inverted-file index: items in folders of their nearest centroid --------------------------------
+
+
+def _nearest(vectors: np.ndarray, centroids: np.ndarray, count: int, metric: str) -> np.ndarray:
+    """The ``count`` cells whose centroids score best for each vector, best first; ties to the smaller cell."""
+    scores = np.round(_scores(vectors, centroids, metric), SCORE_DIGITS)
+    return np.argsort(-scores, axis=1, kind="stable")[:, :count]
+
+
+def fit_centroids(corpus: DataFrame, cells: int, metric: str, sample: int, rounds: int) -> np.ndarray:
+    """Centroids by rounds of assignment and means over a sample of at most ``sample`` vectors (first in hash order).
+
+    A round is one aggregate: tasks sum the vectors of each cell, Spark adds the sums up, and
+    the driver sees one row per cell and component. A cell left empty keeps its centroid.
+    """
+    spark = corpus.sparkSession
+    path = scratch_path(spark, "index_sample")
+    corpus.orderBy(F.xxhash64("id"), "id").limit(sample).write.parquet(path)
+    sampled = spark.read.parquet(path)
+    first = [r["vector"] for r in sampled.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(cells).collect()]
+    centroids = np.array(first, dtype=np.float64)
+
+    def sums(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(shared.value), shared.value.shape[1] + 1))
+            for batch in batches:
+                _, dense = _dense(batch.column(0), batch.column(1))
+                if len(dense):
+                    cell = _nearest(dense, shared.value, 1, metric)[:, 0]
+                    own = _unit_rows(dense) if metric == "cosine" else dense
+                    np.add.at(total, cell, np.concatenate([own, np.ones((len(own), 1))], axis=1))
+            used = np.flatnonzero(total[:, -1])
+            place = np.tile(np.arange(total.shape[1]), len(used))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(used, total.shape[1]), pa.int32()), pa.array(place, pa.int32()), pa.array(total[used].ravel())], names=["cell", "place", "total"]
+            )
+
+        return run
+
+    for _ in range(rounds if len(centroids) else 0):
+        shared = spark.sparkContext.broadcast(centroids)
+        rows = sampled.mapInArrow(sums(shared), "cell int, place int, total double").groupBy("cell", "place").agg(F.sum("total").alias("total")).collect()
+        total = np.zeros((len(centroids), centroids.shape[1] + 1))
+        for r in rows:
+            total[r.cell, r.place] = r.total
+        centroids = np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1), centroids)
+        shared.unpersist()
+    return centroids
+
+
+@dataclass(frozen=True)
+class CellIndex:
+    """Items in folders by cell, and the cells' centroids (a small table beside them)."""
+
+    spark: SparkSession
+    path: str
+    metric: str
+
+    @property
+    def items(self) -> DataFrame:
+        return self.spark.read.schema("id bigint, vector array<double>, cell int").parquet(f"{self.path}/items")
+
+    def centroids(self) -> np.ndarray:
+        rows = self.spark.read.parquet(f"{self.path}/centroids").orderBy("cell").collect()
+        return np.array([r["vector"] for r in rows], dtype=np.float64)
+
+
+def build_index(
+    corpus: DataFrame, path: str, cells: int, item_id: str = "item_id", vector: str = "embedding", metric: str = "cosine",
+    sample: int = 100_000, rounds: int = 8,
+) -> CellIndex:
+    """Write every item into the folder of its cell. Only the centroids come from a sample."""
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}")
+    spark = corpus.sparkSession
+    source = _vectors(corpus, item_id, vector)
+    centroids = fit_centroids(source, cells, metric, sample, rounds)
+    shared = spark.sparkContext.broadcast(centroids)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, dense = _dense(batch.column(0), batch.column(1))
+            cell = _nearest(dense, shared.value, 1, metric)[:, 0] if len(dense) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], names=["id", "vector", "cell"])
+
+    placed = source.mapInArrow(assign, "id bigint, vector array<double>, cell int")
+    # A cell with very many items is split over several files; AQE sizes them.
+    placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/items")
+    table = [(n, [float(x) for x in row]) for n, row in enumerate(centroids)]
+    spark.createDataFrame(table, "cell int, vector array<double>").coalesce(1).write.parquet(f"{path}/centroids")
+    return CellIndex(spark, path, metric)
+
+
+def indexed_top_k(
+    queries: DataFrame, index: CellIndex, probes: int, k: int = 4, threshold: float = 0.6, query_id: str = "query_id", vector: str = "embedding"
+) -> DataFrame:
+    """``top_k`` over the ``probes`` nearest cells of each query; exact when these are all.
+
+    A block of queries reads the folders of its cells only, each file once, and no item
+    is shuffled: a task compares the items of a cell with the queries that probe it.
+    """
+    asked, centroids, metric = _vectors(queries, query_id, vector), index.centroids(), index.metric
+    if not len(centroids):
+        return rank_candidates(index.spark.createDataFrame([], CANDIDATE), k, threshold)
+
+    def scan(shared) -> DataFrame:
+        ids, block = shared.value
+        probed = _nearest(block, centroids, probes, metric) if len(ids) else np.zeros((0, 0), np.int64)
+        by_cell = {c: np.flatnonzero((probed == c).any(axis=1)) for c in np.unique(probed).tolist()}
+        of_cell = index.spark.sparkContext.broadcast(by_cell)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict[int, _Best] = {}
+            for batch in batches:
+                cells = batch.column(2).to_numpy()
+                for c in np.unique(cells).tolist():
+                    own = of_cell.value[c]
+                    if c not in best:
+                        best[c] = _Best(shared.value[0][own], shared.value[1][own], metric, 2 * k)
+                    part = batch.filter(pa.array(cells == c))
+                    best[c].add(*_dense(part.column(0), part.column(1)))
+            for b in best.values():
+                yield pa.RecordBatch.from_arrays(b.columns(), names=CANDIDATE.names)
+
+        return index.items.filter(F.col("cell").isin(list(by_cell))).select("id", "vector", "cell").mapInArrow(run, CANDIDATE)
+
+    return rank_candidates(_in_blocks(asked, scan), k, threshold, _salts(index.items))

@@ -130,7 +130,8 @@ def clean_sets(
         }
     )
 
-    located = range_lookup(tagged, locations, "workout_date", ["gym", "gym_detail"], entity)
+    days = read.select(*entity, F.to_date("start_ts").alias("workout_date"))
+    located = range_lookup(tagged, locations, "workout_date", ["gym", "gym_detail"], entity, days=days)
     mapped = caseless_lookup(
         located,
         templates,

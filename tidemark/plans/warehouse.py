@@ -184,23 +184,28 @@ def row_checks(name: str) -> dict[str, Column]:
     return checks
 
 
+def key_checks(name: str, entity: Sequence[str] = ()) -> dict[str, list[str]]:
+    """The keys and grains of a table that no two rows may share."""
+    own = [] if name == "muscle_landmarks" else list(entity)
+    checks = {f"unique:{name}.{'+'.join(key)}": [*own, *key] for key in UNIQUE.get(name, [])}
+    if name in GRAINS:
+        checks[f"grain:{name}"] = [*own, *GRAINS[name]]
+    return checks
+
+
 def group_checks(tables: dict[str, DataFrame], entity: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Checks across rows or tables by name, as the DataFrame of what violates them."""
-    checks: dict[str, DataFrame] = {}
-    own = lambda name: [] if name == "muscle_landmarks" else list(entity)
-    for name, keys in UNIQUE.items():
-        for key in keys:
-            checks[f"unique:{name}.{'+'.join(key)}"] = quality.unique(tables[name], *own(name), *key)
-    for name, key in GRAINS.items():
-        checks[f"grain:{name}"] = quality.unique(tables[name], *own(name), *key)
-    checks["relationship:muscle_week.muscle"] = quality.relationship(
-        tables["muscle_week"], "muscle", tables["muscle_landmarks"], "muscle"
-    )
-    checks["no_gaps:training_day"] = quality.no_gaps(tables["training_day"], entity, "workout_date")
-    return checks
+    return {
+        "relationship:muscle_week.muscle": quality.relationship(tables["muscle_week"], "muscle", tables["muscle_landmarks"], "muscle"),
+        "no_gaps:training_day": quality.no_gaps(tables["training_day"], entity, "workout_date"),
+    }
 
 
 def check_report(tables: dict[str, DataFrame], entity: Sequence[str] = ()) -> DataFrame:
-    """Every declared check with its number of violations; row checks of a table share one scan."""
+    """Every declared check with its number of violations.
+
+    Row checks of a table share one scan, and so do its checks on repeated keys.
+    """
     parts = [quality.failing_rows(df, row_checks(name)) for name, df in tables.items() if row_checks(name)]
+    parts += [quality.repeated_keys(df, key_checks(name, entity)) for name, df in tables.items() if key_checks(name, entity)]
     return reduce(DataFrame.unionByName, [*parts, quality.summary(group_checks(tables, entity))])

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +35,32 @@ def load_csv(
     """Header-first, quoted CSV by position. Broken lines stay visible in ``_corrupt_record``.
 
     ``integers`` are cast after loading, so a bad number is a NULL in a good row.
-    Files are read in splits unless a quoted text holds a line break, as then only a
-    whole file can be parsed. By default a scan of the lines finds that out;
-    ``line_breaks`` says it beforehand.
+    A file is read in splits unless one of its quoted texts holds a line break, as then
+    it can only be parsed whole. By default a scan of the lines finds these files;
+    ``line_breaks`` says it beforehand for all of them.
     """
     if line_breaks is None:
-        line_breaks = has_open_quotes(spark, path)
-    raw = (
+        whole = open_quoted_files(spark, path)
+        raw = _read_csv(spark, path, schema, False)
+        if whole:
+            rest = sorted({_literal_path(f) for f in raw.inputFiles()} - set(whole))
+            raw = _read_csv(spark, whole, schema, True)
+            raw = raw.unionByName(_read_csv(spark, rest, schema, False)) if rest else raw
+    else:
+        raw = _read_csv(spark, path, schema, line_breaks)
+    columns = []
+    for f in schema.fields:
+        value = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            value = F.when(~value.isin(*null_texts), value)
+        if f.name in integers:
+            value = text_to_whole(value)
+        columns.append(value.alias(f.name))
+    return raw.select(*columns, F.lit(source).alias("_source"), BAD_ROW)
+
+
+def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, line_breaks: bool) -> DataFrame:
+    return (
         spark.read.schema(with_bad_row(schema))
         .option("header", True)
         .option("enforceSchema", True)
@@ -50,20 +71,18 @@ def load_csv(
         .option("multiLine", line_breaks)
         .csv(path)
     )
-    columns = []
-    for f in schema.fields:
-        value = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            value = F.when(~value.isin(*null_texts), value)
-        if f.name in integers:
-            value = text_to_whole(value)
-        columns.append(value.alias(f.name))
-    return raw.select(*columns, F.lit(source).alias("_source"), BAD_ROW)
 
 
-def has_open_quotes(spark: SparkSession, path: str) -> bool:
-    """Whether some line has an odd number of quotes: a quoted text that goes on in the next line, or a broken one."""
-    return not spark.read.text(path).filter(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
+def _literal_path(listed: str) -> str:
+    """A listed file's address as a path that names this file alone."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(re.sub("^([a-z0-9+.-]+):///", r"\1:/", listed)))
+
+
+def open_quoted_files(spark: SparkSession, path: str) -> list[str]:
+    """Files with a line of an odd number of quotes: a quoted text that goes on in the next line, or a broken one."""
+    lines = spark.read.text(path).filter(F.regexp_count("value", F.lit('"')) % 2 == 1)
+    found = lines.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return sorted(_literal_path(r.file) for r in found)
 
 
 def as_raw_sets(exported: DataFrame, loaded_at: datetime) -> DataFrame:

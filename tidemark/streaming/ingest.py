@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.sources import schemas
-from tidemark.sources.audit import audit, gate, read_audit
+from tidemark.sources.audit import gate, stage_audited
 from tidemark.sources.documents import flatten_workouts, split_events
-from tidemark.sources.files import BAD_ROW, good_rows, load_jsonl, stage, wall_clock, with_bad_row, write_jsonl
+from tidemark.sources.files import BAD_ROW, good_rows, load_jsonl, wall_clock, with_bad_row, write_jsonl
 from tidemark.sources.state import SyncState, sync_window
 from tidemark.sources.tables import Table, by_session, remove_folder, session_columns, since_updated, stable_id
 
@@ -41,8 +41,7 @@ def load_batch(bronze: Table, loaded_at: datetime, stream: str, keep: tuple[str,
     def step(batch: DataFrame, batch_id: int) -> None:
         name = f"{stream}-{batch_id}"
         at = f"{bronze.path}.staged/batch={name}"
-        staged = stage(batch, at)
-        result = read_audit(audit(staged))
+        staged, result = stage_audited(batch, at)
         if result.rows_parsed == 0:
             return
         changed, _ = split_events(good_rows(staged))
@@ -136,8 +135,7 @@ def run_window_sync(
         stream, run_ts = stable_id(workouts.sparkSession, held.path), started.strftime("%Y%m%d_%H%M%S")
         landed = write_jsonl(flatten_workouts(changed), f"{bronze.path}.landed/{stream}", run_ts)
         at = f"{bronze.path}.staged/{stream}-{run_ts}"
-        staged = stage(load_jsonl(workouts.sparkSession, landed), at)
-        result = read_audit(audit(staged))
+        staged, result = stage_audited(load_jsonl(workouts.sparkSession, landed), at)
         gate(result, rows_expected=result.rows_parsed)
         rows = by_session(good_rows(staged).withColumn("_loaded_at", wall_clock(started)))
         bronze.append_batch(rows, f"{stream}-{run_ts}", session_columns(rows.columns))
