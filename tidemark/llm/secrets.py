@@ -31,7 +31,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import let, packed
+from tidemark.llm.frames import let, packed, stored
 
 
 def _either_case(word: str) -> str:
@@ -241,7 +241,8 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, column: str = "
     own = docs.withColumn("_scanned", scanned)
     if indexed:
         trigrams = sorted({g for r in indexed for s in trigram_query(r.pattern) for g in s})
-        found = candidates(postings(docs, trigrams), indexed).select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
+        # Written first, so that their size is known when the join is planned: few candidates are broadcast and the texts stay in place.
+        found = stored(candidates(postings(docs, trigrams), indexed), "candidates").select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
         own = own.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
         verified = [
             F.when(F.array_contains("_kinds", r.kind), _matches(text, r, n)).otherwise(empty) for n, r in enumerate(rules) if r in indexed
