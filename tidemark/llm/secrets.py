@@ -3,8 +3,9 @@
 1. ``trigram_query`` derives from each rule's regular expression a Boolean query
    over trigrams that every match must contain, as an OR of trigram sets.
 2. The index has a posting (trigram, doc_id) for each trigram of those queries
-   that a text contains, letters in lower case. (An index of all trigrams would
-   be several times the texts; no rule would read the rest.)
+   that a text contains, letters in lower case, as far as its set can still be
+   fulfilled. (An index of all trigrams would be several times the texts; no
+   rule would read the rest.)
 3. Postings of a document are intersected per trigram set. Documents that have
    all trigrams of one set of a rule are that rule's candidates.
 4. Candidates meet their texts by doc_id and are verified with the expression.
@@ -168,10 +169,30 @@ def _sql(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """The inverted index (trigram, doc_id) over the given trigrams."""
+# Letters of running text, the most frequent first.
+LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
+
+
+def _rarest_first(trigrams) -> list[str]:
+    """Trigrams by how seldom their letters are; a text without the first is settled by one look."""
+    seldom = lambda g: sum(LETTERS.find(c) if c in LETTERS else len(LETTERS) for c in g)
+    return sorted(trigrams, key=lambda g: (-seldom(g), g))
+
+
+def postings(docs: DataFrame, queries: list[list[str]]) -> DataFrame:
+    """The inverted index (trigram, doc_id) over the trigrams of the given sets.
+
+    A set is looked up from its rarest trigram on; once one is missing, the set cannot
+    be fulfilled and its other trigrams get no posting from it.
+    """
+
+    def of_set(text: Column, rest: list[str]) -> Column:
+        none = F.array().cast("array<string>")
+        further = F.concat(F.array(F.lit(rest[0])), of_set(text, rest[1:])) if len(rest) > 1 else F.array(F.lit(rest[0]))
+        return F.when(F.contains(text, F.lit(rest[0])), further).otherwise(none)
+
     folded = F.lower(F.coalesce("text", F.lit("")))
-    found = let(folded, lambda t: F.array_compact(F.array(*[F.when(F.contains(t, F.lit(g)), F.lit(g)) for g in trigrams])))
+    found = let(folded, lambda t: F.array_distinct(F.concat(*[of_set(t, _rarest_first(q)) for q in queries])))
     return docs.select("doc_id", F.explode(found).alias("trigram"))
 
 
@@ -240,9 +261,9 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, column: str = "
     scanned = F.concat(empty, *[_matches(text, r, n) for n, r in rest])
     own = docs.withColumn("_scanned", scanned)
     if indexed:
-        trigrams = sorted({g for r in indexed for s in trigram_query(r.pattern) for g in s})
+        queries = sorted({tuple(s) for r in indexed for s in trigram_query(r.pattern)})
         # Written first, so that their size is known when the join is planned: few candidates are broadcast and the texts stay in place.
-        found = stored(candidates(postings(docs, trigrams), indexed), "candidates").select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
+        found = stored(candidates(postings(docs, queries), indexed), "candidates").select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
         own = own.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
         verified = [
             F.when(F.array_contains("_kinds", r.kind), _matches(text, r, n)).otherwise(empty) for n, r in enumerate(rules) if r in indexed
