@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.frames import packed, stored
 from tidemark.llm.textbuf import ALNUM, Words, slices, words
@@ -174,8 +175,8 @@ def _ranges(firsts: np.ndarray, lasts: np.ndarray) -> list[dict]:
     return [{"first": a, "last": b} for a, b in zip(firsts[begins].tolist(), lasts[ends].tolist())]
 
 
-def _batch(part: pa.RecordBatch, rows: np.ndarray, n_words: list[int], hits: list, items: list) -> pa.RecordBatch:
-    kept = [c for c in part.schema.names if c not in ("text", "found")]
+def _batch(part: pa.RecordBatch, rows: np.ndarray, n_words: list[int], hits: list, items: list, drop_text: bool = True) -> pa.RecordBatch:
+    kept = [c for c in part.schema.names if c not in ("text" if drop_text else "", "found")]
     own = part if len(rows) == part.num_rows else part.take(pa.array(rows))
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
     return pa.RecordBatch.from_arrays(
@@ -184,7 +185,7 @@ def _batch(part: pa.RecordBatch, rows: np.ndarray, n_words: list[int], hits: lis
     )
 
 
-def _scan(block, every: bool):
+def _scan(block, every: bool, drop_text: bool = True):
     """What one block of windows finds: a row per document, or only for those with a hit."""
 
     def run(batches):
@@ -203,7 +204,7 @@ def _scan(block, every: bool):
                     begin = found.first[d]
                     hits.append(_ranges(firsts[a:b] - begin, lasts[a:b] - begin) if b > a else [])
                     items.append(sorted({i for w in set(window[a:b].tolist()) for i in matcher.items[w]}) if b > a else [])
-                yield _batch(part, rows, found.counts[rows].tolist(), hits, items)
+                yield _batch(part, rows, found.counts[rows].tolist(), hits, items, drop_text)
 
     return run
 
@@ -273,6 +274,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byt
     Rows go by id and text: of an id with several texts, or of rows without an
     id, those with a contaminated text go and all others stay.
     """
+    alone, matcher = next(_blocks(benchmark, window, block_bytes))
+    if alone:
+        # One block: the scan that judges a row passes it on, so nothing is joined.
+        rest = F.struct(*[c for c in docs.columns if c != "text"])
+        own = docs.select(rest.alias("row"), F.col("text").cast("string").alias("text"))
+        block = docs.sparkSession.sparkContext.broadcast(matcher)
+        schema = T.StructType([*own.schema.fields, *T.StructType.fromDDL(FOUND).fields])
+        judged = own.mapInArrow(_scan(block, True, drop_text=False), schema).filter(~is_contaminated())
+        return judged.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
     found = contamination(docs, benchmark, window, block_bytes, digest=True).filter(is_contaminated())
     bad = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
     # Written first, so that its size is known when the join is planned: few rows are broadcast and the texts stay in place.
