@@ -21,6 +21,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark's setting by which a query's shuffle files go at its end, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def released(df: DataFrame, label: str) -> DataFrame:
+    """As ``stored``, and the shuffle files of the write go at its end."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over a value that is computed once per row."""
     return F.transform(F.array(value), body)[0]

@@ -11,20 +11,23 @@ own, a word w after the context x of up to order - 1 words scores
 
 N is the number of words of the corpus; ``score`` is the mean over the words.
 
-How the work is cut. Word counts come first. The ``HOT`` most frequent words
-are known to every task, with the counts of all bigrams among them (at most
-HOT * HOT numbers), so those bigrams never travel, and neither do the longer
-n-grams among them with more than a 1/``HEAVY`` share of all words (fewer than
-HEAVY of each length). All other n-grams of three and more words go to the partition
+How the work is cut. Word counts come first. The ``KNOWN`` most frequent words
+are known to every task with their counts (16 bytes each). So are, for the ``HOT`` most
+frequent ones, the counts of all bigrams among them (at most HOT * HOT numbers);
+those bigrams never travel, and neither do the longer n-grams among them with more
+than a 1/``HEAVY`` share of all words (fewer than HEAVY of each length). All other
+n-grams of three and more words, and the words that are not known, go to the partition
 of their hash, one row per document and distinct n-gram, where their count is taken;
 those that another document has come back to their document's text. What is
 left are words that no longer n-gram settles, and bigrams as the context of a
 trigram. Bigrams go to the partition of their hash, again one row per document
 and distinct bigram, with the number of words they score and of trigrams they begin;
 such a bigram holds a word outside the HOT most frequent ones and so
-has at most a 1/HOT share of all words. Word counts of the ``KNOWN`` most
-frequent words travel too (16 bytes each); rows with a rarer word are joined to the
-word counts.
+has at most a 1/HOT share of all words.
+
+Both kinds of rows are many times the texts, so each is worked on in ``TURNS`` turns,
+by ranges of the hash. A turn's result is written and its shuffle files go at its end:
+the next turn reads the texts again and has the disk to itself.
 
 Edge cases: a NULL or empty text, or one without words, has no score (NULL);
 repeated rows count and score as separate documents; rows without an id are
@@ -34,19 +37,21 @@ scored; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import stored
-from tidemark.llm.textbuf import ALNUM, Words, mix, slices, words
+from tidemark.llm.frames import released
+from tidemark.llm.textbuf import ALNUM, Words, mix, slices, stream, words
 
 BACKOFF = 0.4
 HOT = 1024
 HEAVY = 1 << 16
 KNOWN = 1 << 21
+TURNS = 2
 #: Logarithms travel and are summed as multiples of 2 ** -18: compact, and the same in any order of summing.
 #: A bigram's settled part is shifted by 32 to be positive, and so takes three bytes.
 SHIFT, UNIT = 32.0, float(1 << 18)
@@ -56,9 +61,29 @@ HELD = 1 << 20
 PLACE = 1 << 24
 
 # What differs from row to row comes first and together: so a shuffled row compresses best.
-GRAMS = "gram long, key long, place long, tf int"
-ROWS = "pair long, delta int, key long, tf int, scored int, begun int, base long, doc_id long, n_words int"
-RARE = "pair long, u long, v long, own_u int, own_v int, tf int, scored int, begun int, key long"
+GRAMS = "gram long, key long, twin long, place long, tf int"
+ROWS = "pair long, delta int, key long, twin long, tf int, scored int, begun int, base long, doc_id long, n_words int"
+ODD = stream(2, 23)
+#: The lowest bytes of eight, by number.
+LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Words of up to so many bytes are hashed eight bytes at a time.
+SHORT = 32
+
+
+def _hashes(found: Words) -> np.ndarray:
+    """A 64-bit hash per word, the same in every batch."""
+    size = found.ends - found.starts
+    padded = np.concatenate([found.data, np.zeros(SHORT + 8, np.uint8)])
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    value = mix(size.astype(np.uint64) * ODD[0])
+    left = np.arange(len(size))
+    for at in range(0, SHORT, 8):
+        some = eight[found.starts[left] + at] & LOWEST[np.minimum(size[left] - at, 8)]
+        value[left] = mix((value[left] ^ some) * ODD[1])
+        left = left[size[left] > at + 8]
+    if len(left):
+        value[left] = Words(found.data, found.offsets, found.starts[left], found.ends[left], found.first).hashes()
+    return value
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +100,7 @@ def _word_counts(batches):
     emit = lambda k, n: pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], names=["word", "n"])
     for batch in batches:
         for _, offsets, data in slices(batch):
-            keys, counts = np.unique(words(offsets, data, ALNUM).hashes(), return_counts=True)
+            keys, counts = np.unique(_hashes(words(offsets, data, ALNUM)), return_counts=True)
             if len(keys):
                 parts.append((keys, counts.astype(np.int64)))
                 held += len(keys)
@@ -110,7 +135,7 @@ def _hot_pairs(hot):
         for batch in batches:
             for _, offsets, data in slices(batch):
                 found = words(offsets, data, ALNUM)
-                hashes = found.hashes()
+                hashes = _hashes(found)
                 at, _ = _bigrams(found, hashes)
                 rank = _place(hot, hashes)
                 u, v = rank[at], rank[at + 1]
@@ -145,7 +170,7 @@ def _heavy_counts(hot, pairs, floor, order):
         for batch in batches:
             for _, offsets, data in slices(batch):
                 found = words(offsets, data, ALNUM)
-                hashes = found.hashes()
+                hashes = _hashes(found)
                 rank = _place(hot, hashes)
                 u, v = rank[:-1], rank[1:]
                 often = (u >= 0) & (v >= 0) & (pairs[np.where((u >= 0) & (v >= 0), u * size + v, 0)] > floor)
@@ -165,18 +190,22 @@ def _heavy_counts(hot, pairs, floor, order):
     return run
 
 
-def _grams(model, order):
-    """Rows of the distinct longer n-grams of a document that another one may have and whose count is not known to all."""
+def _grams(model, order, turn, turns):
+    """Rows of a turn's words that are not known, and of its distinct longer n-grams of a document that another one may have and whose count is not known to all."""
 
     def run(batches):
         for batch in batches:
             for part, offsets, data in slices(batch):
-                yield from _gram_rows(part, offsets, data, order, *model.value)
+                yield from _gram_rows(part, offsets, data, order, turn, turns, *model.value)
 
     return run
 
 
-def _gram_rows(part, offsets, data, order, known, counts, hot, size, pairs, total, heavy):
+def _of_turn(grams: np.ndarray, turn: int, turns: int) -> np.ndarray:
+    return (grams >> np.uint64(8)) % np.uint64(turns) == turn
+
+
+def _gram_rows(part, offsets, data, order, turn, turns, known, counts, hot, size, pairs, total, heavy):
     found, hashes, at, doc, rank = _prepare(offsets, data, known)
     alone = (rank >= 0) & (counts[rank] == _own(doc, hashes)) if len(known) else np.zeros(len(hashes), bool)
     # Nor is an n-gram known elsewhere that holds a bigram of hot words which is not.
@@ -187,18 +216,40 @@ def _gram_rows(part, offsets, data, order, known, counts, hot, size, pairs, tota
     unseen = np.concatenate([[0], np.cumsum(unseen)])
     alone = np.concatenate([[0], np.cumsum(alone)])
     keys = _keys(part, offsets, data)
+
+    def rows(at, gram, slot):
+        mine = _of_turn(gram, turn, turns)
+        at, gram, tf = _distinct(doc, at[mine], gram[mine])
+        place = (at - found.first[doc[at]]) * (order - 1) + slot
+        columns = [gram.view(np.int64), *keys[doc[at]].view(np.int64).T, place, tf.astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "key", "twin", "place", "tf"])
+
+    rare = np.flatnonzero(rank < 0)
+    yield rows(rare, _pair(hashes[rare], hashes[rare]), 0)
     for k, at, gram in _longer(hashes, doc, order):
         often = _place(heavy[k][0], gram) >= 0
         keep = ~often & (alone[at + k] == alone[at]) & (unseen[at + k - 1] == unseen[at])
-        at, gram, tf = _distinct(doc, at[keep], gram[keep])[:3]
-        place = (at - found.first[doc[at]]) * (order - 2) + k - 3
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(gram.view(np.int64)), pa.array(keys[doc[at]].view(np.int64)), pa.array(place), pa.array(tf.astype(np.int32))],
-            names=["gram", "key", "place", "tf"],
-        )
+        yield rows(at[keep], gram[keep], k - 2)
+
+
+def _returned(part, found, order):
+    """The n-grams of a slice that came back: word position, slot (0: a word, k - 2: an n-gram of k words), logarithm of the count."""
+    lists = part.column("hits")
+    hits = lists.flatten().to_numpy()
+    of = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy())
+    place = hits // PLACE
+    return found.first[of] + place // (order - 1), place % (order - 1), (hits % PLACE) / UNIT
+
+
+def _spread(log: np.ndarray, at: np.ndarray, doc: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Give what stands at one place to all places of an n-gram in its document; the places so ordered, and how often each n-gram occurs there."""
+    rank, first, tf = _groups(doc[at], gram)
+    if len(rank):
+        log[at[rank]] = np.repeat(np.maximum.reduceat(log[at[rank]], first), tf)
+    return rank, np.repeat(tf, tf)
 
 
-def _settled(part, found, hashes, doc, order, heavy):
+def _settled(back, found, hashes, doc, order, heavy):
     """Per word what n-grams of three and more words settle: the score (0 elsewhere), whether, and whether it begins a trigram that scores.
 
     Such a trigram's score lacks the logarithm of the count of its first two
@@ -208,31 +259,25 @@ def _settled(part, found, hashes, doc, order, heavy):
     n = len(hashes)
     score, done, begins = np.zeros(n), np.zeros(n, bool), np.zeros(n, bool)
     length = np.minimum(np.arange(n) - found.first[doc] + 1, order)
-    if order > 2:
-        lists = part.column("hits")
-        hits = lists.flatten().to_numpy()
-        of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()) if lists.null_count == 0 else lists.value_lengths().fill_null(0).to_numpy())
-        place = hits // PLACE
-        word, size = found.first[of] + place // (order - 2), place % (order - 2) + 3
-        before = None
-        for k, at, gram in _longer(hashes, doc, order):
-            log = np.full(n, -1.0)
-            log[word[size == k]] = (hits[size == k] % PLACE) / UNIT
-            if len(at):
-                rank, first, tf = _groups(doc[at], gram)
-                log[at[rank]] = np.repeat(np.maximum.reduceat(log[at[rank]], first), tf)
-                often = _place(heavy[k][0], gram[rank])
-                left = np.append(heavy[k][1], 0)[often] - np.repeat(tf, tf)
-                log[at[rank]] = np.where(often >= 0, np.where(left > 0, np.log(np.maximum(left, 1)), -1.0), log[at[rank]])
-            start = np.flatnonzero(log >= 0)
-            end = start + k - 1
-            score[end] = log[start] - (0 if before is None else before[start]) + (length[end] - k) * np.log(BACKOFF)
-            done[end] = True
-            if k == 3:
-                begins[start] = True
-            else:
-                begins[end - 2] = False
-            before = log
+    word, slot, logs = back
+    before = None
+    for k, at, gram in _longer(hashes, doc, order):
+        log = np.full(n, -1.0)
+        log[word[slot == k - 2]] = logs[slot == k - 2]
+        if len(at):
+            rank, tf = _spread(log, at, doc, gram)
+            often = _place(heavy[k][0], gram[rank])
+            left = np.append(heavy[k][1], 0)[often] - tf
+            log[at[rank]] = np.where(often >= 0, np.where(left > 0, np.log(np.maximum(left, 1)), -1.0), log[at[rank]])
+        start = np.flatnonzero(log >= 0)
+        end = start + k - 1
+        score[end] = log[start] - (0 if before is None else before[start]) + (length[end] - k) * np.log(BACKOFF)
+        done[end] = True
+        if k == 3:
+            begins[start] = True
+        else:
+            begins[end - 2] = False
+        before = log
     return np.where(done, score, np.maximum(length - 2, 0) * np.log(BACKOFF)), done, begins
 
 
@@ -255,33 +300,22 @@ def _distinct(doc: np.ndarray, at: np.ndarray, pair: np.ndarray, *marks: np.ndar
     return at[lead], pair[lead], size[rank], *sums
 
 
-def _known(model, order):
-    """Rows of a document and of its distinct bigrams of known words."""
-
-    def run(batches):
-        for batch in batches:
-            for part, offsets, data in slices(batch):
-                yield _known_rows(part, offsets, data, order, *model.value)
-
-    return run
-
-
-def _rare(model, order):
-    """Rows of the distinct bigrams, and of first words, with a word that is not among the known ones."""
+def _pairs(model, order, turn, turns):
+    """Rows of a turn's distinct bigrams of a document, and in the first turn of the documents."""
 
     def run(batches):
         for batch in batches:
             for part, offsets, data in slices(batch):
-                yield _rare_rows(part, offsets, data, order, model.value[0], model.value[-1])
+                yield _pair_rows(part, offsets, data, order, turn, turns, *model.value)
 
     return run
 
 
 def _keys(part, offsets, data) -> np.ndarray:
-    """A key per document; equal only for equal (id, text)."""
+    """A key of 128 bits per document; equal only for equal (id, text)."""
     each = zip(part.column("doc_id").to_pylist(), offsets[:-1], offsets[1:])
-    raw = [hashlib.blake2b(f"{i};".encode() + data[a:b].tobytes(), digest_size=8).digest() for i, a, b in each]
-    return np.frombuffer(b"".join(raw), np.uint64)
+    raw = [hashlib.blake2b(f"{i};".encode() + data[a:b].tobytes(), digest_size=16).digest() for i, a, b in each]
+    return np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2)
 
 
 def _pair(u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -291,7 +325,7 @@ def _pair(u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 def _prepare(offsets, data, known):
     found = words(offsets, data, ALNUM)
-    hashes = found.hashes()
+    hashes = _hashes(found)
     at, doc = _bigrams(found, hashes)
     # Looked up once per distinct word, in order: the table is larger than a cache.
     distinct, inverse = np.unique(hashes, return_inverse=True)
@@ -306,103 +340,97 @@ def _own(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return own
 
 
-def _known_rows(part, offsets, data, order, known, counts, hot, size, pairs, total, heavy) -> pa.RecordBatch:
+def _word_logs(back, hashes, doc, rank, known, counts) -> tuple[np.ndarray, np.ndarray]:
+    """Per word the logarithm of its count elsewhere (of 1, if there is none), and whether there is one."""
+    own = _own(doc, hashes)
+    left = np.where(rank >= 0, counts[rank] - own, 0) if len(known) else np.zeros(len(hashes), np.int64)
+    log = np.log(np.maximum(left, 1).astype(np.float64))
+    rare = np.flatnonzero(rank < 0)
+    word, slot, logs = back
+    other = np.full(len(hashes), -1.0)
+    other[word[slot == 0]] = logs[slot == 0]
+    _spread(other, rare, doc, hashes[rare])
+    log[rare] = np.maximum(other[rare], 0)
+    return log, (left > 0) | (other >= 0)
+
+
+def _pair_rows(part, offsets, data, order, turn, turns, known, counts, hot, size, pairs, total, heavy) -> pa.RecordBatch:
     """``hot`` numbers the hot ones among the known words, -1 for all others."""
     found, hashes, at, doc, rank = _prepare(offsets, data, known)
-    own = _own(doc, hashes)
-    n_docs = part.num_rows
-    left = np.where(rank >= 0, np.maximum(counts[rank] - own, 1), 1) if len(known) else np.ones(len(hashes))
-    log_count = np.log(left.astype(np.float64))
+    n_docs = part.num_rows if turn == 0 else 0
+    back = _returned(part, found, order)
+    log_count, elsewhere = _word_logs(back, hashes, doc, rank, known, counts)
     unigram = log_count - np.log(total)
+    fallback = np.log(BACKOFF) + unigram
 
-    settled, done, begins = _settled(part, found, hashes, doc, order, heavy)
-    at = at[(rank[at] >= 0) & (rank[at + 1] >= 0)]
-    u, pair, tf, scored, begun = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]), ~done[at + 1], begins[at])
-    d, v = doc[u], u + 1
-    fallback = np.log(BACKOFF) + unigram[v]
-    base = np.bincount(d, scored * fallback, minlength=n_docs).astype(np.float64)  # counts of nothing are integers
-    base += np.bincount(doc, settled, minlength=n_docs)
-
-    hu, hv = hot[rank[u]], hot[rank[v]]
+    settled, done, begins = _settled(back, found, hashes, doc, order, heavy)
+    pair = _pair(hashes[at], hashes[at + 1])
+    hu, hv = hot[rank[at]], hot[rank[at + 1]]
     inside = (hu >= 0) & (hv >= 0)
-    c = pairs[np.where(inside, hu * size + hv, 0)] - tf
-    log_c = np.log(np.maximum(c, 1))
-    gain = np.where(inside & (c > 0), scored * (log_c - log_count[u] - fallback) - begun * log_c, 0.0)
-    base += np.bincount(d, gain, minlength=n_docs)
-
-    some = np.flatnonzero(found.counts)
-    begin = found.first[some]
-    base[some] += np.where(rank[begin] < 0, 0.0, unigram[begin])
-
     keys = _keys(part, offsets, data)
+
     # A word that only this document has makes no bigram that another one has.
-    out = ~inside & (counts[rank[u]] > own[u]) & (counts[rank[v]] > own[v])
-    n_out = int(out.sum())
+    go = ~inside & elsewhere[at] & elsewhere[at + 1] & _of_turn(pair, turn, turns)
+    u, out, tf, scored, begun = _distinct(doc, at[go], pair[go], ~done[at[go] + 1], begins[at[go]])
+    delta = np.rint((log_count[u] + fallback[u + 1] + SHIFT) * UNIT)
+    base = np.zeros(n_docs)
+    if n_docs:
+        base += np.bincount(doc, settled, minlength=n_docs)
+        base += np.bincount(doc[at], np.where(done[at + 1], 0.0, fallback[at + 1]), minlength=n_docs)
+        some = np.flatnonzero(found.counts)
+        base[some] += unigram[found.first[some]]
+        own = _own(doc[at], pair)
+        c = np.where(inside, pairs[np.where(inside, hu * size + hv, 0)] - own, 0)
+        log_c = np.log(np.maximum(c, 1))
+        gain = ~done[at + 1] * (log_c - log_count[at] - fallback[at + 1]) - begins[at] * log_c
+        base += np.bincount(doc[at], np.where(c > 0, gain, 0.0), minlength=n_docs)
+
+    n_out = len(u)
     more = np.zeros(n_docs)
     no_doc = np.concatenate([np.ones(n_out, bool), np.zeros(n_docs, bool)])
+    key = np.concatenate([keys[doc[u]], keys[:n_docs]])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.concatenate([pair[out], mix(keys)]).view(np.int64)),
-            pa.array(np.concatenate([np.rint((log_count[u[out]] + fallback[out] + SHIFT) * UNIT), more]).astype(np.int32)),
-            pa.array(np.concatenate([keys[d[out]], keys]).view(np.int64)),
-            *[pa.array(np.concatenate([x[out], more]).astype(np.int32)) for x in (tf, scored, begun)],
+            pa.array(np.concatenate([out, mix(keys[:n_docs, 0])]).view(np.int64)),
+            pa.array(np.concatenate([delta, more]).astype(np.int32)),
+            *[pa.array(k) for k in key.view(np.int64).T],
+            *[pa.array(np.concatenate([x, more]).astype(np.int32)) for x in (tf, scored, begun)],
             pa.array(np.concatenate([np.zeros(n_out), np.rint(base * UNIT)]).astype(np.int64), mask=no_doc),
-            pa.concat_arrays([pa.nulls(n_out, pa.int64()), part.column("doc_id")]),
-            pa.array(np.concatenate([np.zeros(n_out, np.int32), found.counts.astype(np.int32)]), mask=no_doc),
+            pa.concat_arrays([pa.nulls(n_out, pa.int64()), part.column("doc_id").slice(0, n_docs)]),
+            pa.array(np.concatenate([np.zeros(n_out), found.counts[:n_docs]]).astype(np.int32), mask=no_doc),
         ],
-        names=["pair", "delta", "key", "tf", "scored", "begun", "base", "doc_id", "n_words"],
-    )
-
-
-def _rare_rows(part, offsets, data, order, known, heavy) -> pa.RecordBatch:
-    found, hashes, at, doc, rank = _prepare(offsets, data, known)
-    _, done, begins = _settled(part, found, hashes, doc, order, heavy)
-    at = at[(rank[at] < 0) | (rank[at + 1] < 0)]
-    u, pair, tf, scored, begun = _distinct(doc, at, _pair(hashes[at], hashes[at + 1]), ~done[at + 1], begins[at])
-    begin = found.first[np.flatnonzero(found.counts)]
-    begin = begin[rank[begin] < 0]
-    keys = _keys(part, offsets, data)
-    v = np.concatenate([u + 1, begin])
-    own = _own(doc, hashes)
-    no_u = np.concatenate([np.zeros(len(u), bool), np.ones(len(begin), bool)])
-    own_u = np.concatenate([own[u], np.zeros(len(begin), np.int64)])
-    left = np.concatenate([hashes[u], np.zeros(len(begin), np.uint64)])
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate([pair, mix(keys[doc[begin]] + np.uint64(7))]).view(np.int64)),
-            pa.array(left.view(np.int64), mask=no_u), pa.array(hashes[v].view(np.int64)),
-            pa.array(own_u.astype(np.int32)), pa.array(own[v].astype(np.int32)),
-            *[pa.array(np.concatenate([x, np.full(len(begin), n)]).astype(np.int32)) for x, n in ((tf, 1), (scored, 1), (begun, 0))],
-            pa.array(keys[doc[v]].view(np.int64)),
-        ],
-        names=["pair", "u", "v", "own_u", "own_v", "tf", "scored", "begun", "key"],
+        names=["pair", "delta", "key", "twin", "tf", "scored", "begun", "base", "doc_id", "n_words"],
     )
 
 
 def _keyed(batches):
     for batch in batches:
         for part, offsets, data in slices(batch):
-            columns = [part.column("doc_id"), part.column("text"), pa.array(_keys(part, offsets, data).view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "key"])
+            keys = [pa.array(k) for k in _keys(part, offsets, data).view(np.int64).T]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), *keys], names=["doc_id", "text", "key", "twin"])
 
 
-def _with_hits(own: DataFrame, model, order: int) -> DataFrame:
-    """The documents with the places and counts of their longer n-grams that another one has."""
-    rows = own.mapInArrow(_grams(model, order), GRAMS).withColumn("c", F.expr("sum(tf) over (partition by gram)") - F.col("tf"))
-    hit = F.col("place") * PLACE + F.rint(F.log(F.col("c").cast("double")) * UNIT).cast("long")
-    # A set, as equal rows share a key.
-    hits = rows.filter("c > 0").select("key", hit.alias("hit")).groupBy("key").agg(F.collect_set("hit").alias("hits"))
-    keyed = own.mapInArrow(_keyed, "doc_id long, text string, key long")
-    return stored(keyed.join(hits, "key", "left").select("doc_id", "text", "hits"), "hits")
+def _with_hits(own: DataFrame, model, order: int, turns: int) -> DataFrame:
+    """The documents with the places and counts of their rare words and longer n-grams that another one has."""
+    found = []
+    for turn in range(turns):
+        rows = own.mapInArrow(_grams(model, order, turn, turns), GRAMS).withColumn("c", F.expr("sum(tf) over (partition by gram)") - F.col("tf"))
+        hit = F.col("place") * PLACE + F.rint(F.log(F.col("c").cast("double")) * UNIT).cast("long")
+        # A set, as equal rows share a key.
+        hits = rows.filter("c > 0").select("key", "twin", hit.alias("hit")).groupBy("key", "twin").agg(F.collect_set("hit").alias("hits"))
+        found.append(released(hits, f"hits{turn}"))
+    hits = reduce(DataFrame.unionByName, found).groupBy("key", "twin").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    keyed = own.mapInArrow(_keyed, "doc_id long, text string, key long, twin long")
+    return released(keyed.join(hits, ["key", "twin"], "left").select("doc_id", "text", "hits"), "texts")
 
 
-def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN, order: int = 2, heavy: int = HEAVY) -> DataFrame:
+def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN, order: int = 2, heavy: int = HEAVY, turns: int = TURNS) -> DataFrame:
     """Per document its words, summed log score and mean log score (natural logarithms)."""
     if order < 2:
         raise ValueError("order is 2 at least")
     context = docs.sparkSession.sparkContext
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    unigrams = stored(own.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
+    unigrams = released(own.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     total = max(unigrams.agg(F.sum("n")).first()[0] or 0, 1)
     top = unigrams.orderBy(F.desc("n"), "word").limit(max(known, hot)).toArrow()
     word, count = top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy()
@@ -423,32 +451,22 @@ def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN, order: i
         by_gram = np.argsort(gram)
         often = {j: (gram[by_gram][k[by_gram] == j], n[by_gram][k[by_gram] == j]) for j in range(3, order + 1)}
     model = context.broadcast((table, count[by_word], hot_of, len(hot_words), pairs, total, often))
-    if order > 2:
-        own = _with_hits(own, model, order)
-
-    rows = own.mapInArrow(_known(model, order), ROWS)
-    counts = lambda side: unigrams.select(F.col("word").alias(side), F.col("n").alias(f"n_{side}"))
-    left = lambda side: F.log(F.greatest(F.col(f"n_{side}") - F.col(f"own_{side}"), F.lit(1)).cast("double"))
-    unigram = left("v") - F.lit(float(np.log(total)))
-    fallback = F.lit(float(np.log(BACKOFF))) + unigram
-    first_word = F.col("u").isNull()
-    rare = own.mapInArrow(_rare(model, order), RARE).join(counts("v"), "v").join(counts("u"), "u", "left")
-    rare = rare.select(
-        "pair", F.when(~first_word, F.rint((left("u") + fallback + SHIFT) * UNIT)).cast("int").alias("delta"), "key", "tf", "scored", "begun",
-        F.rint(F.when(first_word, unigram).otherwise(F.col("scored") * fallback) * UNIT).cast("long").alias("base"),
-        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("int").alias("n_words"),
-    )
-    others = F.expr("sum(tf) over (partition by pair)") - F.col("tf")
+    own = _with_hits(own, model, order, turns)
+
     log_c = F.log(F.col("c").cast("double"))
     known_again = F.col("scored") * (F.rint((log_c + SHIFT) * UNIT).cast("long") - F.col("delta"))
     known_again -= F.col("begun") * F.rint(log_c * UNIT).cast("long")
-    gain = F.when((F.col("c") <= 0) | F.col("delta").isNull(), F.lit(0).cast("long")).otherwise(known_again)
+    gain = F.when(F.col("c") > 0, known_again).otherwise(F.lit(0).cast("long"))
+    parts = []
+    for turn in range(turns):
+        rows = own.mapInArrow(_pairs(model, order, turn, turns), ROWS).withColumn("c", F.expr("sum(tf) over (partition by pair)") - F.col("tf"))
+        rows = rows.withColumn("gain", F.coalesce("base", F.lit(0).cast("long")) + F.when(F.col("n_words").isNull(), gain).otherwise(F.lit(0).cast("long")))
+        totals = [F.sum("gain").alias("gain"), F.max("doc_id").alias("doc_id"), F.max("n_words").cast("long").alias("n_words"), F.count("n_words").alias("copies")]
+        parts.append(released(rows.groupBy("key", "twin").agg(*totals), f"gains{turn}"))
     return (
-        rows.unionByName(rare)
-        .withColumn("c", others)
-        .select("key", "doc_id", "n_words", (F.coalesce("base", F.lit(0).cast("long")) + gain).alias("gain"))
-        .groupBy("key")
-        .agg(F.sum("gain").alias("gain"), F.max("doc_id").alias("doc_id"), F.max("n_words").cast("long").alias("n_words"), F.count("n_words").alias("copies"))
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("key", "twin")
+        .agg(F.sum("gain").alias("gain"), F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"))
         .select(
             "doc_id", "n_words",
             # Equal rows share a key, and so each has an equal part.
