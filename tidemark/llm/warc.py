@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.frames import stored
 from tidemark.session import scratch_path
 
 CHUNK = 64 << 10
@@ -39,7 +40,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 def plan_records(pages: DataFrame) -> DataFrame:
     """Pages with ``refers_to``: the page whose payload a revisit repeats, or NULL.
 
-    Only ids and digests are grouped; the payloads move once, by page id.
+    Only ids and digests are grouped. The revisits among them are written first: if they
+    are few enough for Spark to broadcast, no payload moves; else payloads move once, by page id.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), payload.alias("html"))
@@ -47,7 +49,7 @@ def plan_records(pages: DataFrame) -> DataFrame:
     large = own.filter(F.octet_length("html") >= LEAST_BYTES).select("page_id", "sha1")
     copies = large.groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
     targets = large.join(copies.select("sha1", "refers_to"), "sha1").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
-    a, b = own.alias("a"), targets.alias("b")
+    a, b = own.alias("a"), stored(targets, "revisits").alias("b")
     same = F.col("a.page_id").eqNullSafe(F.col("b.page_id")) & (F.col("a.sha1") == F.col("b.sha1"))
     return a.join(b, same, "left").select("a.page_id", "a.url", "a.html", "b.refers_to")
 
