@@ -343,3 +343,46 @@ def test_equal_scores_go_to_the_first_language(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = language_id.identify(frame).collect()
     assert {r.lang_pred for r in got} <= {"aa", "xx"} and all(abs(r.score - 0.5) < 0.2 for r in got)
+
+
+def test_language_sample_is_the_same_in_any_number_of_parts(spark, docs):
+    from pyspark.sql import functions as F
+
+    rows = docs.select("doc_id", "lang").filter("doc_id is not null and lang is not null")
+    hashed = {(r.doc_id, r.lang): r.h for r in rows.withColumn("h", F.xxhash64("doc_id")).collect()}
+    want = set()
+    for lang in {k[1] for k in hashed}:
+        want |= set(sorted((k for k in hashed if k[1] == lang), key=lambda k: (hashed[k], k[0]))[:7])
+    twice = rows.unionByName(rows).repartition(5)
+    for parts in (1, 3):
+        got = [(r.doc_id, r.lang) for r in language_id._first_in_hash_order(twice, 7, parts).select("doc_id", "lang").collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+@pytest.mark.parametrize("turns", [1, 4])
+def test_language_model_is_the_same_in_any_number_of_turns(turns, odd):
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], x[2] or 0.0)
+    want = sorted(recursive_scores(odd.collect(), 3), key=key)
+    got = sorted(((r.doc_id, r.n_words, r.log_score) for r in language_model.stupid_backoff(odd, order=3, known=20, turns=turns).collect()), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(w[2] is None or abs(g[2] - w[2]) < 1e-4 * max(1, w[1]) for g, w in zip(got, want))
+
+
+def test_word_hashes_depend_on_the_word_alone():
+    # Around the eight-byte steps and the length from which words are hashed otherwise.
+    some = [chr(97 + k % 26) * n for n in (1, 7, 8, 9, 16, 17, 31, 32, 33, 64, 1000) for k in range(3)]
+    seen = {}
+    for text in (" ".join(some), " . ".join(reversed(some)), *some):
+        data = np.frombuffer(text.encode(), np.uint8)
+        found = textbuf.words(np.array([0, len(data)]), data, textbuf.ALNUM)
+        for a, b, h in zip(found.starts, found.ends, language_model._hashes(found)):
+            assert seen.setdefault(text[a:b], h) == h
+    assert len(set(seen.values())) == len(set(some))
+
+
+def test_shuffle_files_setting_is_put_back(spark):
+    from tidemark.llm.frames import CLEANUP, released
+
+    before = spark.conf.get(CLEANUP, None)
+    assert released(spark.range(10).groupBy("id").count(), "released").count() == 10
+    assert spark.conf.get(CLEANUP, None) == before

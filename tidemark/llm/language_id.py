@@ -29,6 +29,8 @@ from tidemark.llm.textbuf import slices
 BITS = 15
 PER_LANGUAGE = 600
 EPOCHS = 4
+#: The sample is taken in so many parts of each language first.
+PARTS = 1024
 SCALE = 30.0
 HELD_OUT = 2
 UNKNOWN = "und"
@@ -128,6 +130,20 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
+def _first_in_hash_order(ids: DataFrame, most: int, parts: int = PARTS) -> DataFrame:
+    """At most ``most`` distinct ids of each language, those first in the order of a hash.
+
+    Every task passes on ``most`` ids of a language at most. They meet in ``parts``
+    parts of the language, and what these leave (``parts`` times ``most`` ids at most) in one task.
+    """
+    ids = ids.withColumn("part", F.spark_partition_id() % parts)
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        # Repeated ids have one rank.
+        ids = ids.withColumn("nth", F.dense_rank().over(order)).filter(F.col("nth") <= most).select("doc_id", *keys).distinct()
+    return ids
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray, float]:
     """Languages, weights times inverse document frequencies, and the temperature."""
     learn = docs.filter("doc_id is not null and lang is not null").filter(~held_out())
@@ -138,8 +154,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], n
     total = n[feature < 0].sum() if len(n) else 0
     idf = np.log((1 + total) / (1 + df)) + 1
 
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = learn.select("doc_id", "lang").distinct().withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_language).drop("nth")
+    ids = _first_in_hash_order(learn.select("doc_id", "lang"), per_language)
     # Bounded by languages times per_language.
     sample = learn.join(F.broadcast(stored(ids, "sample")), ["doc_id", "lang"]).select("lang", "text")
     got = sample.mapInArrow(_features, "lang string, feature array<int>, n array<int>").toArrow().sort_by([("lang", "ascending")])
