@@ -14,10 +14,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write to the shared folder and read back: a lost executor costs no recompute."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -26,12 +26,12 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def released(df: DataFrame, label: str) -> DataFrame:
-    """As ``stored``, and the shuffle files of the write go at its end."""
+    """As ``stored`` with denser files, and the shuffle files of the write go at its end."""
     conf = df.sparkSession.conf
     before = conf.get(CLEANUP, None)
     conf.set(CLEANUP, "true")
     try:
-        return stored(df, label)
+        return stored(df, label, compression="zstd")
     finally:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
