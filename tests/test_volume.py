@@ -102,3 +102,17 @@ def test_long_member_list_gives_the_same_grid(spark, monkeypatch):
     long = grid.complete_grid(periods, members, ["m"])
     assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.select(*short.columns).collect()))
     assert long.count() == 350 and grid.complete_grid(periods, members.limit(0), ["m"]).count() == 0
+
+
+def test_days_of_a_week_fall_together_and_odd_dates_count(spark):
+    days = [MONDAY, MONDAY + timedelta(days=6), MONDAY + timedelta(days=6), MONDAY - timedelta(days=1), MONDAY + timedelta(days=70)]
+    rows = [("x", "chest", None, d, MONDAY, Decimal("10"), 5, Decimal("50"), False, False) for d in days]
+    rows += [("x", "chest", None, d, None, Decimal("10"), 5, Decimal("50"), False, False) for d in days[:2]]
+    rows += [("y", "chest", "[]", MONDAY, MONDAY, Decimal("10"), 5, Decimal("50"), False, False)]
+    frame = spark.createDataFrame(rows, SETS)
+    inside = volume.week_parts(frame.filter("workout_date BETWEEN week_start AND date_add(week_start, 6)"), [])
+    assert inside.count() == 2  # one per exercise, not per day
+    work = {r.week_start: r for r in volume.direct_work(volume.week_parts(frame, []), []).collect()}
+    assert (work[MONDAY].training_days, work[MONDAY].unique_exercises, work[MONDAY].direct_sets) == (4, 2, 6)
+    assert (work[None].training_days, work[None].direct_sets) == (2, 2)
+    assert dict(work[MONDAY].asDict()).keys() >= {"total_reps", "max_weight_kg"} and "_days" not in work[MONDAY].asDict()
