@@ -131,3 +131,30 @@ def test_window_sync_builds_its_workouts_once(spark, tables, monkeypatch):
     monkeypatch.setattr(files, "stage", lambda df, path: staged.append(os.path.basename(path).split("-")[0]) or stage(df, path))
     out = queries.window_sync(spark, tables)
     assert "workouts" in staged and out.count() == 5
+
+
+def test_lines_are_shuffled_with_their_marks_packed(spark, tables):
+    # A negative and a missing supplier read as they did unpacked.
+    day = datetime(1997, 3, 4)
+    more = [(1, 8, -6, 5, 7.0, 10.0, 0.1, 0.01, "A", "F", day), (1, 8, None, 6, 7.0, 10.0, 0.1, 0.01, "A", "F", day),
+            (1, 8, 100, 7, 7.0, 10.0, 0.1, None, "A", "F", day), (1, 8, -8, 8, 7.0, 10.0, 0.1, 0.02, None, None, day)]
+    spark.createDataFrame(more, LINE).write.mode("append").parquet(f"{tables}/lineitem.parquet")
+    raw = log.raw_workouts(spark, tables)
+    found = {r.set_index: (r.superset_id, r.set_type, r._source, r.rpe) for r in raw.collect()}
+    assert found == {
+        1: (None, "failure", "api", "6.5"), 2: ("1", "normal", "csv", None), 3: ("", "warmup", "api", None),
+        4: ("", "dropset", "api", "9.5"), 5: (None, "normal", "csv", "5.5"), 6: (None, "normal", "api", "6.5"),
+        7: ("1", "Normal", "csv", None), 8: ("-2", "dropset", "csv", "8.5"),
+    }
+    lines = next(n for n in plan(raw).split("\n") if "Project" in n and "l_partkey" in n and "_marks" in n)
+    assert not re.search(r", l_(returnflag|linestatus|tax|discount)#\d+[,\]]", lines)
+
+
+def test_tables_are_written_densely(spark, folder):
+    table = Table(spark, f"{folder}/t")
+    table.replace(spark.range(5))
+    table.append_batch(spark.range(5), "b")
+    for below in ("v=0", "batch=b"):
+        written = [n for n in os.listdir(f"{folder}/t/{below}") if n.endswith(".parquet")]
+        assert written and all(n.endswith(".zstd.parquet") for n in written)
+    assert table.read().count() == 10
