@@ -158,3 +158,8 @@ def test_tables_are_written_densely(spark, folder):
         written = [n for n in os.listdir(f"{folder}/t/{below}") if n.endswith(".parquet")]
         assert written and all(n.endswith(".zstd.parquet") for n in written)
     assert table.read().count() == 10
+
+
+def test_landed_lines_never_meet_a_broadcast(spark, tables):
+    planned = plan(queries.export_rows(spark, tables))
+    assert "SortMergeJoin" in planned and "Broadcast" not in planned
