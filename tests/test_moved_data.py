@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from tidemark.bindings import queries
 from tidemark.bindings import training_log as log
-from tidemark.plans import sets
+from tidemark.plans import progress, sets
 from tidemark.sources import files
 from tidemark.sources.tables import Table, by_session
+from tests import test_series
 from tests.test_sets import DIM, LOC, RAW, row
 
 LINE = """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,
@@ -163,3 +164,12 @@ def test_tables_are_written_densely(spark, folder):
 def test_landed_lines_never_meet_a_broadcast(spark, tables):
     planned = plan(queries.export_rows(spark, tables))
     assert "SortMergeJoin" in planned and "Broadcast" not in planned
+
+
+def test_progression_shuffles_its_sets_once(spark):
+    frame = test_series.sets(spark, [(0, 100, 5), (0, 100, 6), (1, 90, 5), (1, 110, 1, {"gym_detail": "g2"})])
+    bests = progress.best_sets(frame)
+    # One for the sets and their history, two for the join with the weights.
+    assert exchanges(bests) == 1 and exchanges(progress.progression(frame, test_series.weights(spark, []))) == 3
+    found = sorted((r.gym_detail, r.workout_date, r.top_set_weight_kg, r.top_set_reps, r.sets_n) for r in bests.collect())
+    assert [(g, int(w), n, c) for g, _, w, n, c in found] == [("g1", 100, 6, 2), ("g1", 90, 5, 1), ("g2", 110, 1, 1)]
