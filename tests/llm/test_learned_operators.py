@@ -386,3 +386,30 @@ def test_shuffle_files_setting_is_put_back(spark):
     before = spark.conf.get(CLEANUP, None)
     assert released(spark.range(10).groupBy("id").count(), "released").count() == 10
     assert spark.conf.get(CLEANUP, None) == before
+
+
+@pytest.mark.parametrize("sizes", [{"block_bytes": 3000, "part_bytes": 700}, {"block_bytes": 500, "part_bytes": 100_000, "turns": 1}])
+def test_language_model_is_the_same_in_any_blocks_and_parts(sizes, odd):
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], x[2] or 0.0)
+    want = sorted(recursive_scores(odd.collect(), 3), key=key)
+    got = sorted(((r.doc_id, r.n_words, r.log_score) for r in language_model.stupid_backoff(odd, order=3, **sizes).collect()), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(w[2] is None or abs(g[2] - w[2]) < 1e-9 * max(1, w[1]) for g, w in zip(got, want))
+
+
+def test_language_model_moves_an_n_gram_of_a_block_once():
+    # A row per document and n-gram took some 30 bytes, and as many rows as documents had it.
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    some = [" ".join(f"w{n}" for n in rng.integers(0, 5000, 400)) for _ in range(40)]
+    distinct = len(set().union(*[{tuple(t.split()[i:i + k]) for k in (1, 2, 3) for i in range(401 - k)} for t in some]))
+    rows = pa.table({"doc_id": list(range(120)), "text": some * 3})
+    cells = language_model._cells(3, 4, 0, 1)((pa.scalar(0),), rows)
+    held = [np.cumsum(language_model._unpacked(x, language_model.GRAM)) for x in cells.column("grams").to_pylist()]
+    assert sum(map(len, held)) == distinct and sum(cells.column("words").to_pylist()) == 3 * 40 * 400
+    sent = sum(len(zlib.compress(x)) for c in ("grams", "own") for x in cells.column(c).to_pylist())
+    assert sent < 7 * distinct
+    # Nobody else has any of it.
+    others = language_model._added(cells).column("others").to_pylist()
+    assert not any(map(any, others))

@@ -11,23 +11,18 @@ own, a word w after the context x of up to order - 1 words scores
 
 N is the number of words of the corpus; ``score`` is the mean over the words.
 
-How the work is cut. Word counts come first. The ``KNOWN`` most frequent words
-are known to every task with their counts (16 bytes each). So are, for the ``HOT`` most
-frequent ones, the counts of all bigrams among them (at most HOT * HOT numbers);
-those bigrams never travel, and neither do the longer n-grams among them with more
-than a 1/``HEAVY`` share of all words (fewer than HEAVY of each length). All other
-n-grams of three and more words, and the words that are not known, go to the partition
-of their hash, one row per document and distinct n-gram, where their count is taken;
-those that another document has come back to their document's text. What is
-left are words that no longer n-gram settles, and bigrams as the context of a
-trigram. Bigrams go to the partition of their hash, again one row per document
-and distinct bigram, with the number of words they score and of trigrams they begin;
-such a bigram holds a word outside the HOT most frequent ones and so
-has at most a 1/HOT share of all words.
-
-Both kinds of rows are many times the texts, so each is worked on in ``TURNS`` turns,
-by ranges of the hash. A turn's result is written and its shuffle files go at its end:
-the next turn reads the texts again and has the disk to itself.
+How the work is cut. Documents fall into blocks of about ``BLOCK_BYTES`` of text by a
+hash of the row, and n-grams of all lengths into parts by the range of their
+hash, so many that a part's n-grams are about those of ``PART_BYTES`` of text. A block
+sends each part its distinct n-grams in order, as steps from one to the next, and
+how often it has them: about five bytes an n-gram. A part adds up all blocks and sends each
+block, in the block's own order, how often the others have its n-grams; most do not, and
+a row of zeros takes next to nothing. A block's texts then meet these numbers,
+cut and sorted as before, and every word is scored in one go. A frequent n-gram has one entry
+per block at most, so no group grows with its frequency, and nothing is sent to every task.
+
+The n-grams may be worked on in ``turns``, by parts: each reads the texts again and
+needs that much less of the disk at once.
 
 Edge cases: a NULL or empty text, or one without words, has no score (NULL);
 repeated rows count and score as separate documents; rows without an id are
@@ -36,7 +31,6 @@ scored; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from functools import reduce
 
 import numpy as np
@@ -45,25 +39,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import released
-from tidemark.llm.textbuf import ALNUM, Words, mix, slices, stream, words
+from tidemark.llm.textbuf import ALNUM, Words, mix, stream, texts, words
 
 BACKOFF = 0.4
+#: Bounds of what was once known to every task. Nothing is any more; they change no result.
 HOT = 1024
 HEAVY = 1 << 16
 KNOWN = 1 << 21
 TURNS = 2
-#: Logarithms travel and are summed as multiples of 2 ** -18: compact, and the same in any order of summing.
-#: A bigram's settled part is shifted by 32 to be positive, and so takes three bytes.
-SHIFT, UNIT = 32.0, float(1 << 18)
-#: Distinct words that a task holds before it hands its counts on.
-HELD = 1 << 20
-#: A count comes back as its logarithm, below the place of its n-gram.
-PLACE = 1 << 24
-
-# What differs from row to row comes first and together: so a shuffled row compresses best.
-GRAMS = "gram long, key long, twin long, place long, tf int"
-ROWS = "pair long, delta int, key long, twin long, tf int, scored int, begun int, base long, doc_id long, n_words int"
-ODD = stream(2, 23)
+BLOCK_BYTES = 4 << 20
+PART_BYTES = 8 << 20
+#: Bytes of an n-gram's hash, of its count in a block, and in all other blocks.
+GRAM, OWN, OTHERS = 7, 4, 6
+
+CELLS = "block long, part int, grams binary, own binary, words long"
+COUNTS = "block long, part int, others binary, words long"
+SCORES = "doc_id long, n_words long, log_score double"
+ODD = stream(3, 23)
 #: The lowest bytes of eight, by number.
 LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: Words of up to so many bytes are hashed eight bytes at a time.
@@ -86,392 +78,142 @@ def _hashes(found: Words) -> np.ndarray:
     return value
 
 
-def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([p[0] for p in parts])
-    counts = np.concatenate([p[1] for p in parts])
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
-
-
-def _word_counts(batches):
-    parts, held = [], 0
-    emit = lambda k, n: pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], names=["word", "n"])
-    for batch in batches:
-        for _, offsets, data in slices(batch):
-            keys, counts = np.unique(_hashes(words(offsets, data, ALNUM)), return_counts=True)
-            if len(keys):
-                parts.append((keys, counts.astype(np.int64)))
-                held += len(keys)
-            if held > HELD:
-                merged = _counted(parts)
-                parts, held = [merged], len(merged[0])
-                if held > HELD // 2:
-                    yield emit(*merged)
-                    parts, held = [], 0
-    if parts:
-        yield emit(*_counted(parts))
-
-
-def _bigrams(found: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the first words of all bigrams, and their documents."""
-    doc = found.of_doc()
-    at = np.flatnonzero(doc[1:] == doc[:-1]) if len(hashes) else np.zeros(0, np.int64)
-    return at, doc
-
-
-def _place(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-    return np.where(table[at] == hashes, at, -1)
-
-
-def _hot_pairs(hot):
-    def run(batches):
-        size = len(hot)
-        total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            for _, offsets, data in slices(batch):
-                found = words(offsets, data, ALNUM)
-                hashes = _hashes(found)
-                at, _ = _bigrams(found, hashes)
-                rank = _place(hot, hashes)
-                u, v = rank[at], rank[at + 1]
-                both = (u >= 0) & (v >= 0)
-                total += np.bincount(u[both] * size + v[both], minlength=size * size)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["cell", "n"])
+def _grams(found: Words, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length from 1 on the positions where such n-grams begin, and 56 bits of their hashes."""
+    doc, gram, each = found.of_doc(), _hashes(found), []
+    for k in range(order):
+        if k:
+            gram = mix(gram[:-1] * ODD[2] + mix(gram[1:]))
+        at = np.flatnonzero(doc[k:] == doc[:len(gram)])
+        each.append((at, gram[at] >> np.uint64(8)))
+    return each
 
-    return run
 
+def _part(grams: np.ndarray, parts: int) -> np.ndarray:
+    """Parts follow each other in the order of the hashes."""
+    return ((grams >> np.uint64(24)) * np.uint64(parts)) >> np.uint64(32)
 
-def _longer(hashes: np.ndarray, doc: np.ndarray, order: int):
-    """For each length from 3 on the positions where such n-grams begin, and their hashes."""
-    gram = _pair(hashes[:-1], hashes[1:])
-    for k in range(3, order + 1):
-        gram = _pair(gram[:-1], gram[1:])
-        at = np.flatnonzero(doc[k - 1:] == doc[:len(gram)])
-        yield k, at, gram[at]
 
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each number: all first ones, then all second ones, and so on, as they compress best."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
-def _heavy_counts(hot, pairs, floor, order):
-    """Counts of the longer n-grams that hold no bigram of ``floor`` or fewer occurrences."""
 
-    def emit(k, grams, n):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(grams), k, np.int32)), pa.array(grams.view(np.int64)), pa.array(n)], names=["k", "gram", "n"]
-        )
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
 
-    def run(batches):
-        size = len(hot)
-        parts = {k: [] for k in range(3, order + 1)}
-        for batch in batches:
-            for _, offsets, data in slices(batch):
-                found = words(offsets, data, ALNUM)
-                hashes = _hashes(found)
-                rank = _place(hot, hashes)
-                u, v = rank[:-1], rank[1:]
-                often = (u >= 0) & (v >= 0) & (pairs[np.where((u >= 0) & (v >= 0), u * size + v, 0)] > floor)
-                rare = np.concatenate([[0], np.cumsum(~often)])
-                for k, at, gram in _longer(hashes, found.of_doc(), order):
-                    grams, counts = np.unique(gram[rare[at + k - 1] == rare[at]], return_counts=True)
-                    if len(grams):
-                        parts[k].append((grams, counts.astype(np.int64)))
-                    if sum(len(p[0]) for p in parts[k]) > HELD:
-                        parts[k] = [_counted(parts[k])]
-                        if len(parts[k][0][0]) > HELD // 2:
-                            yield emit(k, *parts[k].pop())
-        for k, held in parts.items():
-            if held:
-                yield emit(k, *_counted(held))
 
-    return run
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
 
 
-def _grams(model, order, turn, turns):
-    """Rows of a turn's words that are not known, and of its distinct longer n-grams of a document that another one may have and whose count is not known to all."""
+def _runs(first: np.ndarray, size: int) -> np.ndarray:
+    return np.diff(np.append(first, size))
 
-    def run(batches):
-        for batch in batches:
-            for part, offsets, data in slices(batch):
-                yield from _gram_rows(part, offsets, data, order, turn, turns, *model.value)
-
-    return run
 
+def _cells(order: int, parts: int, turn: int, turns: int):
+    """A block's distinct n-grams of a turn's parts, and beside its very first one its number of words."""
 
-def _of_turn(grams: np.ndarray, turn: int, turns: int) -> np.ndarray:
-    return (grams >> np.uint64(8)) % np.uint64(turns) == turn
-
-
-def _gram_rows(part, offsets, data, order, turn, turns, known, counts, hot, size, pairs, total, heavy):
-    found, hashes, at, doc, rank = _prepare(offsets, data, known)
-    alone = (rank >= 0) & (counts[rank] == _own(doc, hashes)) if len(known) else np.zeros(len(hashes), bool)
-    # Nor is an n-gram known elsewhere that holds a bigram of hot words which is not.
-    hu, hv = hot[rank[at]], hot[rank[at + 1]]
-    inside = (rank[at] >= 0) & (rank[at + 1] >= 0) & (hu >= 0) & (hv >= 0)
-    unseen = np.zeros(len(hashes), bool)
-    unseen[at] = inside & (pairs[np.where(inside, hu * size + hv, 0)] == _own(doc[at], _pair(hashes[at], hashes[at + 1])))
-    unseen = np.concatenate([[0], np.cumsum(unseen)])
-    alone = np.concatenate([[0], np.cumsum(alone)])
-    keys = _keys(part, offsets, data)
-
-    def rows(at, gram, slot):
-        mine = _of_turn(gram, turn, turns)
-        at, gram, tf = _distinct(doc, at[mine], gram[mine])
-        place = (at - found.first[doc[at]]) * (order - 1) + slot
-        columns = [gram.view(np.int64), *keys[doc[at]].view(np.int64).T, place, tf.astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "key", "twin", "place", "tf"])
-
-    rare = np.flatnonzero(rank < 0)
-    yield rows(rare, _pair(hashes[rare], hashes[rare]), 0)
-    for k, at, gram in _longer(hashes, doc, order):
-        often = _place(heavy[k][0], gram) >= 0
-        keep = ~often & (alone[at + k] == alone[at]) & (unseen[at + k - 1] == unseen[at])
-        yield rows(at[keep], gram[keep], k - 2)
-
-
-def _returned(part, found, order):
-    """The n-grams of a slice that came back: word position, slot (0: a word, k - 2: an n-gram of k words), logarithm of the count."""
-    lists = part.column("hits")
-    hits = lists.flatten().to_numpy()
-    of = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy())
-    place = hits // PLACE
-    return found.first[of] + place // (order - 1), place % (order - 1), (hits % PLACE) / UNIT
-
-
-def _spread(log: np.ndarray, at: np.ndarray, doc: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Give what stands at one place to all places of an n-gram in its document; the places so ordered, and how often each n-gram occurs there."""
-    rank, first, tf = _groups(doc[at], gram)
-    if len(rank):
-        log[at[rank]] = np.repeat(np.maximum.reduceat(log[at[rank]], first), tf)
-    return rank, np.repeat(tf, tf)
-
-
-def _settled(back, found, hashes, doc, order, heavy):
-    """Per word what n-grams of three and more words settle: the score (0 elsewhere), whether, and whether it begins a trigram that scores.
-
-    Such a trigram's score lacks the logarithm of the count of its first two
-    words; a word that is not settled scores by bigram or word, and this score has
-    the back-off steps down to the bigram.
-    """
-    n = len(hashes)
-    score, done, begins = np.zeros(n), np.zeros(n, bool), np.zeros(n, bool)
-    length = np.minimum(np.arange(n) - found.first[doc] + 1, order)
-    word, slot, logs = back
-    before = None
-    for k, at, gram in _longer(hashes, doc, order):
-        log = np.full(n, -1.0)
-        log[word[slot == k - 2]] = logs[slot == k - 2]
-        if len(at):
-            rank, tf = _spread(log, at, doc, gram)
-            often = _place(heavy[k][0], gram[rank])
-            left = np.append(heavy[k][1], 0)[often] - tf
-            log[at[rank]] = np.where(often >= 0, np.where(left > 0, np.log(np.maximum(left, 1)), -1.0), log[at[rank]])
-        start = np.flatnonzero(log >= 0)
-        end = start + k - 1
-        score[end] = log[start] - (0 if before is None else before[start]) + (length[end] - k) * np.log(BACKOFF)
-        done[end] = True
-        if k == 3:
-            begins[start] = True
-        else:
-            begins[end - 2] = False
-        before = log
-    return np.where(done, score, np.maximum(length - 2, 0) * np.log(BACKOFF)), done, begins
-
-
-def _groups(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Equal (document, key) side by side: the order, where each group begins, and its size."""
-    both = mix(keys ^ mix(doc.astype(np.uint64) + np.uint64(1)))
-    order = np.argsort(both)
-    both = both[order]
-    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
-    return order, first, np.diff(np.append(first, len(both)))
-
-
-def _distinct(doc: np.ndarray, at: np.ndarray, pair: np.ndarray, *marks: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One place per document and distinct n-gram, in text order; the n-grams there; how often each occurs, and how often with each mark."""
-    order, first, size = _groups(doc[at], pair)
-    lead = order[first]
-    rank = np.argsort(lead)
-    lead = lead[rank]
-    sums = [np.add.reduceat(m[order].astype(np.int64), first)[rank] if len(first) else np.zeros(0, np.int64) for m in marks]
-    return at[lead], pair[lead], size[rank], *sums
-
-
-def _pairs(model, order, turn, turns):
-    """Rows of a turn's distinct bigrams of a document, and in the first turn of the documents."""
-
-    def run(batches):
-        for batch in batches:
-            for part, offsets, data in slices(batch):
-                yield _pair_rows(part, offsets, data, order, turn, turns, *model.value)
+    def run(key, rows):
+        found = words(*texts(rows.column("text")), ALNUM)
+        grams = np.sort(np.concatenate([gram for _, gram in _grams(found, order)]))
+        first = _starts(grams)
+        own, grams = _runs(first, len(grams)), grams[first]
+        cuts = np.searchsorted(_part(grams, parts), np.arange(parts + 1))
+        mine = [p for p in range(turn, parts, turns) if cuts[p] < cuts[p + 1]]
+        spans = [slice(cuts[p], cuts[p + 1]) for p in mine]
+        n_words = np.zeros(len(mine), np.int64)
+        n_words[[k for k, p in enumerate(mine) if cuts[p] == 0]] = len(found.starts)
+        return pa.table(
+            {
+                "block": pa.array([key[0].as_py()] * len(mine), pa.int64()),
+                "part": pa.array(mine, pa.int32()),
+                "grams": pa.array([_packed(np.diff(grams[s], prepend=np.uint64(0)), GRAM) for s in spans], pa.binary()),
+                "own": pa.array([_packed(own[s], OWN) for s in spans], pa.binary()),
+                "words": pa.array(n_words),
+            }
+        )
 
     return run
 
 
-def _keys(part, offsets, data) -> np.ndarray:
-    """A key of 128 bits per document; equal only for equal (id, text)."""
-    each = zip(part.column("doc_id").to_pylist(), offsets[:-1], offsets[1:])
-    raw = [hashlib.blake2b(f"{i};".encode() + data[a:b].tobytes(), digest_size=16).digest() for i, a, b in each]
-    return np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2)
-
-
-def _pair(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """56 bits of hash; the zero byte lets a shuffled row compress."""
-    return mix(u * np.uint64(0x9FB21C651E98DF25) + mix(v)) & np.uint64(0xFFFFFFFFFFFFFF00)
-
-
-def _prepare(offsets, data, known):
-    found = words(offsets, data, ALNUM)
-    hashes = _hashes(found)
-    at, doc = _bigrams(found, hashes)
-    # Looked up once per distinct word, in order: the table is larger than a cache.
-    distinct, inverse = np.unique(hashes, return_inverse=True)
-    return found, hashes, at, doc, _place(known, distinct)[inverse]
-
-
-def _own(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """How often each word occurs in its own document."""
-    order, _, size = _groups(doc, hashes)
-    own = np.empty(len(hashes), np.int64)
-    own[order] = np.repeat(size, size)
-    return own
-
-
-def _word_logs(back, hashes, doc, rank, known, counts) -> tuple[np.ndarray, np.ndarray]:
-    """Per word the logarithm of its count elsewhere (of 1, if there is none), and whether there is one."""
-    own = _own(doc, hashes)
-    left = np.where(rank >= 0, counts[rank] - own, 0) if len(known) else np.zeros(len(hashes), np.int64)
-    log = np.log(np.maximum(left, 1).astype(np.float64))
-    rare = np.flatnonzero(rank < 0)
-    word, slot, logs = back
-    other = np.full(len(hashes), -1.0)
-    other[word[slot == 0]] = logs[slot == 0]
-    _spread(other, rare, doc, hashes[rare])
-    log[rare] = np.maximum(other[rare], 0)
-    return log, (left > 0) | (other >= 0)
-
-
-def _pair_rows(part, offsets, data, order, turn, turns, known, counts, hot, size, pairs, total, heavy) -> pa.RecordBatch:
-    """``hot`` numbers the hot ones among the known words, -1 for all others."""
-    found, hashes, at, doc, rank = _prepare(offsets, data, known)
-    n_docs = part.num_rows if turn == 0 else 0
-    back = _returned(part, found, order)
-    log_count, elsewhere = _word_logs(back, hashes, doc, rank, known, counts)
-    unigram = log_count - np.log(total)
-    fallback = np.log(BACKOFF) + unigram
-
-    settled, done, begins = _settled(back, found, hashes, doc, order, heavy)
-    pair = _pair(hashes[at], hashes[at + 1])
-    hu, hv = hot[rank[at]], hot[rank[at + 1]]
-    inside = (hu >= 0) & (hv >= 0)
-    keys = _keys(part, offsets, data)
-
-    # A word that only this document has makes no bigram that another one has.
-    go = ~inside & elsewhere[at] & elsewhere[at + 1] & _of_turn(pair, turn, turns)
-    u, out, tf, scored, begun = _distinct(doc, at[go], pair[go], ~done[at[go] + 1], begins[at[go]])
-    delta = np.rint((log_count[u] + fallback[u + 1] + SHIFT) * UNIT)
-    base = np.zeros(n_docs)
-    if n_docs:
-        base += np.bincount(doc, settled, minlength=n_docs)
-        base += np.bincount(doc[at], np.where(done[at + 1], 0.0, fallback[at + 1]), minlength=n_docs)
-        some = np.flatnonzero(found.counts)
-        base[some] += unigram[found.first[some]]
-        own = _own(doc[at], pair)
-        c = np.where(inside, pairs[np.where(inside, hu * size + hv, 0)] - own, 0)
-        log_c = np.log(np.maximum(c, 1))
-        gain = ~done[at + 1] * (log_c - log_count[at] - fallback[at + 1]) - begins[at] * log_c
-        base += np.bincount(doc[at], np.where(c > 0, gain, 0.0), minlength=n_docs)
-
-    n_out = len(u)
-    more = np.zeros(n_docs)
-    no_doc = np.concatenate([np.ones(n_out, bool), np.zeros(n_docs, bool)])
-    key = np.concatenate([keys[doc[u]], keys[:n_docs]])
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate([out, mix(keys[:n_docs, 0])]).view(np.int64)),
-            pa.array(np.concatenate([delta, more]).astype(np.int32)),
-            *[pa.array(k) for k in key.view(np.int64).T],
-            *[pa.array(np.concatenate([x, more]).astype(np.int32)) for x in (tf, scored, begun)],
-            pa.array(np.concatenate([np.zeros(n_out), np.rint(base * UNIT)]).astype(np.int64), mask=no_doc),
-            pa.concat_arrays([pa.nulls(n_out, pa.int64()), part.column("doc_id").slice(0, n_docs)]),
-            pa.array(np.concatenate([np.zeros(n_out), found.counts[:n_docs]]).astype(np.int32), mask=no_doc),
-        ],
-        names=["pair", "delta", "key", "twin", "tf", "scored", "begun", "base", "doc_id", "n_words"],
-    )
-
-
-def _keyed(batches):
-    for batch in batches:
-        for part, offsets, data in slices(batch):
-            keys = [pa.array(k) for k in _keys(part, offsets, data).view(np.int64).T]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), *keys], names=["doc_id", "text", "key", "twin"])
-
-
-def _with_hits(own: DataFrame, model, order: int, turns: int) -> DataFrame:
-    """The documents with the places and counts of their rare words and longer n-grams that another one has."""
-    found = []
-    for turn in range(turns):
-        rows = own.mapInArrow(_grams(model, order, turn, turns), GRAMS).withColumn("c", F.expr("sum(tf) over (partition by gram)") - F.col("tf"))
-        hit = F.col("place") * PLACE + F.rint(F.log(F.col("c").cast("double")) * UNIT).cast("long")
-        # A set, as equal rows share a key.
-        hits = rows.filter("c > 0").select("key", "twin", hit.alias("hit")).groupBy("key", "twin").agg(F.collect_set("hit").alias("hits"))
-        found.append(released(hits, f"hits{turn}"))
-    hits = reduce(DataFrame.unionByName, found).groupBy("key", "twin").agg(F.flatten(F.collect_list("hits")).alias("hits"))
-    keyed = own.mapInArrow(_keyed, "doc_id long, text string, key long, twin long")
-    return released(keyed.join(hits, ["key", "twin"], "left").select("doc_id", "text", "hits"), "texts")
+def _added(cells):
+    """For each block of a part how often the other blocks have its n-grams."""
+    listed = [np.cumsum(_unpacked(x, GRAM), dtype=np.uint64) for x in cells.column("grams").to_pylist()]
+    grams = np.concatenate(listed)
+    own = np.concatenate([_unpacked(x, OWN) for x in cells.column("own").to_pylist()])
+    order = np.argsort(grams)
+    first = _starts(grams[order])
+    others = np.empty(len(grams), np.uint64)
+    others[order] = np.repeat(np.add.reduceat(own[order], first), _runs(first, len(grams)))
+    others -= own
+    cuts = np.cumsum([len(x) for x in listed])[:-1]
+    packed = pa.array([_packed(x, OTHERS) for x in np.split(others, cuts)], pa.binary())
+    return cells.select(["block", "part"]).append_column("others", packed).append_column("words", cells.column("words"))
+
+
+def _elsewhere(each: list[tuple[np.ndarray, np.ndarray]], doc: np.ndarray, counts: pa.Table) -> list[np.ndarray]:
+    """For each length the counts of the n-grams outside of their document, in text order."""
+    grams = np.concatenate([gram for _, gram in each])
+    order = np.argsort(grams, kind="stable")
+    first = _starts(grams[order])
+    by_part = np.argsort(counts.column("part").to_numpy())
+    listed = counts.column("others").to_pylist()
+    others = np.concatenate([np.zeros(0, np.uint64), *[_unpacked(listed[k], OTHERS) for k in by_part]]).astype(np.int64)
+    if len(others) != len(first):
+        raise RuntimeError("a block's texts have changed since they were counted")
+    inside = _runs(first, len(grams))
+    total = np.repeat(others + inside, inside)
+    # Equal n-grams stand in text order, and so by document.
+    of = np.concatenate([doc[at] for at, _ in each])[order]
+    same = np.repeat(np.arange(len(first)), inside) * (int(doc[-1]) + 1 if len(doc) else 1) + of
+    runs = _runs(_starts(same), len(same))
+    left = np.empty(len(grams), np.int64)
+    left[order] = total - np.repeat(runs, runs)
+    return np.split(left, np.cumsum([len(at) for at, _ in each])[:-1])
+
+
+def _scored(order: int, total: int):
+    def run(rows, counts):
+        found = words(*texts(rows.column("text")), ALNUM)
+        each, doc = _grams(found, order), found.of_doc()
+        left = _elsewhere(each, doc, counts)
+        logs = np.log(np.maximum(left[0], 1).astype(np.float64))
+        score = logs - np.log(total)
+        for k, ((at, _), c) in enumerate(zip(each[1:], left[1:]), 1):
+            # An n-gram and its context begin at the same word.
+            context, logs = logs, np.zeros(len(doc))
+            logs[at] = np.log(np.maximum(c, 1).astype(np.float64))
+            score[at + k] = np.where(c > 0, logs[at] - context[at], np.log(BACKOFF) + score[at + k])
+        n_words = found.counts.astype(np.int64)
+        sums = np.bincount(doc, score, minlength=rows.num_rows).astype(np.float64)  # whole numbers without any word
+        return pa.table({"doc_id": rows.column("doc_id"), "n_words": pa.array(n_words), "log_score": pa.array(sums, mask=n_words == 0)})
 
+    return run
 
-def stupid_backoff(docs: DataFrame, hot: int = HOT, known: int = KNOWN, order: int = 2, heavy: int = HEAVY, turns: int = TURNS) -> DataFrame:
+
+def stupid_backoff(
+    docs: DataFrame, hot: int = HOT, known: int = KNOWN, order: int = 2, heavy: int = HEAVY, turns: int = TURNS,
+    block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES,
+) -> DataFrame:
     """Per document its words, summed log score and mean log score (natural logarithms)."""
     if order < 2:
         raise ValueError("order is 2 at least")
-    context = docs.sparkSession.sparkContext
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    unigrams = released(own.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
-    total = max(unigrams.agg(F.sum("n")).first()[0] or 0, 1)
-    top = unigrams.orderBy(F.desc("n"), "word").limit(max(known, hot)).toArrow()
-    word, count = top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    by_word = np.argsort(word)
-    hot_words = np.sort(word[:hot])
-    cells = own.mapInArrow(_hot_pairs(hot_words), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    pairs = np.zeros(max(len(hot_words) ** 2, 1), np.int64)
-    pairs[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    table = word[by_word]
-    # One entry more, so that there is something to look at without any word.
-    hot_of = np.append(_place(hot_words, table), -1).astype(np.int32)
-    often = {}
-    if order > 2:
-        longer = own.mapInArrow(_heavy_counts(hot_words, pairs, total // heavy, order), "k int, gram long, n long")
-        longer = longer.groupBy("k", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") > total // heavy).toArrow()
-        k, gram, n = (longer.column(c).to_numpy() for c in ("k", "gram", "n"))
-        gram = gram.view(np.uint64)
-        by_gram = np.argsort(gram)
-        often = {j: (gram[by_gram][k[by_gram] == j], n[by_gram][k[by_gram] == j]) for j in range(3, order + 1)}
-    model = context.broadcast((table, count[by_word], hot_of, len(hot_words), pairs, total, often))
-    own = _with_hits(own, model, order, turns)
-
-    log_c = F.log(F.col("c").cast("double"))
-    known_again = F.col("scored") * (F.rint((log_c + SHIFT) * UNIT).cast("long") - F.col("delta"))
-    known_again -= F.col("begun") * F.rint(log_c * UNIT).cast("long")
-    gain = F.when(F.col("c") > 0, known_again).otherwise(F.lit(0).cast("long"))
-    parts = []
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks, parts = 1 + size // block_bytes, 1 + size // part_bytes
+    # As many tasks as groups: a task's rows are bounded whatever the size of the corpus.
+    own = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition(blocks, "block")
+    counts = []
     for turn in range(turns):
-        rows = own.mapInArrow(_pairs(model, order, turn, turns), ROWS).withColumn("c", F.expr("sum(tf) over (partition by pair)") - F.col("tf"))
-        rows = rows.withColumn("gain", F.coalesce("base", F.lit(0).cast("long")) + F.when(F.col("n_words").isNull(), gain).otherwise(F.lit(0).cast("long")))
-        totals = [F.sum("gain").alias("gain"), F.max("doc_id").alias("doc_id"), F.max("n_words").cast("long").alias("n_words"), F.count("n_words").alias("copies")]
-        parts.append(released(rows.groupBy("key", "twin").agg(*totals), f"gains{turn}"))
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("key", "twin")
-        .agg(F.sum("gain").alias("gain"), F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"))
-        .select(
-            "doc_id", "n_words",
-            # Equal rows share a key, and so each has an equal part.
-            F.when(F.col("n_words") > 0, F.col("gain") / UNIT / F.col("copies")).alias("log_score"),
-            F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
-        )
-        .select("doc_id", "n_words", "log_score", (F.col("log_score") / F.col("n_words")).alias("score"))
-    )
+        cells = own.groupBy("block").applyInArrow(_cells(order, parts, turn, turns), CELLS).repartition(parts, "part")
+        counts.append(released(cells.groupBy("part").applyInArrow(_added, COUNTS), f"counts{turn}"))
+    counted = reduce(DataFrame.unionByName, counts)
+    total = max(counted.agg(F.sum("words")).first()[0] or 0, 1)
+    counted = counted.drop("words").repartition(blocks, "block")
+    scored = own.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_scored(order, total), SCORES)
+    return scored.select("doc_id", "n_words", "log_score", (F.col("log_score") / F.col("n_words")).alias("score"))
