@@ -401,3 +401,39 @@ def test_repeated_keys_share_one_scan(spark, folder):
     assert got == {name: quality.unique(frame, *keys).count() for name, keys in checks.items()} == {"i": 2, "s": 2, "i+s": 2, "all": 1}
     clean = quality.repeated_keys(frame.filter("i IN (2, 4)"), checks)
     assert {r.violations for r in clean.collect()} == {0} and "FileScan" not in plan_of(clean)
+
+
+def test_rows_sent_as_text_come_back_as_they_were(spark):
+    from datetime import datetime
+    from decimal import Decimal
+
+    texts = ["", "a", "\x01", "\x02", "\x02n", "\x02a", "\x02b\x01", "n", "1\n2", "\u00fc\u4e2d", None]
+    times = [datetime(2024, 3, 31, 2, 30, 0, 1), datetime(1900, 1, 1), None]
+    rows = [
+        (k % 3 if k % 4 else None, t, texts[-k % len(texts)], when, date(2024, 2, 29) if k % 2 else None, Decimal("-0.10") if k % 5 else None,
+         k % 2 == 0, 0.1 * k, [t, None], None)
+        for k, t in enumerate(texts * 2) for when in times
+    ]
+    kind = "key int, t string, u string, w timestamp, d date, n decimal(6,2), b boolean, x double, l array<string>, z bigint"
+    frame = spark.createDataFrame(rows, kind)
+    for keys in (["key"], ["key", "t"], ["w", "u"]):
+        got = ordering.gathered(frame, keys)
+        assert got.dtypes == frame.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, frame.collect()))
+    few = frame.select("key", "t")
+    assert sorted(map(repr, ordering.gathered(few, ["key"]).collect())) == sorted(map(repr, few.collect()))
+    invalid = spark.sql("select 1 as k, cast(x'41ff42' as string) as t, 'x' as u")
+    assert ordering.gathered(invalid, ["k"]).select(F.hex("t")).first()[0] == "41FF42"
+
+
+def test_sets_are_shuffled_as_few_columns(spark):
+    import re
+
+    from tidemark.bindings.training_log import locations, raw_workouts, templates
+
+    d = "/root/testdata/sf0.001"
+    clean = sets.clean_sets(raw_workouts(spark, d), locations(spark, d), templates(spark, d), ["athlete"])
+    plan = clean._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(n for n, line in enumerate(plan) if "RepartitionByExpression" in line and "workout_id" in line)
+    below = re.search(r"Project \[(.*)\]", plan[at + 1])[1]
+    assert "AS _sent" in below and "exercise_notes#" not in below.split("concat_ws")[0]
